@@ -55,7 +55,7 @@ def parse_nav_text(
         KEY,
         "scheme_name",
         F.col("_nav").try_cast("double").alias("nav"),
-        F.try_to_date(F.col("_date"), F.lit(FEED_DATE_FORMAT)).alias("date"),
+        F.try_to_date(F.col("_date"), FEED_DATE_FORMAT).alias("date"),
     ).where(F.col("nav").isNotNull() & F.col("date").isNotNull())
     if house_map is not None:
         houses = house_map.select(KEY, F.col("fund_house").alias("_house")).dropDuplicates([KEY])
