@@ -46,7 +46,7 @@ def bias_corrected_skewness(x: Column | str) -> Column:
     return (
         F.when(n < 3, F.lit(None).cast("double"))
         .when(F.stddev_pop(c) == 0, F.lit(0.0))
-        .otherwise(g1 * F.sqrt(n * (n - 1)) / (n - 2))
+        .otherwise(F.try_divide(g1 * F.sqrt(n * (n - 1)), n - 2))
     )
 
 
@@ -63,5 +63,5 @@ def bias_corrected_kurtosis(x: Column | str) -> Column:
     return (
         F.when(n < 4, F.lit(None).cast("double"))
         .when(F.stddev_pop(c) == 0, F.lit(0.0))
-        .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+        .otherwise(F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
     )

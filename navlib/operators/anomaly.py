@@ -71,7 +71,7 @@ def extreme_returns(nav: DataFrame, threshold_std: float = DEFAULT_STD_THRESHOLD
         "date",
         half_up("nav", 4).alias("nav"),
         half_up(r * 100, 2).alias("daily_return"),
-        half_up(F.abs(r - mean) / sd, 2).alias("std_deviations"),
+        half_up(F.try_divide(F.abs(r - mean), sd), 2).alias("std_deviations"),
         F.when(r > 0, F.lit("extreme_positive")).otherwise(F.lit("extreme_negative")).alias("anomaly_type"),
     )
 
@@ -190,7 +190,7 @@ def anomaly_summary(
         F.sum("_bad").alias("data_quality_issues"),
     ).where(F.col("total_data_points_analyzed") > 0)
     total = F.col("extreme_returns") + F.col("nav_jumps") + F.col("suspicious_patterns") + F.col("data_quality_issues")
-    rate = total / F.col("total_data_points_analyzed") * 100
+    rate = F.try_divide(total, F.col("total_data_points_analyzed")) * 100
     return s.select(
         F.col("total_data_points_analyzed").cast("bigint").alias("total_data_points_analyzed"),
         "unique_schemes_analyzed",

@@ -160,7 +160,7 @@ def _pearson(inp: _Inputs) -> DataFrame:
     sums = wide.agg(
         F.count(F.lit(1)).alias("overlap_days"),
         *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_s{i}_{j}") for i in range(k) for j in range(i, k)],
-    )
+    ).where(F.col("overlap_days") > 0)
 
     def s(i: int, j: int) -> Column:
         return F.col(f"_s{min(i, j)}_{max(i, j)}")

@@ -32,7 +32,7 @@ def _as_date(value: str | dt.date) -> dt.date:
 
 
 def _percent(part: Column, total: Column, digits: int = 2) -> Column:
-    return F.when(total > 0, half_up(part / total * 100, digits)).otherwise(F.lit(0.0))
+    return F.when(total > 0, half_up(F.try_divide(part, total) * 100, digits)).otherwise(F.lit(0.0))
 
 
 def nav_summary(nav: DataFrame, as_of: str | dt.date) -> DataFrame:
@@ -117,7 +117,7 @@ def dq_overall(nav: DataFrame) -> DataFrame:
     issues = F.col("_nulls") + F.col("_invalid") + duplicate_groups + F.col("_codes")
     score = F.when(
         F.col("total_records") > 0,
-        F.greatest(F.lit(0.0), half_up(100 - issues / F.col("total_records") * 100, 2)),
+        F.greatest(F.lit(0.0), half_up(100 - F.try_divide(issues, F.col("total_records")) * 100, 2)),
     ).otherwise(F.lit(0.0))
     return s.select(
         score.alias("score"),

@@ -82,7 +82,7 @@ def _period_columns(period: Column) -> list[Column]:
     start = F.col("_s.v")
     days = F.when(F.col("data_points") <= period, F.col("data_points") - 1).otherwise(period)
     ratio = F.try_divide(cur, start)
-    growth = F.pow(ratio, F.lit(CALENDAR_DAYS_YEAR) / days)
+    growth = F.pow(ratio, F.try_divide(F.lit(CALENDAR_DAYS_YEAR), days))
     annualized = F.when(
         (days > 0) & (ratio >= 0) & ~F.isnan(growth) & (F.abs(growth) != F.lit(float("inf"))),
         half_up((growth - 1) * 100, 2),
@@ -111,7 +111,7 @@ def _stat_columns() -> list[Column]:
         half_up(F.col("_rmin") * 100, 2).alias("max_daily_loss"),
         F.col("positive_days"),
         F.col("negative_days"),
-        half_up(F.col("positive_days") / F.col("_nr") * 100, 1).alias("win_rate"),
+        half_up(F.try_divide(F.col("positive_days"), F.col("_nr")) * 100, 1).alias("win_rate"),
     ]
 
 
@@ -184,7 +184,7 @@ def period_performance(nav: DataFrame, period: int = 365) -> DataFrame:
     )
     return perf.withColumnRenamed("annualized_volatility", "volatility").withColumn(
         "risk_adjusted_return",
-        F.when(F.col("volatility") > 0, half_up(F.col("percentage_return") / F.col("volatility"), 2)).otherwise(F.lit(0.0)),
+        F.when(F.col("volatility") > 0, half_up(F.try_divide(F.col("percentage_return"), F.col("volatility")), 2)).otherwise(F.lit(0.0)),
     )
 
 

@@ -96,7 +96,7 @@ def rolling_volatility(nav: DataFrame, window: int = DEFAULT_WINDOW) -> DataFram
         .withColumn("_s1", F.col("_c1") - F.coalesce(F.lag("_c1", window).over(series), F.lit(0.0)))
         .withColumn("_s2", F.col("_c2") - F.coalesce(F.lag("_c2", window).over(series), F.lit(0.0)))
     )
-    var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / w) / (w - 1)
+    var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.lit(w)) / F.lit(w - 1)
     rolling = F.when(F.col("_k") >= window, F.sqrt(F.greatest(var, F.lit(0.0))) * F.lit(ANNUAL_SQRT))
     v = F.col("_vol")
     return (
@@ -138,7 +138,7 @@ def _side_risk(nav: DataFrame, picked: Column, prefix: str, extreme: Column, ext
         .select(
             KEY,
             half_up(F.col("_sd") * F.lit(ANNUAL_SQRT), 4).alias(f"{prefix}_volatility"),
-            half_up(F.col("_m") / F.col("_n"), 3).alias(f"{prefix}_frequency"),
+            half_up(F.try_divide(F.col("_m"), F.col("_n")), 3).alias(f"{prefix}_frequency"),
             half_up(F.col("_mean") * 100, 2).alias(day_name),
             half_up(F.col("_ext") * 100, 2).alias(extreme_name),
         )
@@ -175,8 +175,8 @@ def risk_statistics(nav: DataFrame) -> DataFrame:
             half_up(mean * 100, 3).alias("mean_daily_return"),
             half_up("_skew", 3).alias("return_skewness"),
             half_up("_kurt", 3).alias("return_kurtosis"),
-            F.when(sd > 0, half_up(mean / sd, 3)).otherwise(F.lit(0.0)).alias("sharpe_ratio_approx"),
-            F.when(mean != 0, half_up(sd / F.abs(mean), 2)).otherwise(F.lit(float("inf"))).alias(
+            F.when(sd > 0, half_up(F.try_divide(mean, sd), 3)).otherwise(F.lit(0.0)).alias("sharpe_ratio_approx"),
+            F.when(mean != 0, half_up(F.try_divide(sd, F.abs(mean)), 2)).otherwise(F.lit(float("inf"))).alias(
                 "coefficient_of_variation"
             ),
         )
