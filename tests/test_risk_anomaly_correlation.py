@@ -1,0 +1,126 @@
+import numpy as np
+import pandas as pd
+import pytest
+
+import navlib as nl
+from tests.helpers import collect_dict, day, nav_frame
+
+
+def _random_series(seed, n_schemes=4, n=80, vol=0.02):
+    rng = np.random.default_rng(seed)
+    return {str(k): list(np.round(100 * np.cumprod(1 + rng.normal(0.0005, vol, n)), 4)) for k in range(n_schemes)}
+
+
+def test_risk_operators_against_pandas(spark):
+    series = _random_series(5)
+    series["short"] = [1, 2, 3]  # under 30 rows: not analysed
+    df = nav_frame(spark, series)
+    basic = collect_dict(nl.basic_volatility(df))
+    stats = collect_dict(nl.risk_statistics(df))
+    var = collect_dict(nl.value_at_risk(df))
+    down = collect_dict(nl.downside_risk(df))
+    regime = collect_dict(nl.volatility_regime(df))
+    assert "short" not in basic
+    for code in ["0", "1", "2", "3"]:
+        r = pd.Series(series[code]).pct_change().dropna()
+        sd = r.std()
+        assert basic[code]["annualized_volatility"] == pytest.approx(round(sd * 252**0.5, 4), abs=1e-4)
+        assert basic[code]["total_days"] == len(r)
+        assert stats[code]["return_skewness"] == pytest.approx(round(r.skew(), 3), abs=1e-3)
+        assert stats[code]["return_kurtosis"] == pytest.approx(round(r.kurt(), 3), abs=1e-3)
+        assert var[code]["var_95_percent"] == pytest.approx(round(r.quantile(0.05) * 100, 2), abs=0.01)
+        q = r.quantile(0.05)
+        assert var[code]["expected_shortfall_95"] == pytest.approx(round(r[r <= q].mean() * 100, 2), abs=0.01)
+        neg = r[r < 0]
+        assert down[code]["downside_frequency"] == pytest.approx(round(len(neg) / len(r), 3), abs=1e-3)
+        assert regime[code]["interpretation"].endswith(f"{round(sd * 252**0.5 * 100, 1)}%")
+
+
+def test_rolling_volatility_against_pandas(spark):
+    series = _random_series(9, n_schemes=3, n=120)
+    df = nav_frame(spark, series)
+    got = collect_dict(nl.rolling_volatility(df, window=40))
+    for code, values in series.items():
+        r = pd.Series(values).pct_change().dropna().reset_index(drop=True)
+        roll = (r.rolling(40).std() * 252**0.5).dropna()
+        g = got[code]
+        assert g["current_rolling_vol"] == pytest.approx(round(roll.iloc[-1], 4), abs=1e-4)
+        assert g["average_rolling_vol"] == pytest.approx(round(roll.mean(), 4), abs=1e-4)
+        assert g["max_rolling_vol"] == pytest.approx(round(roll.max(), 4), abs=1e-4)
+        assert g["volatility_of_volatility"] == pytest.approx(round(roll.std(), 4), abs=1e-4)
+
+
+def test_first_move_is_not_a_jump_and_stale_runs(spark):
+    # the 10 → 20 move is each scheme's first return: dropped with the first row
+    values = [10, 20, 20, 20, 20, 20, 20, 21, 40] + [40 + i * 0.01 for i in range(60)]
+    df = nav_frame(spark, {"a": values})
+    jumps = nl.nav_jumps(df).collect()
+    assert [(r.nav_before, r.nav_after) for r in jumps] == [(21.0, 40.0)]
+    assert jumps[0].possible_data_error is True
+    stale = nl.stale_nav(df).collect()
+    # unchanged pairs among analysed rows 20,20,20,20,20,20: the first has no predecessor → run of 5
+    assert stale[0].max_consecutive_unchanged == 5
+    assert stale[0].description == "NAV unchanged for 5 consecutive days"
+    s = nl.anomaly_summary(df).collect()[0]
+    assert s.nav_jumps == 1 and s.suspicious_patterns == 1 and s.total_data_points_analyzed == len(values) - 1
+
+
+def test_anomaly_gate_on_min_points(spark):
+    df = nav_frame(spark, {"a": [1, 2, 3, 4]})
+    assert nl.anomaly_summary(df, min_data_points=50).count() == 0
+    assert nl.extreme_returns(df, min_data_points=50).count() == 0
+
+
+def test_extreme_returns_pooled_over_all_schemes(spark):
+    series = _random_series(2, n_schemes=3, n=100, vol=0.01)
+    series["0"][50] = series["0"][49] * 1.5
+    df = nav_frame(spark, series)
+    got = nl.extreme_returns(df).collect()
+    frames = []
+    for code, values in series.items():
+        frames.append(pd.DataFrame({"code": code, "r": pd.Series(values).pct_change()}).dropna())
+    allr = pd.concat(frames)
+    m, s = allr.r.mean(), allr.r.std()
+    expected = allr[(allr.r > m + 3 * s) | (allr.r < m - 3 * s)]
+    assert len(got) == len(expected)
+    assert any(r.anomaly_type == "extreme_positive" and r.daily_return == pytest.approx(50.0, abs=0.01) for r in got)
+
+
+def test_correlation_against_pandas_listwise(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(0, 0.01, 300)
+    series = {
+        "p": list(100 * np.cumprod(1 + base)),
+        "q": list(100 * np.cumprod(1 + base * 0.5 + rng.normal(0, 0.002, 300))),
+        "z": list(100 * np.cumprod(1 + rng.normal(0, 0.01, 300))),
+    }
+    df = nav_frame(spark, series)
+    got = {(r.scheme1, r.scheme2): r.correlation for r in nl.correlation_matrix(df, ["p", "q", "z"]).collect()}
+    rets = pd.DataFrame({k: pd.Series(v).pct_change() for k, v in series.items()}).dropna()
+    c = rets.corr()
+    for a in "pqz":
+        for b in "pqz":
+            assert got[(a, b)] == pytest.approx(round(c.loc[a, b], 4), abs=1e-4)
+    pairs = {(r.scheme1, r.scheme2): r.kind for r in nl.notable_pairs(df, ["p", "q", "z"]).collect()}
+    assert pairs[("p", "q")] == "high"
+    stats = nl.correlation_statistics(df, ["p", "q", "z"]).collect()[0]
+    off = [c.loc[a, b] for a in "pqz" for b in "pqz" if a != b]
+    assert stats.average_correlation == pytest.approx(round(float(np.mean(off)), 4), abs=1e-4)
+    ins = nl.diversification_insights(df, ["p", "q", "z"]).collect()[0]
+    assert ins.concentration_risk == "Low"
+
+
+def test_correlation_needs_enough_common_days(spark):
+    df = nav_frame(spark, {"a": list(range(1, 60)), "b": list(range(2, 61))})
+    assert nl.correlation_matrix(df, ["a", "b"], min_overlap=100).count() == 0
+    avail = collect_dict(nl.data_availability(df, ["a", "b", "missing"], min_overlap=100))
+    assert avail["missing"]["total_days"] == 0 and avail["a"]["total_days"] == 58
+
+
+def test_perfect_anticorrelation(spark):
+    rng = np.random.default_rng(8)
+    r = rng.normal(0, 0.01, 150)
+    df = nav_frame(spark, {"x": list(100 + np.cumsum(r)), "y": list(100 - np.cumsum(r))})
+    got = {(a.scheme1, a.scheme2): a.correlation for a in nl.correlation_matrix(df, ["x", "y"]).collect()}
+    assert got[("x", "x")] == 1.0
+    assert got[("x", "y")] < -0.99
