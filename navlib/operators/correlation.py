@@ -89,6 +89,8 @@ def _prepare(
         daily_returns(recent.where(F.col(KEY).isin(requested)))
         .where(F.col("r").isNotNull() & F.col("scheme_name").isNotNull())
         .select(KEY, "scheme_name", "date", "r")
+        # k schemes × dates rows, read by every later step: computed once
+        .checkpoint(eager=True)
     )
     avail = rets.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("total_days"),

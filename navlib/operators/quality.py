@@ -164,14 +164,17 @@ def _normalized(master: DataFrame) -> DataFrame:
     return master.where(F.col("scheme_name").isNotNull()).select("fund_house", norm.alias("name_norm"), KEY, "scheme_name")
 
 
-def _similar_norm_pairs(master: DataFrame) -> DataFrame:
+def _name_groups(master: DataFrame) -> DataFrame:
+    return _normalized(master).groupBy("fund_house", "name_norm").agg(F.count(F.lit(1)).alias("members"))
+
+
+def _similar_norm_pairs(groups: DataFrame) -> DataFrame:
     """(fund_house, short, long) normalised names where short ⊂ long, 1-3 characters shorter.
 
     Containment with a gap of d characters means short = long with a leading
     and b trailing characters cut, a + b = d: nine cuts per name, then one
     equi-join on (house, cut) = (house, name).  Linear in the distinct names.
     """
-    groups = _normalized(master).groupBy("fund_house", "name_norm").agg(F.count(F.lit(1)).alias("members"))
     # (lead, gap): cut `lead` characters in front and `gap - lead` at the end
     cuts = [(lead, gap) for gap in range(1, SIMILAR_MAX_LENGTH_GAP + 1) for lead in range(gap + 1)]
     length = F.length("name_norm")
@@ -213,7 +216,7 @@ def similar_names(master: DataFrame) -> DataFrame:
     ``similar_name_members`` and are never all emitted, so a name shared by
     many schemes costs one row, not a quadratic number.
     """
-    groups = _normalized(master).groupBy("fund_house", "name_norm").agg(F.count(F.lit(1)).alias("members"))
+    groups = _name_groups(master)
     same = groups.where(F.col("members") > 1).select(
         "fund_house",
         F.col("name_norm").alias("name_norm_1"),
@@ -222,7 +225,7 @@ def similar_names(master: DataFrame) -> DataFrame:
         F.col("members").alias("members_2"),
         (F.col("members") * (F.col("members") - 1) / 2).cast("bigint").alias("pair_count"),
     )
-    contained = _similar_norm_pairs(master).select(
+    contained = _similar_norm_pairs(groups).select(
         "fund_house",
         F.col("short_norm").alias("name_norm_1"),
         F.col("long_norm").alias("name_norm_2"),

@@ -339,6 +339,8 @@ def top_performer_statistics(perf: DataFrame) -> DataFrame:
     returns, found with a distributed global row number.
     """
     ret, vol = F.col("percentage_return"), F.col("volatility")
+    # one row per scheme, read three times below: computed once
+    perf = perf.select(KEY, "percentage_return", "volatility").checkpoint(eager=True)
     returns = perf.where(ret.isNotNull()).select(KEY, "percentage_return")
     n = returns.select(F.count(F.lit(1))).scalar()
     ranked = global_row_number(returns, [ret.asc(), F.col(KEY).asc()], "_rn")

@@ -40,9 +40,17 @@ def write_table(
     partition_cols: Sequence[str] | None = None,
     mode: str = "append",
 ) -> None:
-    """OP02: save as Parquet, optionally partitioned; modes append/overwrite/ignore/error."""
+    """OP02: save as Parquet, optionally partitioned; modes append/overwrite/ignore/error.
+
+    A partitioned write is first rebalanced on the partition columns: rows of
+    one partition value meet in few tasks (no file per task per directory),
+    and adaptive execution splits a hot value into advisory-size files and
+    merges small ones.
+    """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     writer = df.write.mode(mode)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
