@@ -60,9 +60,19 @@ def _is_invalid() -> Column:
     return (F.col("nav") <= NAV_MIN_EXCLUSIVE) | (F.col("nav") > NAV_MAX_INCLUSIVE)
 
 
-def extreme_returns(nav: DataFrame, threshold_std: float = DEFAULT_STD_THRESHOLD, min_data_points: int = MIN_DATA_POINTS) -> DataFrame:
+def _rows(nav: DataFrame, min_data_points: int, rows: DataFrame | None) -> DataFrame:
+    """``rows`` (output of ``analysed_rows``, e.g. checkpointed by a report) or computed from ``nav``."""
+    return rows if rows is not None else analysed_rows(nav, min_data_points)
+
+
+def extreme_returns(
+    nav: DataFrame,
+    threshold_std: float = DEFAULT_STD_THRESHOLD,
+    min_data_points: int = MIN_DATA_POINTS,
+    rows: DataFrame | None = None,
+) -> DataFrame:
     """OP45: returns further than ``threshold_std`` pooled sds from the pooled mean."""
-    rows = analysed_rows(nav, min_data_points)
+    rows = _rows(nav, min_data_points, rows)
     mean, sd = _pooled(rows)
     r = F.col("r")
     return rows.where(_is_extreme(mean, sd, threshold_std)).select(
@@ -81,9 +91,10 @@ def nav_jumps(
     threshold: float = JUMP_THRESHOLD,
     error_threshold: float = DATA_ERROR_THRESHOLD,
     min_data_points: int = MIN_DATA_POINTS,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """OP46: moves |Δnav / previous nav| > ``threshold``; flagged as a possible error above ``error_threshold``."""
-    moves = _with_moves(analysed_rows(nav, min_data_points))
+    moves = _with_moves(_rows(nav, min_data_points, rows))
     change, pct = F.col("_change"), F.col("_change_pct")
     return moves.where(_is_jump(threshold)).select(
         KEY,
@@ -115,9 +126,11 @@ def _runs(rows: DataFrame) -> DataFrame:
     )
 
 
-def stale_nav(nav: DataFrame, min_run: int = STALE_MIN_RUN, min_data_points: int = MIN_DATA_POINTS) -> DataFrame:
+def stale_nav(
+    nav: DataFrame, min_run: int = STALE_MIN_RUN, min_data_points: int = MIN_DATA_POINTS, rows: DataFrame | None = None
+) -> DataFrame:
     """OP47: schemes whose NAV stayed unchanged for at least ``min_run`` consecutive days."""
-    runs = _runs(analysed_rows(nav, min_data_points)).where(F.col("max_consecutive_unchanged") >= min_run)
+    runs = _runs(_rows(nav, min_data_points, rows)).where(F.col("max_consecutive_unchanged") >= min_run)
     return runs.select(
         KEY,
         "scheme_name",
@@ -127,9 +140,9 @@ def stale_nav(nav: DataFrame, min_run: int = STALE_MIN_RUN, min_data_points: int
     )
 
 
-def invalid_nav_rows(nav: DataFrame, min_data_points: int = MIN_DATA_POINTS) -> DataFrame:
+def invalid_nav_rows(nav: DataFrame, min_data_points: int = MIN_DATA_POINTS, rows: DataFrame | None = None) -> DataFrame:
     """OP48: analysed rows with nav ≤ 0 or nav > 10000."""
-    return analysed_rows(nav, min_data_points).where(_is_invalid()).select(
+    return _rows(nav, min_data_points, rows).where(_is_invalid()).select(
         KEY,
         "scheme_name",
         "date",
@@ -147,13 +160,14 @@ def anomaly_summary(
     jump_threshold: float = JUMP_THRESHOLD,
     min_run: int = STALE_MIN_RUN,
     min_data_points: int = MIN_DATA_POINTS,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """OP49: counts of OP45-OP48 (stale counts schemes), rate % (3 dp) and health score (1 dp).
 
     One pass: per-row flags → per (scheme, island) → per scheme → one row,
     all on the scheme_code partitioning.
     """
-    rows = analysed_rows(nav, min_data_points)
+    rows = _rows(nav, min_data_points, rows)
     mean, sd = _pooled(rows)
     running = _series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     flagged = (

@@ -195,20 +195,25 @@ def correlation_matrix(
     return rho.select("scheme1", "scheme2", half_up("rho", 4).alias("correlation"), "overlap_days")
 
 
-def _pairs(inp: _Inputs, high: float, low: float) -> DataFrame:
+def _pairs_from(rho: DataFrame, inp: _Inputs, high: float, low: float) -> DataFrame:
     names = inp.availability.select(KEY, "scheme_name")
-    rho = _pearson(inp).where(F.col("scheme1") < F.col("scheme2"))
+    upper = rho.where(F.col("scheme1") < F.col("scheme2"))
     kind = F.when(F.col("rho") > high, F.lit("high")).when(F.abs(F.col("rho")) < low, F.lit("low"))
     n1 = names.select(F.col(KEY).alias("scheme1"), F.col("scheme_name").alias("scheme1_name"))
     n2 = names.select(F.col(KEY).alias("scheme2"), F.col("scheme_name").alias("scheme2_name"))
+    # names: one row per requested scheme (a bounded list), broadcast
     return (
-        rho.withColumn("kind", kind)
+        upper.withColumn("kind", kind)
         .where(F.col("kind").isNotNull())
         .join(F.broadcast(n1), "scheme1", "left")
         .join(F.broadcast(n2), "scheme2", "left")
     )
 
 
+def _pairs(inp: _Inputs, high: float, low: float) -> DataFrame:
+    return _pairs_from(_pearson(inp), inp, high, low)
+
+
 def notable_pairs(
     nav: DataFrame,
     codes: Sequence[str] | None = None,
@@ -225,8 +230,8 @@ def notable_pairs(
     )
 
 
-def _statistics(inp: _Inputs) -> DataFrame:
-    off = _pearson(inp).where((F.col("scheme1") != F.col("scheme2")) & (F.col("rho") != 1.0))
+def _statistics_from(rho: DataFrame) -> DataFrame:
+    off = rho.where((F.col("scheme1") != F.col("scheme2")) & (F.col("rho") != 1.0))
     return off.agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg("rho").alias("_mean"),
@@ -235,15 +240,11 @@ def _statistics(inp: _Inputs) -> DataFrame:
     ).where(F.col("_n") > 0)
 
 
-def correlation_statistics(
-    nav: DataFrame,
-    codes: Sequence[str] | None = None,
-    since: str | dt.date | None = None,
-    min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
-) -> DataFrame:
-    """OP55: mean / max / min of the off-diagonal correlations and the diversification score."""
-    s = _statistics(_prepare(nav, codes, since, min_overlap, top_k))
+def _statistics(inp: _Inputs) -> DataFrame:
+    return _statistics_from(_pearson(inp))
+
+
+def _statistics_columns(s: DataFrame) -> DataFrame:
     return s.select(
         half_up("_mean", 4).alias("average_correlation"),
         half_up("_max", 4).alias("highest_correlation"),
@@ -252,24 +253,14 @@ def correlation_statistics(
     )
 
 
-def diversification_insights(
-    nav: DataFrame,
-    codes: Sequence[str] | None = None,
-    since: str | dt.date | None = None,
-    min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
-    high: float = HIGH_CORRELATION,
-) -> DataFrame:
-    """OP56: diversification grade, concentration risk and a recommendation."""
-    inp = _prepare(nav, codes, since, min_overlap, top_k)
-    n_high = _pairs(inp, high, -1.0).select(F.count(F.lit(1))).scalar()
-    s = _statistics(inp)
+def _insights(s: DataFrame, high_pairs: DataFrame, n_valid: int) -> DataFrame:
+    n_high = high_pairs.select(F.count(F.lit(1))).scalar()
     score = F.greatest(F.lit(0.0), half_up((1 - F.col("_mean")) * 100, 1))
     return s.select(
         F.when(score > SCORE_EXCELLENT, "Excellent").when(score > SCORE_GOOD, "Good").otherwise("Poor").alias(
             "portfolio_diversification"
         ),
-        F.when(n_high > len(inp.valid), "High")
+        F.when(n_high > n_valid, "High")
         .when(n_high > CONCENTRATION_MEDIUM, "Medium")
         .otherwise("Low")
         .alias("concentration_risk"),
@@ -277,3 +268,28 @@ def diversification_insights(
         .otherwise("Well diversified portfolio")
         .alias("recommendation"),
     )
+
+
+def correlation_statistics(
+    nav: DataFrame,
+    codes: Sequence[str] | None = None,
+    since: str | dt.date | None = None,
+    min_overlap: int = DEFAULT_MIN_OVERLAP,
+    top_k: int | None = DEFAULT_TOP_K,
+) -> DataFrame:
+    """OP55: mean / max / min of the off-diagonal correlations and the diversification score."""
+    return _statistics_columns(_statistics(_prepare(nav, codes, since, min_overlap, top_k)))
+
+
+def diversification_insights(
+    nav: DataFrame,
+    codes: Sequence[str] | None = None,
+    since: str | dt.date | None = None,
+    min_overlap: int = DEFAULT_MIN_OVERLAP,
+    top_k: int | None = DEFAULT_TOP_K,
+    high: float = HIGH_CORRELATION,
+) -> DataFrame:
+    """OP56: diversification grade, concentration risk and a recommendation."""
+    inp = _prepare(nav, codes, since, min_overlap, top_k)
+    rho = _pearson(inp)
+    return _insights(_statistics_from(rho), _pairs_from(rho, inp, high, -1.0), len(inp.valid))

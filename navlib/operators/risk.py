@@ -47,11 +47,16 @@ def analysed_returns(nav: DataFrame, min_rows: int = MIN_NAV_ROWS, min_returns:
     )
 
 
-def basic_volatility(nav: DataFrame) -> DataFrame:
+def _analysed(nav: DataFrame, analysed: DataFrame | None) -> DataFrame:
+    """``analysed`` (rows of ``analysed_returns``, e.g. checkpointed by a report) or computed from ``nav``."""
+    return analysed if analysed is not None else analysed_returns(nav)
+
+
+def basic_volatility(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP38: sample sd of daily returns scaled to week, month and year, with the window analysed."""
     sd = F.col("_sd")
     return (
-        analysed_returns(nav)
+        _analysed(nav, analysed)
         .groupBy(KEY)
         .agg(
             F.min_by("scheme_name", "date").alias("scheme_name"),
@@ -74,7 +79,7 @@ def basic_volatility(nav: DataFrame) -> DataFrame:
     )
 
 
-def rolling_volatility(nav: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
+def rolling_volatility(nav: DataFrame, window: int = DEFAULT_WINDOW, analysed: DataFrame | None = None) -> DataFrame:
     """OP39: annualised sd over each full window of ``window`` returns, summarised per scheme.
 
     Window sums come from running sums of returns centred on the scheme
@@ -88,7 +93,7 @@ def rolling_volatility(nav: DataFrame, window: int = DEFAULT_WINDOW) -> DataFram
     running = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w = float(window)
     x = (
-        analysed_returns(nav)
+        _analysed(nav, analysed)
         .withColumn("_d", F.col("r") - F.avg("r").over(_whole(series)))
         .withColumn("_k", F.row_number().over(series))
         .withColumn("_c1", F.sum("_d").over(running))
@@ -121,10 +126,12 @@ def rolling_volatility(nav: DataFrame, window: int = DEFAULT_WINDOW) -> DataFram
     )
 
 
-def _side_risk(nav: DataFrame, picked: Column, prefix: str, extreme: Column, extreme_name: str, day_name: str) -> DataFrame:
+def _side_risk(
+    nav: DataFrame, analysed: DataFrame | None, picked: Column, prefix: str, extreme: Column, extreme_name: str, day_name: str
+) -> DataFrame:
     side = F.col("_side")
     return (
-        analysed_returns(nav)
+        _analysed(nav, analysed)
         .withColumn("_side", F.when(picked, F.col("r")))
         .groupBy(KEY)
         .agg(
@@ -145,24 +152,24 @@ def _side_risk(nav: DataFrame, picked: Column, prefix: str, extreme: Column, ext
     )
 
 
-def downside_risk(nav: DataFrame) -> DataFrame:
+def downside_risk(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP40: over negative returns: annualised sd, frequency, mean % and worst day %."""
-    return _side_risk(nav, F.col("r") < 0, "downside", F.min("_side"), "worst_single_day", "average_down_day")
+    return _side_risk(nav, analysed, F.col("r") < 0, "downside", F.min("_side"), "worst_single_day", "average_down_day")
 
 
-def upside_potential(nav: DataFrame) -> DataFrame:
+def upside_potential(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP41: over positive returns: annualised sd, frequency, mean % and best day %."""
-    return _side_risk(nav, F.col("r") > 0, "upside", F.max("_side"), "best_single_day", "average_up_day")
+    return _side_risk(nav, analysed, F.col("r") > 0, "upside", F.max("_side"), "best_single_day", "average_up_day")
 
 
-def risk_statistics(nav: DataFrame) -> DataFrame:
+def risk_statistics(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP42: mean % (3 dp), sample skewness and excess kurtosis (3 dp), mean/sd, sd/|mean|.
 
     mean/sd is 0 when sd is 0; sd/|mean| is +inf when the mean is 0.
     """
     mean, sd = F.col("_mean"), F.col("_sd")
     return (
-        analysed_returns(nav)
+        _analysed(nav, analysed)
         .groupBy(KEY)
         .agg(
             F.avg("r").alias("_mean"),
@@ -183,14 +190,14 @@ def risk_statistics(nav: DataFrame) -> DataFrame:
     )
 
 
-def value_at_risk(nav: DataFrame) -> DataFrame:
+def value_at_risk(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP43: 5 % and 1 % quantiles (linear interpolation), mean of returns ≤ the 5 % quantile, worst day.
 
     The 5 % quantile is a window aggregate over the scheme, so the expected
     shortfall needs no second shuffle or join.
     """
     series = Window.partitionBy(KEY).orderBy("date")
-    x = analysed_returns(nav).withColumn("_q05", F.percentile("r", 0.05).over(_whole(series)))
+    x = _analysed(nav, analysed).withColumn("_q05", F.percentile("r", 0.05).over(_whole(series)))
     return (
         x.groupBy(KEY)
         .agg(
@@ -216,12 +223,12 @@ def _ladder(value: Column, steps: list[tuple[float, str]], top: str) -> Column:
     return expr.otherwise(F.lit(top))
 
 
-def volatility_regime(nav: DataFrame) -> DataFrame:
+def volatility_regime(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP44: regime and risk level from the annualised volatility, with a sentence."""
     vol = F.col("_vol")
     regime = F.col("regime")
     per = (
-        analysed_returns(nav)
+        _analysed(nav, analysed)
         .groupBy(KEY)
         .agg((F.stddev_samp("r") * F.lit(ANNUAL_SQRT)).alias("_vol"))
         .select(KEY, "_vol", _ladder(vol, REGIMES, REGIME_TOP).alias("regime"))
