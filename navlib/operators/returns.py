@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navlib.functions.ranking import global_row_number
-from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, half_up
+from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, half_up, libm_pow
 
 KEY = "scheme_code"
 DEFAULT_PERIODS = (30, 90, 180, 365)
@@ -82,7 +82,7 @@ def _period_columns(period: Column) -> list[Column]:
     start = F.col("_s.v")
     days = F.when(F.col("data_points") <= period, F.col("data_points") - 1).otherwise(period)
     ratio = F.try_divide(cur, start)
-    growth = F.pow(ratio, F.try_divide(F.lit(CALENDAR_DAYS_YEAR), days))
+    growth = libm_pow(ratio, F.try_divide(F.lit(CALENDAR_DAYS_YEAR), days))
     annualized = F.when(
         (days > 0) & (ratio >= 0) & ~F.isnan(growth) & (F.abs(growth) != F.lit(float("inf"))),
         half_up((growth - 1) * 100, 2),

@@ -40,9 +40,16 @@ def test_date_lookup_prunes_partitions_and_columns(stored):
     assert "ReadSchema: struct<date:date>" in scan
 
 
+def test_python_only_after_the_aggregate(stored):
+    # the annualising pow runs in Python on the per-(scheme, period) rows only
+    tree = plan_text(nl.scheme_performance(stored)).split("\n\n(")[0]
+    assert tree.count("ArrowEvalPython") == 1
+    assert tree.index("ArrowEvalPython") < tree.index("Aggregate") < tree.index("Window")
+
+
 def test_no_python_evaluation(stored, spark, sf_small):
     frames = [
-        nl.scheme_performance(stored),
+        nl.basic_volatility(stored),
         nl.anomaly_summary(stored),
         nl.similar_names(fx.master_p(spark, sf_small)),
         nl.duplicate_summary(fx.master_p(spark, sf_small)),
