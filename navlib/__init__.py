@@ -8,6 +8,7 @@ covers every scheme at once.
 from navlib.sources.feed import parse_nav_text, read_feed_lines
 from navlib.sources.store import (
     compact_table,
+    deduplicate_nav,
     ingest_nav,
     nav_as_of,
     read_table,

@@ -77,10 +77,10 @@ def _prepare(
 ) -> _Inputs:
     spark = nav.sparkSession
     recent = _since(nav, since)
+    if codes is None and not top_k:
+        raise ValueError("give the codes to correlate or top_k: the k×k result and its pivot need a bounded list")
     if codes is None:
-        chosen = most_observed_schemes(recent, None, min_overlap, top_k) if top_k else (
-            recent.groupBy(KEY).count().where(F.col("count") >= min_overlap)
-        )
+        chosen = most_observed_schemes(recent, None, min_overlap, top_k)
         # at most top_k codes reach the driver: they name the pivot columns
         requested = sorted(r[KEY] for r in chosen.select(KEY).collect())
     else:

@@ -62,13 +62,21 @@ def _missing_path(err: AnalysisException) -> bool:
     return condition is not None and condition() == "PATH_NOT_FOUND"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """OP03: load a table; columns added by later appends are merged.
-
-    A missing path gives an empty frame of ``schema`` (or None without one);
-    every other error propagates.
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    merge_schema: bool = False,
+) -> DataFrame | None:
+    """OP03: load a table.
+
+    With ``schema`` the files are read with it (no inference; columns that
+    older files lack read as NULL).  Otherwise the schema comes from the
+    files; ``merge_schema`` unions the columns of all files, which reads
+    every footer.  A missing path gives an empty frame of ``schema`` (or
+    None without one); every other error propagates.
     """
-    reader = spark.read.option("mergeSchema", "true")
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", str(merge_schema).lower())
     try:
         return reader.parquet(path)
     except AnalysisException as err:
@@ -104,7 +112,13 @@ def nav_as_of(
     return rows.groupBy(KEY, "date").agg(newest.alias("_row")).select(*[F.col(f"_row.{c}").alias(c) for c in cols])
 
 
-def _dedupe_batch(batch: DataFrame) -> DataFrame:
+def deduplicate_nav(batch: DataFrame) -> DataFrame:
+    """One row per (scheme_code, date): the largest (nav, name, house) of the copies.
+
+    An aggregate, so copies are collapsed map-side before any shuffle: a key
+    or scheme repeated in a third of the rows costs no single task more
+    than its distinct keys.
+    """
     cols = [c for c in NAV_COLUMNS if c not in (KEY, "date")]
     pick = F.max_by(F.struct(*cols), F.struct("nav", "scheme_name", "fund_house"))
     return (
@@ -134,7 +148,7 @@ def ingest_nav(
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
     load_id = int(time.time() * 1000) if load_id is None else int(load_id)
-    rows = _dedupe_batch(with_partition_columns(batch).select(*NAV_COLUMNS))
+    rows = deduplicate_nav(with_partition_columns(batch).select(*NAV_COLUMNS))
     stored = read_table(spark, nav_path)
     if stored is not None:
         months = rows.select(*PARTITION_COLUMNS).distinct()
@@ -171,6 +185,7 @@ def compact_table(
     path: str,
     out_path: str,
     cluster_cols: Sequence[str] | None = None,
+    rows_per_file: int = 2_000_000,
 ) -> DataFrame:
     """OP07: rewrite a table into range-clustered files at a new path.
 
@@ -179,18 +194,25 @@ def compact_table(
     data for filters on those columns.  Cluster columns that the table lacks
     are ignored; the NAV default is (date, scheme_code).  The row count of
     the copy is verified before it is returned; the caller then swaps paths.
+    The number of output ranges follows the row count (``rows_per_file``),
+    not a fixed partition setting, so files keep their size as the table grows.
     """
     src = read_table(spark, path)
     if src is None:
         raise ValueError(f"no table at {path}")
+    before = src.count()  # Parquet row counts come from the footers
+    n_ranges = max(1, -(-before // rows_per_file))
     wanted = list(cluster_cols) if cluster_cols else [c for c in DEFAULT_CLUSTERING if c in src.columns]
     cols = [c for c in wanted if c in src.columns]
     parts = [c for c in PARTITION_COLUMNS if c in src.columns]
     order = parts + [c for c in cols if c not in parts]
-    out = src.repartitionByRange(*order).sortWithinPartitions(*order) if order else src
-    write_table(out, out_path, parts or None, "overwrite")
+    out = src.repartitionByRange(n_ranges, *order).sortWithinPartitions(*order) if order else src
+    writer = out.write.mode("overwrite")
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.parquet(out_path)
     copy = read_table(spark, out_path)
-    before, after = src.count(), copy.count()
+    after = copy.count()
     if before != after:
         raise RuntimeError(f"compaction lost rows: {before} → {after}")
     return copy
