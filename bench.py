@@ -29,6 +29,7 @@ from navlib.sources.store import scratch_path  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "1"))
+ROWS = os.environ.get("BENCH_ROWS", "0") == "1"  # also count result rows (untimed)
 
 
 def _sf(path: str) -> float | str:
@@ -114,6 +115,7 @@ def main():
         times[name] = round(statistics.median(run(make) for _ in range(REPEAT)), 3)
     total = round(sum(times.values()), 3)
     rows = tables["nav_s"].count()
+    rows_out = {name: make().count() for name, make in qs.items()} if ROWS else None
     print(
         json.dumps(
             {
@@ -125,6 +127,7 @@ def main():
                 "cpus": CPUS,
                 "prep_sec": round(prep, 3),
                 "nav_s_rows": rows,
+                **({"rows_out": rows_out} if rows_out else {}),
             }
         )
     )
