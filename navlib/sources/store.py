@@ -117,10 +117,11 @@ def deduplicate_nav(batch: DataFrame) -> DataFrame:
 
     An aggregate, so copies are collapsed map-side before any shuffle: a key
     or scheme repeated in a third of the rows costs no single task more
-    than its distinct keys.
+    than its distinct keys.  Rows without code, date or NAV are dropped.
     """
-    cols = [c for c in NAV_COLUMNS if c not in (KEY, "date")]
-    pick = F.max_by(F.struct(*cols), F.struct("nav", "scheme_name", "fund_house"))
+    cols = [c for c in batch.columns if c not in (KEY, "date")]
+    order = [c for c in ("nav", "scheme_name", "fund_house") if c in batch.columns]
+    pick = F.max_by(F.struct(*cols), F.struct(*order))
     return (
         batch.where(F.col(KEY).isNotNull() & F.col("date").isNotNull() & F.col("nav").isNotNull())
         .groupBy(KEY, "date")
