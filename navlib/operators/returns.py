@@ -20,6 +20,9 @@ from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, half_up, lib
 
 KEY = "scheme_code"
 DEFAULT_PERIODS = (30, 90, 180, 365)
+# Session setting: "true" when NAV frames hold one row per (scheme_code, date),
+# as tables written by ingest_nav do; the copy-collapsing aggregate is skipped.
+UNIQUE_KEYS_CONF = "navlib.uniqueKeys"
 SORT_KEYS = ("return", "volatility", "risk_adjusted")
 
 
@@ -27,23 +30,32 @@ def _series() -> Window:
     return Window.partitionBy(KEY).orderBy("date")
 
 
+def unique_keys(spark) -> bool:
+    return str(spark.conf.get(UNIQUE_KEYS_CONF, "false")).lower() == "true"
+
+
 def daily_returns(nav: DataFrame) -> DataFrame:
     """OP29: r = nav / previous nav - 1 per scheme in date order.
 
     Rows without code, date or NAV are dropped first; of rows sharing
-    (scheme_code, date) one is kept (smallest nav, then name).  The first row
+    (scheme_code, date) one is kept (largest nav, then name).  The first row
     of a scheme has r = NULL, as does a row after a zero NAV.
+
+    Copies are collapsed by an aggregate on (scheme_code, date) that combines
+    map-side, before the per-scheme shuffle: a scheme repeated in a third of
+    the rows reaches its window task with one row per date.  With the
+    session setting ``navlib.uniqueKeys=true`` (tables written by
+    ``ingest_nav``) that step and its shuffle are skipped.
     """
     base = nav.select(KEY, "scheme_name", "date", "nav").where(
         F.col(KEY).isNotNull() & F.col("date").isNotNull() & F.col("nav").isNotNull()
     )
-    by_key = Window.partitionBy(KEY).orderBy("date", "nav", "scheme_name")
-    kept = (
-        base.withColumn("_prev_date", F.lag("date").over(by_key))
-        .where(F.col("_prev_date").isNull() | (F.col("_prev_date") != F.col("date")))
-        .drop("_prev_date")
-    )
-    return kept.withColumn("r", F.try_divide(F.col("nav"), F.lag("nav").over(_series())) - 1)
+    if not unique_keys(nav.sparkSession):
+        pick = F.max_by(F.col("scheme_name"), F.struct("nav", "scheme_name"))
+        base = base.groupBy(KEY, "date").agg(F.max("nav").alias("nav"), pick.alias("scheme_name")).select(
+            KEY, "scheme_name", "date", "nav"
+        )
+    return base.withColumn("r", F.try_divide(F.col("nav"), F.lag("nav").over(_series())) - 1)
 
 
 def _with_positions(returns: DataFrame) -> DataFrame:

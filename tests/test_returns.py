@@ -33,8 +33,8 @@ def test_daily_returns_drops_null_nav_and_duplicate_keys(spark):
     ]
     df = spark.createDataFrame(rows, "scheme_code string, scheme_name string, fund_house string, date date, nav double")
     out = nl.daily_returns(df).orderBy("date").collect()
-    assert [r.nav for r in out] == [10.0, 12.0]  # null dropped, duplicate key: smallest nav kept
-    assert out[1].r == pytest.approx(0.2)  # the return spans the gap
+    assert [r.nav for r in out] == [10.0, 12.5]  # null dropped, duplicate key: largest nav kept
+    assert out[1].r == pytest.approx(0.25)  # the return spans the gap
 
 
 def test_zero_previous_nav_gives_null_return(spark):
