@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from navlib.functions.stats import half_up
 from navlib.operators.returns import daily_returns
+from navlib.session import checkpointed
 
 KEY = "scheme_code"
 
@@ -85,12 +86,11 @@ def _prepare(
         requested = sorted(r[KEY] for r in chosen.select(KEY).collect())
     else:
         requested = list(dict.fromkeys(str(c) for c in codes))
-    rets = (
+    # k schemes × dates rows, read by every later step: computed once
+    rets = checkpointed(
         daily_returns(recent.where(F.col(KEY).isin(requested)))
         .where(F.col("r").isNotNull() & F.col("scheme_name").isNotNull())
         .select(KEY, "scheme_name", "date", "r")
-        # k schemes × dates rows, read by every later step: computed once
-        .checkpoint(eager=True)
     )
     avail = rets.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("total_days"),

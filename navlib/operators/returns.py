@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navlib.functions.ranking import global_row_number
+from navlib.session import checkpointed
 from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, half_up, libm_pow
 
 KEY = "scheme_code"
@@ -243,7 +244,7 @@ def compare_schemes(nav: DataFrame, codes: Sequence[str] | None = None, period:
         nav = nav.join(requested, KEY, "left_semi")
     else:
         requested = nav.select(KEY).where(F.col(KEY).isNotNull()).distinct()
-    perf = period_performance(nav, period).select(*_COMPARE_COLUMNS).checkpoint(eager=True)
+    perf = checkpointed(period_performance(nav, period).select(*_COMPARE_COLUMNS))
     ranked = perf
     for name, key in (("return_rank", "return"), ("risk_rank", "volatility"), ("risk_adjusted_rank", "risk_adjusted")):
         ranks = global_row_number(perf.select(*_COMPARE_COLUMNS), _order(key), name).select(KEY, name)
@@ -352,7 +353,7 @@ def top_performer_statistics(perf: DataFrame) -> DataFrame:
     """
     ret, vol = F.col("percentage_return"), F.col("volatility")
     # one row per scheme, read three times below: computed once
-    perf = perf.select(KEY, "percentage_return", "volatility").checkpoint(eager=True)
+    perf = checkpointed(perf.select(KEY, "percentage_return", "volatility"))
     returns = perf.where(ret.isNotNull()).select(KEY, "percentage_return")
     n = returns.select(F.count(F.lit(1))).scalar()
     ranked = global_row_number(returns, [ret.asc(), F.col(KEY).asc()], "_rn")

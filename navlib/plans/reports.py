@@ -21,7 +21,7 @@ from navlib.operators import correlation as C
 from navlib.operators import quality as Q
 from navlib.operators import returns as P
 from navlib.operators import risk as V
-from navlib.session import ensure_checkpoint_dir
+from navlib.session import checkpointed
 
 
 def performance_report(nav: DataFrame, periods: Sequence[int] = P.DEFAULT_PERIODS) -> dict[str, DataFrame]:
@@ -31,8 +31,7 @@ def performance_report(nav: DataFrame, periods: Sequence[int] = P.DEFAULT_PERIOD
 
 def comparison_report(nav: DataFrame, codes: Sequence[str] | None = None, period: int = 365) -> dict[str, DataFrame]:
     """OP33-OP35 from one comparison frame (checkpointed once)."""
-    ensure_checkpoint_dir(nav.sparkSession)
-    compared = P.compare_schemes(nav, codes, period).checkpoint(eager=True)
+    compared = checkpointed(P.compare_schemes(nav, codes, period))
     return {
         "schemes": compared,
         "comparative_metrics": P.compare_statistics(compared),
@@ -49,8 +48,7 @@ def top_performers_report(
     sort_by: str = "return",
 ) -> dict[str, DataFrame]:
     """OP36 + OP37 over the same per-scheme figures (computed once)."""
-    ensure_checkpoint_dir(nav.sparkSession)
-    perf = P.period_performance(P._candidates(nav, master, category), period).checkpoint(eager=True)
+    perf = checkpointed(P.period_performance(P._candidates(nav, master, category), period))
     order = P._order(sort_by)
     top = perf.select(*P._TOP_COLUMNS).orderBy(*order).limit(limit)
     from pyspark.sql import Window
@@ -64,8 +62,7 @@ def top_performers_report(
 
 def volatility_report(nav: DataFrame, window: int = V.DEFAULT_WINDOW) -> dict[str, DataFrame]:
     """OP38-OP44 from one checkpointed frame of analysed returns."""
-    ensure_checkpoint_dir(nav.sparkSession)
-    rets = V.analysed_returns(nav).checkpoint(eager=True)
+    rets = checkpointed(V.analysed_returns(nav))
     return {
         "basic_volatility": V.basic_volatility(nav, rets),
         "rolling_volatility": V.rolling_volatility(nav, window, rets),
@@ -83,8 +80,7 @@ def anomaly_report(
     min_data_points: int = A.MIN_DATA_POINTS,
 ) -> dict[str, DataFrame]:
     """OP45-OP49 from one checkpointed frame of analysed rows."""
-    ensure_checkpoint_dir(nav.sparkSession)
-    rows = A.analysed_rows(nav, min_data_points).checkpoint(eager=True)
+    rows = checkpointed(A.analysed_rows(nav, min_data_points))
     return {
         "extreme_returns": A.extreme_returns(nav, threshold_std, rows=rows),
         "nav_jumps": A.nav_jumps(nav, rows=rows),
@@ -103,7 +99,7 @@ def correlation_report(
 ) -> dict[str, DataFrame]:
     """OP51-OP56 from one selection of schemes and one returns matrix."""
     inp = C._prepare(nav, codes, since, min_overlap, top_k)
-    rho = C._pearson(inp).checkpoint(eager=True) if len(inp.valid) >= 2 else C._pearson(inp)
+    rho = checkpointed(C._pearson(inp)) if len(inp.valid) >= 2 else C._pearson(inp)
     from pyspark.sql import functions as F
 
     from navlib.functions.stats import half_up

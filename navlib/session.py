@@ -48,3 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="navlib-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def checkpointed(df):
+    """``df`` materialised in the checkpoint folder (eager); cuts its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from navlib.operators.master import with_partition_columns
 from navlib.schema import MASTER_COLUMNS, NAV_COLUMNS, PARTITION_COLUMNS, typed_empty
-from navlib.session import ensure_checkpoint_dir
+from navlib.session import checkpointed, ensure_checkpoint_dir
 
 KEY = "scheme_code"
 WRITE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
@@ -176,7 +176,7 @@ def refresh_master(spark: SparkSession, master_path: str, nav: DataFrame) -> Dat
     merged = fresh
     if old is not None:
         merged = fresh.unionByName(old.select(*MASTER_COLUMNS).join(fresh.select(KEY), KEY, "left_anti"))
-    merged = merged.checkpoint(eager=True)
+    merged = checkpointed(merged)
     write_table(merged, master_path, mode="overwrite")
     return merged
 
