@@ -12,6 +12,7 @@ from navlib.sources.store import (
     ingest_nav,
     nav_as_of,
     read_table,
+    refresh_master,
     table_partitions,
     table_profile,
     write_table,
@@ -48,6 +49,7 @@ from navlib.operators.returns import (
     compare_statistics,
     compare_summary,
     daily_returns,
+    period_performance,
     period_returns,
     return_stats,
     scheme_performance,
@@ -55,6 +57,7 @@ from navlib.operators.returns import (
     top_performers,
 )
 from navlib.operators.risk import (
+    analysed_returns,
     basic_volatility,
     downside_risk,
     risk_statistics,
@@ -64,6 +67,7 @@ from navlib.operators.risk import (
     volatility_regime,
 )
 from navlib.operators.anomaly import (
+    analysed_rows,
     anomaly_summary,
     extreme_returns,
     invalid_nav_rows,

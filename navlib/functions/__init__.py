@@ -5,6 +5,7 @@ from navlib.functions.stats import (
     bias_corrected_kurtosis,
     bias_corrected_skewness,
     half_up,
+    libm_pow,
     sqrt_days,
 )
 from navlib.functions.ranking import global_row_number
@@ -15,5 +16,6 @@ __all__ = [
     "bias_corrected_skewness",
     "global_row_number",
     "half_up",
+    "libm_pow",
     "sqrt_days",
 ]

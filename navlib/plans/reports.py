@@ -14,8 +14,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
+from navlib.functions.stats import half_up
 from navlib.operators import anomaly as A
 from navlib.operators import correlation as C
 from navlib.operators import quality as Q
@@ -51,9 +53,6 @@ def top_performers_report(
     perf = checkpointed(P.period_performance(P._candidates(nav, master, category), period))
     order = P._order(sort_by)
     top = perf.select(*P._TOP_COLUMNS).orderBy(*order).limit(limit)
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
     return {
         "top_performers": top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint")),
         "summary_statistics": P.top_performer_statistics(perf),
@@ -100,10 +99,6 @@ def correlation_report(
     """OP51-OP56 from one selection of schemes and one returns matrix."""
     inp = C._prepare(nav, codes, since, min_overlap, top_k)
     rho = checkpointed(C._pearson(inp)) if len(inp.valid) >= 2 else C._pearson(inp)
-    from pyspark.sql import functions as F
-
-    from navlib.functions.stats import half_up
-
     pairs = C._pairs_from(rho, inp, C.HIGH_CORRELATION, C.LOW_CORRELATION)
     stats = C._statistics_from(rho)
     return {
