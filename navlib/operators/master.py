@@ -94,6 +94,11 @@ def _matches(col: str, keyword: str) -> Column:
     return F.col(col).rlike(f"(?i).*{keyword}.*")
 
 
+def category_filter(category: str) -> Column:
+    """The OP13 condition: the scheme name matches the category keyword."""
+    return _matches("scheme_name", category)
+
+
 def search_schemes(master: DataFrame, keyword: str, limit: int = 50) -> DataFrame:
     """OP11: schemes whose name or fund house matches ``keyword``; first ``limit`` by code."""
     hits = master.where(_matches("scheme_name", keyword) | _matches("fund_house", keyword))
@@ -109,7 +114,7 @@ def schemes_by_fund_house(master: DataFrame, fund_house: str) -> DataFrame:
 
 def schemes_by_category(master: DataFrame, category: str) -> DataFrame:
     """OP13: schemes whose *name* matches a category keyword, ordered by name."""
-    return master.where(_matches("scheme_name", category)).select(KEY, "scheme_name", "fund_house").orderBy(
+    return master.where(category_filter(category)).select(KEY, "scheme_name", "fund_house").orderBy(
         "scheme_name", KEY
     )
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navlib.functions.ranking import global_row_number
+from navlib.operators.master import category_filter, scheme_master
 from navlib.session import checkpointed
 from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, half_up, libm_pow
 
@@ -316,10 +317,8 @@ _TOP_COLUMNS = [
 def _candidates(nav: DataFrame, master: DataFrame | None, category: str | None) -> DataFrame:
     if not category:
         return nav
-    from navlib.operators.master import scheme_master, schemes_by_category
-
     source = master if master is not None else scheme_master(nav)
-    codes = schemes_by_category(source, category).select(KEY).distinct()
+    codes = source.where(category_filter(category)).select(KEY)
     return nav.join(codes, KEY, "left_semi")
 
 
