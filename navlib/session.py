@@ -36,7 +36,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder (tests).  A cluster without the setting is an error: a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
