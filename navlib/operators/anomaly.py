@@ -44,7 +44,9 @@ def _with_moves(rows: DataFrame) -> DataFrame:
 
 
 def _pooled(rows: DataFrame) -> tuple[Column, Column]:
-    return rows.select(F.avg("r")).scalar(), rows.select(F.stddev_samp("r")).scalar()
+    """Pooled mean and sample sd of r: one scalar subquery, run once."""
+    stats = rows.select(F.struct(F.avg("r").alias("m"), F.stddev_samp("r").alias("s"))).scalar()
+    return stats.getField("m"), stats.getField("s")
 
 
 def _is_extreme(mean: Column, sd: Column, k: float) -> Column:
