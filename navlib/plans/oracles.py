@@ -188,6 +188,32 @@ FROM nav_s WHERE day(date) NOT IN (1, 2, 3, 4, 5)""",
         "nav_s",
     ),
     "compact_table": with_fixtures(_STORED, "nav_s"),
+    "refresh_master": with_fixtures(
+        f"""WITH old AS (
+  SELECT scheme_code, scheme_name, fund_house FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY date DESC, scheme_name DESC, fund_house DESC) AS rn
+    FROM nav_p WHERE date < DATE '{MASTER_REFRESH_DATE}') WHERE rn = 1),
+fresh AS (
+  SELECT scheme_code, scheme_name, fund_house FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY date DESC, scheme_name DESC, fund_house DESC) AS rn
+    FROM nav_p WHERE date >= DATE '{MASTER_REFRESH_DATE}') WHERE rn = 1)
+SELECT * FROM fresh
+UNION ALL
+SELECT * FROM old WHERE scheme_code NOT IN (SELECT scheme_code FROM fresh)""",
+        "nav_p",
+    ),
+    "deduplicate_nav": with_fixtures(
+        """SELECT scheme_code, date, scheme_name, nav, fund_house, load_id, tie FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code, date
+           ORDER BY nav DESC, scheme_name DESC NULLS LAST, fund_house DESC NULLS LAST, load_id DESC, tie DESC) AS rn
+  FROM nav_ticks WHERE scheme_code IS NOT NULL AND date IS NOT NULL AND nav IS NOT NULL) WHERE rn = 1""",
+        "nav_ticks",
+    ),
+    "follow_landing": with_fixtures(
+        f"""SELECT scheme_code, scheme_name, FLOOR(nav * 100) / 100 AS nav, date, 'To be mapped' AS fund_house, {_YM}
+FROM nav_s WHERE day(date) NOT IN (1, 2, 3, 4, 5)""",
+        "nav_s",
+    ),
     "table_profile": with_fixtures(
         """SELECT CAST(7 AS BIGINT) AS column_count, COUNT(*) AS row_count,
        COUNT(DISTINCT year(date) * 100 + month(date)) AS partition_count FROM nav_s""",
@@ -303,6 +329,21 @@ FROM g a JOIN g b ON a.fund_house IS NOT DISTINCT FROM b.fund_house
       OR (length(b.norm) - length(a.norm) BETWEEN 1 AND 3 AND contains(b.norm, a.norm)))""",
         "master_p",
     ),
+    "similar_name_members": with_fixtures(
+        """WITH m AS (
+  SELECT fund_house, regexp_replace(lower(scheme_name), '[ -]', '', 'g') AS norm, scheme_code, scheme_name
+  FROM master_p WHERE scheme_name IS NOT NULL),
+g AS (SELECT fund_house, norm, COUNT(*) AS members FROM m GROUP BY ALL),
+pairs AS (
+  SELECT a.fund_house, a.norm AS n1, b.norm AS n2
+  FROM g a JOIN g b ON a.fund_house IS NOT DISTINCT FROM b.fund_house
+   AND ((a.norm = b.norm AND a.members > 1)
+        OR (length(b.norm) - length(a.norm) BETWEEN 1 AND 3 AND contains(b.norm, a.norm)))),
+norms AS (SELECT fund_house, n1 AS norm FROM pairs UNION SELECT fund_house, n2 FROM pairs)
+SELECT m.fund_house, m.norm AS name_norm, m.scheme_code, m.scheme_name
+FROM m WHERE (m.fund_house, m.norm) IN (SELECT (fund_house, norm) FROM norms)""",
+        "master_p",
+    ),
     "duplicate_names": with_fixtures(
         """WITH c AS (SELECT scheme_name, COUNT(*) AS count, MIN(fund_house) AS fund_house FROM master_p
            WHERE scheme_name IS NOT NULL GROUP BY ALL HAVING COUNT(*) > 1)

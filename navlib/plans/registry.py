@@ -60,6 +60,24 @@ def _compact(spark: SparkSession, d: str) -> DataFrame:
     return nl.compact_table(spark, src, scratch_path(spark, "nav_data_compact"))
 
 
+def _refresh_master(spark: SparkSession, d: str) -> DataFrame:
+    nav = fx.nav_p(spark, d)
+    cut = F.lit(fx.MASTER_REFRESH_DATE).cast("date")
+    path = scratch_path(spark, "scheme_master")
+    nl.write_table(nl.scheme_master(nav.where(F.col("date") < cut)), path, mode="overwrite")
+    nl.refresh_master(spark, path, nav.where(F.col("date") >= cut))
+    return nl.read_table(spark, path)
+
+
+def _follow_landing(spark: SparkSession, d: str) -> DataFrame:
+    from navlib.streaming import follow_landing
+
+    landing, nav_path = scratch_path(spark, "landing"), scratch_path(spark, "nav_data")
+    fx.feed_lines(spark, d).write.mode("overwrite").text(landing)
+    follow_landing(spark, landing, nav_path, checkpoint_location=scratch_path(spark, "stream")).awaitTermination()
+    return nl.read_table(spark, nav_path).drop("load_id", "loaded_at")
+
+
 def _older_master(spark: SparkSession, d: str) -> DataFrame:
     nav = fx.nav_p(spark, d)
     return nl.scheme_master(nav.where(F.col("date") < F.lit(fx.MASTER_REFRESH_DATE).cast("date")))
@@ -77,6 +95,9 @@ QUERIES: dict[str, Query] = {
     "nav_as_of": lambda s, d: nl.nav_as_of(fx.nav_ticks(s, d), load_id=3, tie_cols=("tie", "nav")),
     "ingest_nav": _ingest,
     "scheme_master": lambda s, d: nl.scheme_master(fx.nav_s(s, d)),
+    "refresh_master": _refresh_master,
+    "deduplicate_nav": lambda s, d: nl.deduplicate_nav(fx.nav_ticks(s, d)),
+    "follow_landing": _follow_landing,
     "compact_table": _compact,
     "table_profile": lambda s, d: nl.table_profile(s.read.parquet(_stored_nav(s, d))),
     "table_partitions": lambda s, d: nl.table_partitions(s.read.parquet(_stored_nav(s, d))),
@@ -100,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "dq_overall": lambda s, d: nl.dq_overall(fx.nav_ticks(s, d)),
     "duplicate_codes": lambda s, d: nl.duplicate_codes(fx.master_renamed(s, d)),
     "similar_names": lambda s, d: nl.similar_names(fx.master_p(s, d)),
+    "similar_name_members": lambda s, d: nl.similar_name_members(fx.master_p(s, d)),
     "duplicate_names": lambda s, d: nl.duplicate_names(fx.master_p(s, d)),
     "duplicate_summary": lambda s, d: nl.duplicate_summary(fx.master_p(s, d)),
     # returns and performance

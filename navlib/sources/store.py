@@ -113,14 +113,16 @@ def nav_as_of(
 
 
 def deduplicate_nav(batch: DataFrame) -> DataFrame:
-    """One row per (scheme_code, date): the largest (nav, name, house) of the copies.
+    """One row per (scheme_code, date): the largest (nav, name, house, other columns) of the copies.
 
     An aggregate, so copies are collapsed map-side before any shuffle: a key
     or scheme repeated in a third of the rows costs no single task more
     than its distinct keys.  Rows without code, date or NAV are dropped.
     """
     cols = [c for c in batch.columns if c not in (KEY, "date")]
-    order = [c for c in ("nav", "scheme_name", "fund_house") if c in batch.columns]
+    first = [c for c in ("nav", "scheme_name", "fund_house") if c in batch.columns]
+    # a total order over the row, so the kept copy does not depend on task order
+    order = first + [c for c in cols if c not in first]
     pick = F.max_by(F.struct(*cols), F.struct(*order))
     return (
         batch.where(F.col(KEY).isNotNull() & F.col("date").isNotNull() & F.col("nav").isNotNull())
