@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from navlib.operators.master import with_partition_columns
 from navlib.schema import MASTER_COLUMNS, NAV_COLUMNS, PARTITION_COLUMNS, typed_empty
@@ -141,29 +142,40 @@ def ingest_nav(
     """OP05: append the batch's new (scheme_code, date) rows; loading twice = once.
 
     The batch is deduplicated on its key and anti-joined with the stored keys
-    of the months it touches only (the semi-join on year/month lets Spark
-    prune the other partitions).  New rows get ``load_id`` (default: epoch
-    milliseconds) and ``loaded_at``, are checkpointed (so the returned frame
-    does not change once they are stored), and appended.  With
-    ``master_path`` the scheme master is refreshed: newest batch row per code
-    wins, other codes keep their master row.
+    of the months it touches only (a static filter on the year/month
+    partition columns).  New rows get ``load_id``
+    (default: epoch milliseconds) and ``loaded_at`` and are appended once;
+    the returned frame reads this load's rows back from the table (the
+    batch's months only, files of other loads skipped by their ``load_id``
+    statistics), so it does not change after the append.  A failed append
+    commits nothing and can simply be run again.  With ``master_path`` the
+    scheme master is refreshed: newest batch row per code wins, other codes
+    keep their master row.
     """
     spark = batch.sparkSession
-    ensure_checkpoint_dir(spark)
     load_id = int(time.time() * 1000) if load_id is None else int(load_id)
-    rows = deduplicate_nav(with_partition_columns(batch).select(*NAV_COLUMNS))
-    stored = read_table(spark, nav_path)
-    if stored is not None:
-        months = rows.select(*PARTITION_COLUMNS).distinct()
-        stored_keys = stored.join(months, PARTITION_COLUMNS, "left_semi").select(KEY, "date")
-        rows = rows.join(stored_keys, [KEY, "date"], "left_anti")
-    new_rows = (
-        rows.select(*NAV_COLUMNS)
-        .withColumn("load_id", F.lit(load_id).cast("bigint"))
-        .withColumn("loaded_at", F.current_timestamp())
-        .checkpoint(eager=True)
-    )
-    write_table(new_rows, nav_path, PARTITION_COLUMNS, "append")
+    # The deduplicated batch does not depend on the table, so caching it while
+    # it is used is safe: a lost block is recomputed to the same rows.
+    rows = deduplicate_nav(with_partition_columns(batch).select(*NAV_COLUMNS)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # distinct (year, month) of the batch: a calendar-bounded list, used as a
+        # static partition filter on the stored table
+        touched = sorted({r.year * 100 + r.month for r in rows.select(*PARTITION_COLUMNS).distinct().collect()})
+        in_batch_months = (F.col("year") * 100 + F.col("month")).isin(touched)
+        stored = read_table(spark, nav_path)
+        if stored is not None:
+            rows_new = rows.join(stored.where(in_batch_months).select(KEY, "date"), [KEY, "date"], "left_anti")
+        else:
+            rows_new = rows
+        stamped = (
+            rows_new.select(*NAV_COLUMNS)
+            .withColumn("load_id", F.lit(load_id).cast("bigint"))
+            .withColumn("loaded_at", F.current_timestamp())
+        )
+        write_table(stamped, nav_path, PARTITION_COLUMNS, "append")
+    finally:
+        rows.unpersist()
+    new_rows = read_table(spark, nav_path).where(in_batch_months & (F.col("load_id") == F.lit(load_id)))
     if master_path is not None:
         refresh_master(spark, master_path, new_rows)
     return new_rows
