@@ -149,8 +149,18 @@ def data_availability(
     return _prepare(nav, codes, since, min_overlap, top_k).availability
 
 
+MAX_SUMS_PER_PASS = 256
+
+
 def _pearson(inp: _Inputs) -> DataFrame:
-    """Unrounded (scheme1, scheme2, rho, overlap_days) for all ordered pairs incl. the diagonal."""
+    """Unrounded (scheme1, scheme2, rho, overlap_days) for all ordered pairs incl. the diagonal.
+
+    The centred returns are pivoted to one row per date (k columns) and the
+    products summed.  Pairs are split into passes of at most
+    MAX_SUMS_PER_PASS sums over the (checkpointed, dates × k) pivot; each
+    pass carries the diagonal sums it needs, so passes are independent and
+    their entries are unioned.
+    """
     k = len(inp.valid)
     spark = inp.matrix.sparkSession
     if k < 2:
@@ -159,28 +169,40 @@ def _pearson(inp: _Inputs) -> DataFrame:
     centred = inp.matrix.join(F.broadcast(means), KEY).select("date", KEY, (F.col("r") - F.col("_mean")).alias("_d"))
     cols = [f"_x{i}" for i in range(k)]
     wide = centred.groupBy("date").pivot(KEY, inp.valid).agg(F.first("_d")).toDF("date", *cols)
-    sums = wide.agg(
-        F.count(F.lit(1)).alias("overlap_days"),
-        *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_s{i}_{j}") for i in range(k) for j in range(i, k)],
-    ).where(F.col("overlap_days") > 0)
-
-    def s(i: int, j: int) -> Column:
-        return F.col(f"_s{min(i, j)}_{max(i, j)}")
-
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(inp.valid[i]).alias("scheme1"),
-                F.lit(inp.valid[j]).alias("scheme2"),
-                F.try_divide(s(i, j), F.sqrt(s(i, i) * s(j, j))).alias("rho"),
-            )
-            for i in range(k)
-            for j in range(k)
-        ]
-    )
-    return sums.select(F.explode(entries).alias("_e"), "overlap_days").select(
-        "_e.scheme1", "_e.scheme2", "_e.rho", "overlap_days"
-    )
+    pairs = [(a, b) for a in range(k) for b in range(a + 1, k)]
+    size = max(1, MAX_SUMS_PER_PASS - 2)
+    passes = [pairs[n : n + size] for n in range(0, len(pairs), size)]
+    if len(passes) > 1:
+        wide = checkpointed(wide)
+
+    def total(a: int, b: int) -> Column:
+        return F.sum(F.col(cols[a]) * F.col(cols[b])).alias(f"_s{a}_{b}")
+
+    def s(a: int, b: int) -> Column:
+        return F.col(f"_s{min(a, b)}_{max(a, b)}")
+
+    def rho(a: int, b: int) -> Column:
+        return F.try_divide(s(a, b), F.sqrt(s(a, a) * s(b, b)))
+
+    def entry(a: int, b: int, value: Column) -> Column:
+        return F.struct(F.lit(inp.valid[a]).alias("scheme1"), F.lit(inp.valid[b]).alias("scheme2"), value.alias("rho"))
+
+    out = None
+    for n, chunk in enumerate(passes):
+        used = sorted({a for a, _ in chunk} | {b for _, b in chunk} | (set(range(k)) if n == 0 else set()))
+        sums = wide.agg(
+            F.count(F.lit(1)).alias("overlap_days"),
+            *[total(a, a) for a in used],
+            *[total(a, b) for a, b in chunk],
+        ).where(F.col("overlap_days") > 0)
+        entries = [entry(a, b, rho(a, b)) for a, b in chunk] + [entry(b, a, rho(a, b)) for a, b in chunk]
+        if n == 0:  # the diagonal once
+            entries += [entry(a, a, rho(a, a)) for a in range(k)]
+        part = sums.select(F.explode(F.array(*entries)).alias("_e"), "overlap_days").select(
+            "_e.scheme1", "_e.scheme2", "_e.rho", "overlap_days"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def correlation_matrix(

@@ -124,3 +124,19 @@ def test_perfect_anticorrelation(spark):
     got = {(a.scheme1, a.scheme2): a.correlation for a in nl.correlation_matrix(df, ["x", "y"]).collect()}
     assert got[("x", "x")] == 1.0
     assert got[("x", "y")] < -0.99
+
+
+def test_correlation_in_several_passes(spark, monkeypatch):
+    import navlib.operators.correlation as C
+
+    rng = np.random.default_rng(3)
+    base = rng.normal(0, 0.01, 150)
+    series = {
+        f"c{i:02d}": list(100 * np.cumprod(1 + base * rng.uniform(-1, 1) + rng.normal(0, 0.01, 150))) for i in range(12)
+    }
+    monkeypatch.setattr(C, "MAX_SUMS_PER_PASS", 10)
+    got = {(r.scheme1, r.scheme2): r.correlation for r in nl.correlation_matrix(nav_frame(spark, series), list(series)).collect()}
+    rets = pd.DataFrame({c: pd.Series(v).pct_change() for c, v in series.items()}).dropna()
+    corr = rets.corr()
+    assert len(got) == 144
+    assert all(abs(got[(a, b)] - round(corr.loc[a, b], 4)) <= 1.01e-4 for a in series for b in series)
