@@ -101,6 +101,24 @@ def bench_queries(t):
     }
 
 
+def bench_reports(t):
+    """Whole reports: every block materialised, the base computed once (not in the total)."""
+    from navlib.plans import reports
+
+    return {
+        "volatility_report": lambda: reports.volatility_report(t["nav_p"]),
+        "anomaly_report": lambda: reports.anomaly_report(t["nav_s"]),
+        "correlation_report": lambda: reports.correlation_report(t["nav_t"], top_k=R.TOP_K, min_overlap=R.MIN_OVERLAP),
+    }
+
+
+def run_report(make) -> float:
+    t0 = time.perf_counter()
+    for block in make().values():
+        block.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - t0
+
+
 def run(make) -> float:
     t0 = time.perf_counter()
     make().write.format("noop").mode("overwrite").save()
@@ -119,6 +137,10 @@ def main():
     for name, make in qs.items():
         times[name] = round(statistics.median(run(make) for _ in range(REPEAT)), 3)
     total = round(sum(times.values()), 3)
+    report_times = {
+        name: round(statistics.median(run_report(make) for _ in range(REPEAT)), 3)
+        for name, make in bench_reports(tables).items()
+    }
     rows = tables["nav_s"].count()
     rows_out = {name: make().count() for name, make in qs.items()} if ROWS else None
     print(
@@ -133,6 +155,7 @@ def main():
                 "prep_sec": round(prep, 3),
                 "nav_s_rows": rows,
                 "unique_keys": UNIQUE_KEYS,
+                "reports": report_times,
                 **({"rows_out": rows_out} if rows_out else {}),
             }
         )
