@@ -8,12 +8,13 @@ from navlib.functions.stats import (
     libm_pow,
     sqrt_days,
 )
-from navlib.functions.ranking import global_row_number
+from navlib.functions.ranking import global_ranks, global_row_number
 
 __all__ = [
     "ANNUAL_SQRT",
     "bias_corrected_kurtosis",
     "bias_corrected_skewness",
+    "global_ranks",
     "global_row_number",
     "half_up",
     "libm_pow",

@@ -55,3 +55,41 @@ def global_row_number(
         .withColumn(name, F.col("_offset") + local + 1)
         .drop("_gid", "_part", "_offset")
     )
+
+
+def global_ranks(
+    df: DataFrame,
+    key: str,
+    orders: dict[str, tuple[str, bool]],
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Several rankings of the same rows in one distributed sort.
+
+    ``orders`` maps an output column to (numeric column, descending).  Each
+    ranking sorts NULLs last and breaks ties on ``key`` (unique).  The
+    rankings are stacked as (kind, nulls-last flag, signed value, key) and
+    numbered once; every kind holds all rows of ``df``, so the rank is the
+    global position minus kind × rows.  Returns (key, one column per ranking).
+    """
+    names = list(orders)
+    parts = []
+    for kind, name in enumerate(names):
+        col, descending = orders[name]
+        value = F.col(col).cast("double")
+        parts.append(
+            df.select(
+                F.lit(kind).alias("_kind"),
+                value.isNull().alias("_null"),
+                (-value if descending else value).alias("_v"),
+                F.col(key).alias("_key"),
+            )
+        )
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    rows = df.select(F.count(F.lit(1))).scalar()
+    numbered = global_row_number(stacked, ["_kind", "_null", "_v", "_key"], "_pos", num_partitions)
+    rank = F.col("_pos") - F.col("_kind") * rows
+    return numbered.groupBy(F.col("_key").alias(key)).agg(
+        *[F.max(F.when(F.col("_kind") == kind, rank)).alias(name) for kind, name in enumerate(names)]
+    )

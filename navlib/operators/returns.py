@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navlib.functions.ranking import global_row_number
+from navlib.functions.ranking import global_ranks, global_row_number
 from navlib.operators.master import category_filter, scheme_master
 from navlib.session import checkpointed
 from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, half_up, libm_pow
@@ -246,10 +246,17 @@ def compare_schemes(nav: DataFrame, codes: Sequence[str] | None = None, period:
     else:
         requested = nav.select(KEY).where(F.col(KEY).isNotNull()).distinct()
     perf = checkpointed(period_performance(nav, period).select(*_COMPARE_COLUMNS))
-    ranked = perf
-    for name, key in (("return_rank", "return"), ("risk_rank", "volatility"), ("risk_adjusted_rank", "risk_adjusted")):
-        ranks = global_row_number(perf.select(*_COMPARE_COLUMNS), _order(key), name).select(KEY, name)
-        ranked = ranked.join(ranks, KEY)
+    # the three rankings share one distributed sort (ties break on scheme_code)
+    ranks = global_ranks(
+        perf,
+        KEY,
+        {
+            "return_rank": ("percentage_return", True),
+            "risk_rank": ("volatility", False),
+            "risk_adjusted_rank": ("risk_adjusted_return", True),
+        },
+    )
+    ranked = perf.join(ranks, KEY)
     valid = perf.select(F.count(F.lit(1))).scalar()
     rank_cols = [F.when(valid >= 2, F.col(c)).alias(c) for c in ("return_rank", "risk_rank", "risk_adjusted_rank")]
     return (

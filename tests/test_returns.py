@@ -142,3 +142,23 @@ def test_global_row_number_matches_sorted_order(spark):
     expected["rn"] = range(1, len(expected) + 1)
     merged = got.merge(expected, on="k", suffixes=("", "_e"))
     assert len(merged) == 2000 and (merged.rn == merged.rn_e).all()
+
+
+def test_global_ranks_match_pandas(spark):
+    from navlib.functions.ranking import global_ranks
+
+    rng = np.random.default_rng(5)
+    n = 500
+    pdf = pd.DataFrame(
+        {
+            "k": [f"{i:04d}" for i in range(n)],
+            "a": np.where(rng.random(n) < 0.1, np.nan, rng.integers(-3, 4, n).astype(float)),
+            "b": rng.normal(size=n).round(1),
+        }
+    )
+    df = spark.createDataFrame(pdf).replace(float("nan"), None).repartition(5)
+    got = global_ranks(df, "k", {"ra": ("a", True), "rb": ("b", False)}, num_partitions=4).toPandas().set_index("k")
+    ea = pdf.assign(n=pdf.a.isna()).sort_values(["n", "a", "k"], ascending=[True, False, True]).k.tolist()
+    eb = pdf.sort_values(["b", "k"]).k.tolist()
+    assert [got.loc[k, "ra"] for k in ea] == list(range(1, n + 1))
+    assert [got.loc[k, "rb"] for k in eb] == list(range(1, n + 1))
