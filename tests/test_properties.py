@@ -68,3 +68,15 @@ def test_hot_scheme_copies_are_collapsed(spark):
     assert _rows(nl.return_stats(nl.daily_returns(clean))) == _rows(nl.return_stats(nl.daily_returns(base)))
     # daily_returns alone also keeps one row per key
     assert nl.daily_returns(raw).count() == base.count()
+
+
+def test_unique_keys_setting_gives_same_results(spark, sf_small):
+    nav = fx.nav_s(spark, sf_small)
+    ops = (nl.scheme_performance, nl.value_at_risk, nl.anomaly_summary, nl.rolling_volatility)
+    safe = [_rows(op(nav)) for op in ops]
+    spark.conf.set("navlib.uniqueKeys", "true")
+    try:
+        fast = [_rows(op(nav)) for op in ops]
+    finally:
+        spark.conf.unset("navlib.uniqueKeys")
+    assert safe == fast
