@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import types as T
 
 NAV_TYPE = "scheme_code string, scheme_name string, fund_house string, date date, nav double"
 

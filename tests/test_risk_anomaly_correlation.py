@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 import navlib as nl
-from tests.helpers import collect_dict, day, nav_frame
+from tests.helpers import collect_dict, nav_frame
 
 
 def _random_series(seed, n_schemes=4, n=80, vol=0.02):
