@@ -33,8 +33,9 @@ def parse_nav_text(
 ) -> DataFrame:
     """OP01: feed lines → scheme_code, scheme_name, nav, date, fund_house, year, month.
 
-    ``house_map`` (scheme_code, fund_house) fills the house; codes without an
-    entry, or every code when no map is given, get ``default_house``.
+    ``house_map`` (scheme_code, fund_house) fills the house (the smallest one
+    when a code has several); codes without an entry, or every code when no
+    map is given, get ``default_house``.
     """
     v = F.col("value")
     data = lines.where(v.isNotNull() & (v != "") & ~v.startswith(HEADING_PREFIX) & v.contains(FEED_SEPARATOR))
@@ -58,7 +59,7 @@ def parse_nav_text(
         F.try_to_date(F.col("_date"), FEED_DATE_FORMAT).alias("date"),
     ).where(F.col("nav").isNotNull() & F.col("date").isNotNull())
     if house_map is not None:
-        houses = house_map.select(KEY, F.col("fund_house").alias("_house")).dropDuplicates([KEY])
+        houses = house_map.groupBy(KEY).agg(F.min("fund_house").alias("_house"))
         typed = typed.join(houses, KEY, "left").withColumn(
             "fund_house", F.coalesce(F.col("_house"), F.lit(default_house))
         ).drop("_house")

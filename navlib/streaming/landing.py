@@ -10,6 +10,8 @@ query running.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,7 +32,10 @@ def follow_landing(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the landing-folder ingest; returns the running query."""
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/navlib-stream/{abs(hash(nav_path))}"
+    # default: a folder named by a stable digest of the table path, so a restarted
+    # query finds its progress again
+    digest = hashlib.sha1(nav_path.encode("utf-8")).hexdigest()[:16]
+    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/navlib-stream/{digest}"
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
