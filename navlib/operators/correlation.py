@@ -53,7 +53,10 @@ def most_observed_schemes(
         _since(nav, since)
         .where(F.col(KEY).isNotNull())
         .groupBy(KEY)
-        .agg(F.count(F.lit(1)).alias("data_points"), F.min_by("scheme_name", "date").alias("scheme_name"))
+        .agg(
+            F.count(F.lit(1)).alias("data_points"),
+            F.min_by("scheme_name", F.struct("date", "scheme_name")).alias("scheme_name"),
+        )
         .where(F.col("data_points") >= min_rows)
     )
     return counts.orderBy(F.col("data_points").desc(), F.col(KEY)).limit(k)

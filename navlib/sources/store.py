@@ -95,7 +95,7 @@ def nav_as_of(
     """OP04: the table as it was after load ``load_id`` (or at time ``ts``).
 
     Rows loaded later are ignored; of the rows left, the newest load wins per
-    (scheme_code, date), then ``tie_cols`` descending.  The version wins when
+    (scheme_code, date), then ``tie_cols`` descending, then the other columns.  The version wins when
     both are given.  An aggregate (max_by) rather than a window: it combines
     map-side and needs no sort.
     """
@@ -109,6 +109,8 @@ def nav_as_of(
     if not order:
         raise ValueError("nav has no load_id / loaded_at column")
     cols = nav.columns
+    # the remaining columns complete a total order, so the kept row never depends on task order
+    order += [c for c in cols if c not in order and c not in (KEY, "date")]
     newest = F.max_by(F.struct(*cols), F.struct(*order))
     return rows.groupBy(KEY, "date").agg(newest.alias("_row")).select(*[F.col(f"_row.{c}").alias(c) for c in cols])
 
