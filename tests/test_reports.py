@@ -40,3 +40,18 @@ def test_correlation_report_matches_operators(spark):
     assert _same(rep["notable_pairs"], nl.notable_pairs(nav, ["a", "b", "c"]))
     assert _same(rep["correlation_statistics"], nl.correlation_statistics(nav, ["a", "b", "c"]))
     assert _same(rep["investment_insights"], nl.diversification_insights(nav, ["a", "b", "c"]))
+
+
+def test_quality_duplicate_and_performance_reports(spark, sf_small):
+    ticks = fx.nav_ticks(spark, sf_small)
+    q = reports.quality_report(ticks)
+    assert set(q) == {
+        "null_checks", "invalid_nav_values", "duplicate_records", "date_consistency",
+        "scheme_code_validation", "overall_quality",
+    }
+    assert _same(q["overall_quality"], nl.dq_overall(ticks))
+    master = fx.master_p(spark, sf_small)
+    d = reports.duplicate_report(master)
+    assert _same(d["summary"], nl.duplicate_summary(master))
+    perf = reports.performance_report(fx.nav_s(spark, sf_small), [30])
+    assert perf["scheme_performance"].select("period").distinct().collect()[0].period == 30
