@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The Python function below runs on executors: ship this module's code with it
+# (it needs only numpy and pandas there), so workers need not import navlib.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Trading-day counts used to scale a daily standard deviation.
 TRADING_DAYS_YEAR = 252
 TRADING_DAYS_MONTH = 21
