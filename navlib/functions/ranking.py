@@ -37,17 +37,19 @@ def global_row_number(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without an explicit count, adaptive execution may merge neighbouring
+    # ranges (only contiguous ones, so the order across partitions holds) to
+    # partitions of the advisory size.
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
     numbered = (
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
+        ranged.sortWithinPartitions(*order_cols)
         .withColumn("_gid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
     part = F.shiftright(F.col("_gid"), _LOCAL_BITS)
     local = F.col("_gid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     counts = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per partition: the window below sees at most `n` rows.
+    # One row per partition: the window below sees at most the partition count.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     return (

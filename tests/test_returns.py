@@ -162,3 +162,21 @@ def test_global_ranks_match_pandas(spark):
     eb = pdf.sort_values(["b", "k"]).k.tolist()
     assert [got.loc[k, "ra"] for k in ea] == list(range(1, n + 1))
     assert [got.loc[k, "rb"] for k in eb] == list(range(1, n + 1))
+
+
+@pytest.mark.parametrize("advisory", ["2kb", "32kb"])
+def test_global_row_number_with_adaptive_coalescing(spark, advisory):
+    from navlib.functions.ranking import global_row_number
+
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"k": [f"{i:05d}" for i in range(3000)], "v": rng.integers(0, 7, 3000).astype(float)})
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
+    try:
+        got = global_row_number(spark.createDataFrame(pdf).repartition(6), [F.col("v"), F.col("k")], "rn").toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    expected = pdf.sort_values(["v", "k"]).reset_index(drop=True)
+    expected["rn"] = range(1, len(expected) + 1)
+    merged = got.merge(expected, on="k", suffixes=("", "_e"))
+    assert len(merged) == 3000 and (merged.rn == merged.rn_e).all()
