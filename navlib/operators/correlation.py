@@ -3,10 +3,11 @@
 The schemes compared are an explicit list or the ``top_k`` most observed
 ones (OP50).  Returns are computed after the ``since`` cut, then dates are
 kept only where every scheme with enough data has a return (listwise
-deletion).  Pearson's r comes from one aggregate over the dates: the
-centred returns are pivoted to one row per date (k values, k = schemes
-compared) and summed as products, so no pair of rows is ever emitted per
-date; the k×k result is built from the single row of sums.
+deletion).  Pearson's r comes from aggregates over the dates: the centred
+returns are pivoted to one row per date (k values, k = schemes compared)
+and summed as products (at most MAX_SUMS_PER_PASS sums per pass), so no
+pair of rows is ever emitted per date; the k×k result is built from the
+rows of sums.
 """
 
 from __future__ import annotations
