@@ -10,8 +10,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 import check_oracle as C  # noqa: E402
 
+from navlib.plans.oracles import ORACLES  # noqa: E402
+from navlib.plans.registry import QUERIES  # noqa: E402
+
 SF = os.environ.get("NAVLIB_ORACLE_SF", "/root/testdata/sf0.001")
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +23,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
