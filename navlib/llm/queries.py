@@ -6,15 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from navlib.llm import decontaminate, line_dedup, substring
+from navlib.llm import decontaminate, licenses, line_dedup, packing, substring
 from navlib.llm._frames import table
 
+#: the packing vocabulary, one of the public tokenizer files
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": lambda s, d: decontaminate.contamination(table(s, d, "documents"), table(s, d, "benchmark")),
+    "op4_license_scan": lambda s, d: licenses.scan(table(s, d, "documents")),
     "op5_substring_dedup": lambda s, d: substring.removals(table(s, d, "documents")),
     "op7_line_dedup": lambda s, d: line_dedup.dropped_lines(table(s, d, "documents")),
+    "op8_pack": lambda s, d: packing.pack(table(s, d, "documents"), vocabulary()),
 }
 
 ORACLES: dict[str, str] = {
+    "op4_license_scan": licenses.oracle(),
     "op7_line_dedup": line_dedup.ORACLE,
 }
