@@ -99,7 +99,7 @@ def _scan(windows, text: str, again: bool):
     """Task function: the marks of each row (``again``: added to those it has)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = windows.value
+        found = _Windows(windows.value)
         for batch in batches:
             for part, data, offsets in chunks(batch, text):
                 data = LOWER[data]
@@ -145,7 +145,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> D
     out = base
     for k in range(slices):
         rows = numbered.where(F.col("slice") == k).select("item", "words").toArrow()
-        shared = docs.sparkSession.sparkContext.broadcast(_Windows(rows))
+        shared = docs.sparkSession.sparkContext.broadcast(rows)
         if k:
             out = stored(out)
         out = out.mapInArrow(_scan(shared, text, k > 0), f"{fields}, {_MARKS}")

@@ -234,10 +234,11 @@ def train(labelled: DataFrame | None = None, weight: float = SAMPLE_WEIGHT) -> M
     return Model(counts)
 
 
-def _extract(model):
+def _extract(counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(counts.value)
         for batch in batches:
-            text = pa.array([model.value.extract(page) for page in batch.column("html").to_pylist()], pa.string())
+            text = pa.array([model.extract(page) for page in batch.column("html").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], text], ["page_id", "url", "text"])
 
     return run
@@ -245,7 +246,7 @@ def _extract(model):
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    shared = pages.sparkSession.sparkContext.broadcast(model.counts)
     rows = pick(pages, page_id="page_id", url="url", html="html")
     out = rows.mapInArrow(_extract(shared), "page_id bigint, url string, text string")
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))

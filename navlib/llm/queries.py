@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from navlib.llm import decontaminate, html_content, licenses, line_dedup, packing, substring
+from navlib.llm import decontaminate, html_content, kneser_ney, licenses, line_dedup, packing, substring
 from navlib.llm._frames import table
 
 #: the packing vocabulary, one of the public tokenizer files
@@ -25,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": lambda s, d: substring.removals(table(s, d, "documents")),
     "op7_line_dedup": lambda s, d: line_dedup.dropped_lines(table(s, d, "documents")),
     "op8_pack": lambda s, d: packing.pack(table(s, d, "documents"), vocabulary()),
+    "op9_quality_classifier": lambda s, d: kneser_ney.classified(table(s, d, "documents"), table(s, d, "labels")),
     "op10_html_content": lambda s, d: html_content.main_text(table(s, d, "pages"), table(s, d, "documents")),
 }
 
