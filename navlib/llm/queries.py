@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from navlib.llm import decontaminate, html_content, kneser_ney, licenses, line_dedup, order_minhash, packing, substring
+from navlib.llm import decontaminate, html_content, kneser_ney, licenses, line_dedup, order_minhash, packing, sharding, substring
 from navlib.llm._frames import table
 
 #: the packing vocabulary, one of the public tokenizer files
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_order_minhash": lambda s, d: order_minhash.edits(table(s, d, "documents")),
     "op4_license_scan": lambda s, d: licenses.scan(table(s, d, "documents")),
     "op5_substring_dedup": lambda s, d: substring.removals(table(s, d, "documents")),
+    "op6_sharding": lambda s, d: sharding.shards(table(s, d, "documents")),
     "op7_line_dedup": lambda s, d: line_dedup.dropped_lines(table(s, d, "documents")),
     "op8_pack": lambda s, d: packing.pack(table(s, d, "documents"), vocabulary()),
     "op9_quality_classifier": lambda s, d: kneser_ney.classified(table(s, d, "documents"), table(s, d, "labels")),
@@ -32,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op4_license_scan": licenses.oracle(),
+    "op6_sharding": sharding.oracle(),
     "op7_line_dedup": line_dedup.ORACLE,
 }
