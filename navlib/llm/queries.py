@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from navlib.llm import decontaminate, html_content, kneser_ney, licenses, line_dedup, order_minhash, packing, sharding, substring
+from navlib.llm import dart_minhash, decontaminate, html_content, kneser_ney, licenses, line_dedup, order_minhash, packing, sharding, substring
 from navlib.llm._frames import table
 
 #: the packing vocabulary, one of the public tokenizer files
@@ -22,6 +22,7 @@ def vocabulary() -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": lambda s, d: decontaminate.contamination(table(s, d, "documents"), table(s, d, "benchmark")),
     "op2_order_minhash": lambda s, d: order_minhash.edits(table(s, d, "documents")),
+    "op3_near_duplicates": lambda s, d: dart_minhash.near_duplicates(table(s, d, "documents")),
     "op4_license_scan": lambda s, d: licenses.scan(table(s, d, "documents")),
     "op5_substring_dedup": lambda s, d: substring.removals(table(s, d, "documents")),
     "op6_sharding": lambda s, d: sharding.shards(table(s, d, "documents")),
