@@ -57,7 +57,7 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the cluster's checkpoint folder, its shuffle files removed."""
     ensure_checkpoint_dir(df.sparkSession)
     with shuffle_cleanup(df.sparkSession):
-        return df.checkpoint(eager=True)
+        return df.select("*").checkpoint(eager=True)  # a frame takes the setting up when it is made
 
 
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
