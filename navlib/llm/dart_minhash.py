@@ -204,29 +204,36 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def _candidates(keyed: DataFrame) -> DataFrame:
     """(band, node, members): the buckets of two or more nodes."""
     bands = stored(keyed.mapInArrow(_bands, "band bigint, node binary").distinct())
-    counts = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # stored, like every sum that is joined back: only a join of two shuffles can split a hot key
+    counts = stored(bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))
     return stored(bands.join(counts, "band"))
 
 
 def _leader_pairs(members: DataFrame) -> DataFrame:
     """(a, b): each member with the bucket's member of the most shared buckets.  ``members`` has band, node, weight."""
-    leaders = members.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("top")).select("band", F.col("top.node").alias("b"))
+    leaders = stored(members.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("top")).select("band", F.col("top.node").alias("b")))
     return members.join(leaders, "band").where(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct()
 
 
+def _in_mixed_buckets(rows: DataFrame) -> DataFrame:
+    """The rows of the buckets (band) with more than one class."""
+    rows = stored(rows)
+    span = rows.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return stored(rows.join(stored(span.where("low <> high").select("band")), "band"))
+
+
 def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
     """(band, node, weight, class) of the buckets whose members are in more than one class."""
     known = members.join(classes, "node")
-    mixed = known.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band")
-    return stored(known.join(mixed, "band"))
+    return _in_mixed_buckets(known)
 
 
 def _second_leader_pairs(rest: DataFrame) -> DataFrame:
     """(a, b): members with the best member outside the first leader's class, if in other classes."""
     best = F.max(F.struct("weight", "node", "class")).alias("top")
-    first = rest.groupBy("band").agg(best).select("band", F.col("top.class").alias("first"))
+    first = stored(rest.groupBy("band").agg(best).select("band", F.col("top.class").alias("first")))
     others = rest.join(first, "band").where(F.col("class") != F.col("first"))
-    second = others.groupBy("band").agg(best).select("band", F.col("top.node").alias("b"), F.col("top.class").alias("other"))
+    second = stored(others.groupBy("band").agg(best).select("band", F.col("top.node").alias("b"), F.col("top.class").alias("other")))
     return rest.join(second, "band").where(F.col("class") != F.col("other")).select(F.col("node").alias("a"), "b").distinct()
 
 
@@ -238,16 +245,15 @@ def _last_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
     """
     nodes = rest.select("node", "class").distinct()
     each = stored(sets.join(nodes, "node").select("node", "class", F.size("set").alias("size"), F.explode("set").alias("element")))
-    shared = each.groupBy("element").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("element")
+    span = each.groupBy("element").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    shared = stored(span.where("low <> high").select("element"))
     common = each.join(shared, "element").groupBy("node").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("common"))
     may = common.where(F.col("common") >= F.lit(THRESHOLD) * F.col("size"))
-    rows = rest.join(may, "node")
-    mixed = rows.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band")
-    rows = stored(rows.join(mixed, "band").select("band", "node", "class", "size", "common"))
+    rows = _in_mixed_buckets(rest.join(may, "node").select("band", "node", "class", "size", "common"))
     other = rows.toDF("band", "b", "other", "b_size", "b_common")
     differ = (F.col("node") < F.col("b")) & (F.col("class") != F.col("other"))
     possible = _bound(F.col("size"), F.col("b_size"), F.least("common", "b_common"))
-    return rows.join(other, rows["band"].eqNullSafe(other["band"]) & differ & possible).select(F.col("node").alias("a"), "b").distinct()
+    return rows.join(other, (rows["band"] == other["band"]) & differ & possible).select(F.col("node").alias("a"), "b").distinct()
 
 
 def _id(doc_id: str = "doc_id") -> Column:
@@ -285,7 +291,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, class_id (the smallest doc_id of its class) and class_size (rows)."""
     rows = stored(_grouped(docs).select("doc_id", "group"))
-    groups = rows.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    groups = stored(rows.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
     return rows.join(groups, "group").select("doc_id", "class_id", "class_size")
 
 
@@ -294,6 +300,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     ids = stored(_grouped(docs).select("id", "node", "group"))
     order = F.struct((F.col("id") == _NO_ID).alias("none"), "id", "node")
     best = ids.groupBy("group").agg(F.min(order).alias("best")).select("group", F.col("best.id").alias("best_id"), F.col("best.node").alias("best_node"))
+    best = stored(best)
     gone = ids.join(best, "group").where((F.col("id") != F.col("best_id")) | (F.col("node") != F.col("best_node")))
     gone = small_side(gone.select("id", "node").distinct(), BROADCAST_NODES)
     base = positional(docs)
