@@ -4,9 +4,9 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (default 1; the median is reported), BENCH_WARMUP (default 0).  The NAV views are built
 from the driver's tables once and stored as Parquet partitioned by
 (year, month), as the library stores NAV; each query then reads the stored
-tables and is fully materialised with the ``noop`` sink.  The stored views
-hold one row per key, so ``navlib.uniqueKeys`` is on (BENCH_UNIQUE_KEYS).
-Prints one JSON line.
+tables and is fully materialised with the ``noop`` sink.  Queries that write
+(ingest, refresh, compaction, streaming) run from the registry, over the
+driver's tables.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -31,9 +31,8 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "1"))
 ROWS = os.environ.get("BENCH_ROWS", "0") == "1"  # also count result rows (untimed)
-# The stored views hold one row per (scheme_code, date), like tables written by
-# ingest_nav, so the copy-collapsing step can be skipped (navlib.uniqueKeys).
-UNIQUE_KEYS = os.environ.get("BENCH_UNIQUE_KEYS", "true")
+# BENCH_REST=0 leaves out the other registered queries, writers included.
+REST = os.environ.get("BENCH_REST", "1") == "1"
 # BENCH_WARMUP=1: one untimed pass over every operator first (JIT, Python
 # workers).  Off by default: with 35 query shapes the generated-code cache
 # (100 entries) is evicted anyway, so it buys little; repeats (BENCH_REPEAT)
@@ -71,8 +70,8 @@ def bench_queries(t):
         "scheme_master": lambda: nl.scheme_master(t["nav_s"]),
         "nav_on_date": lambda: nl.nav_on_date(t["nav_s"], R.ON_DATE),
         "nav_between": lambda: nl.nav_between(t["nav_s"], R.RANGE_START, R.RANGE_END),
-        "search_schemes": lambda: nl.search_schemes(t["master_p"], R.KEYWORD),
-        "schemes_by_category": lambda: nl.schemes_by_category(t["master_p"], R.KEYWORD),
+        "search_schemes": lambda: nl.search_schemes(t["master_p"], R.KEYWORD, nav=t["nav_p"]),
+        "schemes_by_category": lambda: nl.schemes_by_category(t["master_p"], R.KEYWORD, t["nav_p"]),
         "scheme_details": lambda: nl.scheme_details(nl.scheme_master(t["nav_s"]), t["nav_p"]),
         "available_dates": lambda: nl.available_dates(t["nav_s"]),
         "nav_summary": lambda: nl.nav_summary(t["nav_s"], R.AS_OF),
@@ -106,6 +105,11 @@ def bench_queries(t):
     }
 
 
+def bench_rest(spark, done):
+    """The registered queries that ``bench_queries`` lacks, from the driver's tables (not in the total)."""
+    return {name: (lambda q=q: q(spark, SF_DIR)) for name, q in R.QUERIES.items() if name not in done}
+
+
 def bench_reports(t):
     """Whole reports: every block materialised, the base computed once (not in the total)."""
     from navlib.plans import reports
@@ -132,7 +136,6 @@ def run(make) -> float:
 
 def main():
     spark = local_session(CPUS, max(8, 2 * CPUS), app="navlib-bench")
-    spark.conf.set("navlib.uniqueKeys", UNIQUE_KEYS)
     t0 = time.perf_counter()
     tables = store_views(spark)
     prep = time.perf_counter() - t0
@@ -150,6 +153,7 @@ def main():
         name: round(statistics.median(run_report(make) for _ in range(REPEAT)), 3)
         for name, make in bench_reports(tables).items()
     }
+    rest = {name: round(run(make), 3) for name, make in bench_rest(spark, qs).items()} if REST else {}
     rows = tables["nav_s"].count()
     rows_out = {name: make().count() for name, make in qs.items()} if ROWS else None
     print(
@@ -163,9 +167,9 @@ def main():
                 "cpus": CPUS,
                 "prep_sec": round(prep, 3),
                 "nav_s_rows": rows,
-                "unique_keys": UNIQUE_KEYS,
                 "warmup": "one untimed pass over all operators" if WARMUP else "none (cold)",
                 "reports": report_times,
+                "other_queries": rest,
                 **({"rows_out": rows_out} if rows_out else {}),
             }
         )

@@ -8,6 +8,7 @@ covers every scheme at once.
 from navlib.sources.feed import parse_nav_text, read_feed_lines
 from navlib.sources.store import (
     compact_table,
+    compact_tables,
     deduplicate_nav,
     ingest_nav,
     nav_as_of,
@@ -15,6 +16,7 @@ from navlib.sources.store import (
     refresh_master,
     table_partitions,
     table_profile,
+    table_schema,
     write_table,
 )
 from navlib.operators.master import (
@@ -25,6 +27,7 @@ from navlib.operators.master import (
     nav_between,
     nav_on_date,
     scheme_details,
+    scheme_directory,
     scheme_master,
     schemes_by_category,
     schemes_by_fund_house,
@@ -48,6 +51,7 @@ from navlib.operators.returns import (
     compare_schemes,
     compare_statistics,
     compare_summary,
+    current_rows,
     daily_returns,
     period_performance,
     period_returns,

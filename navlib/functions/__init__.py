@@ -5,7 +5,7 @@ from navlib.functions.stats import (
     bias_corrected_kurtosis,
     bias_corrected_skewness,
     half_up,
-    libm_pow,
+    growth_percent,
     sqrt_days,
 )
 from navlib.functions.ranking import global_ranks, global_row_number
@@ -17,6 +17,6 @@ __all__ = [
     "global_ranks",
     "global_row_number",
     "half_up",
-    "libm_pow",
+    "growth_percent",
     "sqrt_days",
 ]

@@ -3,18 +3,9 @@
 from __future__ import annotations
 
 import math
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# The Python function below runs on executors: ship this module's code with it
-# (it needs only numpy and pandas there), so workers need not import navlib.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Trading-day counts used to scale a daily standard deviation.
 TRADING_DAYS_YEAR = 252
@@ -76,16 +67,13 @@ def bias_corrected_kurtosis(x: Column | str) -> Column:
     )
 
 
-@F.pandas_udf(T.DoubleType())
-def libm_pow(base: pd.Series, exponent: pd.Series) -> pd.Series:
-    """``base ** exponent`` with the C library's ``pow`` (Arrow batches).
+def growth_percent(col: Column | str) -> Column:
+    """Round an annualised percentage: 2 places, and above a million to nine digits.
 
-    Spark's ``pow`` is Java's StrictMath (fdlibm); on random inputs about one
-    result in ten differs from C ``pow`` in the last bit, which shows in
-    large annualised returns.  The reports annualise with C ``pow`` (as
-    Python and DuckDB do), so this is applied to the few aggregated
-    (scheme, period) rows only, never per NAV row.  Invalid results are NaN.
+    Values that large come from extrapolating a few days to a year; the two
+    ``pow`` of Java and C differ in their last bits there, which no digit
+    shown may depend on.
     """
-    with np.errstate(all="ignore"):
-        out = np.power(base.to_numpy(dtype="float64", na_value=np.nan), exponent.to_numpy(dtype="float64", na_value=np.nan))
-    return pd.Series(out)
+    c = F.col(col) if isinstance(col, str) else col
+    unit = F.concat(F.lit("1e"), F.floor(F.log10(F.abs(c)) - 8).cast("string")).cast("double")
+    return F.when(F.abs(c) < 1e6, half_up(c, 2)).otherwise(F.round(F.try_divide(c, unit), 0) * unit)

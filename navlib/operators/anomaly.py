@@ -72,10 +72,22 @@ def extreme_returns(
     threshold_std: float = DEFAULT_STD_THRESHOLD,
     min_data_points: int = MIN_DATA_POINTS,
     rows: DataFrame | None = None,
+    scope: str = "pooled",
 ) -> DataFrame:
-    """OP45: returns further than ``threshold_std`` pooled sds from the pooled mean."""
+    """OP45: returns further than ``threshold_std`` sds from the mean.
+
+    ``scope="pooled"`` takes mean and sd of all analysed returns, ``"scheme"``
+    those of each scheme (in the partitioning that the returns already have).
+    """
     rows = _rows(nav, min_data_points, rows)
-    mean, sd = _pooled(rows)
+    if scope == "pooled":
+        mean, sd = _pooled(rows)
+    elif scope == "scheme":
+        own = Window.partitionBy(KEY)
+        rows = rows.withColumn("_m", F.avg("r").over(own)).withColumn("_s", F.stddev_samp("r").over(own))
+        mean, sd = F.col("_m"), F.col("_s")
+    else:
+        raise ValueError(f"scope must be pooled or scheme, got {scope!r}")
     r = F.col("r")
     return rows.where(_is_extreme(mean, sd, threshold_std)).select(
         KEY,

@@ -1,28 +1,34 @@
 """Return correlation between schemes (OP50-OP56).
 
 The schemes compared are an explicit list or the ``top_k`` most observed
-ones (OP50).  Returns are computed after the ``since`` cut, then dates are
-kept only where every scheme with enough data has a return (listwise
-deletion).  Pearson's r comes from aggregates over the dates: the centred
-returns are pivoted to one row per date (k values, k = schemes compared)
-and summed as products (at most MAX_SUMS_PER_PASS sums per pass), so no
-pair of rows is ever emitted per date; the k×k result is built from the
-rows of sums.
+ones (OP50); one of the two must be given.  Returns are computed after the
+``since`` cut, then dates are kept only where every scheme with enough data
+has a return (listwise deletion).  Pearson's r is a Gramian: each date is one
+vector of the k centred returns, tasks sum X'X of their dates, and Spark sums
+those blocks by (i, j).  The plan has the same size for any k; no pair of rows
+is emitted per date, and no scheme code reaches the driver.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navlib.functions.stats import half_up
 from navlib.operators.returns import daily_returns
 from navlib.session import checkpointed
 
+# executors need numpy and pyarrow, not this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KEY = "scheme_code"
 
 # Defaults and thresholds of the correlation report.
@@ -65,12 +71,11 @@ def most_observed_schemes(
 
 @dataclass
 class _Inputs:
-    requested: list[str]
-    valid: list[str]
     returns: DataFrame
     availability: DataFrame
+    valid: DataFrame  # scheme_code, place (0 … k-1 by code)
     matrix: DataFrame
-    common_days: Column
+    n_valid: Column
 
 
 def _prepare(
@@ -83,16 +88,15 @@ def _prepare(
     spark = nav.sparkSession
     recent = _since(nav, since)
     if codes is None and not top_k:
-        raise ValueError("give the codes to correlate or top_k: the k×k result and its pivot need a bounded list")
+        raise ValueError("give the codes to correlate, or top_k: the result has a row for every pair of them")
     if codes is None:
-        chosen = most_observed_schemes(recent, None, min_overlap, top_k)
-        # at most top_k codes reach the driver: they name the pivot columns
-        requested = sorted(r[KEY] for r in chosen.select(KEY).collect())
+        requested = most_observed_schemes(recent, None, min_overlap, top_k).select(KEY)
     else:
-        requested = list(dict.fromkeys(str(c) for c in codes))
+        requested = spark.createDataFrame([(c,) for c in dict.fromkeys(str(c) for c in codes)], f"{KEY} string")
+    requested = checkpointed(requested)
     # k schemes × dates rows, read by every later step: computed once
     rets = checkpointed(
-        daily_returns(recent.where(F.col(KEY).isin(requested)))
+        daily_returns(recent.join(requested, KEY, "left_semi"))
         .where(F.col("r").isNotNull() & F.col("scheme_name").isNotNull())
         .select(KEY, "scheme_name", "date", "r")
     )
@@ -102,21 +106,22 @@ def _prepare(
         F.max("date").alias("end_date"),
         F.min_by("scheme_name", "date").alias("scheme_name"),
     )
-    req = spark.createDataFrame([(c,) for c in requested], f"{KEY} string")
-    availability = req.join(avail, KEY, "left").select(
+    availability = requested.join(avail, KEY, "left").select(
         KEY,
         "scheme_name",
         F.coalesce(F.col("total_days"), F.lit(0)).cast("bigint").alias("total_days"),
         "start_date",
         "end_date",
     )
-    valid = sorted(r[KEY] for r in avail.where(F.col("total_days") >= min_overlap).select(KEY).collect())
-    kept = rets.where(F.col(KEY).isin(valid))
-    common = kept.groupBy("date").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") == len(valid)).select("date")
-    common_days = common.select(F.count(F.lit(1))).scalar()
-    ok = (F.lit(len(valid)) >= 2) & (common_days >= min_overlap)
-    matrix = kept.join(common, "date", "left_semi").where(ok).select("date", KEY, "r")
-    return _Inputs(requested, valid, rets, availability, matrix, common_days)
+    # one row per compared scheme, so this window holds k rows
+    place = (F.row_number().over(Window.orderBy(KEY)) - 1).alias("place")
+    valid = checkpointed(avail.where(F.col("total_days") >= min_overlap).select(KEY, place))
+    n_valid = valid.select(F.count(F.lit(1))).scalar()
+    kept = rets.join(valid, KEY)
+    common = checkpointed(kept.groupBy("date").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") == n_valid).select("date"))
+    ok = (n_valid >= 2) & (common.select(F.count(F.lit(1))).scalar() >= min_overlap)
+    matrix = kept.join(common, "date", "left_semi").where(ok).select("date", KEY, "place", "r")
+    return _Inputs(rets, availability, valid, matrix, n_valid)
 
 
 def returns_matrix(
@@ -124,10 +129,10 @@ def returns_matrix(
     codes: Sequence[str] | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
+    top_k: int | None = None,
 ) -> DataFrame:
     """OP51: (date, scheme_code, r) on the dates where every scheme with enough data has a return."""
-    return _prepare(nav, codes, since, min_overlap, top_k).matrix
+    return _prepare(nav, codes, since, min_overlap, top_k).matrix.select("date", KEY, "r")
 
 
 def returns_matrix_wide(
@@ -135,11 +140,12 @@ def returns_matrix_wide(
     codes: Sequence[str] | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
+    top_k: int | None = None,
 ) -> DataFrame:
-    """OP51, display form: one row per date, one column per scheme."""
+    """OP51, display form: one row per date, one column per scheme (for as many schemes as a table has columns)."""
     inp = _prepare(nav, codes, since, min_overlap, top_k)
-    return inp.matrix.groupBy("date").pivot(KEY, inp.valid).agg(F.first("r")).orderBy("date")
+    names = [r[KEY] for r in inp.valid.orderBy("place").collect()]
+    return inp.matrix.groupBy("date").pivot(KEY, names).agg(F.first("r")).orderBy("date")
 
 
 def data_availability(
@@ -147,66 +153,50 @@ def data_availability(
     codes: Sequence[str] | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
+    top_k: int | None = None,
 ) -> DataFrame:
     """OP52: per requested scheme, number of returns, first/last date and name (0 when absent)."""
     return _prepare(nav, codes, since, min_overlap, top_k).availability
 
 
-MAX_SUMS_PER_PASS = 256
+def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(i, j, s) with i <= j: sums over this task's dates of the products of the i-th and j-th returns."""
+    total, n = None, 0
+    for batch in batches:
+        if batch.num_rows:
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
+            total = x.T @ x if total is None else total + x.T @ x
+            n += batch.num_rows
+    if total is not None:
+        i, j = np.triu_indices(len(total))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j]), pa.array(np.full(len(i), n), pa.int64())], ["i", "j", "s", "n"]
+        )
 
 
 def _pearson(inp: _Inputs) -> DataFrame:
-    """Unrounded (scheme1, scheme2, rho, overlap_days) for all ordered pairs incl. the diagonal.
-
-    The centred returns are pivoted to one row per date (k columns) and the
-    products summed.  Pairs are split into passes of at most
-    MAX_SUMS_PER_PASS sums over the (checkpointed, dates × k) pivot; each
-    pass carries the diagonal sums it needs, so passes are independent and
-    their entries are unioned.
-    """
-    k = len(inp.valid)
-    spark = inp.matrix.sparkSession
-    if k < 2:
-        return spark.createDataFrame([], "scheme1 string, scheme2 string, rho double, overlap_days bigint")
-    means = inp.matrix.groupBy(KEY).agg(F.avg("r").alias("_mean"))  # k rows
-    centred = inp.matrix.join(F.broadcast(means), KEY).select("date", KEY, (F.col("r") - F.col("_mean")).alias("_d"))
-    cols = [f"_x{i}" for i in range(k)]
-    wide = centred.groupBy("date").pivot(KEY, inp.valid).agg(F.first("_d")).toDF("date", *cols)
-    pairs = [(a, b) for a in range(k) for b in range(a + 1, k)]
-    size = max(1, MAX_SUMS_PER_PASS - 2)
-    passes = [pairs[n : n + size] for n in range(0, len(pairs), size)]
-    if len(passes) > 1:
-        wide = checkpointed(wide)
-
-    def total(a: int, b: int) -> Column:
-        return F.sum(F.col(cols[a]) * F.col(cols[b])).alias(f"_s{a}_{b}")
-
-    def s(a: int, b: int) -> Column:
-        return F.col(f"_s{min(a, b)}_{max(a, b)}")
-
-    def rho(a: int, b: int) -> Column:
-        return F.try_divide(s(a, b), F.sqrt(s(a, a) * s(b, b)))
-
-    def entry(a: int, b: int, value: Column) -> Column:
-        return F.struct(F.lit(inp.valid[a]).alias("scheme1"), F.lit(inp.valid[b]).alias("scheme2"), value.alias("rho"))
-
-    out = None
-    for n, chunk in enumerate(passes):
-        used = sorted({a for a, _ in chunk} | {b for _, b in chunk} | (set(range(k)) if n == 0 else set()))
-        sums = wide.agg(
-            F.count(F.lit(1)).alias("overlap_days"),
-            *[total(a, a) for a in used],
-            *[total(a, b) for a, b in chunk],
-        ).where(F.col("overlap_days") > 0)
-        entries = [entry(a, b, rho(a, b)) for a, b in chunk] + [entry(b, a, rho(a, b)) for a, b in chunk]
-        if n == 0:  # the diagonal once
-            entries += [entry(a, a, rho(a, a)) for a in range(k)]
-        part = sums.select(F.explode(F.array(*entries)).alias("_e"), "overlap_days").select(
-            "_e.scheme1", "_e.scheme2", "_e.rho", "overlap_days"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Unrounded (scheme1, scheme2, rho, overlap_days) for all ordered pairs incl. the diagonal."""
+    means = inp.matrix.groupBy("place").agg(F.avg("r").alias("_mean"))  # k rows
+    centred = inp.matrix.join(means, "place").select("date", "place", (F.col("r") - F.col("_mean")).alias("_d"))
+    # every date has all k schemes, so sorting by place makes equal vectors of k values
+    vectors = centred.groupBy("date").agg(F.array_sort(F.collect_list(F.struct("place", "_d"))).alias("_v"))
+    sums = (
+        vectors.select(F.col("_v._d").alias("x"))
+        .mapInArrow(_gram, "i int, j int, s double, n bigint")
+        .groupBy("i", "j")
+        .agg(F.sum("s").alias("s"), F.sum("n").alias("overlap_days"))
+    )
+    sums = checkpointed(sums)
+    squares = sums.where("i = j")
+    si = squares.select("i", F.col("s").alias("_si"))
+    sj = squares.select("j", F.col("s").alias("_sj"))
+    upper = sums.join(si, "i").join(sj, "j").select(
+        "i", "j", F.try_divide("s", F.sqrt(F.col("_si") * F.col("_sj"))).alias("rho"), "overlap_days"
+    )
+    both = upper.unionByName(upper.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "rho", "overlap_days"))
+    one = inp.valid.select(F.col("place").alias("i"), F.col(KEY).alias("scheme1"))
+    two = inp.valid.select(F.col("place").alias("j"), F.col(KEY).alias("scheme2"))
+    return both.join(one, "i").join(two, "j").select("scheme1", "scheme2", "rho", "overlap_days")
 
 
 def correlation_matrix(
@@ -214,7 +204,7 @@ def correlation_matrix(
     codes: Sequence[str] | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
+    top_k: int | None = None,
 ) -> DataFrame:
     """OP53: Pearson correlation (4 dp) for every ordered pair of schemes, diagonal included."""
     rho = _pearson(_prepare(nav, codes, since, min_overlap, top_k))
@@ -227,12 +217,11 @@ def _pairs_from(rho: DataFrame, inp: _Inputs, high: float, low: float) -> DataFr
     kind = F.when(F.col("rho") > high, F.lit("high")).when(F.abs(F.col("rho")) < low, F.lit("low"))
     n1 = names.select(F.col(KEY).alias("scheme1"), F.col("scheme_name").alias("scheme1_name"))
     n2 = names.select(F.col(KEY).alias("scheme2"), F.col("scheme_name").alias("scheme2_name"))
-    # names: one row per requested scheme (a bounded list), broadcast
     return (
         upper.withColumn("kind", kind)
         .where(F.col("kind").isNotNull())
-        .join(F.broadcast(n1), "scheme1", "left")
-        .join(F.broadcast(n2), "scheme2", "left")
+        .join(n1, "scheme1", "left")
+        .join(n2, "scheme2", "left")
     )
 
 
@@ -245,7 +234,7 @@ def notable_pairs(
     codes: Sequence[str] | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
+    top_k: int | None = None,
     high: float = HIGH_CORRELATION,
     low: float = LOW_CORRELATION,
 ) -> DataFrame:
@@ -257,7 +246,8 @@ def notable_pairs(
 
 
 def _statistics_from(rho: DataFrame) -> DataFrame:
-    off = rho.where((F.col("scheme1") != F.col("scheme2")) & (F.col("rho") != 1.0))
+    # identical schemes (rho 1) count: a portfolio of copies is not diversified
+    off = rho.where((F.col("scheme1") != F.col("scheme2")) & F.col("rho").isNotNull())
     return off.agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg("rho").alias("_mean"),
@@ -279,10 +269,11 @@ def _statistics_columns(s: DataFrame) -> DataFrame:
     )
 
 
-def _insights(s: DataFrame, high_pairs: DataFrame, n_valid: int) -> DataFrame:
+def _insights(s: DataFrame, high_pairs: DataFrame, n_valid: Column) -> DataFrame:
     n_high = high_pairs.select(F.count(F.lit(1))).scalar()
     score = F.greatest(F.lit(0.0), half_up((1 - F.col("_mean")) * 100, 1))
     return s.select(
+        # The report's grades and sentences.
         F.when(score > SCORE_EXCELLENT, "Excellent").when(score > SCORE_GOOD, "Good").otherwise("Poor").alias(
             "portfolio_diversification"
         ),
@@ -301,7 +292,7 @@ def correlation_statistics(
     codes: Sequence[str] | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
+    top_k: int | None = None,
 ) -> DataFrame:
     """OP55: mean / max / min of the off-diagonal correlations and the diversification score."""
     return _statistics_columns(_statistics(_prepare(nav, codes, since, min_overlap, top_k)))
@@ -312,10 +303,10 @@ def diversification_insights(
     codes: Sequence[str] | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
-    top_k: int | None = DEFAULT_TOP_K,
+    top_k: int | None = None,
     high: float = HIGH_CORRELATION,
 ) -> DataFrame:
     """OP56: diversification grade, concentration risk and a recommendation."""
     inp = _prepare(nav, codes, since, min_overlap, top_k)
     rho = _pearson(inp)
-    return _insights(_statistics_from(rho), _pairs_from(rho, inp, high, -1.0), len(inp.valid))
+    return _insights(_statistics_from(rho), _pairs_from(rho, inp, high, -1.0), inp.n_valid)

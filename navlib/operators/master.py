@@ -35,30 +35,33 @@ def _nav_columns(nav: DataFrame) -> DataFrame:
     return with_partition_columns(nav).select(*NAV_COLUMNS)
 
 
-def scheme_master(nav: DataFrame) -> DataFrame:
-    """OP06: newest row per scheme_code → (scheme_code, scheme_name, fund_house).
+def dated_master(nav: DataFrame) -> DataFrame:
+    """Newest row per scheme_code → (scheme_code, scheme_name, fund_house, last_date).
 
-    An aggregate (max_by) rather than a ranking window: it combines map-side
-    and needs no sort.  Ties on the date go to the greater (name, house).
+    Ties on the date go to the greater (name, house).  The aggregate combines
+    map-side; Spark sorts for it, as names are of variable width.
     """
-    newest = F.max_by(
-        F.struct("scheme_name", "fund_house"),
-        F.struct("date", "scheme_name", "fund_house"),
-    )
+    newest = F.max(F.struct("date", "scheme_name", "fund_house"))
     return (
         nav.where(F.col(KEY).isNotNull())
         .groupBy(KEY)
         .agg(newest.alias("_m"))
-        .select(KEY, F.col("_m.scheme_name").alias("scheme_name"), F.col("_m.fund_house").alias("fund_house"))
+        .select(KEY, "_m.scheme_name", "_m.fund_house", F.col("_m.date").alias("last_date"))
     )
 
 
+def scheme_master(nav: DataFrame) -> DataFrame:
+    """OP06: newest row per scheme_code → (scheme_code, scheme_name, fund_house)."""
+    return dated_master(nav).drop("last_date")
+
+
 def latest_nav(nav: DataFrame) -> DataFrame:
-    """Newest NAV row per scheme: (scheme_code, scheme_name, fund_house, nav, date)."""
-    newest = F.max_by(
-        F.struct("nav", "date", "scheme_name", "fund_house"),
-        F.struct("date", "nav", "scheme_name", "fund_house"),
-    )
+    """Newest NAV row per scheme: (scheme_code, scheme_name, fund_house, nav, date).
+
+    On one date the newest load wins, where the frame has loads.
+    """
+    loads = [c for c in ("load_id", "loaded_at") if c in nav.columns]
+    newest = F.max(F.struct("date", *loads, "nav", "scheme_name", "fund_house"))
     return (
         nav.where(F.col(KEY).isNotNull() & F.col("date").isNotNull())
         .groupBy(KEY)
@@ -90,8 +93,8 @@ def nav_between(nav: DataFrame, start: str | dt.date, end: str | dt.date) -> Dat
 
 
 def _matches(col: str, keyword: str) -> Column:
-    # the keyword is a regular expression, matched case-insensitively anywhere
-    return F.col(col).rlike(f"(?i).*{keyword}.*")
+    # the keyword is a regular expression, found case-insensitively anywhere
+    return F.col(col).rlike(f"(?i){keyword}")
 
 
 def category_filter(category: str) -> Column:
@@ -99,24 +102,34 @@ def category_filter(category: str) -> Column:
     return _matches("scheme_name", category)
 
 
-def search_schemes(master: DataFrame, keyword: str, limit: int = 50) -> DataFrame:
-    """OP11: schemes whose name or fund house matches ``keyword``; first ``limit`` by code."""
-    hits = master.where(_matches("scheme_name", keyword) | _matches("fund_house", keyword))
-    return hits.select(KEY, "scheme_name", "fund_house").orderBy(KEY).limit(limit)
+def scheme_directory(master: DataFrame, nav: DataFrame | None = None) -> DataFrame:
+    """Every scheme of master or NAV: (scheme_code, scheme_name, fund_house, nav, date).
 
+    Name and house are the master's, or the newest NAV row's for a scheme that
+    only NAV knows; nav and date are the newest, NULL without NAV rows.
+    """
+    if nav is None:
+        return master.select(
+            KEY, "scheme_name", "fund_house", F.lit(None).cast("double").alias("nav"), F.lit(None).cast("date").alias("date")
+        )
+    d = scheme_details(master, nav)
+    return d.select(KEY, "scheme_name", "fund_house", F.col("current_nav").alias("nav"), F.col("nav_date").alias("date"))
 
-def schemes_by_fund_house(master: DataFrame, fund_house: str) -> DataFrame:
-    """OP12: schemes whose fund house matches, ordered by name."""
-    return master.where(_matches("fund_house", fund_house)).select(KEY, "scheme_name", "fund_house").orderBy(
-        "scheme_name", KEY
-    )
 
+def search_schemes(master: DataFrame, keyword: str, limit: int = 50, nav: DataFrame | None = None) -> DataFrame:
+    """OP11: schemes whose name or fund house matches ``keyword``, with newest nav and date; first ``limit`` by code."""
+    hits = scheme_directory(master, nav).where(_matches("scheme_name", keyword) | _matches("fund_house", keyword))
+    return hits.orderBy(KEY).limit(limit)
 
-def schemes_by_category(master: DataFrame, category: str) -> DataFrame:
-    """OP13: schemes whose *name* matches a category keyword, ordered by name."""
-    return master.where(category_filter(category)).select(KEY, "scheme_name", "fund_house").orderBy(
-        "scheme_name", KEY
-    )
+
+def schemes_by_fund_house(master: DataFrame, fund_house: str, nav: DataFrame | None = None) -> DataFrame:
+    """OP12: schemes whose fund house matches, with newest nav and date, ordered by name."""
+    return scheme_directory(master, nav).where(_matches("fund_house", fund_house)).orderBy("scheme_name", KEY)
+
+
+def schemes_by_category(master: DataFrame, category: str, nav: DataFrame | None = None) -> DataFrame:
+    """OP13: schemes whose *name* matches a category keyword, with newest nav and date, ordered by name."""
+    return scheme_directory(master, nav).where(category_filter(category)).orderBy("scheme_name", KEY)
 
 
 def scheme_details(master: DataFrame, nav: DataFrame) -> DataFrame:
@@ -153,6 +166,7 @@ def latest_nav_date(nav: DataFrame) -> DataFrame:
     return nav.agg(F.max("date").alias("latest_date"))
 
 
-def fund_houses(master: DataFrame) -> DataFrame:
-    """OP17: distinct fund houses, ascending."""
-    return master.select("fund_house").distinct().orderBy("fund_house")
+def fund_houses(master: DataFrame, nav: DataFrame | None = None) -> DataFrame:
+    """OP17: distinct fund houses, ascending; with ``nav`` also those of schemes that only NAV knows."""
+    rows = master if nav is None else scheme_directory(master, nav)
+    return rows.select("fund_house").distinct().orderBy("fund_house")

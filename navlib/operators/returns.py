@@ -18,13 +18,10 @@ from pyspark.sql import functions as F
 from navlib.functions.ranking import global_ranks, global_row_number
 from navlib.operators.master import category_filter, scheme_master
 from navlib.session import checkpointed
-from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, half_up, libm_pow
+from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, growth_percent, half_up
 
 KEY = "scheme_code"
 DEFAULT_PERIODS = (30, 90, 180, 365)
-# Session setting: "true" when NAV frames hold one row per (scheme_code, date),
-# as tables written by ingest_nav do; the copy-collapsing aggregate is skipped.
-UNIQUE_KEYS_CONF = "navlib.uniqueKeys"
 SORT_KEYS = ("return", "volatility", "risk_adjusted")
 
 
@@ -32,32 +29,27 @@ def _series() -> Window:
     return Window.partitionBy(KEY).orderBy("date")
 
 
-def unique_keys(spark) -> bool:
-    return str(spark.conf.get(UNIQUE_KEYS_CONF, "false")).lower() == "true"
+def current_rows(nav: DataFrame) -> DataFrame:
+    """(scheme_code, scheme_name, date, nav): one row per key, without null codes, dates or NAVs.
 
+    Of rows that share (scheme_code, date) the newest load wins where the
+    frame has load_id / loaded_at (tables written by ``ingest_nav`` keep older
+    versions), then the largest NAV and name.  The aggregate combines before
+    it shuffles, so a scheme repeated in a third of the rows sends one row per
+    date and task.
+    """
+    rows = nav.where(F.col(KEY).isNotNull() & F.col("date").isNotNull() & F.col("nav").isNotNull())
+    loads = [c for c in ("load_id", "loaded_at") if c in nav.columns]
+    newest = F.max(F.struct(*loads, "nav", "scheme_name"))
+    return rows.groupBy(KEY, "date").agg(newest.alias("_v")).select(KEY, "_v.scheme_name", "date", "_v.nav")
 
-def daily_returns(nav: DataFrame) -> DataFrame:
-    """OP29: r = nav / previous nav - 1 per scheme in date order.
 
-    Rows without code, date or NAV are dropped first; of rows sharing
-    (scheme_code, date) one is kept (largest nav, then name).  The first row
-    of a scheme has r = NULL, as does a row after a zero NAV.
+def daily_returns(nav: DataFrame) -> DataFrame:
+    """OP29: r = nav / previous nav - 1 per scheme in date order, over ``current_rows``.
 
-    Copies are collapsed by an aggregate on (scheme_code, date) that combines
-    map-side, before the per-scheme shuffle: a scheme repeated in a third of
-    the rows reaches its window task with one row per date.  With the
-    session setting ``navlib.uniqueKeys=true`` (tables written by
-    ``ingest_nav``) that step and its shuffle are skipped.
+    The first row of a scheme has r = NULL, as does a row after a zero NAV.
     """
-    base = nav.select(KEY, "scheme_name", "date", "nav").where(
-        F.col(KEY).isNotNull() & F.col("date").isNotNull() & F.col("nav").isNotNull()
-    )
-    if not unique_keys(nav.sparkSession):
-        pick = F.max_by(F.col("scheme_name"), F.struct("nav", "scheme_name"))
-        base = base.groupBy(KEY, "date").agg(F.max("nav").alias("nav"), pick.alias("scheme_name")).select(
-            KEY, "scheme_name", "date", "nav"
-        )
-    return base.withColumn("r", F.try_divide(F.col("nav"), F.lag("nav").over(_series())) - 1)
+    return current_rows(nav).withColumn("r", F.try_divide(F.col("nav"), F.lag("nav").over(_series())) - 1)
 
 
 def _with_positions(returns: DataFrame) -> DataFrame:
@@ -96,10 +88,10 @@ def _period_columns(period: Column) -> list[Column]:
     start = F.col("_s.v")
     days = F.when(F.col("data_points") <= period, F.col("data_points") - 1).otherwise(period)
     ratio = F.try_divide(cur, start)
-    growth = libm_pow(ratio, F.try_divide(F.lit(CALENDAR_DAYS_YEAR), days))
+    growth = F.pow(ratio, F.try_divide(F.lit(CALENDAR_DAYS_YEAR), days))
     annualized = F.when(
         (days > 0) & (ratio >= 0) & ~F.isnan(growth) & (F.abs(growth) != F.lit(float("inf"))),
-        half_up((growth - 1) * 100, 2),
+        growth_percent((growth - 1) * 100),
     )
     return [
         half_up(cur - start, 4).alias("absolute_return"),
@@ -180,14 +172,14 @@ def scheme_performance(nav: DataFrame, periods: Sequence[int] = DEFAULT_PERIODS)
     )
 
 
-def period_performance(nav: DataFrame, period: int = 365) -> DataFrame:
+def period_performance(nav: DataFrame, period: int = 365, min_rows: int = 2) -> DataFrame:
     """Per-scheme figures used by comparisons and rankings for one period.
 
     risk_adjusted_return = rounded % return / rounded volatility (2 dp),
     0 when the volatility is not positive or undefined.
     """
     period = _check_periods([period])[0]
-    rows = _explode_periods(_rollup(nav, [period]).where(F.col("data_points") >= 2), [period])
+    rows = _explode_periods(_rollup(nav, [period]).where(F.col("data_points") >= min_rows), [period])
     perf = rows.select(
         KEY,
         "scheme_name",
@@ -214,6 +206,7 @@ def _order(sort_by: str) -> list[Column]:
     return [first, F.col(KEY).asc()]
 
 
+# Column names of the reports.
 _COMPARE_COLUMNS = [
     KEY,
     "scheme_name",
@@ -244,8 +237,12 @@ def compare_schemes(nav: DataFrame, codes: Sequence[str] | None = None, period:
         requested = spark.createDataFrame([(c,) for c in codes], f"{KEY} string")
         nav = nav.join(requested, KEY, "left_semi")
     else:
-        requested = nav.select(KEY).where(F.col(KEY).isNotNull()).distinct()
-    perf = checkpointed(period_performance(nav, period).select(*_COMPARE_COLUMNS))
+        requested = None
+    # one scan: schemes with a single row are kept here and become "failed" below
+    every = checkpointed(period_performance(nav, period, min_rows=1).select(*_COMPARE_COLUMNS))
+    if requested is None:
+        requested = every.select(KEY)
+    perf = every.where(F.col("data_points") >= 2)
     # the three rankings share one distributed sort (ties break on scheme_code)
     ranks = global_ranks(
         perf,

@@ -82,27 +82,16 @@ def basic_volatility(nav: DataFrame, analysed: DataFrame | None = None) -> DataF
 def rolling_volatility(nav: DataFrame, window: int = DEFAULT_WINDOW, analysed: DataFrame | None = None) -> DataFrame:
     """OP39: annualised sd over each full window of ``window`` returns, summarised per scheme.
 
-    Window sums come from running sums of returns centred on the scheme
-    mean (sum over the last w rows = running sum minus its value w rows
-    back), so each row costs O(1) instead of re-reading the w-row frame.
-    Only schemes with at least ``window`` returns are reported.
+    The sd is taken over each frame itself.  Running sums would be cheaper,
+    but one wild NAV (1e-6, 1e8) cancels all digits of the sums that follow
+    it.  Only schemes with at least ``window`` returns are reported.
     """
     if window < 2:
         raise ValueError("window must be at least 2")
     series = Window.partitionBy(KEY).orderBy("date")
-    running = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w = float(window)
-    x = (
-        _analysed(nav, analysed)
-        .withColumn("_d", F.col("r") - F.avg("r").over(_whole(series)))
-        .withColumn("_k", F.row_number().over(series))
-        .withColumn("_c1", F.sum("_d").over(running))
-        .withColumn("_c2", F.sum(F.col("_d") * F.col("_d")).over(running))
-        .withColumn("_s1", F.col("_c1") - F.coalesce(F.lag("_c1", window).over(series), F.lit(0.0)))
-        .withColumn("_s2", F.col("_c2") - F.coalesce(F.lag("_c2", window).over(series), F.lit(0.0)))
-    )
-    var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.lit(w)) / F.lit(w - 1)
-    rolling = F.when(F.col("_k") >= window, F.sqrt(F.greatest(var, F.lit(0.0))) * F.lit(ANNUAL_SQRT))
+    x = _analysed(nav, analysed).withColumn("_k", F.row_number().over(series))
+    frame = F.stddev_samp("r").over(series.rowsBetween(-(window - 1), Window.currentRow))
+    rolling = F.when(F.col("_k") >= window, frame * F.lit(ANNUAL_SQRT))
     v = F.col("_vol")
     return (
         x.withColumn("_vol", rolling)

@@ -45,10 +45,14 @@ perf AS (
   FROM h JOIN s USING (scheme_code))"""
 
 
-_PERIOD_COLS = """ROUND(cur_nav - start_nav, 4) AS absolute_return,
+_GROWTH = "(POW(cur_nav / start_nav, 365.25::DOUBLE / days_actual) - 1) * 100"
+_GROWTH_UNIT = f"CAST('1e' || CAST(FLOOR(LOG10(ABS({_GROWTH})) - 8) AS BIGINT) AS DOUBLE)"
+
+_PERIOD_COLS = f"""ROUND(cur_nav - start_nav, 4) AS absolute_return,
   ROUND((cur_nav - start_nav) / start_nav * 100, 2) AS percentage_return,
   CASE WHEN days_actual > 0 AND cur_nav / start_nav >= 0
-       THEN ROUND((POW(cur_nav / start_nav, 365.25::DOUBLE / days_actual) - 1) * 100, 2) END AS annualized_return,
+       THEN CASE WHEN ABS({_GROWTH}) < 1e6 THEN ROUND({_GROWTH}, 2)
+            ELSE ROUND({_GROWTH} / {_GROWTH_UNIT}) * {_GROWTH_UNIT} END END AS annualized_return,
   start_date, ROUND(start_nav, 4) AS start_nav, CAST(days_actual AS BIGINT) AS days_actual"""
 
 _STAT_COLS = """ROUND(sd, 6) AS daily_volatility, ROUND(sd * SQRT(252), 4) AS annualized_volatility,
@@ -157,10 +161,24 @@ cm AS (
   SELECT a.scheme_code AS scheme1, b.scheme_code AS scheme2,
          CASE WHEN isnan(corr(a.r, b.r)) THEN NULL ELSE corr(a.r, b.r) END AS rho, COUNT(*) AS overlap_days
   FROM mx a JOIN mx b USING (date) GROUP BY ALL),
-off AS (SELECT * FROM cm WHERE scheme1 <> scheme2 AND rho <> 1.0),
+off AS (SELECT * FROM cm WHERE scheme1 <> scheme2 AND rho IS NOT NULL),
 stats AS (SELECT COUNT(*) AS n, AVG(rho) AS mean_rho, MAX(rho) AS max_rho, MIN(rho) AS min_rho FROM off)"""
 
 
+# every scheme of the older master or of NAV, with its newest NAV
+_DIRECTORY = f"""WITH m AS (
+  SELECT scheme_code, scheme_name, fund_house FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY date DESC, scheme_name DESC, fund_house DESC) AS rn
+    FROM nav_p WHERE date < DATE '{MASTER_REFRESH_DATE}') WHERE rn = 1),
+l AS (
+  SELECT scheme_code, scheme_name, fund_house, nav, date FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY date DESC, nav DESC, scheme_name DESC, fund_house DESC) AS rn
+    FROM nav_p) WHERE rn = 1),
+dir AS (
+  SELECT l.scheme_code, COALESCE(m.scheme_name, l.scheme_name) AS scheme_name, COALESCE(m.fund_house, l.fund_house) AS fund_house, l.nav, l.date
+  FROM l LEFT JOIN m ON m.scheme_code = l.scheme_code)"""
+
+
 ORACLES: dict[str, str] = {
     "parse_nav_text": with_fixtures(
         f"""SELECT scheme_code, scheme_name, FLOOR(nav * 100) / 100 AS nav, date, 'To be mapped' AS fund_house, {_YM}
@@ -181,6 +199,24 @@ FROM nav_s WHERE day(date) NOT IN (1, 2, 3, 4, 5)""",
 FROM nav_s WHERE day(date) NOT IN (1, 2, 3, 4, 5)""",
         "nav_s",
     ),
+    "ingest_backfill_master": with_fixtures(
+        f"""WITH a AS (
+  SELECT scheme_code, date, fund_house,
+         CASE WHEN date < DATE '{MASTER_REFRESH_DATE}' THEN 'OLD ' || scheme_name ELSE scheme_name END AS scheme_name FROM nav_p)
+SELECT scheme_code, arg_max(scheme_name, date) AS scheme_name, arg_max(fund_house, date) AS fund_house FROM a GROUP BY scheme_code""",
+        "nav_p",
+    ),
+    "ingest_corrected_prices": with_fixtures(
+        f"""WITH c AS (
+  SELECT *, date >= DATE '{R.RANGE_START}' AND date < DATE '{R.CORRECTED_BEFORE}' AND nav <> 0 AS changed FROM nav_s)
+SELECT scheme_code, scheme_name, date, CASE WHEN changed THEN nav * 2 ELSE nav END AS nav,
+       CAST(CASE WHEN changed THEN 2 ELSE 1 END AS BIGINT) AS load_id FROM c""",
+        "nav_s",
+    ),
+    "ingest_retry_master": with_fixtures(
+        "SELECT scheme_code, arg_max(scheme_name, date) AS scheme_name, arg_max(fund_house, date) AS fund_house FROM nav_s GROUP BY scheme_code",
+        "nav_s",
+    ),
     "scheme_master": with_fixtures(
         """SELECT scheme_code, scheme_name, fund_house FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY date DESC, scheme_name DESC, fund_house DESC) AS rn
@@ -229,18 +265,16 @@ FROM nav_s GROUP BY 1""",
         f"SELECT {_NAV_COLS} FROM nav_s WHERE date BETWEEN DATE '{R.RANGE_START}' AND DATE '{R.RANGE_END}'", "nav_s"
     ),
     "search_schemes": with_fixtures(
-        f"""SELECT scheme_code, scheme_name, fund_house FROM master_p
-WHERE regexp_matches(scheme_name, '(?i).*{R.KEYWORD}.*') OR regexp_matches(fund_house, '(?i).*{R.KEYWORD}.*')
+        f"""{_DIRECTORY}
+SELECT * FROM dir WHERE regexp_matches(scheme_name, '(?i){R.KEYWORD}') OR regexp_matches(fund_house, '(?i){R.KEYWORD}')
 ORDER BY scheme_code LIMIT 50""",
-        "master_p",
+        "nav_p",
     ),
     "schemes_by_fund_house": with_fixtures(
-        f"SELECT scheme_code, scheme_name, fund_house FROM master_p WHERE regexp_matches(fund_house, '(?i).*{R.HOUSE_KEYWORD}.*')",
-        "master_p",
+        f"{_DIRECTORY} SELECT * FROM dir WHERE regexp_matches(fund_house, '(?i){R.HOUSE_KEYWORD}')", "nav_p"
     ),
     "schemes_by_category": with_fixtures(
-        f"SELECT scheme_code, scheme_name, fund_house FROM master_p WHERE regexp_matches(scheme_name, '(?i).*{R.KEYWORD}.*')",
-        "master_p",
+        f"{_DIRECTORY} SELECT * FROM dir WHERE regexp_matches(scheme_name, '(?i){R.KEYWORD}')", "nav_p"
     ),
     "scheme_details": with_fixtures(
         f"""WITH m AS (
@@ -261,7 +295,7 @@ FROM m FULL OUTER JOIN l ON m.scheme_code = l.scheme_code""",
     ),
     "available_dates": with_fixtures("SELECT DISTINCT date FROM nav_s", "nav_s"),
     "latest_nav_date": with_fixtures("SELECT MAX(date) AS latest_date FROM nav_s", "nav_s"),
-    "fund_houses": with_fixtures("SELECT DISTINCT fund_house FROM master_p", "master_p"),
+    "fund_houses": with_fixtures(f"{_DIRECTORY} SELECT DISTINCT fund_house FROM dir", "nav_p"),
     "nav_summary": with_fixtures(
         f"""SELECT COUNT(*) AS total_schemes, COUNT(DISTINCT fund_house) AS total_fund_houses,
        ROUND(MIN(nav), 2) AS min_nav, ROUND(MAX(nav), 2) AS max_nav, ROUND(AVG(nav), 2) AS avg_nav,
@@ -512,7 +546,16 @@ FROM c""",
 SELECT scheme_code, scheme_name, date, ROUND(nav, 4) AS nav, ROUND(r * 100, 2) AS daily_return,
        ROUND(ABS(r - m) / s, 2) AS std_deviations,
        CASE WHEN r > 0 THEN 'extreme_positive' ELSE 'extreme_negative' END AS anomaly_type
-FROM a, st WHERE r > m + 3.0 * s OR r < m - 3.0 * s""",
+FROM (SELECT *, AVG(r) OVER () AS m, STDDEV_SAMP(r) OVER () AS s FROM a) WHERE r > m + 3.0 * s OR r < m - 3.0 * s""",
+        "nav_s",
+    ),
+    "extreme_returns_by_scheme": with_fixtures(
+        f"""{_anomaly_base('nav_s')}
+SELECT scheme_code, scheme_name, date, ROUND(nav, 4) AS nav, ROUND(r * 100, 2) AS daily_return,
+       ROUND(ABS(r - m) / s, 2) AS std_deviations,
+       CASE WHEN r > 0 THEN 'extreme_positive' ELSE 'extreme_negative' END AS anomaly_type
+FROM (SELECT *, AVG(r) OVER (PARTITION BY scheme_code) AS m, STDDEV_SAMP(r) OVER (PARTITION BY scheme_code) AS s FROM a)
+WHERE r > m + 3.0 * s OR r < m - 3.0 * s""",
         "nav_s",
     ),
     "nav_jumps": with_fixtures(
@@ -553,6 +596,12 @@ SELECT n AS total_data_points_analyzed, (SELECT COUNT(DISTINCT scheme_code) FROM
 FROM cnt WHERE n > 0""",
         "nav_s",
     ),
+    "most_observed_since": with_fixtures(
+        f"""SELECT scheme_code, COUNT(*) AS data_points, arg_min(scheme_name, date) AS scheme_name
+FROM nav_s WHERE scheme_code IS NOT NULL AND date >= DATE '{R.SINCE}' GROUP BY scheme_code HAVING COUNT(*) >= {R.MIN_OVERLAP}
+ORDER BY data_points DESC, scheme_code LIMIT {R.TOP_K}""",
+        "nav_s",
+    ),
     "most_observed_schemes": with_fixtures(
         f"""SELECT scheme_code, COUNT(*) AS data_points, arg_min(scheme_name, date) AS scheme_name
 FROM nav_s WHERE scheme_code IS NOT NULL GROUP BY scheme_code HAVING COUNT(*) >= {R.MIN_OVERLAP}

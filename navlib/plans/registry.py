@@ -22,6 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Parameters of the registered queries (fixed values).
 ON_DATE = "1998-06-15"
 RANGE_START, RANGE_END = "1998-01-01", "1998-03-31"
+CORRECTED_BEFORE = "1998-02-15"
+SINCE = "1998-01-01"
 KEYWORD = "promo"
 HOUSE_KEYWORD = "brand#1"
 AS_OF = "2001-11-05"
@@ -66,7 +68,38 @@ def _refresh_master(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "scheme_master")
     nl.write_table(nl.scheme_master(nav.where(F.col("date") < cut)), path, mode="overwrite")
     nl.refresh_master(spark, path, nav.where(F.col("date") >= cut))
-    return nl.read_table(spark, path)
+    return nl.read_table(spark, path).drop("last_date")
+
+
+def _ingest_backfill_master(spark: SparkSession, d: str) -> DataFrame:
+    """Newer half first, then the older half under older names: the master must not go back."""
+    nav = with_partition_columns(fx.nav_p(spark, d))
+    cut = F.lit(fx.MASTER_REFRESH_DATE).cast("date")
+    path, master = scratch_path(spark, "nav_data"), scratch_path(spark, "scheme_master")
+    nl.ingest_nav(nav.where(F.col("date") >= cut), path, master, load_id=1)
+    older = nav.where(F.col("date") < cut).withColumn("scheme_name", F.concat(F.lit("OLD "), "scheme_name"))
+    nl.ingest_nav(older, path, master, load_id=2)
+    return nl.read_table(spark, master).drop("last_date")
+
+
+def _ingest_corrected_prices(spark: SparkSession, d: str) -> DataFrame:
+    """One quarter is loaded again with doubled NAVs: readers see the corrections, the other rows once."""
+    nav = with_partition_columns(fx.nav_s(spark, d))
+    path = scratch_path(spark, "nav_data")
+    nl.ingest_nav(nav, path, load_id=1)
+    again = nav.where(F.col("date").between(RANGE_START, RANGE_END))
+    half = F.when(F.col("date") < CORRECTED_BEFORE, F.col("nav") * 2).otherwise(F.col("nav"))
+    nl.ingest_nav(again.withColumn("nav", half), path, load_id=2)
+    return nl.nav_as_of(nl.read_table(spark, path)).select("scheme_code", "scheme_name", "date", "nav", "load_id")
+
+
+def _ingest_retry_master(spark: SparkSession, d: str) -> DataFrame:
+    """A load that broke off between append and refresh is run again."""
+    nav = with_partition_columns(fx.nav_s(spark, d))
+    path, master = scratch_path(spark, "nav_data"), scratch_path(spark, "scheme_master")
+    nl.ingest_nav(nav, path, None, load_id=1)
+    nl.ingest_nav(nav, path, master, load_id=1)
+    return nl.read_table(spark, master).drop("last_date")
 
 
 def _follow_landing(spark: SparkSession, d: str) -> DataFrame:
@@ -94,6 +127,9 @@ QUERIES: dict[str, Query] = {
     "read_table": _read_table,
     "nav_as_of": lambda s, d: nl.nav_as_of(fx.nav_ticks(s, d), load_id=3, tie_cols=("tie", "nav")),
     "ingest_nav": _ingest,
+    "ingest_backfill_master": _ingest_backfill_master,
+    "ingest_corrected_prices": _ingest_corrected_prices,
+    "ingest_retry_master": _ingest_retry_master,
     "scheme_master": lambda s, d: nl.scheme_master(fx.nav_s(s, d)),
     "refresh_master": _refresh_master,
     "deduplicate_nav": lambda s, d: nl.deduplicate_nav(fx.nav_ticks(s, d)),
@@ -104,13 +140,13 @@ QUERIES: dict[str, Query] = {
     # lookups
     "nav_on_date": lambda s, d: nl.nav_on_date(fx.nav_s(s, d), ON_DATE),
     "nav_between": lambda s, d: nl.nav_between(fx.nav_s(s, d), RANGE_START, RANGE_END),
-    "search_schemes": lambda s, d: nl.search_schemes(fx.master_p(s, d), KEYWORD),
-    "schemes_by_fund_house": lambda s, d: nl.schemes_by_fund_house(fx.master_p(s, d), HOUSE_KEYWORD),
-    "schemes_by_category": lambda s, d: nl.schemes_by_category(fx.master_p(s, d), KEYWORD),
+    "search_schemes": lambda s, d: nl.search_schemes(_older_master(s, d), KEYWORD, nav=fx.nav_p(s, d)),
+    "schemes_by_fund_house": lambda s, d: nl.schemes_by_fund_house(_older_master(s, d), HOUSE_KEYWORD, nav=fx.nav_p(s, d)),
+    "schemes_by_category": lambda s, d: nl.schemes_by_category(_older_master(s, d), KEYWORD, nav=fx.nav_p(s, d)),
     "scheme_details": lambda s, d: nl.scheme_details(_older_master(s, d), fx.nav_p(s, d)),
     "available_dates": lambda s, d: nl.available_dates(fx.nav_s(s, d)),
     "latest_nav_date": lambda s, d: nl.latest_nav_date(fx.nav_s(s, d)),
-    "fund_houses": lambda s, d: nl.fund_houses(fx.master_p(s, d)),
+    "fund_houses": lambda s, d: nl.fund_houses(_older_master(s, d), fx.nav_p(s, d)),
     # summary, quality, duplicates
     "nav_summary": lambda s, d: nl.nav_summary(fx.nav_s(s, d), AS_OF),
     "dq_null_checks": lambda s, d: nl.dq_null_checks(fx.nav_ticks(s, d)),
@@ -155,12 +191,14 @@ QUERIES: dict[str, Query] = {
     "volatility_regime": lambda s, d: nl.volatility_regime(fx.nav_p(s, d)),
     # anomalies
     "extreme_returns": lambda s, d: nl.extreme_returns(fx.nav_s(s, d)),
+    "extreme_returns_by_scheme": lambda s, d: nl.extreme_returns(fx.nav_s(s, d), scope="scheme"),
     "nav_jumps": lambda s, d: nl.nav_jumps(fx.nav_s(s, d)),
     "stale_nav": lambda s, d: nl.stale_nav(fx.nav_stale(s, d)),
     "invalid_nav_rows": lambda s, d: nl.invalid_nav_rows(fx.nav_s(s, d)),
     "anomaly_summary": lambda s, d: nl.anomaly_summary(fx.nav_s(s, d)),
     # correlation
     "most_observed_schemes": lambda s, d: nl.most_observed_schemes(fx.nav_s(s, d), None, MIN_OVERLAP, TOP_K),
+    "most_observed_since": lambda s, d: nl.most_observed_schemes(fx.nav_s(s, d), SINCE, MIN_OVERLAP, TOP_K),
     "returns_matrix": lambda s, d: nl.returns_matrix(fx.nav_t(s, d), **_corr_args()),
     "data_availability": lambda s, d: nl.data_availability(fx.nav_t(s, d), **_corr_args()),
     "correlation_matrix": lambda s, d: nl.correlation_matrix(fx.nav_t(s, d), **_corr_args()),

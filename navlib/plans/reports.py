@@ -94,22 +94,22 @@ def correlation_report(
     codes: Sequence[str] | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = C.DEFAULT_MIN_OVERLAP,
-    top_k: int | None = C.DEFAULT_TOP_K,
+    top_k: int | None = None,
 ) -> dict[str, DataFrame]:
     """OP51-OP56 from one selection of schemes and one returns matrix."""
     inp = C._prepare(nav, codes, since, min_overlap, top_k)
-    rho = checkpointed(C._pearson(inp)) if len(inp.valid) >= 2 else C._pearson(inp)
+    rho = checkpointed(C._pearson(inp))
     pairs = C._pairs_from(rho, inp, C.HIGH_CORRELATION, C.LOW_CORRELATION)
     stats = C._statistics_from(rho)
     return {
         "data_availability": inp.availability,
-        "returns_matrix": inp.matrix,
+        "returns_matrix": inp.matrix.select("date", C.KEY, "r"),
         "correlation_matrix": rho.select("scheme1", "scheme2", half_up("rho", 4).alias("correlation"), "overlap_days"),
         "notable_pairs": pairs.select(
             "scheme1", "scheme1_name", "scheme2", "scheme2_name", half_up("rho", 4).alias("correlation"), "kind"
         ),
         "correlation_statistics": C._statistics_columns(stats),
-        "investment_insights": C._insights(stats, pairs.where(F.col("kind") == "high"), len(inp.valid)),
+        "investment_insights": C._insights(stats, pairs.where(F.col("kind") == "high"), inp.n_valid),
     }
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from navlib.operators.master import with_partition_columns
+from navlib.operators.master import dated_master, with_partition_columns
 from navlib.schema import MASTER_COLUMNS, NAV_COLUMNS, PARTITION_COLUMNS, typed_empty
 from navlib.session import checkpointed, ensure_checkpoint_dir
 
@@ -96,8 +96,7 @@ def nav_as_of(
 
     Rows loaded later are ignored; of the rows left, the newest load wins per
     (scheme_code, date), then ``tie_cols`` descending, then the other columns.  The version wins when
-    both are given.  An aggregate (max_by) rather than a window: it combines
-    map-side and needs no sort.
+    both are given.  An aggregate rather than a window: it combines map-side.
     """
     if load_id is not None:
         rows = nav.where(F.col("load_id") <= F.lit(load_id))
@@ -141,18 +140,17 @@ def ingest_nav(
     master_path: str | None = None,
     load_id: int | None = None,
 ) -> DataFrame:
-    """OP05: append the batch's new (scheme_code, date) rows; loading twice = once.
-
-    The batch is deduplicated on its key and anti-joined with the stored keys
-    of the months it touches only (a static filter on the year/month
-    partition columns).  New rows get ``load_id``
-    (default: epoch milliseconds) and ``loaded_at`` and are appended once;
-    the returned frame reads this load's rows back from the table (the
-    batch's months only, files of other loads skipped by their ``load_id``
-    statistics), so it does not change after the append.  A failed append
-    commits nothing and can simply be run again.  With ``master_path`` the
-    scheme master is refreshed: newest batch row per code wins, other codes
-    keep their master row.
+    """OP05: append the batch's new and corrected rows; loading twice = once.
+
+    The batch is deduplicated on its key and compared with the current
+    version of the stored keys, in the months it touches only (a static
+    filter on the year/month partition columns).  Keys that are new, or whose
+    NAV, name or house differ, are appended under ``load_id`` (default: epoch
+    milliseconds) and ``loaded_at``; older versions stay for ``nav_as_of``,
+    and readers take the newest.  The returned frame reads this load's rows
+    back.  A failed append commits nothing, and a rerun appends only what
+    differs.  With ``master_path`` the scheme master is refreshed from the
+    whole batch, so a rerun after a crash between the two steps does that too.
     """
     spark = batch.sparkSession
     load_id = int(time.time() * 1000) if load_id is None else int(load_id)
@@ -165,36 +163,47 @@ def ingest_nav(
         touched = sorted({r.year * 100 + r.month for r in rows.select(*PARTITION_COLUMNS).distinct().collect()})
         in_batch_months = (F.col("year") * 100 + F.col("month")).isin(touched)
         stored = read_table(spark, nav_path)
+        new = rows
         if stored is not None:
-            rows_new = rows.join(stored.where(in_batch_months).select(KEY, "date"), [KEY, "date"], "left_anti")
-        else:
-            rows_new = rows
+            values = ("nav", "scheme_name", "fund_house")
+            stored = stored.where(in_batch_months)
+            current = nav_as_of(stored) if "load_id" in stored.columns else deduplicate_nav(stored)
+            current = current.select(KEY, "date", *[F.col(c).alias(f"_{c}") for c in values], F.lit(True).alias("_known"))
+            same = F.lit(True)
+            for c in values:
+                same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+            new = rows.join(current, [KEY, "date"], "left").where(F.col("_known").isNull() | ~same)
         stamped = (
-            rows_new.select(*NAV_COLUMNS)
+            new.select(*NAV_COLUMNS)
             .withColumn("load_id", F.lit(load_id).cast("bigint"))
             .withColumn("loaded_at", F.current_timestamp())
         )
         write_table(stamped, nav_path, PARTITION_COLUMNS, "append")
+        if master_path is not None:
+            refresh_master(spark, master_path, rows)
     finally:
         rows.unpersist()
-    new_rows = read_table(spark, nav_path).where(in_batch_months & (F.col("load_id") == F.lit(load_id)))
-    if master_path is not None:
-        refresh_master(spark, master_path, new_rows)
-    return new_rows
+    return read_table(spark, nav_path).where(in_batch_months & (F.col("load_id") == F.lit(load_id)))
 
 
-def refresh_master(spark: SparkSession, master_path: str, nav: DataFrame) -> DataFrame:
-    """Upsert the scheme master with the newest row per code of ``nav``."""
-    from navlib.operators.master import scheme_master
+def refresh_master(spark: SparkSession, master_path: str, nav: DataFrame, rebuild: bool = False) -> DataFrame:
+    """Merge the rows of ``nav`` into the stored scheme master; returns the master (scheme_code, scheme_name, fund_house).
 
-    fresh = scheme_master(nav)
-    old = read_table(spark, master_path)
-    merged = fresh
+    The stored table also keeps each row's date, and the row with the newest
+    date wins (ties: greater name, house), so loading older rows later can't
+    turn a name back.  A stored row without a date yields to any dated one.
+    ``rebuild=True`` ignores the stored table: ``nav`` is all of history.
+    """
+    merged = dated_master(nav)
+    old = None if rebuild else read_table(spark, master_path)
     if old is not None:
-        merged = fresh.unionByName(old.select(*MASTER_COLUMNS).join(fresh.select(KEY), KEY, "left_anti"))
+        if "last_date" not in old.columns:
+            old = old.withColumn("last_date", F.lit(None).cast("date"))
+        both = merged.unionByName(old.select(*MASTER_COLUMNS, "last_date"))
+        merged = dated_master(both.withColumnRenamed("last_date", "date"))
     merged = checkpointed(merged)
     write_table(merged, master_path, mode="overwrite")
-    return merged
+    return merged.select(*MASTER_COLUMNS)
 
 
 def compact_table(
@@ -235,6 +244,46 @@ def compact_table(
     return copy
 
 
+def compact_tables(
+    spark: SparkSession,
+    paths: dict[str, str],
+    table: str | None = None,
+    suffix: str = "compact",
+    rows_per_file: int = 2_000_000,
+) -> tuple[dict[str, str], DataFrame]:
+    """OP07 for one named table or all: (new path of each table, status per table).
+
+    ``paths`` names the tables.  Each copy goes to a new folder
+    ``<path>_<suffix>_<id>`` and is returned as the table's path only when
+    its row count is verified: that is the swap, done by whoever keeps the
+    paths, and the old folder stays readable for running queries.  The status
+    frame has table, status (success, skipped: no such folder, failed) and
+    message; one table's failure doesn't stop the others.
+    """
+    if table is not None and table not in paths:
+        raise ValueError(f"unknown table {table!r}; known: {sorted(paths)}")
+    current, rows = dict(paths), []
+    for name in [table] if table is not None else sorted(paths):
+        out = f"{paths[name].rstrip('/')}_{suffix}_{uuid.uuid4().hex[:8]}"
+        if read_table(spark, paths[name]) is None:
+            rows.append((name, "skipped", f"no table at {paths[name]}"))
+            continue
+        try:
+            compact_table(spark, paths[name], out, rows_per_file=rows_per_file)
+        except Exception as err:  # reported in the status, as the other tables go on
+            rows.append((name, "failed", str(err)[:500]))
+            continue
+        current[name] = out
+        rows.append((name, "success", out))
+    return current, spark.createDataFrame(rows, "table string, status string, message string")
+
+
+def table_schema(df: DataFrame) -> DataFrame:
+    """OP08 (third frame): column and type, in order."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """OP08: column_count, row_count, partition_count (distinct year/month)."""
     parts = [c for c in PARTITION_COLUMNS if c in df.columns]

@@ -1,8 +1,9 @@
 """Follow a landing folder of feed files with Structured Streaming.
 
 New files are read as text, parsed (OP01) and appended idempotently (OP05)
-in ``foreachBatch``.  A batch replayed after a failure adds nothing, since
-ingest anti-joins on (scheme_code, date); the file source's checkpoint
+in ``foreachBatch``.  A batch replayed after a failure adds nothing and
+refreshes the master again, whatever its load id, since ingest appends only
+keys that differ from their current version; the file source's checkpoint
 records which files were taken.  ``availableNow`` processes what has landed
 and stops, which suits a daily schedule; a processing-time trigger keeps the
 query running.
@@ -10,12 +11,9 @@ query running.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from navlib.session import ensure_checkpoint_dir
 from navlib.sources.feed import parse_nav_text
 from navlib.sources.store import ingest_nav
 
@@ -32,10 +30,9 @@ def follow_landing(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the landing-folder ingest; returns the running query."""
-    # default: a folder named by a stable digest of the table path, so a restarted
-    # query finds its progress again
-    digest = hashlib.sha1(nav_path.encode("utf-8")).hexdigest()[:16]
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/navlib-stream/{digest}"
+    # next to the table, so that a restarted query finds its progress again (the
+    # session's checkpoint folder is a new one for every application)
+    location = checkpoint_location or f"{nav_path.rstrip('/')}_stream"
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -29,13 +29,8 @@ def stored(spark, sf_small):
     ],
 )
 def test_per_scheme_reports_shuffle_once(spark, stored, op):
-    # copies are collapsed first (map-side aggregate + shuffle on the key), then one per-scheme shuffle
+    # copies and older versions are collapsed first (map-side aggregate + shuffle on the key), then one per-scheme shuffle
     assert shuffle_count(op(stored)) <= 2
-    spark.conf.set("navlib.uniqueKeys", "true")
-    try:
-        assert shuffle_count(op(stored)) == 1
-    finally:
-        spark.conf.unset("navlib.uniqueKeys")
 
 
 def test_date_lookup_prunes_partitions_and_columns(stored):
@@ -46,15 +41,11 @@ def test_date_lookup_prunes_partitions_and_columns(stored):
     assert "ReadSchema: struct<date:date>" in scan
 
 
-def test_python_only_after_the_aggregate(stored):
-    # the annualising pow runs in Python on the per-(scheme, period) rows only
-    tree = plan_text(nl.scheme_performance(stored)).split("\n\n(")[0]
-    assert tree.count("ArrowEvalPython") == 1
-    assert tree.index("ArrowEvalPython") < tree.index("Aggregate") < tree.index("Window")
-
-
 def test_no_python_evaluation(stored, spark, sf_small):
     frames = [
+        nl.scheme_performance(stored),
+        nl.top_performers(stored),
+        nl.period_returns(stored),
         nl.basic_volatility(stored),
         nl.anomaly_summary(stored),
         nl.similar_names(fx.master_p(spark, sf_small)),
@@ -69,3 +60,18 @@ def test_no_python_evaluation(stored, spark, sf_small):
 def test_similar_names_has_no_nested_loop(spark, sf_small):
     text = plan_text(nl.similar_names(fx.master_p(spark, sf_small)))
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_correlation_plan_does_not_grow_with_the_schemes(spark, sf_small):
+    import time
+
+    nav = fx.nav_p(spark, sf_small)
+    codes = [r[0] for r in nav.select("scheme_code").distinct().limit(200).collect()]
+    sizes, seconds = [], []
+    for k in (20, 200):
+        t = time.time()
+        df = nl.correlation_matrix(nav, codes[:k], min_overlap=2)
+        seconds.append(time.time() - t)
+        sizes.append(len(df._jdf.queryExecution().analyzed().toString().splitlines()))
+    assert sizes[0] == sizes[1]
+    assert seconds[1] < 5 * seconds[0] + 10

@@ -45,7 +45,7 @@ def test_ingest_twice_is_once_and_as_of(spark, sf_small):
     stored = nl.read_table(spark, path)
     assert first > 0 and second == 0 and stored.count() == first
     assert stored.select("scheme_code", "date").distinct().count() == first
-    # a later feed with one changed NAV and one new day adds only the new key
+    # a later feed with one new day adds only the new key
     extra = spark.createDataFrame(
         [("1", "Supplier#000000001", 1.0, day(9000), "To be mapped", 2044, 8)],
         "scheme_code string, scheme_name string, nav double, date date, fund_house string, year int, month int",
@@ -58,6 +58,66 @@ def test_ingest_twice_is_once_and_as_of(spark, sf_small):
     assert m.count() == m.select("scheme_code").distinct().count()
 
 
+def _nav(spark, *rows):
+    kind = "scheme_code string, scheme_name string, nav double, date date, fund_house string"
+    return spark.createDataFrame([(c, n, v, day(d), "H") for c, n, v, d in rows], kind)
+
+
+def test_corrected_nav_becomes_a_new_version(spark):
+    path = scratch_path(spark, "nav")
+    nl.ingest_nav(_nav(spark, ("a", "A", 10.0, 0), ("a", "A", 11.0, 1)), path, load_id=1)
+    again = nl.ingest_nav(_nav(spark, ("a", "A", 11.5, 0), ("a", "A", 11.0, 1)), path, load_id=2)
+    assert [(r.nav, r.date) for r in again.collect()] == [(11.5, day(0))]
+    # corrected downwards too: the newest load wins, not the largest NAV
+    nl.ingest_nav(_nav(spark, ("a", "A", 9.0, 0)), path, load_id=3)
+    stored = nl.read_table(spark, path)
+    assert {r.date: r.nav for r in nl.nav_as_of(stored).collect()} == {day(0): 9.0, day(1): 11.0}
+    assert {r.date: r.nav for r in nl.nav_as_of(stored, load_id=2).collect()} == {day(0): 11.5, day(1): 11.0}
+    assert sorted(r.nav for r in nl.daily_returns(stored).collect()) == [9.0, 11.0]
+
+
+def test_master_never_goes_back_and_survives_a_retry(spark):
+    path, master = scratch_path(spark, "nav"), scratch_path(spark, "master")
+    names = lambda: {r.scheme_code: r.scheme_name for r in nl.read_table(spark, master).collect()}
+    nl.ingest_nav(_nav(spark, ("a", "NEW", 1.0, 900)), path, master, load_id=1)
+    nl.ingest_nav(_nav(spark, ("a", "OLD", 1.0, 5), ("b", "B", 1.0, 5)), path, master, load_id=2)
+    assert names() == {"a": "NEW", "b": "B"}
+    late = _nav(spark, ("c", "C", 1.0, 7))
+    nl.ingest_nav(late, path, None, load_id=3)  # as if it had died before the refresh
+    assert nl.ingest_nav(late, path, master, load_id=4).count() == 0
+    assert names() == {"a": "NEW", "b": "B", "c": "C"}
+    rebuilt = nl.refresh_master(spark, master, _nav(spark, ("z", "Z", 1.0, 1)), rebuild=True)
+    assert rebuilt.columns == ["scheme_code", "scheme_name", "fund_house"] and names() == {"z": "Z"}
+
+
+def test_compact_one_or_all(spark, sf_small):
+    from navlib.operators.master import with_partition_columns
+
+    nav = scratch_path(spark, "nav")
+    for part in range(3):  # three appends: many small files
+        rows = with_partition_columns(fx.nav_s(spark, sf_small)).where(F.col("scheme_code").cast("int") % 3 == part)
+        nl.write_table(rows, nav, ["year", "month"], "append")
+    paths = {"nav": nav, "gone": scratch_path(spark, "gone")}
+    current, status = nl.compact_tables(spark, paths)
+    assert {r.table: r.status for r in status.collect()} == {"nav": "success", "gone": "skipped"}
+    assert current["gone"] == paths["gone"] and current["nav"] != nav
+    before, after = spark.read.parquet(nav), spark.read.parquet(current["nav"])
+    assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.select(before.columns).collect()))
+    assert len(after.inputFiles()) < len(before.inputFiles())
+    order = after.select("date", "scheme_code", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")).collect()
+    by_file = {}
+    for r in sorted(order, key=lambda r: r.i):
+        by_file.setdefault(r.f, []).append((r.date, r.scheme_code))
+    assert all(v == sorted(v) for v in by_file.values())
+    try:
+        nl.compact_tables(spark, paths, "unknown")
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("unknown table accepted")
+    assert [r.column_name for r in nl.table_schema(after).collect()] == after.columns
+
+
 def test_compact_keeps_rows_and_profile(spark, sf_small):
     from navlib.operators.master import with_partition_columns
 

@@ -34,18 +34,15 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     bench.SF_DIR = sf_dir
     spark = local_session(8, 16, app="navlib-plans")
-    spark.conf.set("navlib.uniqueKeys", "true")
     tables = bench.store_views(spark)
     lines = [
         "# PLANS — physical-plan shape per operator",
         "",
-        f"Generated by `tools/plan_report.py` over stored views of `{sf_dir}` (NAV partitioned by year/month,",
-        "`navlib.uniqueKeys=true` as for tables written by `ingest_nav`; without it the returns-based",
-        "operators add one map-side-combined aggregate and its exchange). Columns: exchanges in the main",
-        "plan; distinct scalar subqueries (planned apart, each run once: AQE reuses identical ones and",
-        "merges those over the same plan); Python evaluation nodes (only the annualising C `pow` on",
-        "aggregated rows); whether partition / pushed filters reach the scan; broadcast nodes (chosen by",
-        "Catalyst's size threshold, or explicit over bounded sides).",
+        f"Generated by `tools/plan_report.py` over stored views of `{sf_dir}` (NAV partitioned by year/month).",
+        "Columns: exchanges in the main plan; distinct scalar subqueries (planned apart, each run once: AQE",
+        "reuses identical ones and merges those over the same plan); Python nodes; whether partition / pushed",
+        "filters reach the scan; broadcast nodes (chosen by Catalyst's size threshold, or explicit over",
+        "bounded sides).",
         "",
         "| operator | exchanges | scalar subqueries | python | partition filters | pushed filters | broadcast |",
         "|---|---|---|---|---|---|---|",
