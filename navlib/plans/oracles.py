@@ -165,6 +165,44 @@ off AS (SELECT * FROM cm WHERE scheme1 <> scheme2 AND rho IS NOT NULL),
 stats AS (SELECT COUNT(*) AS n, AVG(rho) AS mean_rho, MAX(rho) AS max_rho, MIN(rho) AS min_rho FROM off)"""
 
 
+def _volatility_regime(view: str) -> str:
+    return f"""{_vol_base(view)},
+v AS (SELECT scheme_code, STDDEV_SAMP(r) * SQRT(252) AS vol FROM a GROUP BY scheme_code),
+c AS (SELECT scheme_code, vol,
+        CASE WHEN vol < 0.10 THEN 'Low Volatility' WHEN vol < 0.20 THEN 'Moderate Volatility'
+             WHEN vol < 0.35 THEN 'High Volatility' ELSE 'Very High Volatility' END AS regime FROM v)
+SELECT scheme_code, regime,
+       CASE WHEN vol < 0.15 THEN 'Low' WHEN vol < 0.25 THEN 'Medium' ELSE 'High' END AS risk_level,
+       'This scheme has ' || lower(regime) || ' with annualized volatility of ' || CAST(ROUND(vol * 100, 1) AS VARCHAR) || '%'
+         AS interpretation
+FROM c"""
+
+
+def _notable_pairs(view: str) -> str:
+    return f"""{_corr_base(view)}
+SELECT scheme1, a1.scheme_name AS scheme1_name, scheme2, a2.scheme_name AS scheme2_name, ROUND(rho, 4) AS correlation,
+       CASE WHEN rho > 0.8 THEN 'high' ELSE 'low' END AS kind
+FROM cm JOIN avail a1 ON a1.scheme_code = scheme1 JOIN avail a2 ON a2.scheme_code = scheme2
+WHERE scheme1 < scheme2 AND (rho > 0.8 OR ABS(rho) < 0.3)"""
+
+
+def _correlation_statistics(view: str) -> str:
+    return f"""{_corr_base(view)}
+SELECT ROUND(mean_rho, 4) AS average_correlation, ROUND(max_rho, 4) AS highest_correlation,
+       ROUND(min_rho, 4) AS lowest_correlation, GREATEST(0.0, ROUND((1 - mean_rho) * 100, 1)) AS diversification_score
+FROM stats WHERE n > 0"""
+
+
+def _diversification_insights(view: str) -> str:
+    return f"""{_corr_base(view)},
+hi AS (SELECT COUNT(*) AS n_high FROM cm WHERE scheme1 < scheme2 AND rho > 0.8),
+sc AS (SELECT GREATEST(0.0, ROUND((1 - mean_rho) * 100, 1)) AS score FROM stats WHERE n > 0)
+SELECT CASE WHEN score > 70 THEN 'Excellent' WHEN score > 50 THEN 'Good' ELSE 'Poor' END AS portfolio_diversification,
+       CASE WHEN n_high > (SELECT COUNT(*) FROM valid) THEN 'High' WHEN n_high > 2 THEN 'Medium' ELSE 'Low' END AS concentration_risk,
+       CASE WHEN n_high > 3 THEN 'Consider reducing highly correlated holdings' ELSE 'Well diversified portfolio' END AS recommendation
+FROM sc, hi"""
+
+
 # every scheme of the older master or of NAV, with its newest NAV
 _DIRECTORY = f"""WITH m AS (
   SELECT scheme_code, scheme_name, fund_house FROM (
@@ -528,19 +566,8 @@ SELECT scheme_code, ROUND(ANY_VALUE(q05) * 100, 2) AS var_95_percent,
 FROM q GROUP BY scheme_code""",
         "nav_p",
     ),
-    "volatility_regime": with_fixtures(
-        f"""{_vol_base('nav_p')},
-v AS (SELECT scheme_code, STDDEV_SAMP(r) * SQRT(252) AS vol FROM a GROUP BY scheme_code),
-c AS (SELECT scheme_code, vol,
-        CASE WHEN vol < 0.10 THEN 'Low Volatility' WHEN vol < 0.20 THEN 'Moderate Volatility'
-             WHEN vol < 0.35 THEN 'High Volatility' ELSE 'Very High Volatility' END AS regime FROM v)
-SELECT scheme_code, regime,
-       CASE WHEN vol < 0.15 THEN 'Low' WHEN vol < 0.25 THEN 'Medium' ELSE 'High' END AS risk_level,
-       'This scheme has ' || lower(regime) || ' with annualized volatility of ' || CAST(ROUND(vol * 100, 1) AS VARCHAR) || '%'
-         AS interpretation
-FROM c""",
-        "nav_p",
-    ),
+    "volatility_regime": with_fixtures(_volatility_regime("nav_p"), "nav_p"),
+    "volatility_regime_compounded": with_fixtures(_volatility_regime("nav_c"), "nav_c"),
     "extreme_returns": with_fixtures(
         f"""{_anomaly_base('nav_s')}
 SELECT scheme_code, scheme_name, date, ROUND(nav, 4) AS nav, ROUND(r * 100, 2) AS daily_return,
@@ -620,29 +647,10 @@ FROM c LEFT JOIN avail USING (scheme_code)""",
 SELECT scheme1, scheme2, ROUND(rho, 4) AS correlation, overlap_days FROM cm""",
         "nav_t",
     ),
-    "notable_pairs": with_fixtures(
-        f"""{_corr_base('nav_t')}
-SELECT scheme1, a1.scheme_name AS scheme1_name, scheme2, a2.scheme_name AS scheme2_name, ROUND(rho, 4) AS correlation,
-       CASE WHEN rho > 0.8 THEN 'high' ELSE 'low' END AS kind
-FROM cm JOIN avail a1 ON a1.scheme_code = scheme1 JOIN avail a2 ON a2.scheme_code = scheme2
-WHERE scheme1 < scheme2 AND (rho > 0.8 OR ABS(rho) < 0.3)""",
-        "nav_t",
-    ),
-    "correlation_statistics": with_fixtures(
-        f"""{_corr_base('nav_t')}
-SELECT ROUND(mean_rho, 4) AS average_correlation, ROUND(max_rho, 4) AS highest_correlation,
-       ROUND(min_rho, 4) AS lowest_correlation, GREATEST(0.0, ROUND((1 - mean_rho) * 100, 1)) AS diversification_score
-FROM stats WHERE n > 0""",
-        "nav_t",
-    ),
-    "diversification_insights": with_fixtures(
-        f"""{_corr_base('nav_t')},
-hi AS (SELECT COUNT(*) AS n_high FROM cm WHERE scheme1 < scheme2 AND rho > 0.8),
-sc AS (SELECT GREATEST(0.0, ROUND((1 - mean_rho) * 100, 1)) AS score FROM stats WHERE n > 0)
-SELECT CASE WHEN score > 70 THEN 'Excellent' WHEN score > 50 THEN 'Good' ELSE 'Poor' END AS portfolio_diversification,
-       CASE WHEN n_high > (SELECT COUNT(*) FROM valid) THEN 'High' WHEN n_high > 2 THEN 'Medium' ELSE 'Low' END AS concentration_risk,
-       CASE WHEN n_high > 3 THEN 'Consider reducing highly correlated holdings' ELSE 'Well diversified portfolio' END AS recommendation
-FROM sc, hi""",
-        "nav_t",
-    ),
+    "notable_pairs": with_fixtures(_notable_pairs("nav_t"), "nav_t"),
+    "notable_pairs_compounded": with_fixtures(_notable_pairs("nav_m"), "nav_m"),
+    "correlation_statistics": with_fixtures(_correlation_statistics("nav_t"), "nav_t"),
+    "correlation_statistics_compounded": with_fixtures(_correlation_statistics("nav_m"), "nav_m"),
+    "diversification_insights": with_fixtures(_diversification_insights("nav_t"), "nav_t"),
+    "diversification_insights_compounded": with_fixtures(_diversification_insights("nav_m"), "nav_m"),
 }

@@ -189,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "risk_statistics": lambda s, d: nl.risk_statistics(fx.nav_p(s, d)),
     "value_at_risk": lambda s, d: nl.value_at_risk(fx.nav_p(s, d)),
     "volatility_regime": lambda s, d: nl.volatility_regime(fx.nav_p(s, d)),
+    "volatility_regime_compounded": lambda s, d: nl.volatility_regime(fx.nav_c(s, d)),
     # anomalies
     "extreme_returns": lambda s, d: nl.extreme_returns(fx.nav_s(s, d)),
     "extreme_returns_by_scheme": lambda s, d: nl.extreme_returns(fx.nav_s(s, d), scope="scheme"),
@@ -203,6 +204,9 @@ QUERIES: dict[str, Query] = {
     "data_availability": lambda s, d: nl.data_availability(fx.nav_t(s, d), **_corr_args()),
     "correlation_matrix": lambda s, d: nl.correlation_matrix(fx.nav_t(s, d), **_corr_args()),
     "notable_pairs": lambda s, d: nl.notable_pairs(fx.nav_t(s, d), **_corr_args()),
+    "notable_pairs_compounded": lambda s, d: nl.notable_pairs(fx.nav_m(s, d), **_corr_args()),
     "correlation_statistics": lambda s, d: nl.correlation_statistics(fx.nav_t(s, d), **_corr_args()),
+    "correlation_statistics_compounded": lambda s, d: nl.correlation_statistics(fx.nav_m(s, d), **_corr_args()),
     "diversification_insights": lambda s, d: nl.diversification_insights(fx.nav_t(s, d), **_corr_args()),
+    "diversification_insights_compounded": lambda s, d: nl.diversification_insights(fx.nav_m(s, d), **_corr_args()),
 }

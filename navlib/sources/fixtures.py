@@ -8,7 +8,7 @@ doubles because the NAV is an exact decimal sum divided by a count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The new-name date for the renamed-schemes master and the refresh date of the
@@ -95,6 +95,32 @@ def nav_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _step() -> Column:
+    # a whole number from -20 to 20, the same in Spark and DuckDB
+    return F.floor(F.col("nav") * 100) % 41 - 20
+
+
+def _path(start: Column, step: Column) -> Column:
+    """A price that compounds: a start and a running sum of whole steps, so that both engines agree to the bit."""
+    running = Window.partitionBy("scheme_code").orderBy("date")
+    return (F.greatest(start + F.sum(step).over(running), F.lit(50)).cast("double") / 10).alias("nav")
+
+
+def nav_c(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nav_s as compounded series: the start price, and so the volatility, depends on the code."""
+    start = F.lit(400) * (1 + (F.col("scheme_code").cast("bigint") % 7) * (F.col("scheme_code").cast("bigint") % 7))
+    return nav_s(spark, sf_dir).select("scheme_code", "scheme_name", "fund_house", "date", _path(start, _step()))
+
+
+def nav_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nav_t as compounded series that share a market step, by code length: market only, both, own only."""
+    nav = nav_t(spark, sf_dir)
+    market = nav.groupBy("date").agg((F.sum(F.floor(F.col("nav") * 100)) % 41 - 20).alias("market"))
+    kind = F.length("scheme_code") % 3
+    step = F.when(kind == 0, F.col("market")).when(kind == 1, F.col("market") * 2 + _step()).otherwise(_step())
+    return nav.join(market, "date").select("scheme_code", "scheme_name", "fund_house", "date", _path(F.lit(20000), step))
+
+
 def nav_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem row, with duplicates, bad codes, null names/NAVs and load ids."""
     li = table(spark, sf_dir, "lineitem")
@@ -181,6 +207,8 @@ BUILDERS = {
     "nav_s": nav_s,
     "nav_p": nav_p,
     "nav_t": nav_t,
+    "nav_c": nav_c,
+    "nav_m": nav_m,
     "nav_ticks": nav_ticks,
     "master_p": master_p,
     "master_renamed": master_renamed,
@@ -224,6 +252,17 @@ SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS scheme_code,
        CASE WHEN CAST(l_shipdate AS DATE) < DATE '{RENAME_DATE}' THEN p_name ELSE CONCAT(p_name, ' ', p_type) END AS scheme_name,
        p_brand AS fund_house
 FROM lineitem JOIN part ON p_partkey = l_partkey""",
+    "nav_c": """
+SELECT scheme_code, scheme_name, fund_house, date,
+       CAST(GREATEST(400 * (1 + (CAST(scheme_code AS BIGINT) % 7) * (CAST(scheme_code AS BIGINT) % 7))
+            + SUM(CAST(FLOOR(nav * 100) AS BIGINT) % 41 - 20) OVER (PARTITION BY scheme_code ORDER BY date), 50) AS DOUBLE) / 10 AS nav
+FROM nav_s""",
+    "nav_m": """
+SELECT scheme_code, scheme_name, fund_house, date,
+       CAST(GREATEST(20000 + SUM(CASE WHEN length(scheme_code) % 3 = 0 THEN market WHEN length(scheme_code) % 3 = 1 THEN market * 2 + own ELSE own END)
+            OVER (PARTITION BY scheme_code ORDER BY date), 50) AS DOUBLE) / 10 AS nav
+FROM (SELECT *, CAST(FLOOR(nav * 100) AS BIGINT) % 41 - 20 AS own,
+             CAST(SUM(CAST(FLOOR(nav * 100) AS BIGINT)) OVER (PARTITION BY date) AS BIGINT) % 41 - 20 AS market FROM nav_t)""",
     "nav_stale": """
 SELECT scheme_code, scheme_name, fund_house, date, CAST(FLOOR(nav / 2500) + 1 AS DOUBLE) AS nav FROM nav_s""",
 }
@@ -233,8 +272,9 @@ def with_fixtures(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the fixture views it uses, as CTEs (dependencies first)."""
     order = []
     for name in names:
-        if name == "nav_stale" and "nav_s" not in order:
-            order.append("nav_s")
+        base = {"nav_stale": "nav_s", "nav_c": "nav_s", "nav_m": "nav_t"}.get(name)
+        if base and base not in order:
+            order.append(base)
         if name not in order:
             order.append(name)
     ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n]}\n)" for n in order)

@@ -116,3 +116,13 @@ def test_lookups_know_nav_only_schemes(spark):
     assert [r[0] for r in nl.fund_houses(master, nav).collect()] == ["H", "House"]
     assert nl.schemes_by_fund_house(master, "house").collect()[0].nav is None
     assert [r.scheme_code for r in nl.schemes_by_category(master, "NAME", nav).collect()] == ["2"]
+
+
+def test_compounded_views_reach_every_branch(spark):
+    from navlib.plans.registry import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    regimes = {(r.regime, r.risk_level) for r in QUERIES["volatility_regime_compounded"](spark, sf).collect()}
+    assert {r for r, _ in regimes} == {"Low Volatility", "Moderate Volatility", "High Volatility", "Very High Volatility"}
+    assert {level for _, level in regimes} == {"Low", "Medium", "High"}
+    assert {r.kind for r in QUERIES["notable_pairs_compounded"](spark, sf).collect()} == {"high", "low"}
