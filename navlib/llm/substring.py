@@ -158,7 +158,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SE
     )
     segments = keyed.mapInArrow(_segments(window, seed, True), "seed bigint, segment bigint, doc bigint, tag bigint")
     known = stored(segments.join(repeated, "seed"))
-    firsts = known.groupBy("segment").agg(F.min("doc").alias("segment_doc"))
+    # stored, like every sum that is joined back: only a join of two shuffles can split a hot key
+    firsts = stored(known.groupBy("segment").agg(F.min("doc").alias("segment_doc")))
     known = stored(known.join(firsts, "segment").drop("segment"))
     place = (
         F.col("doc"),
@@ -168,7 +169,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SE
     )
     settled = known.where("segment_doc < doc").select(*place)
     first = known.where("segment_doc = doc")
-    open_seeds = first.groupBy("seed").agg(F.max(F.col("seed_doc") < F.col("doc")).alias("open")).where("open").select("seed")
+    open_seeds = stored(first.groupBy("seed").agg(F.max(F.col("seed_doc") < F.col("doc")).alias("open")).where("open").select("seed"))
     late = F.when(F.col("seed_doc") < F.col("doc"), F.lit(1 << 32)).otherwise(F.lit(0))
     listed = (
         first.join(open_seeds, "seed")
@@ -182,7 +183,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SE
         .select("doc", "crc", "text", "tags")
         .mapInArrow(_windows(window), "hash bigint, doc bigint, crc bigint, pos bigint, late boolean")
     )
-    least = windows.groupBy("hash").agg(F.min("doc").alias("least"))
+    least = stored(windows.groupBy("hash").agg(F.min("doc").alias("least")))
     single = windows.where("late").join(least, "hash").where("least < doc").select("doc", "crc", "pos", F.lit(1).cast("bigint").alias("size"))
     return settled.unionByName(single)
 
