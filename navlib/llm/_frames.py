@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from navlib.session import ensure_checkpoint_dir
 
@@ -32,6 +33,11 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     return positional(df).select(*[F.col(f"c{names.index(name)}").alias(new) for new, name in wanted.items()])
 
 
+def and_fields(df: DataFrame, more: str) -> StructType:
+    """Schema of ``df`` with the fields of a DDL string after its own."""
+    return StructType(df.schema.fields + StructType.fromDDL(more).fields)
+
+
 def replace_columns(df: DataFrame, source: DataFrame, changed: dict[str, str]) -> DataFrame:
     """Columns of ``source`` (present in ``df`` as c0, c1, …), some replaced by other columns of ``df``."""
     names = source.columns

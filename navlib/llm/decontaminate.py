@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navlib.llm._frames import pick, positional, replace_columns, stored
+from navlib.llm._frames import and_fields, pick, positional, replace_columns, stored
 from navlib.llm._words import ALNUM, LOWER, chunks, find_words, hash_spans, row_of, window_hashes, window_starts
 
 WINDOW_WORDS = 10
@@ -141,14 +141,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> D
     numbered = windows.withColumn("slice", F.pmod(F.xxhash64("item", "words"), F.lit(slices)))
     text = f"c{docs.columns.index('text')}"
     base = positional(docs)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
+    schema = and_fields(base, _MARKS)
     out = base
     for k in range(slices):
         rows = numbered.where(F.col("slice") == k).select("item", "words").toArrow()
         shared = docs.sparkSession.sparkContext.broadcast(rows)
         if k:
             out = stored(out)
-        out = out.mapInArrow(_scan(shared, text, k > 0), f"{fields}, {_MARKS}")
+        out = out.mapInArrow(_scan(shared, text, k > 0), schema)
     return out
 
 
@@ -187,8 +187,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "document",
     if mode != "span":
         raise ValueError(f"unknown mode {mode!r}")
     base = marked.drop("n_words", "n_hit", "items")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[:-1])
-    cut = base.mapInArrow(_cutter(docs.columns.index("text")), f"{fields}, cut string")
+    cut = base.mapInArrow(_cutter(docs.columns.index("text")), and_fields(base.drop("spans"), "cut string"))
     return replace_columns(cut.withColumn("cut_chars", F.length("cut").cast("bigint")), docs, {"text": "cut", "n_chars": "cut_chars"})
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navlib.llm._frames import pick, positional, replace_columns, small_side, stored
+from navlib.llm._frames import and_fields, pick, positional, replace_columns, small_side, stored
 from navlib.llm._words import chunks
 
 ORDER = 5
@@ -233,8 +233,7 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
     if model.limit(MODEL_ROWS + 1).count() > MODEL_ROWS:
         return _score_by_join(base, doc_id, text, model, order)
     shared = docs.sparkSession.sparkContext.broadcast(model.toArrow())  # plain data: executors build the lookup
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return base.mapInArrow(_score(shared, text, order), f"{fields}, cost bigint, n_bytes bigint")
+    return base.mapInArrow(_score(shared, text, order), and_fields(base, "cost bigint, n_bytes bigint"))
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

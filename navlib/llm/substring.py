@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navlib.llm._frames import pick, positional, replace_columns, stored
+from navlib.llm._frames import and_fields, pick, positional, replace_columns, stored
 from navlib.llm._words import NONSPACE, chunks, find_words, hash_spans, mix, row_of, window_hashes, window_starts
 
 WINDOW_WORDS = 13
@@ -115,8 +115,7 @@ def _with_crc(keyed: DataFrame, text: str = "text") -> DataFrame:
             for part, data, offsets in chunks(batch, text):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_texts_crc(part, data, offsets))], [*part.schema.names, "crc"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields)
-    return keyed.mapInArrow(run, f"{fields}, crc bigint")
+    return keyed.mapInArrow(run, and_fields(keyed, "crc bigint"))
 
 
 def _windows(window: int):
@@ -235,12 +234,10 @@ def remove_substrings(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = S
     )
     base = positional(docs)
     text, doc = (f"c{docs.columns.index(n)}" for n in ("text", "doc_id"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     keyed = _with_crc(base.withColumn("doc", F.coalesce(F.col(doc).cast("bigint"), F.lit(_LAST))), text)
     joined = keyed.join(runs, ["doc", "crc"], "left").select(*base.columns, "runs")
-    return joined.mapInArrow(
-        _remove(window, text), f"{fields}, n_words bigint, n_removed bigint, kept string, removed array<struct<start:bigint,end:bigint>>"
-    )
+    made = "n_words bigint, n_removed bigint, kept string, removed array<struct<start:bigint,end:bigint>>"
+    return joined.mapInArrow(_remove(window, text), and_fields(base, made))
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:

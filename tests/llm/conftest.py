@@ -49,6 +49,6 @@ def extra(spark):
 
         for name in ("text2", "n_words", "doc", "host", "c0", "id", "kept", "items", "cut", "hash", "a"):
             df = df.withColumn(name, F.lit(name))
-        return df
+        return df.withColumn("odd name", F.struct(F.lit(1).alias("a b"), F.array(F.lit("x")).alias("c-d")))
 
     return add
