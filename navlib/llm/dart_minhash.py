@@ -17,9 +17,9 @@ probability 5e-5).  No bucket emits its pairs: each member meets the bucket's
 leader, the member that shares most buckets with others, and then, where
 members are still in different classes, a second leader.  Pairs are checked by
 their exact similarity; links form classes (connected components).  What is
-left, members of one bucket in different classes, is settled exactly: a
-member is compared with another only if the number of its elements that occur
-in other classes allows a link; that bound leaves few.
+left, members of one bucket in different classes, is settled exactly: members
+whose elements occur in other classes often enough for a link are compared
+with each other, in blocks that give links and no pairs.
 
 Defined cases: null and empty texts are equal texts without elements, their
 documents form one class; class_id is the smallest doc_id of the class, null
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ BANDS = 25
 BAND_ROWS = 5
 COORDINATES = BANDS * BAND_ROWS
 BROADCAST_NODES = 500_000
+BLOCK_ROWS = 256
+BLOCK_ELEMENTS = 500_000
 
 _NO_ID = -(1 << 63)
 
@@ -164,12 +167,6 @@ def _element_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([part.column("node"), sets], ["node", "set"])
 
 
-def _bound(a: Column, b: Column, common: Column) -> Column:
-    """Could two sets of these sizes with at most ``common`` elements in common be linked?"""
-    common = F.least(common, a, b)
-    return common >= F.lit(THRESHOLD) * (a + b - common)
-
-
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) of the pairs whose similarity is at least THRESHOLD.  ``pairs`` has a and b."""
     left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
@@ -186,19 +183,16 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     label, so that chains shrink by halves; every step is stored.
     """
     both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(nodes.select("node", F.col("node").alias("class")))
+    labels, mark = nodes.select("node", F.col("node").alias("class")), None
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "class"), "b").select(F.col("a").alias("node"), "class")
-        least = near.unionByName(labels).groupBy("node").agg(F.min("class").alias("class"))
+        least = stored(near.unionByName(labels).groupBy("node").agg(F.min("class").alias("class")))
         up = least.select(F.col("node").alias("n"), F.col("class").alias("c"))
-        new = stored(
-            least.join(up, F.col("class") == F.col("n"))
-            .select("node", F.col("c").alias("class"))
-            .join(labels.select("node", F.col("class").alias("was")), "node")
-        )
-        if new.where("class <> was").limit(1).count() == 0:
-            return new.drop("was")
-        labels = new.drop("was")
+        labels = stored(least.join(up, F.col("class") == F.col("n")).select("node", F.col("c").alias("class")))
+        # labels only ever fall, so an equal sum of their hashes means that none did
+        before, mark = mark, labels.agg(F.sum(F.xxhash64("node", "class").cast("decimal(38,0)"))).first()[0]
+        if mark == before:
+            return labels
 
 
 def _candidates(keyed: DataFrame) -> DataFrame:
@@ -237,8 +231,8 @@ def _second_leader_pairs(rest: DataFrame) -> DataFrame:
     return rest.join(second, "band").where(F.col("class") != F.col("other")).select(F.col("node").alias("a"), "b").distinct()
 
 
-def _last_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): all pairs of a bucket in different classes that may be linked.
+def _open_rows(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """(band, node, class, size): members that may still be linked to a member of their bucket in another class.
 
     A node's elements that occur in other classes bound what it can have in
     common with a node there.
@@ -248,12 +242,64 @@ def _last_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
     span = each.groupBy("element").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     shared = stored(span.where("low <> high").select("element"))
     common = each.join(shared, "element").groupBy("node").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("common"))
-    may = common.where(F.col("common") >= F.lit(THRESHOLD) * F.col("size"))
-    rows = _in_mixed_buckets(rest.join(may, "node").select("band", "node", "class", "size", "common"))
-    other = rows.toDF("band", "b", "other", "b_size", "b_common")
-    differ = (F.col("node") < F.col("b")) & (F.col("class") != F.col("other"))
-    possible = _bound(F.col("size"), F.col("b_size"), F.least("common", "b_common"))
-    return rows.join(other, (rows["band"] == other["band"]) & differ & possible).select(F.col("node").alias("a"), "b").distinct()
+    may = common.where(F.col("common") >= F.lit(THRESHOLD) * F.col("size")).drop("common")
+    return _in_mixed_buckets(rest.join(may, "node").select("band", "node", "class", "size"))
+
+
+def _block_links(key: tuple, rows: pa.Table) -> pa.Table:
+    """(a, b): for each right row and class of left rows, one link between them, if there is any."""
+    left, right = (rows.filter(pc.equal(rows["side"], s)).combine_chunks() for s in (0, 1))
+    out_a, out_b = [], []
+    if left.num_rows and right.num_rows:
+        sets = left["set"].combine_chunks()
+        size = sets.value_lengths().to_numpy()
+        values, owner = sets.flatten().to_numpy(), np.repeat(np.arange(len(size)), size)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        classes = left["class"].to_pylist()
+        for i in range(right.num_rows):
+            own = right["set"][i].values.to_numpy()
+            low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+            n = high - low
+            places = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+            common = np.bincount(owner[places], minlength=len(size))
+            linked = np.flatnonzero(common >= THRESHOLD * (size + len(own) - common))
+            for k in {classes[k]: k for k in linked.tolist() if classes[k] != right["class"][i].as_py()}.values():
+                out_a.append(left["node"][k].as_py())
+                out_b.append(right["node"][i].as_py())
+    return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+
+
+def _last_links(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between members of a bucket in different classes, by comparing all that may be linked.
+
+    Of two classes at most one is the bucket's largest, so it is enough to
+    compare each member with those outside the largest class.  Both sides are
+    cut into blocks of about ``BLOCK_ROWS`` rows or ``BLOCK_ELEMENTS``
+    elements; a task compares two blocks and gives links only, so no bucket
+    comes together in one task and no pairs are written.
+    """
+    rows = _open_rows(rest, sets)
+    counts = rows.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("elements"))
+    total = counts.groupBy("band").agg(F.max(F.struct("n", "class", "elements")).alias("top"), F.sum("n").alias("n"), F.sum("elements").alias("elements"))
+    blocks = lambda n, elements: F.ceil(F.greatest(n / BLOCK_ROWS, elements / BLOCK_ELEMENTS, F.lit(1.0))).cast("int")
+    total = stored(
+        total.select(
+            "band",
+            F.col("top.class").alias("largest"),
+            blocks(F.col("n"), F.col("elements")).alias("left"),
+            blocks(F.col("n") - F.col("top.n"), F.col("elements") - F.col("top.elements")).alias("right"),
+        )
+    )
+    rows = rows.join(total, "band").join(sets, "node")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.select("band", own("left").alias("i"), every("right").alias("j"), F.lit(0).alias("side"), "node", "class", "set")
+    right = rows.where(F.col("class") != F.col("largest")).select(
+        "band", every("left").alias("i"), own("right").alias("j"), F.lit(1).alias("side"), "node", "class", "set"
+    )
+    found = left.unionByName(right).groupBy("band", "i", "j").applyInArrow(_block_links, "a binary, b binary")
+    return found.distinct()
 
 
 def _id(doc_id: str = "doc_id") -> Column:
@@ -272,12 +318,12 @@ def node_classes(keyed: DataFrame) -> DataFrame:
     sets = stored(one.mapInArrow(_element_sets, "node binary, set array<bigint>").dropDuplicates(["node"]))
 
     links = stored(_links(_leader_pairs(members), sets))
-    for pairs in (lambda rest: _second_leader_pairs(rest), lambda rest: _last_pairs(rest, sets)):
+    for more in (lambda rest: _links(_second_leader_pairs(rest), sets), lambda rest: _last_links(rest, sets)):
         classes = components(nodes, links)
         rest = _unsettled(members, classes)
         if rest.limit(1).count() == 0:
             return classes
-        links = stored(links.unionByName(_links(pairs(rest), sets)))
+        links = stored(links.unionByName(more(rest)))
     return components(nodes, links)
 
 

@@ -82,8 +82,10 @@ def test_classes_match_brute_force(make_docs, odd_texts, extra):
     assert sorted(map(tuple, rows.collect()), key=repr) == brute_classes(docs)
 
 
-def test_large_group_of_near_copies(make_docs):
+@pytest.mark.parametrize("block_rows", [256, 16])
+def test_large_group_of_near_copies(make_docs, monkeypatch, block_rows):
     """Copies at 0.5 to 1 of each other: links between copies that are far from the leader count too."""
+    monkeypatch.setattr(D, "BLOCK_ROWS", block_rows)
     rng = random.Random(3)
     docs = list(enumerate(near_copies(rng, 150, [rng.randint(0, 12) for _ in range(250)])))
     got = sorted(map(tuple, D.near_duplicates(make_docs(docs)).collect()), key=repr)
