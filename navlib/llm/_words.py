@@ -55,12 +55,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of whole rows of about CHUNK_BYTES with (bytes, offsets) of the text column."""
+def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of whole rows of about ``size`` bytes with (bytes, offsets) of the text column."""
     data, offsets = text_bytes(batch.column(column))
     at = 0
     while at < batch.num_rows:
-        end = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
         end = min(max(end, at + 1), batch.num_rows)
         yield batch.slice(at, end - at), data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end

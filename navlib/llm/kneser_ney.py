@@ -49,7 +49,8 @@ BROADCAST_TRUSTED = 2_000_000
 
 _UNIT = 1_000_000  # log probabilities are kept as whole millionths
 _STEP = _UNIT // 1000
-_HELD_GRAMS = 4_000_000
+_HELD_GRAMS = 1_000_000
+_CHUNK = 1 << 20  # bytes at a time; each takes about 60 bytes of memory
 _NO_ID = -(1 << 63)
 
 
@@ -73,7 +74,7 @@ def _count(order: int):
 
         held: list = []
         for batch in batches:
-            for _, data, offsets in chunks(batch):
+            for _, data, offsets in chunks(batch, size=_CHUNK):
                 held.append(np.unique(_grams(data, offsets, order), return_counts=True))
                 if sum(len(p[0]) for p in held) > _HELD_GRAMS:
                     held = [summed(held)]
@@ -172,7 +173,7 @@ def _score(model, column: str, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _Lookup(model.value, order)
         for batch in batches:
-            for part, data, offsets in chunks(batch, column):
+            for part, data, offsets in chunks(batch, column, _CHUNK):
                 grams, back = np.unique(_grams(data, offsets, order), return_inverse=True)
                 sums = np.concatenate([[0], np.cumsum(lookup.cost(grams)[back])])
                 yield pa.RecordBatch.from_arrays(
@@ -186,7 +187,7 @@ def _score(model, column: str, order: int):
 def _row_grams(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in chunks(batch):
+            for part, data, offsets in chunks(batch, size=_CHUNK):
                 grams = _grams(data, offsets, order)
                 for row in range(part.num_rows):
                     gram, n = np.unique(grams[offsets[row] : offsets[row + 1]], return_counts=True)
