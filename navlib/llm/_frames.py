@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -11,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from navlib.session import ensure_checkpoint_dir
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,21 +50,38 @@ def replace_columns(df: DataFrame, source: DataFrame, changed: dict[str, str]) -
 
 
 @contextmanager
-def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
-    """Jobs inside drop their shuffle files when they end (their result is stored elsewhere)."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def shuffle_cleanup(spark: SparkSession):
+    """Jobs inside drop their shuffle files when they end (their result is stored elsewhere)."""
+    return settings(spark, _CLEANUP)
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the cluster's checkpoint folder, its shuffle files removed."""
-    ensure_checkpoint_dir(df.sparkSession)
-    with shuffle_cleanup(df.sparkSession):
-        return df.select("*").checkpoint(eager=True)  # a frame takes the setting up when it is made
+    """``df`` written as a table in the cluster's checkpoint folder and read again, its shuffle files removed.
+
+    A checkpointed frame would keep the size that its plan was estimated at,
+    and a join multiplies such sizes, so that in a loop of joins they grow
+    to numbers of millions of digits.  A table has the size of its files.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    with shuffle_cleanup(spark):
+        df.select("*").write.parquet(path)  # a frame takes the setting up when it is made
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:

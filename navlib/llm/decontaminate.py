@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from navlib.llm._frames import and_fields, pick, positional, replace_columns, stored
 from navlib.llm._words import ALNUM, LOWER, chunks, find_words, hash_spans, row_of, window_hashes, window_starts
+from navlib.session import checkpointed
 
 WINDOW_WORDS = 10
 SLICE_WINDOWS = 200_000
@@ -147,7 +148,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> D
         rows = numbered.where(F.col("slice") == k).select("item", "words").toArrow()
         shared = docs.sparkSession.sparkContext.broadcast(rows)
         if k:
-            out = stored(out)
+            out = checkpointed(out)
         out = out.mapInArrow(_scan(shared, text, k > 0), schema)
     return out
 
