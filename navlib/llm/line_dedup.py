@@ -11,8 +11,8 @@ one row per line and task.  What is joined back is at most
 else shuffled, where adaptive execution splits a hot host.
 
 Defined cases: null text stays null; blank lines are kept and not counted;
-pages of a null host are left as they are; repeated rows count as pages each;
-a page may end up empty, its row stays.
+pages of a null host are left as they are; repeated rows count as one page, and
+so do a host's null texts; a page may end up empty, its row stays.
 """
 
 from __future__ import annotations
@@ -28,23 +28,28 @@ MIN_PAGES = 5
 BROADCAST_HOSTS = 2_000
 
 
+def _two(text: Column) -> Column:
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(7)).alias("b"))
+
+
 def _hash(line: Column) -> Column:
-    line = F.trim(line)
-    return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(line, F.lit(7)).alias("b"))
+    return _two(F.trim(line))
 
 
 def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, a, b, pages, host_pages): hashes of the lines above the ratio.  ``pages`` has host and text."""
     hosts = pages.where(F.col("host").isNotNull())
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    distinct = hosts.select("host", _two(F.col("text")).alias("page"), F.array_distinct(F.transform(lines, _hash)).alias("lines"))
     counts = (
-        hosts.where(F.col("text").isNotNull())
-        .select("host", F.explode(F.array_distinct(F.transform(lines, _hash))).alias("line"))
+        distinct.where(F.col("lines").isNotNull())
+        .dropDuplicates(["host", "page"])
+        .select("host", F.explode("lines").alias("line"))
         .groupBy("host", F.col("line.a").alias("a"), F.col("line.b").alias("b"))
         .agg(F.count(F.lit(1)).alias("pages"))
         .where(F.col("pages") >= min_pages)
     )
-    totals = hosts.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    totals = distinct.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     return counts.join(totals, "host").where(F.col("pages") > F.col("host_pages") * F.lit(ratio))
 
 

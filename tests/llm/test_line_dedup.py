@@ -22,6 +22,17 @@ def test_small_hosts_and_empty(make_docs):
     assert L.dropped_lines(docs.limit(0)).collect() == []
 
 
+def test_copies_are_one_page(make_docs):
+    """A group of copies holding a third of a host keeps its lines; the host's own lines go, from copies too."""
+    copy = "menu\nan article\nof two lines"
+    docs = make_docs([f"menu\nbody {i}" for i in range(20)] + [copy] * 10)
+    got = {r.doc_id: r.text for r in L.drop_boilerplate_lines(docs).collect()}
+    assert got == {**{i: f"body {i}" for i in range(20)}, **{20 + i: "an article\nof two lines" for i in range(10)}}
+    # copies don't thin out the host's lines either: foot is on 6 of 26 pages, and of 226 rows
+    docs = make_docs([f"foot\nbody {i}" if i < 6 else f"body {i}" for i in range(25)] + ["x"] * 201)
+    assert sum(r.n_dropped for r in L.dropped_lines(docs).collect()) == 6
+
+
 def test_shuffled_join_gives_the_same(spark, sf_small, monkeypatch):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     a = sorted(map(tuple, L.dropped_lines(docs, 0.02, 2).collect()))
