@@ -16,14 +16,17 @@ vocabulary's split pattern would give (checked against the tokenizer in
 tests), and the tokenizer sees each distinct piece once.  Pieces are told
 apart by 64-bit hashes of their bytes.
 
+Texts are split at the vocabulary file's added tokens first, as the tokenizer
+does: such a string gives its id, the parts between are tokenised each.
+
 Defined cases: null text counts as empty, so its document is the end id
-alone; special tokens' strings in a text are ordinary text; repeated rows are
-packed each; an empty table gives no pieces.
+alone; repeated rows are packed each; an empty table gives no pieces.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -132,11 +135,24 @@ def load_encoder(path: str):
     return tiktoken.Encoding("vocabulary", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
 
 
+def load_added(path: str) -> dict[bytes, int]:
+    """The ids of the vocabulary file's added tokens, longest first; they are found as plain strings."""
+    with open(path) as f:
+        tokens = json.load(f)["added_tokens"]
+    odd = [t["content"] for t in tokens if any(t.get(k) for k in ("single_word", "lstrip", "rstrip"))]
+    if odd:
+        raise ValueError(f"added tokens of {path} that are not plain strings: {odd}")
+    found = {t["content"].encode(): t["id"] for t in tokens if t["content"]}
+    return dict(sorted(found.items(), key=lambda x: -len(x[0])))
+
+
 class BatchTokenizer:
     """Ids of many texts; each distinct piece is encoded once and then kept."""
 
     def __init__(self, path: str):
         self.encoder = load_encoder(path)
+        self.added = load_added(path)
+        self.added_pattern = re.compile(b"|".join(map(re.escape, self.added))) if self.added else None
         self.pieces = Pieces()
         self._clear()
 
@@ -145,8 +161,29 @@ class BatchTokenizer:
         self.ids = array("I")
         self.ends = array("q", [0])
 
+    def encode_documents(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, but with added tokens by their ids."""
+        raw = data.tobytes()
+        found = []
+        if self.added_pattern is not None and self.added_pattern.search(raw):
+            rows = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+            found = [m for a, b in rows for m in self.added_pattern.finditer(raw, a, b)]
+        if not found:
+            return self.encode(data, offsets)
+        start = np.array([m.start() for m in found], np.int64)
+        borders = np.unique(np.concatenate([offsets, start, [m.end() for m in found]]))
+        ids, first = self.encode(data, borders)
+        # of a part that is an added token, the first id becomes the token's and the others go
+        keep = np.ones(len(ids), bool)
+        part = np.searchsorted(borders, start)
+        for a, b in zip(first[part].tolist(), first[part + 1].tolist(), strict=True):
+            keep[a + 1 : b] = False
+        ids[first[part]] = [self.added[m[0]] for m in found]
+        kept = np.concatenate([[0], np.cumsum(keep)])
+        return ids[keep], kept[first[np.searchsorted(borders, offsets)]]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all rows, one after the other; row offsets in them)."""
+        """(ids of all rows as ordinary text, one after the other; row offsets in them)."""
         at, first = self.pieces.split(data, offsets)
         if len(at) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
@@ -250,7 +287,7 @@ def _pack(path: str, window: int, end_id: int, flush: int, with_ids: bool):
 
         for batch in batches:
             for part, data, offsets in chunks(batch):
-                ids, first = tokenizer.encode(data, offsets)
+                ids, first = tokenizer.encode_documents(data, offsets)
                 full: list[tuple] = []
                 end = np.array([end_id], "<u4")
                 for doc_id, a, b in zip(part.column("doc_id").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):

@@ -61,6 +61,31 @@ def test_pieces_match_the_tokenizer(reference):
         assert ids[first[i] : first[i + 1]].tolist() == expected, texts[i]
 
 
+@pytest.fixture(scope="module")
+def unchanged():
+    """The tokenizer as its file gives it, which finds added tokens inside texts."""
+    t = Tokenizer.from_file(PATH)
+    return lambda texts: [e.ids for e in t.encode_batch(list(texts), add_special_tokens=False)]
+
+
+def test_added_tokens_match_the_tokenizer(unchanged):
+    rng = random.Random(3)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", "<", " ", "\n", "a", "don", "'t", "12", "日本", ""]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 8))) for _ in range(3000)]
+    texts += ["a<|endoftext|>b", "<|endoftext|>", "", "<|endof", "text|>", "a  <|endoftext|>  ", "'<|endoftext|>s"]
+    ids, first = P.BatchTokenizer(PATH).encode_documents(*text_bytes(pa.array(texts)))
+    assert len(first) == len(texts) + 1
+    for i, expected in enumerate(unchanged(texts)):
+        assert ids[first[i] : first[i + 1]].tolist() == expected, texts[i]
+    assert 50256 in ids
+
+
+def test_pack_with_added_tokens(make_docs, odd_texts, unchanged):
+    texts = [t if t is None or i % 2 else t[: len(t) // 2] + "<|endoftext|>" + t[len(t) // 2 :] for i, t in enumerate(odd_texts)]
+    docs = list(enumerate(texts)) + [(900, "x<|endoftext|>" * 3000)]
+    check(P.pack(make_docs(docs).repartition(3), PATH).collect(), docs, unchanged)
+
+
 def test_best_fit_decreasing_against_search():
     rng = random.Random(2)
     for window in (7, 64, 100):
