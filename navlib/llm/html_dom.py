@@ -14,11 +14,13 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 # Element kinds of HTML.
-RAW = frozenset("script style textarea title noscript iframe noframes noembed xmp template svg math object".split())
+RAW = frozenset("script style textarea title iframe noframes noembed".split())  # their text isn't shown
+FOREIGN = frozenset(("svg", "math"))  # '/>' ends an element inside
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\t\n\f\r />])", re.I) for tag in (*RAW, "xmp", *FOREIGN)}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSE_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header"
-    " hgroup hr main menu nav ol p pre search section table ul".split()
+    " hgroup hr main menu nav ol p pre search section table ul xmp".split()
 )
 BLOCK = CLOSE_P | frozenset(
     "html head body li dd dt dir center tr td th tbody thead tfoot caption option select optgroup button label legend summary"
@@ -65,7 +67,9 @@ def parse(page: str | None) -> list[Node]:
     """Nodes in page order, each after its parent; the first is the root.
 
     Missing end tags are implied where HTML implies them, end tags without a
-    start are ignored, and a page may break off anywhere.
+    start are ignored, and a page may break off anywhere.  Text of ``RAW``
+    elements is left out up to their end tag, that of xmp is taken as it stands;
+    math, svg, object, noscript and template are ordinary inline elements.
     """
     nodes = [Node(-1, "root", main=False)]
     if not page:
@@ -75,7 +79,21 @@ def parse(page: str | None) -> list[Node]:
     text: list[str] = []
     linked = links = 0
     at, size = 0, len(page)
-    lower = None
+    foreign = 0  # open svg and math elements
+    ends: dict[str, int] = {}
+
+    def end_of(tag: str) -> int:
+        """Place of the next end tag of ``tag``; the page's end without one."""
+        if ends.get(tag, -1) < at:
+            m = _RAW_END[tag].search(page, at)
+            ends[tag] = m.start() if m else size
+        return ends[tag]
+
+    def add(run: str) -> None:
+        nonlocal linked
+        text.append(run)
+        if links:
+            linked += len(run)
 
     def flush() -> None:
         nonlocal linked
@@ -105,23 +123,25 @@ def parse(page: str | None) -> list[Node]:
         while found and len(open_) > found:
             pop()
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         start = m.start()
-        if start < at:
-            continue  # inside raw text
         if start > at:
-            run = page[at:start]
-            text.append(run)
-            if links:
-                linked += len(run)
+            add(page[at:start])
         at = m.end()
         tag = m["tag"] or m["tag2"]
         if tag is None:
+            if foreign and page.startswith("<![CDATA[", start):
+                add(html.escape(m[0][9:].removesuffix("]]>"), quote=False))
             continue
         tag = tag.lower()
+        closed = foreign and page.endswith("/>", start, at)
         if m["end"] or m["end2"]:
             if tag == "a":
                 links = max(0, links - 1)
+            elif tag in FOREIGN:
+                foreign = max(0, foreign - 1)
+                if tag == "svg":
+                    text.append(" ")
             elif tag in BLOCK and count.get(tag):
                 flush()
                 k = len(open_) - 1
@@ -135,16 +155,21 @@ def parse(page: str | None) -> list[Node]:
                 flush()
             continue
         if tag in RAW:
-            if lower is None:
-                lower = page.lower() if len(page.lower()) == size else page
-            end = lower.find(f"</{tag}", at)
-            at = size if end < 0 else end
+            # inside svg and math such an element can't reach beyond them
+            if not foreign or not closed and end_of(tag) < min(end_of(t) for t in FOREIGN):
+                at = end_of(tag)
             text.append(" ")
             continue
-        if tag == "br":
+        if tag in FOREIGN:
+            if not page.endswith("/>", start, at):
+                foreign += 1
+            if tag == "svg":
+                text.append(" ")
+            continue
+        if tag == "br" or foreign and tag == "text":
             text.append(" ")
             continue
-        if tag == "a":
+        if tag == "a" and not closed:
             links += 1
         if tag not in BLOCK or tag in VOID:
             if tag == "hr":
@@ -152,6 +177,7 @@ def parse(page: str | None) -> list[Node]:
                 close({"p"}, BARRIER)
             continue
         flush()
+        foreign = 0  # HTML blocks end svg and math
         if tag in CLOSE_P:
             close({"p"}, BARRIER)
         if tag in ENDS:
@@ -161,9 +187,11 @@ def parse(page: str | None) -> list[Node]:
         nodes.append(Node(parent, tag, names, main=nodes[parent].main if main is None else main))
         open_.append((tag, len(nodes) - 1))
         count[tag] = count.get(tag, 0) + 1
+        if tag == "xmp":
+            end = end_of(tag)
+            add(html.escape(page[at:end], quote=False))
+            at = end
     if at < size:
-        text.append(page[at:])
-        if links:
-            linked += size - at
+        add(page[at:])
     flush()
     return nodes

@@ -26,6 +26,41 @@ def test_parse_like_a_browser():
     assert len(texts("<div>" * 20000 + "deep")) == 1
 
 
+def test_only_raw_elements_are_left_out():
+    assert texts("<p>so <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds</p>") == ["so E=m holds"]
+    assert texts("<p>a <math/> b <svg width='1'/> c</p><p>d</p>") == ["a b c", "d"]
+    assert texts("<p>a <math><mi>x<p>b</p><svg><path d='M0'>c<p>d</p>") == ["a x", "b", "c", "d"]
+    assert texts("<p>a</p><object data=x><p>fallback</p><p>b</p>") == ["a", "fallback", "b"]
+    assert texts("<p>a <noscript><img src=x>shown</noscript> b</p><noscript>c") == ["a shown b", "c"]
+    assert texts("<template><p>a</p><template>b</template></template><p>c") == ["a", "b", "c"]
+    assert texts("<p>a<xmp><b>x</b> &amp;</xmp>b") == ["a", "<b>x</b> &amp;", "b"]
+    assert texts("<iframe src=x>no frames</iframe><p>a<textarea>t</textarea>b") == ["a b"]
+    assert texts("<p><svg><title>icon</title><text>one</text><text>two</text></svg>b") == ["one two b"]
+    assert texts("<p>a<svg><style/><script href=x /><title>t</svg>b</p><title>x</title><p>c") == ["a t b", "c"]
+    assert texts("<p><math><mtext><![CDATA[x < y & z]]></mtext></math> a<![CDATA[no]]></p>") == ["x < y & z a"]
+
+
+def test_tokens_resume_at_the_end_of_raw_elements():
+    assert texts("<p>a<script>for(i=0;i<n;i++){}</script>b</p>") == ["a b"]
+    assert texts("<p>a</p><script>if(i<n)s='it\"s'</script><p>b \"c\"</p><p>d</p>") == ["a", 'b "c"', "d"]
+    assert texts("<script>x='<!-- '</script><p>a</p><style>/* <p */</STYLE ><p>b</p>") == ["a", "b"]
+    assert texts("<script>s='</scripts>'; t=1</script><p>a") == ["a"]
+    assert len(texts("<svg><title>" * 20000 + "<p>deep")) == 1
+
+
+def test_formulas_and_fallback_in_an_article():
+    model = C.train()
+    page = (
+        "<body><nav><ul><li><a href=x>Home</a></li></ul></nav><article><p>The energy of a body at rest is <math><mi>E</mi><mo>=</mo>"
+        "<mi>m</mi></math> in these units, as was shown before.</p><svg class=icon /><object data=x><p>A picture of the body that was"
+        " measured, which can't be shown here.</p></object><p>The last words of this long article stand here, after the picture.</p>"
+        "<script>for(i=0;i<n;i++){s='\"'}</script></article></body>"
+    )
+    got = model.extract(page).split("\n")
+    assert got[0] == "The energy of a body at rest is E=m in these units, as was shown before."
+    assert got[1].startswith("A picture of the body") and got[2].startswith("The last words") and len(got) == 3
+
+
 def test_marginals_against_enumeration():
     """Sum-product on a tree is exact: compare with the sum over all labellings."""
     model = C.train()
