@@ -39,7 +39,8 @@ ORDER = 5
 QUANTILE = 0.99
 #: one trusted document in so many is kept out of training, for the thresholds
 HELD_OUT = 4
-MIN_TEXTS = 200
+#: a language's quantile is drawn towards that of all as by so many texts
+PRIOR_TEXTS = 200
 PRIOR_BYTES = 40
 #: nats a byte added to every threshold, for the spread of quantiles of few texts
 SLACK = 0.05
@@ -267,8 +268,8 @@ def _thresholds(scored: DataFrame, quantile: float) -> tuple[DataFrame, tuple[fl
     ``scored`` has lang, cost and n_bytes.  The quantile is taken of how far
     smoothed means lie above their language's mean, in steps of a thousandth
     nat: counts by step, then running sums, so a language with a third of all
-    texts is no large group.  Languages with fewer than ``MIN_TEXTS`` texts
-    take the quantile of all.
+    texts is no large group.  Each language takes its own quantile, averaged by
+    numbers of texts with that of all, which counts as ``PRIOR_TEXTS`` texts.
     """
     texts = scored.where(F.col("n_bytes") > 0)
     means = small_side(texts.groupBy("lang").agg((F.sum("cost") / F.sum("n_bytes")).alias("mean")), MAX_LANGUAGES)
@@ -281,7 +282,8 @@ def _thresholds(scored: DataFrame, quantile: float) -> tuple[DataFrame, tuple[fl
     mean = texts.agg(F.sum("cost") / F.sum("n_bytes")).first()[0]
     if pooled is None:
         return means.select(F.col("own").alias("lang"), "mean", F.lit(0.0).alias("threshold")), (None, None)
-    step = F.when(F.col("texts") >= MIN_TEXTS, F.col("bin")).otherwise(F.lit(pooled.bin)) + round(SLACK * _UNIT / _STEP)
+    shrunk = (F.col("texts") * F.col("bin") + PRIOR_TEXTS * pooled.bin) / (F.col("texts") + PRIOR_TEXTS)
+    step = shrunk + round(SLACK * _UNIT / _STEP)
     limits = means.join(_quantile(bins, ["lang"], quantile), F.col("own").eqNullSafe(F.col("lang")))
     return limits.select(F.col("own").alias("lang"), "mean", (F.col("mean") + step * _STEP).alias("threshold")), (mean, mean + pooled.bin * _STEP + SLACK * _UNIT)
 

@@ -75,6 +75,19 @@ def test_quantile_by_counts(spark):
     assert got == {"a": (6, 70), None: (9, 6)}
 
 
+def test_small_languages_have_their_own_quantiles(spark):
+    """A language's threshold moves from the pooled to its own quantile as its texts grow, without a jump."""
+    spread = lambda lang, n, far: [(lang, 1000 * (1_000_000 + (far if i % 2 else -far)), 1000) for i in range(n)]
+    over = {}
+    for n in (40, 198, 200, 2000):
+        rows = spread("wide", n, 300_000) + spread("narrow", 20000, 10_000)
+        limits, _ = K._thresholds(spark.createDataFrame(rows, "lang string, cost bigint, n_bytes bigint"), 0.9)
+        over[n] = {r.lang: r.threshold - r.mean for r in limits.collect()}
+    wide = [over[n]["wide"] for n in (40, 198, 200, 2000)]
+    assert over[40]["narrow"] < wide[0] < wide[1] < wide[2] < wide[3]
+    assert wide[2] - wide[1] < 0.02 * wide[2]
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     seen = labels.where((F.col("quality") == 0) | (F.col("doc_id") % 4 != 0))  # a fourth of the good ones is held out
