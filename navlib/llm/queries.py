@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from navlib.llm import dart_minhash, decontaminate, html_content, kneser_ney, licenses, line_dedup, order_minhash, packing, sharding, substring
+from navlib.llm import dart_minhash, decontaminate, html_content, kneser_ney, licenses, line_dedup, order_minhash, packing, periodic, sharding, substring
 from navlib.llm._frames import table
 
 #: the packing vocabulary, one of the public tokenizer files
@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": lambda s, d: packing.pack(table(s, d, "documents"), vocabulary()),
     "op9_quality_classifier": lambda s, d: kneser_ney.classified(table(s, d, "documents"), table(s, d, "labels")),
     "op10_html_content": lambda s, d: html_content.main_text(table(s, d, "pages"), table(s, d, "documents")),
+    "op13_periodic_runs": lambda s, d: periodic.run_digests(table(s, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {
