@@ -132,3 +132,11 @@ def window_starts(first: np.ndarray, length: int) -> np.ndarray:
 def row_of(first: np.ndarray) -> np.ndarray:
     """The row of each word."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
+def distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.DictionaryArray:
+    """The words of ``find_words`` by NONSPACE as an exact dictionary: equal words have equal indices."""
+    offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+    packed = np.ascontiguousarray(data[NONSPACE[data]])  # the bytes of all words, without what is between
+    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+    return words.dictionary_encode()

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navlib.llm._frames import and_fields, pick, positional, replace_columns
-from navlib.llm._words import NONSPACE, chunks, find_words, row_of
+from navlib.llm._words import NONSPACE, chunks, distinct_words, find_words, row_of
 
 MIN_LENGTH = 6
 MIN_REPEATS = 4
@@ -50,14 +50,6 @@ _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.i
 _FOUND = "n_words bigint, runs array<struct<start:bigint,length:bigint,period:bigint>>, collapsed string"
 
 
-def distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.DictionaryArray:
-    """The words as an exact dictionary: equal words have equal indices."""
-    offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
-    packed = np.ascontiguousarray(data[NONSPACE[data]])  # the bytes of all words, without what is between
-    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
-    return words.dictionary_encode()
-
-
 def find_runs(code: np.ndarray, first: np.ndarray, min_length: int = MIN_LENGTH, min_repeats: int = MIN_REPEATS):
     """(start, length, period) of all runs in rows of word codes, by start, then period; ``first`` as in ``find_words``."""
     row = row_of(first)

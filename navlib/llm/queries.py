@@ -6,17 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from navlib.llm import dart_minhash, decontaminate, html_content, kneser_ney, licenses, line_dedup, order_minhash, packing, periodic, sharding, substring
+from navlib.llm import dart_minhash, decontaminate, exact_packing, hard_negatives, html_content, kneser_ney, licenses, line_dedup, order_minhash, packing, periodic, sharding, substring
 from navlib.llm._frames import table
 
-#: the packing vocabulary, one of the public tokenizer files
+#: the packing vocabularies, two of the public tokenizer files
 VOCABULARY = "byte_bpe_50k.json"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": lambda s, d: packing.pack(table(s, d, "documents"), vocabulary()),
     "op9_quality_classifier": lambda s, d: kneser_ney.classified(table(s, d, "documents"), table(s, d, "labels")),
     "op10_html_content": lambda s, d: html_content.main_text(table(s, d, "pages"), table(s, d, "documents")),
+    "op11_exact_packing": lambda s, d: exact_packing.pack_exactly(table(s, d, "documents"), vocabulary(WORD_VOCABULARY)),
+    "op12_hard_negatives": lambda s, d: hard_negatives.mined(table(s, d, "embeddings")),
     "op13_periodic_runs": lambda s, d: periodic.run_digests(table(s, d, "documents")),
 }
 
@@ -37,4 +40,5 @@ ORACLES: dict[str, str] = {
     "op4_license_scan": licenses.oracle(),
     "op6_sharding": sharding.oracle(),
     "op7_line_dedup": line_dedup.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from navlib.llm import periodic as R
-from navlib.llm._words import NONSPACE, find_words, text_bytes
+from navlib.llm._words import NONSPACE, distinct_words, find_words, text_bytes
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -57,7 +57,7 @@ def brute(docs):
 def runs_of(texts, **limits):
     data, offsets = text_bytes(pa.array(texts))
     start, end, first = find_words(data, offsets, NONSPACE)
-    code = R.distinct_words(data, start, end).indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    code = distinct_words(data, start, end).indices.to_numpy(zero_copy_only=False).astype(np.int64)
     found = list(zip(*[x.tolist() for x in R.find_runs(code, first, **limits)], strict=True))
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
