@@ -30,9 +30,9 @@ from the written pieces, so a lost executor changes nothing.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,18 +43,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from navlib.llm._frames import pick, stored
-from navlib.llm._words import NONSPACE, chunks, distinct_words, find_words
+from navlib.llm._words import NONSPACE, byte_class, chunks, distinct_words, find_words
 
 WINDOW = 4096
 END_ID = 1
 CACHE_WORDS = 1_000_000
+TOGETHER = 100
+
+# Fixed value: the split pattern of vocabularies that keep letters, digits and other characters apart.
+LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+_ASCII_LETTERS = byte_class((0x41, 0x5A), (0x61, 0x7A))
+_MARKS = byte_class(*((ord(c), ord(c)) for c in ".,;:!?)"))
 
 _RANK_BITS = 44
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, number bigint"
 
 
 class WordTokenizer:
-    """Ids of many texts by a vocabulary whose tokens never span white space; each distinct word is encoded once and then kept."""
+    """Ids of many texts by a vocabulary whose tokens never span white space; each distinct word is encoded once and then kept.
+
+    Where the file splits letters from punctuation, a word is cut there too,
+    which leaves fewer distinct ones.  Words go to the tokenizer many at a
+    time, with an added token between them that tells where each ends.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -65,6 +77,12 @@ class WordTokenizer:
         for space in " \t\n\v\f\r":
             if self._ids([f"{space}a{space}{space}'s{space}"])[0] != one + two:
                 raise ValueError(f"{path} keeps white space, so texts can't be encoded word by word")
+        with open(path) as f:
+            file = json.load(f)
+        steps = (file["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        self.cuts = steps[0].get("pattern") == {"Regex": LETTERS_APART}
+        plain = [t for t in file["added_tokens"] if not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"])]
+        self.mark = plain[0] if plain else None
         self._clear()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -72,31 +90,52 @@ class WordTokenizer:
 
     def _clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids = array("I")
-        self.ends = array("q", [0])
+        self.ids = np.zeros(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        mark = self.mark["content"] if self.mark else None
+        if mark is None or any(mark in t for t in texts):
+            lists = self._ids(texts)
+            ids, ends = np.array([i for x in lists for i in x], np.uint32), np.cumsum([len(x) for x in lists])
+        else:
+            joined = [mark.join(texts[k : k + TOGETHER]) + mark for k in range(0, len(texts), TOGETHER)]
+            found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+            marks = ids == self.mark["id"]
+            ends = np.flatnonzero(marks) - np.arange(len(texts))
+            ids = ids[~marks]
+        self.known.update(zip(words, range(len(self.ends) - 1, len(self.ends) - 1 + len(words)), strict=True))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, one after the other; row offsets in them)."""
         start, end, first = find_words(data, offsets, NONSPACE)
         if len(start) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if self.cuts:
+            # a row never starts with a cut, as a letter of the word stands before it
+            at = np.flatnonzero(_MARKS[data[1:]] & _ASCII_LETTERS[data[:-1]]) + 1
+            at = at[~np.isin(at, offsets)]
+            start, end = np.sort(np.concatenate([start, at])), np.sort(np.concatenate([end, at]))
+            first = np.searchsorted(start, offsets)
         words = distinct_words(data, start, end)
         distinct = words.dictionary.to_pylist()
         if len(self.known) > CACHE_WORDS:
             self._clear()
-        known = self.known
-        new = [w for w in distinct if w not in known]
-        for word, ids in zip(new, self._ids([w.decode() for w in new]), strict=True):
-            known[word] = len(self.ends) - 1
-            self.ids.extend(ids)
-            self.ends.append(len(self.ids))
-        number = np.array([known[w] for w in distinct], np.int64)[words.indices.to_numpy(zero_copy_only=False)]
-        ids, ends = np.array(self.ids, np.uint32), np.array(self.ends)
-        size = (ends[1:] - ends[:-1])[number]
+        new = [w for w in distinct if w not in self.known]
+        if new:
+            self._learn(new)
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        number = number[words.indices.to_numpy(zero_copy_only=False)]
+        begin = self.ends[number]
+        size = self.ends[number + 1] - begin
         total = np.concatenate([[0], np.cumsum(size)])
         source = np.arange(total[-1])
-        source += np.repeat(ends[number] - total[:-1], size)
-        return ids[source], total[first]
+        source += np.repeat(begin - total[:-1], size)
+        return self.ids[source], total[first]
 
 
 class _Sums:

@@ -23,12 +23,20 @@ def reference():
 
 def test_words_match_the_tokenizer(reference):
     rng = random.Random(1)
-    alphabet = list("abST'' \t\n\v\f\r'lvre12½Ⅷé日本　ΣİǅKß\u0085.!-😀̧́\u001c\u001f‍<|>") + ["<|endoftext|>", "<|startoftext|>", "text|>", "\r\n", " ́"]
+    alphabet = list("abST'' \t\n\v\f\r'lvre12½Ⅷé日本　ΣİǅKß\u0085.!-😀̧́\u001c\u001f‍<|>") + ["<|endoftext|>", "<|startoftext|>", "text|>", "\r\n", " ́", "a.", "b,,", "s?)", "a;̸", ":'s"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
     texts += ["", " ", "ΑΣ ΑΣ", "don't 's", "'LL x", "é e ́", None]
-    ids, first = E.WordTokenizer(PATH).encode(*text_bytes(pa.array(texts)))
-    for i, expected in enumerate(reference([t or "" for t in texts])):
-        assert ids[first[i] : first[i + 1]].tolist() == expected, texts[i]
+    tokenizer, plain = E.WordTokenizer(PATH), E.WordTokenizer(PATH)
+    plain.cuts, plain.mark = False, None
+    assert tokenizer.cuts and tokenizer.mark["content"] == "<|startoftext|>"
+    expected = reference([t or "" for t in texts])
+    for t in (tokenizer, plain):
+        for at in (0, 1000, 2000):  # words of the first slice are known in the next
+            ids, first = t.encode(*text_bytes(pa.array(texts[at : at + 1000] if at < 2000 else texts[at:])))
+            for i, want in enumerate(expected[at : at + 1000] if at < 2000 else expected[at:]):
+                assert ids[first[i] : first[i + 1]].tolist() == want, texts[at + i]
+    ids, first = E.WordTokenizer(PATH).encode(*text_bytes(pa.array(["a", ".b", "c.", ")"])))
+    assert np.diff(first).tolist() == [1, 2, 2, 1]
 
 
 def test_other_vocabularies_are_refused():
