@@ -12,8 +12,10 @@ from navlib.sources.store import (
     deduplicate_nav,
     ingest_nav,
     nav_as_of,
+    read_newest,
     read_table,
     refresh_master,
+    refresh_newest,
     table_partitions,
     table_profile,
     table_schema,
@@ -83,6 +85,7 @@ from navlib.operators.correlation import (
     correlation_statistics,
     data_availability,
     diversification_insights,
+    high_correlation_pairs,
     most_observed_schemes,
     notable_pairs,
     returns_matrix,

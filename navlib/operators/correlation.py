@@ -1,17 +1,27 @@
 """Return correlation between schemes (OP50-OP56).
 
-The schemes compared are an explicit list or the ``top_k`` most observed
-ones (OP50); one of the two must be given.  Returns are computed after the
+The schemes compared are an explicit list, the ``top_k`` most observed ones
+(OP50), or with ``codes="all"`` every scheme with enough rows; one of these must
+be asked for, as the result has a row for every pair.  Returns are computed after the
 ``since`` cut, then dates are kept only where every scheme with enough data
-has a return (listwise deletion).  Pearson's r is a Gramian: each date is one
-vector of the k centred returns, tasks sum X'X of their dates, and Spark sums
-those blocks by (i, j).  The plan has the same size for any k; no pair of rows
-is emitted per date, and no scheme code reaches the driver.
+has a return (listwise deletion).
+
+Pearson's r is a tiled matrix product.  Every scheme is one row with its
+returns on the common dates (bounded by the calendar); schemes are dealt to tiles of
+``TILE`` by a hash, and the group of tiles (I, J) multiplies their centred and
+scaled rows.  A task holds two tiles, whatever the number of schemes, and no
+scheme code or pair reaches the driver.
+
+``high_correlation_pairs`` finds the high pairs without the whole product:
+random hyperplanes give each scheme a signature of bits, schemes that agree
+on a whole band of bits are candidates, the number of bits in which two
+signatures differ drops those that are far off, and r itself decides the rest.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -41,6 +51,13 @@ SCORE_GOOD = 50
 CONCENTRATION_MEDIUM = 2
 REDUCE_ADVICE_ABOVE = 3
 
+ALL = "all"
+TILE = 256
+# random-hyperplane signatures: two schemes of r = 0.8 agree on one band at least with probability 0.9998
+BAND_BITS = 12
+BANDS = 128
+SIGNATURE_ROWS = 512
+
 
 def _since(nav: DataFrame, since: str | dt.date | None) -> DataFrame:
     if since is None:
@@ -73,27 +90,33 @@ def most_observed_schemes(
 class _Inputs:
     returns: DataFrame
     availability: DataFrame
-    valid: DataFrame  # scheme_code, place (0 … k-1 by code)
+    valid: DataFrame  # scheme_code
     matrix: DataFrame
     n_valid: Column
 
 
+def _requested(recent: DataFrame, codes: Sequence[str] | str | None, min_overlap: int, top_k: int | None) -> DataFrame:
+    if codes is None and not top_k:
+        raise ValueError('give the codes to correlate, top_k or codes="all": the result has a row for every pair of them')
+    if codes is None:
+        return most_observed_schemes(recent, None, min_overlap, top_k).select(KEY)
+    if isinstance(codes, str):
+        if codes != ALL:
+            raise ValueError('codes is a list of scheme codes or "all"')
+        counts = recent.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+        return counts.where(F.col("_n") >= min_overlap).select(KEY)
+    return recent.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(str(c) for c in codes)], f"{KEY} string")
+
+
 def _prepare(
     nav: DataFrame,
-    codes: Sequence[str] | None,
+    codes: Sequence[str] | str | None,
     since: str | dt.date | None,
     min_overlap: int,
     top_k: int | None,
 ) -> _Inputs:
-    spark = nav.sparkSession
     recent = _since(nav, since)
-    if codes is None and not top_k:
-        raise ValueError("give the codes to correlate, or top_k: the result has a row for every pair of them")
-    if codes is None:
-        requested = most_observed_schemes(recent, None, min_overlap, top_k).select(KEY)
-    else:
-        requested = spark.createDataFrame([(c,) for c in dict.fromkeys(str(c) for c in codes)], f"{KEY} string")
-    requested = checkpointed(requested)
+    requested = checkpointed(_requested(recent, codes, min_overlap, top_k))
     # k schemes × dates rows, read by every later step: computed once
     rets = checkpointed(
         daily_returns(recent.join(requested, KEY, "left_semi"))
@@ -113,20 +136,18 @@ def _prepare(
         "start_date",
         "end_date",
     )
-    # one row per compared scheme, so this window holds k rows
-    place = (F.row_number().over(Window.orderBy(KEY)) - 1).alias("place")
-    valid = checkpointed(avail.where(F.col("total_days") >= min_overlap).select(KEY, place))
+    valid = checkpointed(avail.where(F.col("total_days") >= min_overlap).select(KEY))
     n_valid = valid.select(F.count(F.lit(1))).scalar()
-    kept = rets.join(valid, KEY)
+    kept = rets.join(valid, KEY, "left_semi")
     common = checkpointed(kept.groupBy("date").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") == n_valid).select("date"))
     ok = (n_valid >= 2) & (common.select(F.count(F.lit(1))).scalar() >= min_overlap)
-    matrix = kept.join(common, "date", "left_semi").where(ok).select("date", KEY, "place", "r")
+    matrix = kept.join(common, "date", "left_semi").where(ok).select("date", KEY, "r")
     return _Inputs(rets, availability, valid, matrix, n_valid)
 
 
 def returns_matrix(
     nav: DataFrame,
-    codes: Sequence[str] | None = None,
+    codes: Sequence[str] | str | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
     top_k: int | None = None,
@@ -137,20 +158,20 @@ def returns_matrix(
 
 def returns_matrix_wide(
     nav: DataFrame,
-    codes: Sequence[str] | None = None,
+    codes: Sequence[str] | str | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
     top_k: int | None = None,
 ) -> DataFrame:
     """OP51, display form: one row per date, one column per scheme (for as many schemes as a table has columns)."""
     inp = _prepare(nav, codes, since, min_overlap, top_k)
-    names = [r[KEY] for r in inp.valid.orderBy("place").collect()]
+    names = [r[KEY] for r in inp.valid.orderBy(KEY).collect()]
     return inp.matrix.groupBy("date").pivot(KEY, names).agg(F.first("r")).orderBy("date")
 
 
 def data_availability(
     nav: DataFrame,
-    codes: Sequence[str] | None = None,
+    codes: Sequence[str] | str | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
     top_k: int | None = None,
@@ -159,49 +180,53 @@ def data_availability(
     return _prepare(nav, codes, since, min_overlap, top_k).availability
 
 
-def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(i, j, s) with i <= j: sums over this task's dates of the products of the i-th and j-th returns."""
-    total, n = None, 0
-    for batch in batches:
-        if batch.num_rows:
-            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
-            total = x.T @ x if total is None else total + x.T @ x
-            n += batch.num_rows
-    if total is not None:
-        i, j = np.triu_indices(len(total))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j]), pa.array(np.full(len(i), n), pa.int64())], ["i", "j", "s", "n"]
-        )
+def _vectors(inp: _Inputs) -> DataFrame:
+    """(scheme_code, x): each scheme's returns on the common dates, in date order; as many values as there are dates."""
+    rows = inp.matrix.groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("date", "r"))).alias("_v"))
+    return rows.select(KEY, F.col("_v.r").alias("x"))
+
+
+def _standard(x: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+    """Centred rows of length 1; rows of one value become NaN."""
+    flat = x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
+    z = flat.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+    constant = z.max(axis=1) == z.min(axis=1)
+    z = z - z.mean(axis=1, keepdims=True)
+    size = np.sqrt((z * z).sum(axis=1, keepdims=True))
+    size[constant | (size[:, 0] == 0)] = np.nan
+    return z / size
+
+
+def _product(group: pa.Table) -> pa.Table:
+    """All ordered pairs of the schemes of two tiles (of one tile, where both are the same)."""
+    first, second = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    one = group.filter(pa.compute.equal(group.column("tile"), first))
+    two = group.filter(pa.compute.equal(group.column("tile"), second))
+    names = ["scheme1", "scheme2", "rho", "overlap_days"]
+    if not one.num_rows or not two.num_rows:
+        return pa.table([pa.array([], t) for t in (pa.string(), pa.string(), pa.float64(), pa.int64())], names)
+    z1, z2 = _standard(one.column("x"), one.num_rows), _standard(two.column("x"), two.num_rows)
+    rho = pa.array((z1 @ z2.T).ravel(), from_pandas=True)  # NaN is null
+    a = one.column(KEY).take(pa.array(np.repeat(np.arange(one.num_rows), two.num_rows)))
+    b = two.column(KEY).take(pa.array(np.tile(np.arange(two.num_rows), one.num_rows)))
+    days = pa.array(np.full(len(rho), z1.shape[1]))
+    out = pa.table([a, b, rho, days], names)
+    return out if first == second else pa.concat_tables([out, pa.table([b, a, rho, days], names)])
 
 
 def _pearson(inp: _Inputs) -> DataFrame:
     """Unrounded (scheme1, scheme2, rho, overlap_days) for all ordered pairs incl. the diagonal."""
-    means = inp.matrix.groupBy("place").agg(F.avg("r").alias("_mean"))  # k rows
-    centred = inp.matrix.join(means, "place").select("date", "place", (F.col("r") - F.col("_mean")).alias("_d"))
-    # every date has all k schemes, so sorting by place makes equal vectors of k values
-    vectors = centred.groupBy("date").agg(F.array_sort(F.collect_list(F.struct("place", "_d"))).alias("_v"))
-    sums = (
-        vectors.select(F.col("_v._d").alias("x"))
-        .mapInArrow(_gram, "i int, j int, s double, n bigint")
-        .groupBy("i", "j")
-        .agg(F.sum("s").alias("s"), F.sum("n").alias("overlap_days"))
-    )
-    sums = checkpointed(sums)
-    squares = sums.where("i = j")
-    si = squares.select("i", F.col("s").alias("_si"))
-    sj = squares.select("j", F.col("s").alias("_sj"))
-    upper = sums.join(si, "i").join(sj, "j").select(
-        "i", "j", F.try_divide("s", F.sqrt(F.col("_si") * F.col("_sj"))).alias("rho"), "overlap_days"
-    )
-    both = upper.unionByName(upper.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "rho", "overlap_days"))
-    one = inp.valid.select(F.col("place").alias("i"), F.col(KEY).alias("scheme1"))
-    two = inp.valid.select(F.col("place").alias("j"), F.col(KEY).alias("scheme2"))
-    return both.join(one, "i").join(two, "j").select("scheme1", "scheme2", "rho", "overlap_days")
+    tiles = max(1, -(-inp.valid.count() // TILE))  # a count of a stored frame
+    tile = F.pmod(F.xxhash64(KEY), F.lit(tiles)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("_other")
+    dealt = _vectors(inp).withColumn("tile", tile).select(KEY, "x", "tile", other)
+    pairs = dealt.select(KEY, "x", "tile", F.least("tile", "_other").alias("i"), F.greatest("tile", "_other").alias("j"))
+    return pairs.groupBy("i", "j").applyInArrow(_product, "scheme1 string, scheme2 string, rho double, overlap_days bigint")
 
 
 def correlation_matrix(
     nav: DataFrame,
-    codes: Sequence[str] | None = None,
+    codes: Sequence[str] | str | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
     top_k: int | None = None,
@@ -231,7 +256,7 @@ def _pairs(inp: _Inputs, high: float, low: float) -> DataFrame:
 
 def notable_pairs(
     nav: DataFrame,
-    codes: Sequence[str] | None = None,
+    codes: Sequence[str] | str | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
     top_k: int | None = None,
@@ -245,6 +270,69 @@ def notable_pairs(
     )
 
 
+def _signatures(bits: int, bands: int):
+    """Task function: each scheme's bits against the hyperplanes of every band (the same in all tasks)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = 1 << np.arange(bits)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SIGNATURE_ROWS):
+                part = batch.slice(at, SIGNATURE_ROWS)
+                z = _standard(part.column("x"), part.num_rows)
+                usable = ~np.isnan(z[:, 0])
+                z = z[usable]
+                keys = np.empty((len(z), bands), np.int32)
+                for band in range(bands):
+                    planes = np.random.default_rng([band, bits]).standard_normal((z.shape[1], bits))
+                    keys[:, band] = (z @ planes > 0) @ weights
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), bands).cast(pa.list_(pa.int32()))
+                rows = pa.FixedSizeListArray.from_arrays(pa.array(z.ravel()), z.shape[1]).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([part.column(KEY).filter(pa.array(usable)), rows, lists], [KEY, "z", "bands"])
+
+    return run
+
+
+def high_correlation_pairs(
+    nav: DataFrame,
+    codes: Sequence[str] | str | None = None,
+    since: str | dt.date | None = None,
+    min_overlap: int = DEFAULT_MIN_OVERLAP,
+    top_k: int | None = None,
+    high: float = HIGH_CORRELATION,
+    band_bits: int = BAND_BITS,
+    bands: int = BANDS,
+) -> DataFrame:
+    """OP54, high pairs only, without the whole matrix: the rows of kind high of ``notable_pairs``.
+
+    Every row is right (r is computed); a pair is missed only if its schemes
+    agree on none of the bands, at r = 0.8 with probability 2e-4 and less above.
+    ``notable_pairs`` is the exact way.  Candidates are compared once, at
+    their first common band.
+    """
+    if not 0 < high < 1:
+        raise ValueError("high must lie between 0 and 1")
+    inp = _prepare(nav, codes, since, min_overlap, top_k)
+    kind = f"{KEY} string, z array<double>, bands array<int>"
+    signed = checkpointed(_vectors(inp).mapInArrow(_signatures(band_bits, bands), kind))
+    keys = signed.select(KEY, "bands", F.posexplode("bands").alias("band", "key"))
+    one = keys.select(F.col(KEY).alias("scheme1"), F.col("bands").alias("b1"), "band", "key")
+    two = keys.select(F.col(KEY).alias("scheme2"), F.col("bands").alias("b2"), "band", "key")
+    met = one.join(two, ["band", "key"]).where(F.col("scheme1") < F.col("scheme2"))
+    first = F.array_position(F.zip_with("b1", "b2", lambda x, y: x == y), True) == F.col("band") + 1
+    apart = F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    # bits apart are binomial with p = angle / pi; five standard deviations above what ``high`` gives
+    n, p = band_bits * bands, math.acos(high) / math.pi
+    near = apart <= F.lit(n * p + 5 * math.sqrt(n * p * (1 - p)))
+    candidates = met.where(first).where(near).select("scheme1", "scheme2")
+    z1 = signed.select(F.col(KEY).alias("scheme1"), F.col("z").alias("z1"))
+    z2 = signed.select(F.col(KEY).alias("scheme2"), F.col("z").alias("z2"))
+    rho = F.aggregate(F.zip_with("z1", "z2", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    found = candidates.join(z1, "scheme1").join(z2, "scheme2").select("scheme1", "scheme2", rho.alias("rho"))
+    return _pairs_from(found, inp, high, -1.0).select(
+        "scheme1", "scheme1_name", "scheme2", "scheme2_name", half_up("rho", 4).alias("correlation"), "kind"
+    )
+
+
 def _statistics_from(rho: DataFrame) -> DataFrame:
     # identical schemes (rho 1) count: a portfolio of copies is not diversified
     off = rho.where((F.col("scheme1") != F.col("scheme2")) & F.col("rho").isNotNull())
@@ -289,7 +377,7 @@ def _insights(s: DataFrame, high_pairs: DataFrame, n_valid: Column) -> DataFrame
 
 def correlation_statistics(
     nav: DataFrame,
-    codes: Sequence[str] | None = None,
+    codes: Sequence[str] | str | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
     top_k: int | None = None,
@@ -300,7 +388,7 @@ def correlation_statistics(
 
 def diversification_insights(
     nav: DataFrame,
-    codes: Sequence[str] | None = None,
+    codes: Sequence[str] | str | None = None,
     since: str | dt.date | None = None,
     min_overlap: int = DEFAULT_MIN_OVERLAP,
     top_k: int | None = None,

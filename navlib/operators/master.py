@@ -1,6 +1,9 @@
 """Scheme master and lookups (OP06, OP09-OP17).
 
 Lookups are pure functions of DataFrames: they never download or write.
+Where they show the newest NAV they take it from ``newest``, the table of
+newest rows that ingest maintains (``sources.store.refresh_newest``), and then read no NAV
+rows at all; from ``nav`` itself they aggregate only the schemes that can match.
 Date lookups also constrain the (year, month) partition columns when the
 frame has them, so a scan of the partitioned NAV table prunes directories.
 """
@@ -102,49 +105,67 @@ def category_filter(category: str) -> Column:
     return _matches("scheme_name", category)
 
 
-def scheme_directory(master: DataFrame, nav: DataFrame | None = None) -> DataFrame:
+def scheme_directory(master: DataFrame, nav: DataFrame | None = None, newest: DataFrame | None = None) -> DataFrame:
     """Every scheme of master or NAV: (scheme_code, scheme_name, fund_house, nav, date).
 
     Name and house are the master's, or the newest NAV row's for a scheme that
     only NAV knows; nav and date are the newest, NULL without NAV rows.
     """
-    if nav is None:
+    if nav is None and newest is None:
         return master.select(
             KEY, "scheme_name", "fund_house", F.lit(None).cast("double").alias("nav"), F.lit(None).cast("date").alias("date")
         )
-    d = scheme_details(master, nav)
+    d = scheme_details(master, nav, newest)
     return d.select(KEY, "scheme_name", "fund_house", F.col("current_nav").alias("nav"), F.col("nav_date").alias("date"))
 
 
-def search_schemes(master: DataFrame, keyword: str, limit: int = 50, nav: DataFrame | None = None) -> DataFrame:
+def _lookup(master: DataFrame, matches: Column, nav: DataFrame | None, newest: DataFrame | None) -> DataFrame:
+    """Rows of the scheme directory for which ``matches`` (over name and house) holds."""
+    hit = F.coalesce(matches, F.lit(False))
+    # schemes of the master that don't match are out, whatever their NAV rows say
+    other = master.where(~hit).select(KEY)
+    left = [None if rows is None else rows.join(other, KEY, "left_anti") for rows in (nav, newest)]
+    return scheme_directory(master.where(hit), *left).where(hit)
+
+
+def search_schemes(
+    master: DataFrame, keyword: str, limit: int = 50, nav: DataFrame | None = None, newest: DataFrame | None = None
+) -> DataFrame:
     """OP11: schemes whose name or fund house matches ``keyword``, with newest nav and date; first ``limit`` by code."""
-    hits = scheme_directory(master, nav).where(_matches("scheme_name", keyword) | _matches("fund_house", keyword))
+    hits = _lookup(master, _matches("scheme_name", keyword) | _matches("fund_house", keyword), nav, newest)
     return hits.orderBy(KEY).limit(limit)
 
 
-def schemes_by_fund_house(master: DataFrame, fund_house: str, nav: DataFrame | None = None) -> DataFrame:
+def schemes_by_fund_house(
+    master: DataFrame, fund_house: str, nav: DataFrame | None = None, newest: DataFrame | None = None
+) -> DataFrame:
     """OP12: schemes whose fund house matches, with newest nav and date, ordered by name."""
-    return scheme_directory(master, nav).where(_matches("fund_house", fund_house)).orderBy("scheme_name", KEY)
+    return _lookup(master, _matches("fund_house", fund_house), nav, newest).orderBy("scheme_name", KEY)
 
 
-def schemes_by_category(master: DataFrame, category: str, nav: DataFrame | None = None) -> DataFrame:
+def schemes_by_category(
+    master: DataFrame, category: str, nav: DataFrame | None = None, newest: DataFrame | None = None
+) -> DataFrame:
     """OP13: schemes whose *name* matches a category keyword, with newest nav and date, ordered by name."""
-    return scheme_directory(master, nav).where(category_filter(category)).orderBy("scheme_name", KEY)
+    return _lookup(master, category_filter(category), nav, newest).orderBy("scheme_name", KEY)
 
 
-def scheme_details(master: DataFrame, nav: DataFrame) -> DataFrame:
+def scheme_details(master: DataFrame, nav: DataFrame | None = None, newest: DataFrame | None = None) -> DataFrame:
     """OP14: every scheme's name, house, current NAV and where the name came from.
 
     Master wins for name and house; the NAV side gives the newest NAV and its
-    date.  data_source is ``scheme_master`` or ``daily_nav``.
+    date.  data_source is ``scheme_master`` or ``daily_nav``.  The NAV side is
+    ``newest`` (one row per scheme, as ``latest_nav`` gives them) where given.
     """
+    if nav is None and newest is None:
+        raise ValueError("give nav or newest")
     m = master.select(
         KEY,
         F.col("scheme_name").alias("_m_name"),
         F.col("fund_house").alias("_m_house"),
         F.lit(True).alias("_in_master"),
     )
-    latest = latest_nav(nav)
+    latest = latest_nav(nav) if newest is None else newest.select(KEY, "scheme_name", "fund_house", "nav", "date")
     in_master = F.coalesce(F.col("_in_master"), F.lit(False))
     return m.join(latest, KEY, "full_outer").select(
         KEY,
@@ -166,7 +187,7 @@ def latest_nav_date(nav: DataFrame) -> DataFrame:
     return nav.agg(F.max("date").alias("latest_date"))
 
 
-def fund_houses(master: DataFrame, nav: DataFrame | None = None) -> DataFrame:
-    """OP17: distinct fund houses, ascending; with ``nav`` also those of schemes that only NAV knows."""
-    rows = master if nav is None else scheme_directory(master, nav)
+def fund_houses(master: DataFrame, nav: DataFrame | None = None, newest: DataFrame | None = None) -> DataFrame:
+    """OP17: distinct fund houses, ascending; with ``nav`` or ``newest`` also those of schemes that only NAV knows."""
+    rows = master if nav is None and newest is None else scheme_directory(master, nav, newest)
     return rows.select("fund_house").distinct().orderBy("fund_house")

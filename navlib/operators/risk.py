@@ -82,16 +82,30 @@ def basic_volatility(nav: DataFrame, analysed: DataFrame | None = None) -> DataF
 def rolling_volatility(nav: DataFrame, window: int = DEFAULT_WINDOW, analysed: DataFrame | None = None) -> DataFrame:
     """OP39: annualised sd over each full window of ``window`` returns, summarised per scheme.
 
-    The sd is taken over each frame itself.  Running sums would be cheaper,
-    but one wild NAV (1e-6, 1e8) cancels all digits of the sums that follow
-    it.  Only schemes with at least ``window`` returns are reported.
+    Linear in the rows, whatever the window: a scheme's rows are cut into
+    blocks of ``window``, and a frame is the end of one block and the start of
+    the next.  Count, mean and squared deviations of all starts and all ends
+    are running aggregates, and merging two of them gives the frame's.
+    Nothing is subtracted, so one wild NAV (1e-6, 1e8) spoils its own frames only.
+    Only schemes with at least ``window`` returns are reported.
     """
     if window < 2:
         raise ValueError("window must be at least 2")
     series = Window.partitionBy(KEY).orderBy("date")
-    x = _analysed(nav, analysed).withColumn("_k", F.row_number().over(series))
-    frame = F.stddev_samp("r").over(series.rowsBetween(-(window - 1), Window.currentRow))
-    rolling = F.when(F.col("_k") >= window, frame * F.lit(ANNUAL_SQRT))
+    running = (Window.unboundedPreceding, Window.currentRow)
+    block = Window.partitionBy(KEY, "_block")
+    head, tail = block.orderBy("date").rowsBetween(*running), block.orderBy(F.col("date").desc()).rowsBetween(*running)
+    x = _analysed(nav, analysed).select(KEY, "date", "r").withColumn("_k", F.row_number().over(series))
+    x = x.withColumn("_block", F.floor((F.col("_k") - 1) / window))
+    x = x.withColumn("_tail", F.struct(F.avg("r").over(tail).alias("mean"), F.var_pop("r").over(tail).alias("var")))
+    x = x.withColumn("_head", F.struct(F.avg("r").over(head).alias("mean"), F.var_pop("r").over(head).alias("var")))
+    x = x.withColumn("_tail", F.lag("_tail", window - 1).over(series))
+    n1 = F.col("_k") - F.col("_block") * window  # rows of the frame in this block, n2 in the one before
+    n2 = window - n1
+    apart = F.col("_tail.mean") - F.col("_head.mean")
+    merged = F.col("_head.var") * n1 + F.col("_tail.var") * n2 + apart * apart * n1 * n2 / window
+    squares = F.when(n2 == 0, F.col("_head.var") * n1).otherwise(merged)
+    rolling = F.when(F.col("_k") >= window, F.sqrt(squares / (window - 1)) * F.lit(ANNUAL_SQRT))
     v = F.col("_vol")
     return (
         x.withColumn("_vol", rolling)

@@ -139,9 +139,7 @@ nm AS (SELECT scheme_code, arg_min(scheme_name, date) AS scheme_name FROM a GROU
 
 def _corr_base(view: str) -> str:
     return f"""WITH c AS (
-  SELECT scheme_code FROM (
-    SELECT scheme_code, COUNT(*) AS dp FROM {view} GROUP BY ALL HAVING COUNT(*) >= {R.MIN_OVERLAP}
-    ORDER BY dp DESC, scheme_code LIMIT {R.TOP_K})),
+  SELECT scheme_code FROM {view} WHERE scheme_code IS NOT NULL GROUP BY scheme_code HAVING COUNT(*) >= {R.MIN_OVERLAP}),
 rr AS (
   SELECT scheme_code, scheme_name, date, nav / LAG(nav) OVER (PARTITION BY scheme_code ORDER BY date) - 1 AS r
   FROM {view} WHERE scheme_code IN (SELECT scheme_code FROM c)),
@@ -178,9 +176,20 @@ SELECT scheme_code, regime,
 FROM c"""
 
 
+def _data_availability(view: str) -> str:
+    return f"""{_corr_base(view)}
+SELECT c.scheme_code, avail.scheme_name, CAST(COALESCE(total_days, 0) AS BIGINT) AS total_days, start_date, end_date
+FROM c LEFT JOIN avail USING (scheme_code)"""
+
+
+def _correlation_matrix(view: str) -> str:
+    return f"""{_corr_base(view)}
+SELECT scheme1, scheme2, ROUND(rho, 4) + 0.0 AS correlation, overlap_days FROM cm"""
+
+
 def _notable_pairs(view: str) -> str:
     return f"""{_corr_base(view)}
-SELECT scheme1, a1.scheme_name AS scheme1_name, scheme2, a2.scheme_name AS scheme2_name, ROUND(rho, 4) AS correlation,
+SELECT scheme1, a1.scheme_name AS scheme1_name, scheme2, a2.scheme_name AS scheme2_name, ROUND(rho, 4) + 0.0 AS correlation,
        CASE WHEN rho > 0.8 THEN 'high' ELSE 'low' END AS kind
 FROM cm JOIN avail a1 ON a1.scheme_code = scheme1 JOIN avail a2 ON a2.scheme_code = scheme2
 WHERE scheme1 < scheme2 AND (rho > 0.8 OR ABS(rho) < 0.3)"""
@@ -635,18 +644,30 @@ FROM nav_s WHERE scheme_code IS NOT NULL GROUP BY scheme_code HAVING COUNT(*) >=
 ORDER BY data_points DESC, scheme_code LIMIT {R.TOP_K}""",
         "nav_s",
     ),
-    "returns_matrix": with_fixtures(f"{_corr_base('nav_t')}\nSELECT * FROM mx", "nav_t"),
-    "data_availability": with_fixtures(
-        f"""{_corr_base('nav_t')}
-SELECT c.scheme_code, avail.scheme_name, CAST(COALESCE(total_days, 0) AS BIGINT) AS total_days, start_date, end_date
-FROM c LEFT JOIN avail USING (scheme_code)""",
-        "nav_t",
+    "newest_nav": with_fixtures(
+        f"""SELECT scheme_code, scheme_name, fund_house, CASE WHEN date >= DATE '{R.LAST_QUARTER}' THEN nav * 2 ELSE nav END AS nav, date,
+       CAST(CASE WHEN date >= DATE '{R.LAST_QUARTER}' THEN 3 WHEN date >= DATE '{MASTER_REFRESH_DATE}' THEN 1 ELSE 2 END AS BIGINT) AS load_id
+FROM nav_s QUALIFY ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY date DESC) = 1""",
+        "nav_s",
     ),
-    "correlation_matrix": with_fixtures(
-        f"""{_corr_base('nav_t')}
-SELECT scheme1, scheme2, ROUND(rho, 4) AS correlation, overlap_days FROM cm""",
-        "nav_t",
+    "ingest_redelivered": with_fixtures(
+        f"""SELECT scheme_code, scheme_name, date, nav, CAST(load AS BIGINT) AS load_id
+FROM (SELECT *, 1 AS load FROM nav_s UNION ALL
+      SELECT scheme_code, scheme_name, fund_house, date, nav * 2 AS nav, 2 AS load FROM nav_s
+      WHERE date BETWEEN DATE '{R.RANGE_START}' AND DATE '{R.RANGE_END}' UNION ALL
+      SELECT *, 3 AS load FROM nav_s WHERE date BETWEEN DATE '{R.RANGE_START}' AND DATE '{R.RANGE_END}')""",
+        "nav_s",
     ),
+    "returns_matrix": with_fixtures(f"{_corr_base('nav_t')}\nSELECT * FROM mx", "nav_t"),
+    "returns_matrix_all": with_fixtures(f"{_corr_base('nav_d')}\nSELECT * FROM mx", "nav_d"),
+    "data_availability": with_fixtures(_data_availability("nav_t"), "nav_t"),
+    "data_availability_all": with_fixtures(_data_availability("nav_s"), "nav_s"),
+    "correlation_matrix": with_fixtures(_correlation_matrix("nav_t"), "nav_t"),
+    "correlation_matrix_all": with_fixtures(_correlation_matrix("nav_d"), "nav_d"),
+    "notable_pairs_all": with_fixtures(_notable_pairs("nav_d"), "nav_d"),
+    "high_correlation_pairs": with_fixtures(f"{_notable_pairs('nav_d')} AND rho > 0.8", "nav_d"),
+    "correlation_statistics_all": with_fixtures(_correlation_statistics("nav_d"), "nav_d"),
+    "diversification_insights_all": with_fixtures(_diversification_insights("nav_d"), "nav_d"),
     "notable_pairs": with_fixtures(_notable_pairs("nav_t"), "nav_t"),
     "notable_pairs_compounded": with_fixtures(_notable_pairs("nav_m"), "nav_m"),
     "correlation_statistics": with_fixtures(_correlation_statistics("nav_t"), "nav_t"),
@@ -654,3 +675,6 @@ SELECT scheme1, scheme2, ROUND(rho, 4) AS correlation, overlap_days FROM cm""",
     "diversification_insights": with_fixtures(_diversification_insights("nav_t"), "nav_t"),
     "diversification_insights_compounded": with_fixtures(_diversification_insights("nav_m"), "nav_m"),
 }
+# the same rows by another way
+for _name in ("search_schemes", "schemes_by_fund_house", "schemes_by_category", "scheme_details", "fund_houses"):
+    ORACLES[f"{_name}_newest"] = ORACLES[_name]

@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ON_DATE = "1998-06-15"
 RANGE_START, RANGE_END = "1998-01-01", "1998-03-31"
 CORRECTED_BEFORE = "1998-02-15"
+LAST_QUARTER = "1998-10-01"
 SINCE = "1998-01-01"
 KEYWORD = "promo"
 HOUSE_KEYWORD = "brand#1"
@@ -116,8 +117,41 @@ def _older_master(spark: SparkSession, d: str) -> DataFrame:
     return nl.scheme_master(nav.where(F.col("date") < F.lit(fx.MASTER_REFRESH_DATE).cast("date")))
 
 
+def _with_newest(spark: SparkSession, d: str) -> DataFrame:
+    """nav_p ingested in two loads, the older one last, with the table of newest rows kept beside it."""
+    nav = with_partition_columns(fx.nav_p(spark, d))
+    cut = F.lit(fx.MASTER_REFRESH_DATE).cast("date")
+    path, newest = scratch_path(spark, "nav_data"), scratch_path(spark, "newest_nav")
+    nl.ingest_nav(nav.where(F.col("date") >= cut), path, load_id=1, newest_path=newest)
+    nl.ingest_nav(nav.where(F.col("date") < cut), path, load_id=2, newest_path=newest)
+    return nl.read_newest(spark, newest)
+
+
+def _newest_nav(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads, then the last quarter again with doubled NAVs."""
+    nav = with_partition_columns(fx.nav_s(spark, d))
+    cut = F.lit(fx.MASTER_REFRESH_DATE).cast("date")
+    path, newest = scratch_path(spark, "nav_data"), scratch_path(spark, "newest_nav")
+    nl.ingest_nav(nav.where(F.col("date") >= cut), path, load_id=1, newest_path=newest)
+    nl.ingest_nav(nav.where(F.col("date") < cut), path, load_id=2, newest_path=newest)
+    again = nav.where(F.col("date") >= LAST_QUARTER).withColumn("nav", F.col("nav") * 2)
+    nl.ingest_nav(again, path, load_id=3, newest_path=newest)
+    return nl.read_newest(spark, newest).select("scheme_code", "scheme_name", "fund_house", "nav", "date", "load_id")
+
+
+def _ingest_redelivered(spark: SparkSession, d: str) -> DataFrame:
+    """A feed, one corrected quarter, the first feed again: its values win back in the corrected months, the others are skipped."""
+    nav = with_partition_columns(fx.nav_s(spark, d))
+    path = scratch_path(spark, "nav_data")
+    nl.ingest_nav(nav, path, load_id=1)
+    again = nav.where(F.col("date").between(RANGE_START, RANGE_END))
+    nl.ingest_nav(again.withColumn("nav", F.col("nav") * 2), path, load_id=2)
+    nl.ingest_nav(nav, path, load_id=3)
+    return nl.read_table(spark, path).select("scheme_code", "scheme_name", "date", "nav", "load_id")
+
+
 def _corr_args() -> dict:
-    return {"codes": None, "since": None, "min_overlap": MIN_OVERLAP, "top_k": TOP_K}
+    return {"codes": "all", "since": None, "min_overlap": MIN_OVERLAP}
 
 
 QUERIES: dict[str, Query] = {
@@ -130,6 +164,8 @@ QUERIES: dict[str, Query] = {
     "ingest_backfill_master": _ingest_backfill_master,
     "ingest_corrected_prices": _ingest_corrected_prices,
     "ingest_retry_master": _ingest_retry_master,
+    "ingest_redelivered": _ingest_redelivered,
+    "newest_nav": _newest_nav,
     "scheme_master": lambda s, d: nl.scheme_master(fx.nav_s(s, d)),
     "refresh_master": _refresh_master,
     "deduplicate_nav": lambda s, d: nl.deduplicate_nav(fx.nav_ticks(s, d)),
@@ -147,6 +183,12 @@ QUERIES: dict[str, Query] = {
     "available_dates": lambda s, d: nl.available_dates(fx.nav_s(s, d)),
     "latest_nav_date": lambda s, d: nl.latest_nav_date(fx.nav_s(s, d)),
     "fund_houses": lambda s, d: nl.fund_houses(_older_master(s, d), fx.nav_p(s, d)),
+    # lookups that read the maintained table of newest rows instead of NAV
+    "search_schemes_newest": lambda s, d: nl.search_schemes(_older_master(s, d), KEYWORD, newest=_with_newest(s, d)),
+    "schemes_by_fund_house_newest": lambda s, d: nl.schemes_by_fund_house(_older_master(s, d), HOUSE_KEYWORD, newest=_with_newest(s, d)),
+    "schemes_by_category_newest": lambda s, d: nl.schemes_by_category(_older_master(s, d), KEYWORD, newest=_with_newest(s, d)),
+    "scheme_details_newest": lambda s, d: nl.scheme_details(_older_master(s, d), newest=_with_newest(s, d)),
+    "fund_houses_newest": lambda s, d: nl.fund_houses(_older_master(s, d), newest=_with_newest(s, d)),
     # summary, quality, duplicates
     "nav_summary": lambda s, d: nl.nav_summary(fx.nav_s(s, d), AS_OF),
     "dq_null_checks": lambda s, d: nl.dq_null_checks(fx.nav_ticks(s, d)),
@@ -209,4 +251,12 @@ QUERIES: dict[str, Query] = {
     "correlation_statistics_compounded": lambda s, d: nl.correlation_statistics(fx.nav_m(s, d), **_corr_args()),
     "diversification_insights": lambda s, d: nl.diversification_insights(fx.nav_t(s, d), **_corr_args()),
     "diversification_insights_compounded": lambda s, d: nl.diversification_insights(fx.nav_m(s, d), **_corr_args()),
+    # over the dense daily series of every supplier
+    "returns_matrix_all": lambda s, d: nl.returns_matrix(fx.nav_d(s, d), **_corr_args()),
+    "data_availability_all": lambda s, d: nl.data_availability(fx.nav_s(s, d), **_corr_args()),
+    "correlation_matrix_all": lambda s, d: nl.correlation_matrix(fx.nav_d(s, d), **_corr_args()),
+    "notable_pairs_all": lambda s, d: nl.notable_pairs(fx.nav_d(s, d), **_corr_args()),
+    "high_correlation_pairs": lambda s, d: nl.high_correlation_pairs(fx.nav_d(s, d), **_corr_args()),
+    "correlation_statistics_all": lambda s, d: nl.correlation_statistics(fx.nav_d(s, d), **_corr_args()),
+    "diversification_insights_all": lambda s, d: nl.diversification_insights(fx.nav_d(s, d), **_corr_args()),
 }

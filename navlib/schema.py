@@ -32,6 +32,20 @@ MASTER_SCHEMA = T.StructType(
     ]
 )
 
+# The maintained table of newest rows, one per scheme.
+NEWEST_SCHEMA = T.StructType(
+    [
+        T.StructField("scheme_code", T.StringType()),
+        T.StructField("date", T.DateType()),
+        *LOAD_FIELDS,
+        T.StructField("nav", T.DoubleType()),
+        T.StructField("scheme_name", T.StringType()),
+        T.StructField("fund_house", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+
 NAV_COLUMNS = [f.name for f in NAV_SCHEMA.fields]
 MASTER_COLUMNS = [f.name for f in MASTER_SCHEMA.fields]
 PARTITION_COLUMNS = ["year", "month"]

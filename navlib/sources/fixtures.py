@@ -121,6 +121,31 @@ def nav_m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nav.join(market, "date").select("scheme_code", "scheme_name", "fund_house", "date", _path(F.lit(20000), step))
 
 
+def nav_d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's compounded price on every day of the table's calendar; suppliers of a nation share its step.
+
+    By code % 4 a price follows the nation's step alone, mostly, partly or not at all.
+    """
+    nav = nav_s(spark, sf_dir)
+    days = table(spark, sf_dir, "lineitem").agg(F.min(_ship_date()).alias("lo"), F.max(_ship_date()).alias("hi"))
+    lo, hi = days.select("lo").scalar(), days.select("hi").scalar()
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    schemes = sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
+        F.col("s_suppkey").cast("string").alias("scheme_code"),
+        F.col("s_name").alias("scheme_name"),
+        F.col("n_name").alias("fund_house"),
+        F.explode(F.sequence(lo, hi)).alias("date"),
+    )
+    market = nav.groupBy("fund_house", "date").agg((F.sum(F.floor(F.col("nav") * 100)) % 41 - 20).alias("_market"))
+    own = nav.select("scheme_code", "date", _step().alias("_own"))
+    rows = schemes.join(own, ["scheme_code", "date"], "left").join(market, ["fund_house", "date"], "left")
+    own, market = F.coalesce("_own", F.lit(0)), F.coalesce("_market", F.lit(0))
+    kind = F.col("scheme_code").cast("bigint") % 4
+    step = F.when(kind == 0, market).when(kind == 1, market * 2 + own).when(kind == 2, market * 2 + own * 3).otherwise(own)
+    return rows.select("scheme_code", "scheme_name", "fund_house", "date", _path(F.lit(20000), step))
+
+
 def nav_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem row, with duplicates, bad codes, null names/NAVs and load ids."""
     li = table(spark, sf_dir, "lineitem")
@@ -209,6 +234,7 @@ BUILDERS = {
     "nav_t": nav_t,
     "nav_c": nav_c,
     "nav_m": nav_m,
+    "nav_d": nav_d,
     "nav_ticks": nav_ticks,
     "master_p": master_p,
     "master_renamed": master_renamed,
@@ -263,6 +289,18 @@ SELECT scheme_code, scheme_name, fund_house, date,
             OVER (PARTITION BY scheme_code ORDER BY date), 50) AS DOUBLE) / 10 AS nav
 FROM (SELECT *, CAST(FLOOR(nav * 100) AS BIGINT) % 41 - 20 AS own,
              CAST(SUM(CAST(FLOOR(nav * 100) AS BIGINT)) OVER (PARTITION BY date) AS BIGINT) % 41 - 20 AS market FROM nav_t)""",
+    "nav_d": """
+SELECT scheme_code, scheme_name, fund_house, date,
+       CAST(GREATEST(20000 + SUM(CASE kind WHEN 0 THEN market WHEN 1 THEN market * 2 + own WHEN 2 THEN market * 2 + own * 3 ELSE own END)
+            OVER (PARTITION BY scheme_code ORDER BY date), 50) AS DOUBLE) / 10 AS nav
+FROM (SELECT d.*, s_suppkey % 4 AS kind, COALESCE(CAST(FLOOR(nav_s.nav * 100) AS BIGINT) % 41 - 20, 0) AS own, COALESCE(market, 0) AS market
+      FROM (SELECT CAST(s_suppkey AS VARCHAR) AS scheme_code, s_suppkey, s_name AS scheme_name, n_name AS fund_house, CAST(day AS DATE) AS date
+            FROM supplier JOIN nation ON n_nationkey = s_nationkey
+            CROSS JOIN (SELECT UNNEST(generate_series(MIN(CAST(l_shipdate AS DATE)), MAX(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY)) AS day
+                        FROM lineitem)) d
+      LEFT JOIN nav_s ON nav_s.scheme_code = d.scheme_code AND nav_s.date = d.date
+      LEFT JOIN (SELECT fund_house, date, CAST(SUM(CAST(FLOOR(nav * 100) AS BIGINT)) AS BIGINT) % 41 - 20 AS market FROM nav_s GROUP BY ALL) m
+             ON m.fund_house = d.fund_house AND m.date = d.date)""",
     "nav_stale": """
 SELECT scheme_code, scheme_name, fund_house, date, CAST(FLOOR(nav / 2500) + 1 AS DOUBLE) AS nav FROM nav_s""",
 }
@@ -272,7 +310,7 @@ def with_fixtures(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the fixture views it uses, as CTEs (dependencies first)."""
     order = []
     for name in names:
-        base = {"nav_stale": "nav_s", "nav_c": "nav_s", "nav_m": "nav_t"}.get(name)
+        base = {"nav_stale": "nav_s", "nav_c": "nav_s", "nav_d": "nav_s", "nav_m": "nav_t"}.get(name)
         if base and base not in order:
             order.append(base)
         if name not in order:

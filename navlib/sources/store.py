@@ -21,12 +21,13 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from navlib.operators.master import dated_master, with_partition_columns
-from navlib.schema import MASTER_COLUMNS, NAV_COLUMNS, PARTITION_COLUMNS, typed_empty
+from navlib.schema import MASTER_COLUMNS, NAV_COLUMNS, NEWEST_SCHEMA, PARTITION_COLUMNS, STORED_NAV_SCHEMA, typed_empty
 from navlib.session import checkpointed, ensure_checkpoint_dir
 
 KEY = "scheme_code"
 WRITE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 DEFAULT_CLUSTERING = ["date", KEY]
+NEWEST_BUCKETS = 32
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -40,9 +41,13 @@ def write_table(
     path: str,
     partition_cols: Sequence[str] | None = None,
     mode: str = "append",
+    touched_only: bool = False,
 ) -> None:
     """OP02: save as Parquet, optionally partitioned; modes append/overwrite/ignore/error.
 
+    With ``touched_only`` an overwrite replaces only the partitions that
+    ``df`` has rows of.
+
     A partitioned write is first rebalanced on the partition columns: rows of
     one partition value meet in few tasks (no file per task per directory),
     and adaptive execution splits a hot value into advisory-size files and
@@ -55,6 +60,8 @@ def write_table(
     writer = df.write.mode(mode)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
+    if touched_only:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
@@ -134,11 +141,44 @@ def deduplicate_nav(batch: DataFrame) -> DataFrame:
     )
 
 
+def month_fingerprints(rows: DataFrame) -> dict[tuple[int, int], tuple]:
+    """Per (year, month) of deduplicated NAV rows: row count and sums of two row hashes, which no row order changes.
+
+    One aggregate; a calendar-bounded number of rows comes back.
+    """
+    text = lambda c: F.coalesce(F.col(c), F.lit("\0"))
+    row = [KEY, "date", "nav", text("scheme_name"), text("fund_house")]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *row).cast("decimal(20,0)")).cast("string").alias(f"h{seed}") for seed in (1, 2)]
+    found = rows.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"), *sums).collect()
+    return {(r.year, r.month): (r.rows, r.h1, r.h2) for r in found}
+
+
+def _loads_path(nav_path: str) -> str:
+    # hidden from readers of the table, and gone with it when the table is overwritten
+    return f"{nav_path.rstrip('/')}/_loads"
+
+
+_LOADS = "step bigint, load_id bigint, year int, month int, rows bigint, h1 string, h2 string"
+
+
+def _newest_loads(spark: SparkSession, nav_path: str) -> tuple[int, dict[tuple[int, int], tuple]]:
+    """(last step, fingerprint of the last load that touched each month)."""
+    log = read_table(spark, _loads_path(nav_path), T.StructType.fromDDL(_LOADS))
+    newest = log.groupBy(*PARTITION_COLUMNS).agg(F.max(F.struct("step", "rows", "h1", "h2")).alias("l")).collect()
+    return max((r.l.step for r in newest), default=0), {(r.year, r.month): (r.l.rows, r.l.h1, r.l.h2) for r in newest}
+
+
+def _log_load(spark: SparkSession, nav_path: str, step: int, load_id: int, months: dict[tuple[int, int], tuple]) -> None:
+    rows = [(step, load_id, *month, *print_) for month, print_ in months.items()]
+    spark.createDataFrame(rows, _LOADS).coalesce(1).write.mode("append").parquet(_loads_path(nav_path))
+
+
 def ingest_nav(
     batch: DataFrame,
     nav_path: str,
     master_path: str | None = None,
     load_id: int | None = None,
+    newest_path: str | None = None,
 ) -> DataFrame:
     """OP05: append the batch's new and corrected rows; loading twice = once.
 
@@ -149,8 +189,15 @@ def ingest_nav(
     milliseconds) and ``loaded_at``; older versions stay for ``nav_as_of``,
     and readers take the newest.  The returned frame reads this load's rows
     back.  A failed append commits nothing, and a rerun appends only what
-    differs.  With ``master_path`` the scheme master is refreshed from the
-    whole batch, so a rerun after a crash between the two steps does that too.
+    differs.  With ``master_path`` the scheme master and with ``newest_path``
+    the table of newest rows (``refresh_newest``) is refreshed from the
+    whole batch, so a rerun after a crash between the steps does that too.
+
+    A month that arrives again with the same rows as in the last load that
+    touched it holds nothing new, and its stored rows are not read: loads keep
+    each month's fingerprint beside the table.  A load announces its months
+    there before it appends, so a month whose load broke off is compared.
+    Only ingest may write to the table (an overwrite or a compacted copy starts anew).
     """
     spark = batch.sparkSession
     load_id = int(time.time() * 1000) if load_id is None else int(load_id)
@@ -158,32 +205,40 @@ def ingest_nav(
     # it is used is safe: a lost block is recomputed to the same rows.
     rows = deduplicate_nav(with_partition_columns(batch).select(*NAV_COLUMNS)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # distinct (year, month) of the batch: a calendar-bounded list, used as a
-        # static partition filter on the stored table
-        touched = sorted({r.year * 100 + r.month for r in rows.select(*PARTITION_COLUMNS).distinct().collect()})
-        in_batch_months = (F.col("year") * 100 + F.col("month")).isin(touched)
-        stored = read_table(spark, nav_path)
-        new = rows
-        if stored is not None:
-            values = ("nav", "scheme_name", "fund_house")
-            stored = stored.where(in_batch_months)
-            current = nav_as_of(stored) if "load_id" in stored.columns else deduplicate_nav(stored)
-            current = current.select(KEY, "date", *[F.col(c).alias(f"_{c}") for c in values], F.lit(True).alias("_known"))
-            same = F.lit(True)
-            for c in values:
-                same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-            new = rows.join(current, [KEY, "date"], "left").where(F.col("_known").isNull() | ~same)
-        stamped = (
-            new.select(*NAV_COLUMNS)
-            .withColumn("load_id", F.lit(load_id).cast("bigint"))
-            .withColumn("loaded_at", F.current_timestamp())
-        )
-        write_table(stamped, nav_path, PARTITION_COLUMNS, "append")
+        months = month_fingerprints(rows)
+        step, before = _newest_loads(spark, nav_path)
+        changed = {m: f for m, f in months.items() if before.get(m) != f}
+        stored = read_table(spark, nav_path, STORED_NAV_SCHEMA) if before else read_table(spark, nav_path)
+        if changed:
+            # a calendar-bounded list, used as a static partition filter on the stored table
+            in_changed_months = (F.col("year") * 100 + F.col("month")).isin([y * 100 + m for y, m in changed])
+            new = rows.where(in_changed_months)
+            if stored is not None:
+                _log_load(spark, nav_path, step + 1, load_id, {m: (None, None, None) for m in changed})
+                values = ("nav", "scheme_name", "fund_house")
+                stored = stored.where(in_changed_months)
+                current = nav_as_of(stored) if "load_id" in stored.columns else deduplicate_nav(stored)
+                current = current.select(KEY, "date", *[F.col(c).alias(f"_{c}") for c in values], F.lit(True).alias("_known"))
+                same = F.lit(True)
+                for c in values:
+                    same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+                new = new.join(current, [KEY, "date"], "left").where(F.col("_known").isNull() | ~same)
+            stamped = (
+                new.select(*NAV_COLUMNS)
+                .withColumn("load_id", F.lit(load_id).cast("bigint"))
+                .withColumn("loaded_at", F.current_timestamp())
+            )
+            write_table(stamped, nav_path, PARTITION_COLUMNS, "append")
+            _log_load(spark, nav_path, step + 2, load_id, changed)
         if master_path is not None:
             refresh_master(spark, master_path, rows)
+        if newest_path is not None:
+            stamped = rows.withColumn("load_id", F.lit(load_id).cast("bigint")).withColumn("loaded_at", F.current_timestamp())
+            refresh_newest(spark, newest_path, stamped)
     finally:
         rows.unpersist()
-    return read_table(spark, nav_path).where(in_batch_months & (F.col("load_id") == F.lit(load_id)))
+    in_batch_months = (F.col("year") * 100 + F.col("month")).isin([y * 100 + m for y, m in months])
+    return read_table(spark, nav_path, STORED_NAV_SCHEMA).where(in_batch_months & (F.col("load_id") == F.lit(load_id)))
 
 
 def refresh_master(spark: SparkSession, master_path: str, nav: DataFrame, rebuild: bool = False) -> DataFrame:
@@ -206,6 +261,58 @@ def refresh_master(spark: SparkSession, master_path: str, nav: DataFrame, rebuil
     return merged.select(*MASTER_COLUMNS)
 
 
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The maintained table of newest rows, one per scheme (empty if there is none yet)."""
+    return read_table(spark, path, NEWEST_SCHEMA)
+
+
+def refresh_newest(
+    spark: SparkSession, path: str, nav: DataFrame, buckets: int = NEWEST_BUCKETS, rebuild: bool = False
+) -> None:
+    """Bring the table of newest NAV rows up to date with the rows of ``nav``.
+
+    The table is a view kept by increments: (scheme_code, scheme_name,
+    fund_house, nav, date, load_id, loaded_at), the row with the newest date
+    of each scheme, of one date that of the newest load, in ``buckets``
+    folders by a hash of the code.  Schemes that get a newer row are found by a
+    join with the small table, and only the buckets that hold some are
+    rewritten (dynamic partition overwrite); older rows, as in a backfill, rewrite
+    nothing.  The rows don't depend on the order of loads, so a repeated
+    refresh changes nothing.  The table is derived data with one writer: if a rewrite is cut
+    off, ``rebuild=True`` with all of ``nav`` makes it anew.  The number of
+    buckets is that of the first refresh.
+    """
+    loads = [F.col(c) if c in nav.columns else F.lit(None).cast(t).alias(c) for c, t in (("load_id", "bigint"), ("loaded_at", "timestamp"))]
+    values = ("date", "load_id", "loaded_at", "nav", "scheme_name", "fund_house")
+    fresh = (
+        nav.where(F.col(KEY).isNotNull() & F.col("date").isNotNull())
+        .select(KEY, "date", *loads, "nav", "scheme_name", "fund_house")
+        .groupBy(KEY)
+        .agg(F.max(F.struct(*values)).alias("_new"))
+    )
+    old = read_newest(spark, path)
+    first = None if rebuild else old.select("buckets").first()
+    if first is None:
+        made = fresh.select(KEY, "_new.*").withColumn("buckets", F.lit(buckets))
+        bucket = F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
+        write_table(checkpointed(made).withColumn("bucket", bucket), path, ["bucket"], "overwrite")
+        return
+    buckets = first.buckets
+    bucket = F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
+    known = old.select(KEY, F.struct(*values).alias("_old"))
+    same = F.lit(True)
+    for c in ("date", "nav", "scheme_name", "fund_house"):
+        same = same & F.col(f"_new.{c}").eqNullSafe(F.col(f"_old.{c}"))
+    newer = F.col("_old").isNull() | ((F.col("_new") > F.col("_old")) & ~same)  # as ingest: equal values are no new version
+    changed = checkpointed(fresh.join(known, KEY, "left").where(newer).select(KEY, "_new.*", F.lit(buckets).alias("buckets"), bucket.alias("bucket")))
+    touched = [r.bucket for r in changed.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    kept = old.where(F.col("bucket").isin(touched)).join(changed.select(KEY), KEY, "left_anti")
+    merged = checkpointed(kept.select(*changed.columns).unionByName(changed))
+    write_table(merged, path, ["bucket"], "overwrite", touched_only=True)
+
+
 def compact_table(
     spark: SparkSession,
     path: str,

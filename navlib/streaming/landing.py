@@ -28,6 +28,7 @@ def follow_landing(
     available_now: bool = True,
     processing_time: str = "1 hour",
     max_files_per_trigger: int | None = None,
+    newest_path: str | None = None,
 ) -> StreamingQuery:
     """Start the landing-folder ingest; returns the running query."""
     # next to the table, so that a restarted query finds its progress again (the
@@ -39,7 +40,7 @@ def follow_landing(
     lines = reader.load(landing_dir)
 
     def _batch(batch: DataFrame, epoch_id: int) -> None:
-        ingest_nav(parse_nav_text(batch, house_map), nav_path, master_path)
+        ingest_nav(parse_nav_text(batch, house_map), nav_path, master_path, newest_path=newest_path)
 
     writer = lines.writeStream.foreachBatch(_batch).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

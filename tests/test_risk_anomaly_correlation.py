@@ -126,7 +126,7 @@ def test_perfect_anticorrelation(spark):
     assert got[("x", "y")] < -0.99
 
 
-def test_correlation_in_several_passes(spark, monkeypatch):
+def test_correlation_in_several_tiles(spark, monkeypatch):
     import navlib.operators.correlation as C
 
     rng = np.random.default_rng(3)
@@ -134,9 +134,105 @@ def test_correlation_in_several_passes(spark, monkeypatch):
     series = {
         f"c{i:02d}": list(100 * np.cumprod(1 + base * rng.uniform(-1, 1) + rng.normal(0, 0.01, 150))) for i in range(12)
     }
-    monkeypatch.setattr(C, "MAX_SUMS_PER_PASS", 10)
+    monkeypatch.setattr(C, "TILE", 5)
     got = {(r.scheme1, r.scheme2): r.correlation for r in nl.correlation_matrix(nav_frame(spark, series), list(series)).collect()}
     rets = pd.DataFrame({c: pd.Series(v).pct_change() for c, v in series.items()}).dropna()
     corr = rets.corr()
     assert len(got) == 144
     assert all(abs(got[(a, b)] - round(corr.loc[a, b], 4)) <= 1.01e-4 for a in series for b in series)
+
+
+def _many(spark, schemes, days, seed=11):
+    """A frame of ``schemes`` series in groups that share a factor, with one constant series."""
+    rng = np.random.default_rng(seed)
+    factor = rng.normal(0, 0.01, (schemes // 8 + 1, days))
+    weight = rng.uniform(0, 1, schemes)
+    r = weight[:, None] * factor[np.arange(schemes) // 8] + (1 - weight[:, None]) * rng.normal(0, 0.006, (schemes, days))
+    r[3] = 0
+    nav = 100 * np.cumprod(1 + r, axis=1)
+    dates = pd.date_range("2020-01-01", periods=days).date
+    frame = pd.DataFrame(
+        {
+            "scheme_code": np.repeat([f"s{i:05d}" for i in range(schemes)], days),
+            "scheme_name": np.repeat([f"n{i}" for i in range(schemes)], days),
+            "fund_house": "h",
+            "date": np.tile(dates, schemes),
+            "nav": nav.ravel(),
+        }
+    )
+    returns = nav[:, 1:] / nav[:, :-1] - 1
+    with np.errstate(invalid="ignore"):
+        return spark.createDataFrame(frame), np.corrcoef(returns)
+
+
+def test_all_schemes_in_tiles(spark, monkeypatch):
+    import navlib.operators.correlation as C
+
+    monkeypatch.setattr(C, "TILE", 16)
+    df, want = _many(spark, 60, 130)
+    got = nl.correlation_matrix(df, "all").toPandas()
+    assert len(got) == 3600 and (got.overlap_days == 129).all()
+    i, j = (got[c].str[1:].astype(int).to_numpy() for c in ("scheme1", "scheme2"))
+    constant = (i == 3) | (j == 3)
+    assert got.correlation[constant].isna().all()
+    assert np.allclose(got.correlation[~constant], want[i, j][~constant], atol=5.1e-5)
+    with pytest.raises(ValueError):
+        nl.correlation_matrix(df, "some")
+
+
+def test_tasks_hold_two_tiles_of_many_schemes(spark):
+    """3,000 schemes: nine million pairs, and no group of the product has more rows than two tiles."""
+    import navlib.operators.correlation as C
+    from pyspark.sql import functions as F
+
+    df, want = _many(spark, 3000, 25)
+    inp = C._prepare(df, "all", None, 20, None)
+    tiles = -(-3000 // C.TILE)
+    sizes = C._vectors(inp).groupBy(F.pmod(F.xxhash64("scheme_code"), F.lit(tiles))).count()
+    assert sizes.agg(F.max("count")).first()[0] < 1.4 * C.TILE
+    got = C._pearson(inp).agg(F.count("*").alias("n"), F.avg("rho").alias("m"), F.count("rho").alias("k")).first()
+    assert (got.n, got.k) == (3000**2, 2999**2)
+    assert got.m == pytest.approx(float(np.nanmean(want)), abs=1e-9)
+
+
+def test_high_pairs_by_signatures(spark):
+    """Recall of the hyperplane signatures over all pairs above 0.8, and no wrong row."""
+    df, want = _many(spark, 400, 260, seed=5)
+    rows = nl.high_correlation_pairs(df, "all").collect()
+    got = {(int(r.scheme1[1:]), int(r.scheme2[1:])): r for r in rows}
+    i, j = np.nonzero(np.triu(np.nan_to_num(want) > 0.8, 1))
+    true = set(zip(i.tolist(), j.tolist(), strict=True))
+    assert len(rows) == len(got) and set(got) <= true and len(true) > 100
+    assert len(got) >= 0.99 * len(true)
+    assert all(abs(r.correlation - want[k]) <= 5.1e-5 and r.kind == "high" and r.scheme2_name == f"n{k[1]}" for k, r in got.items())
+    few = nl.high_correlation_pairs(df, "all", band_bits=16, bands=2).count()
+    assert 0 < few < len(got)
+    exact = nl.notable_pairs(df, "all").where("kind = 'high'").count()
+    assert exact == len(true)
+
+
+def test_high_pairs_without_enough_days(spark):
+    df = nav_frame(spark, {"a": list(range(1, 60)), "b": list(range(2, 61))})
+    assert nl.high_correlation_pairs(df, ["a", "b"]).count() == 0
+    with pytest.raises(ValueError):
+        nl.high_correlation_pairs(df, ["a", "b"], high=1.5)
+
+
+@pytest.mark.parametrize("window", [2, 5, 20, 252])
+def test_rolling_volatility_of_any_window(spark, window):
+    rng = np.random.default_rng(window)
+    series = {f"c{n}": list(100 * np.cumprod(1 + rng.normal(0, 0.01, n))) for n in (31, 253, 254, 504, 505, 506, 777)}
+    series["c506"][300] = 1e8  # a wild NAV spoils its own frames only
+    got = {r.scheme_code: r for r in nl.rolling_volatility(nav_frame(spark, series), window).collect()}
+    for code, values in series.items():
+        v = (pd.Series(values).pct_change().dropna().rolling(window).std() * np.sqrt(252)).dropna().to_numpy()
+        if code == "c506":  # pandas subtracts, so each frame by itself
+            r = pd.Series(values).pct_change().dropna().to_numpy()
+            v = np.array([r[k : k + window].std(ddof=1) for k in range(len(r) - window + 1)]) * np.sqrt(252)
+        assert (code in got) == (len(v) > 0)
+        if len(v):
+            row = got[code]
+            assert row.current_rolling_vol == pytest.approx(v[-1], abs=6e-5)
+            assert row.average_rolling_vol == pytest.approx(v.mean(), rel=1e-9, abs=6e-5)
+            assert row.min_rolling_vol == pytest.approx(v.min(), abs=6e-5)
+            assert row.max_rolling_vol == pytest.approx(v.max(), rel=1e-9, abs=6e-5)

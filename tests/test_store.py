@@ -144,3 +144,112 @@ def test_write_modes(spark):
         pass
     else:
         raise AssertionError("bad mode accepted")
+
+
+def test_redelivered_months_are_not_read(spark, monkeypatch):
+    from navlib.sources import store
+
+    path = scratch_path(spark, "nav")
+    feed = _nav(spark, *[(c, c.upper(), 10.0 + d, d) for c in "abc" for d in range(0, 120, 7)])
+    first = nl.ingest_nav(feed, path, load_id=1).count()
+    with monkeypatch.context() as m:
+        m.setattr(store, "nav_as_of", lambda *a, **k: (_ for _ in ()).throw(AssertionError("stored rows were read")))
+        # other row order, other split, copies
+        assert nl.ingest_nav(feed.unionByName(feed).repartition(5), path, load_id=2).count() == 0
+        assert nl.ingest_nav(feed.where(F.month("date") == 2), path, load_id=3).count() == 0
+    assert nl.read_table(spark, path).count() == first
+    # one corrected row: its month is compared, the others aren't read
+    fixed = feed.withColumn("nav", F.when((F.col("scheme_code") == "a") & (F.col("date") == day(35)), 99.0).otherwise(F.col("nav")))
+    read = []
+    as_of = store.nav_as_of
+    monkeypatch.setattr(store, "nav_as_of", lambda df, *a, **k: read.append(df.select("year", "month").distinct().count()) or as_of(df, *a, **k))
+    assert [(r.nav, r.date) for r in nl.ingest_nav(fixed, path, load_id=4).collect()] == [(99.0, day(35))]
+    assert read == [1]
+    # the first feed again: it is not what the last load of that month held
+    assert [(r.nav, r.date) for r in nl.ingest_nav(feed, path, load_id=5).collect()] == [(45.0, day(35))]
+    assert {r.nav for r in nl.nav_as_of(nl.read_table(spark, path)).where(F.col("date") == day(35)).collect()} == {45.0}
+
+
+def test_load_that_broke_off_is_compared(spark, monkeypatch):
+    from navlib.sources import store
+
+    path = scratch_path(spark, "nav")
+    one, two = _nav(spark, ("a", "A", 1.0, 0)), _nav(spark, ("a", "A", 2.0, 0))
+    nl.ingest_nav(one, path, load_id=1)
+    log = store._log_load
+
+    def dies(spark, nav_path, step, load_id, months):
+        if any(m[0] is not None for m in months.values()):
+            raise RuntimeError("lost")
+        log(spark, nav_path, step, load_id, months)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_log_load", dies)
+        try:
+            nl.ingest_nav(two, path, load_id=2)
+        except RuntimeError:
+            pass
+    assert nl.read_table(spark, path).count() == 2  # appended, but not logged
+    assert nl.ingest_nav(one, path, load_id=3).count() == 1
+    assert [r.nav for r in nl.nav_as_of(nl.read_table(spark, path)).collect()] == [1.0]
+
+
+def test_empty_batches(spark):
+    path = scratch_path(spark, "nav")
+    empty = _nav(spark, ("a", "A", 1.0, 0)).limit(0)
+    assert nl.ingest_nav(empty, path, load_id=1, newest_path=path + "_newest").count() == 0
+    assert nl.ingest_nav(_nav(spark, ("a", "A", 1.0, 0)), path, load_id=2, newest_path=path + "_newest").count() == 1
+    assert nl.ingest_nav(empty, path, load_id=3, newest_path=path + "_newest").count() == 0
+    assert nl.read_newest(spark, path + "_newest").count() == 1
+
+
+def _newest(spark, path):
+    return {r.scheme_code: (r.nav, r.date, r.scheme_name) for r in nl.read_newest(spark, path).collect()}
+
+
+def test_newest_rows_are_kept_by_increments(spark):
+    import random
+
+    rng = random.Random(4)
+    path, newest = scratch_path(spark, "nav"), scratch_path(spark, "newest")
+    for load in range(1, 7):
+        rows = [(f"c{rng.randint(0, 30)}", f"N{load}", float(rng.randint(1, 99)), rng.randint(0, 60)) for _ in range(40)]
+        rows = list({(c, d): (c, n, v, d) for c, n, v, d in rows}.values())
+        nl.ingest_nav(_nav(spark, *rows), path, load_id=load, newest_path=newest)
+        want = {r.scheme_code: (r.nav, r.date, r.scheme_name) for r in nl.latest_nav(nl.read_table(spark, path)).collect()}
+        assert _newest(spark, newest) == want
+    nl.refresh_newest(spark, newest, nl.read_table(spark, path), rebuild=True)
+    assert _newest(spark, newest) == want
+
+
+def test_only_buckets_with_newer_rows_are_rewritten(spark):
+    newest = scratch_path(spark, "newest")
+    files = lambda: set(nl.read_newest(spark, newest).inputFiles())
+    nl.refresh_newest(spark, newest, _nav(spark, *[(f"c{i}", "N", 1.0, 50) for i in range(200)]), buckets=8)
+    before = files()
+    nl.refresh_newest(spark, newest, _nav(spark, *[(f"c{i}", "OLD", 2.0, 3) for i in range(200)]))
+    assert files() == before and len(before) == 8  # a backfill rewrites nothing
+    nl.refresh_newest(spark, newest, _nav(spark, ("c7", "NEW", 3.0, 51)), buckets=64)
+    after = files()
+    assert len(after) == 8 and len(after & before) == 7
+    assert _newest(spark, newest)["c7"] == (3.0, day(51), "NEW") and len(_newest(spark, newest)) == 200
+
+
+def test_lookups_scan_no_nav(spark):
+    from navlib.plans.inspect import plan_text
+
+    path, newest, master = (scratch_path(spark, n) for n in ("nav", "newest", "master"))
+    feed = _nav(spark, *[(f"c{i}", f"Fund {i % 3}", float(i), i) for i in range(30)])
+    nl.ingest_nav(feed, path, master, load_id=1, newest_path=newest)
+    m, n, nav = nl.read_table(spark, master), nl.read_newest(spark, newest), nl.read_table(spark, path)
+    for by_newest, by_nav in (
+        (nl.search_schemes(m, "fund 1", newest=n), nl.search_schemes(m, "fund 1", nav=nav)),
+        (nl.schemes_by_fund_house(m, "h", newest=n), nl.schemes_by_fund_house(m, "h", nav=nav)),
+        (nl.schemes_by_category(m, "2", newest=n), nl.schemes_by_category(m, "2", nav=nav)),
+        (nl.fund_houses(m, newest=n), nl.fund_houses(m, nav)),
+        (nl.scheme_details(m, newest=n), nl.scheme_details(m, nav)),
+    ):
+        assert sorted(map(tuple, by_newest.collect())) == sorted(map(tuple, by_nav.collect()))
+        text = plan_text(by_newest)
+        assert path not in text and newest in text
+        assert path in plan_text(by_nav)
