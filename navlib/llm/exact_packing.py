@@ -321,7 +321,8 @@ def pack_exactly(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id:
     # one row per task and length: a window holds as many rows as there are tasks
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = by_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = pieces.join(base, ["task", "length"]).select(
+    # the counts grow with the tasks, so they are no side to broadcast
+    ranked = pieces.join(base.hint("merge"), ["task", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, (F.col("number") + F.col("base")).alias("rank")
     )
     kind = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ids + ", sequence_id bigint, `offset` bigint"

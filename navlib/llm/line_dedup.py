@@ -1,8 +1,11 @@
 """Line dedup by site-relative frequency, in DataFrame functions only.
 
 Pages are grouped by host (here ``source``).  A line is boilerplate on its
-host if it stands in at least ``MIN_PAGES`` pages and in more than ``RATIO``
-of the host's pages; boilerplate lines leave the pages of that host.
+host if its share of the host's pages is above ``RATIO``, judged with the
+same certainty on hosts of every size: of n pages more than
+``n * RATIO + DEVIATIONS * sqrt(n * RATIO * (1 - RATIO))`` must have it (the lower
+end of the share's score interval is then above the ratio), and two at
+least.  Boilerplate lines leave the pages of that host.
 
 Lines are compared trimmed, by two 64-bit hashes; each page contributes a
 line once.  Counts combine map-side, so a host with a third of all pages adds
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from navlib.llm._frames import positional, replace_columns, small_side
 
 RATIO = 0.05
-MIN_PAGES = 5
+DEVIATIONS = 2.0
 
 BROADCAST_HOSTS = 2_000
 
@@ -36,7 +39,7 @@ def _hash(line: Column) -> Column:
     return _two(F.trim(line))
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float = RATIO, deviations: float = DEVIATIONS) -> DataFrame:
     """(host, a, b, pages, host_pages): hashes of the lines above the ratio.  ``pages`` has host and text."""
     hosts = pages.where(F.col("host").isNotNull())
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
@@ -47,18 +50,19 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
         .select("host", F.explode("lines").alias("line"))
         .groupBy("host", F.col("line.a").alias("a"), F.col("line.b").alias("b"))
         .agg(F.count(F.lit(1)).alias("pages"))
-        .where(F.col("pages") >= min_pages)
+        .where(F.col("pages") >= 2)
     )
     totals = distinct.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    return counts.join(totals, "host").where(F.col("pages") > F.col("host_pages") * F.lit(ratio))
+    n = F.col("host_pages")
+    return counts.join(totals, "host").where(F.col("pages") > n * ratio + F.sqrt(n * (ratio * (1 - ratio))) * deviations)
 
 
-def _marked(docs: DataFrame, ratio: float, min_pages: int) -> DataFrame:
+def _marked(docs: DataFrame, ratio: float, deviations: float) -> DataFrame:
     """Columns of ``docs`` as c0, c1, … plus n_lines, n_dropped and kept (text)."""
     names = docs.columns
     base = positional(docs)
     host, text = F.col(f"c{names.index('source')}"), F.col(f"c{names.index('text')}")
-    drop = boilerplate(base.select(host.alias("host"), text.alias("text")), ratio, min_pages)
+    drop = boilerplate(base.select(host.alias("host"), text.alias("text")), ratio, deviations)
     drop = small_side(drop.groupBy("host").agg(F.collect_list(F.struct("a", "b")).alias("drop")), BROADCAST_HOSTS)
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("drop"), _hash(x)))
@@ -72,16 +76,16 @@ def _marked(docs: DataFrame, ratio: float, min_pages: int) -> DataFrame:
     )
 
 
-def drop_boilerplate_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate_lines(docs: DataFrame, ratio: float = RATIO, deviations: float = DEVIATIONS) -> DataFrame:
     """``docs`` without boilerplate lines (n_chars renewed); same columns and rows."""
-    marked = _marked(docs, ratio, min_pages).withColumn("kept_chars", F.length("kept").cast("bigint"))
+    marked = _marked(docs, ratio, deviations).withColumn("kept_chars", F.length("kept").cast("bigint"))
     return replace_columns(marked, docs, {"text": "kept", "n_chars": "kept_chars"})
 
 
-def dropped_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def dropped_lines(docs: DataFrame, ratio: float = RATIO, deviations: float = DEVIATIONS) -> DataFrame:
     """Per document: doc_id, source, n_lines, n_dropped, n_chars (kept), kept_sha256 (of the kept text)."""
     id_, source = (f"c{docs.columns.index(n)}" for n in ("doc_id", "source"))
-    return _marked(docs, ratio, min_pages).select(
+    return _marked(docs, ratio, deviations).select(
         F.col(id_).alias("doc_id"),
         F.col(source).alias("source"),
         "n_lines",
@@ -92,17 +96,21 @@ def dropped_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PA
 
 
 ORACLE = f"""
-WITH d AS (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents),
-l AS (SELECT DISTINCT doc_id, source, trim(x, ' ') AS line FROM (SELECT doc_id, source, unnest(lines) AS x FROM d) WHERE trim(x, ' ') <> ''),
+WITH p AS (
+  SELECT source, text, row_number() OVER () AS page
+  FROM (SELECT DISTINCT source, text FROM documents WHERE source IS NOT NULL)),
+h AS (SELECT source, count(*) AS n FROM p GROUP BY source),
+l AS (SELECT DISTINCT page, source, trim(x, ' ') AS line FROM (SELECT page, source, unnest(string_split(text, chr(10))) AS x FROM p) WHERE trim(x, ' ') <> ''),
 drops AS (
-  SELECT l.source, l.line FROM l JOIN (SELECT source, count(*) AS n FROM documents GROUP BY source) h ON h.source = l.source
-  GROUP BY l.source, l.line, h.n HAVING count(*) >= {MIN_PAGES} AND count(*) > h.n * {RATIO}),
-x AS (
-  SELECT d.doc_id, d.source, generate_subscripts(d.lines, 1) AS i, unnest(d.lines) AS line FROM d),
+  SELECT l.source, l.line FROM l JOIN h ON h.source = l.source GROUP BY l.source, l.line, h.n
+  HAVING count(*) >= 2 AND count(*) > h.n * {RATIO} + sqrt(h.n * {RATIO * (1 - RATIO)}) * {DEVIATIONS}),
+d AS (SELECT row_number() OVER () AS row, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+x AS (SELECT row, source, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM d),
 k AS (
-  SELECT x.doc_id, x.source, count(*) AS n_lines, count(drops.line) AS n_dropped,
+  SELECT x.row, count(*) AS n_lines, count(drops.line) AS n_dropped,
          coalesce(string_agg(x.line, chr(10) ORDER BY x.i) FILTER (WHERE drops.line IS NULL), '') AS kept
   FROM x LEFT JOIN drops ON drops.source = x.source AND drops.line = trim(x.line, ' ')
-  GROUP BY x.doc_id, x.source)
-SELECT doc_id, source, n_lines, n_dropped, length(kept) AS n_chars, sha256(kept) AS kept_sha256 FROM k
+  GROUP BY x.row)
+SELECT doc_id, d.source, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, length(kept) AS n_chars, sha256(kept) AS kept_sha256
+FROM d LEFT JOIN k ON k.row = d.row
 """

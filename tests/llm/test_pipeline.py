@@ -1,5 +1,3 @@
-from collections import Counter
-
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -7,20 +5,14 @@ import __spark_entry__ as E
 import corpus_pipeline as P
 from test_dart_minhash import brute_classes
 from test_decontaminate import words_of
+from test_line_dedup import kept_texts
 from test_packing import check
 
-from navlib.llm.line_dedup import MIN_PAGES, RATIO
-
 SF = "/root/testdata/sf0.001"
 
 
 def brute_lines(docs):
-    pages, counts = Counter(), Counter()
-    for r in docs:
-        pages[r.source] += 1
-        counts.update({(r.source, x.strip(" ")) for x in r.text.split("\n") if x.strip(" ")})
-    gone = {k for k, n in counts.items() if n >= MIN_PAGES and n > pages[k[0]] * RATIO}
-    return {r.doc_id: "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" ")) not in gone) for r in docs}
+    return dict(zip([r.doc_id for r in docs], kept_texts([(r.text, r.source) for r in docs]), strict=True))
 
 
 def test_stages_against_brute_force(spark, tmp_path):
@@ -55,7 +47,6 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert sorted(map(tuple, clean)) == sorted(tuple(r) for r in single if not hit(r.text))
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     reference = lambda texts: [e.ids for e in t.encode_batch(list(texts), add_special_tokens=False)]
     check(pieces, [(r.doc_id, r.text) for r in clean], reference)
     whole = P.run(spark, SF)
@@ -65,4 +56,4 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = [n.split("_")[0] for n in E.queries() if n.startswith("op")]
-    assert [f"op{k}" for k in range(1, 11)] == sorted(names, key=lambda n: int(n[2:])) and "pipeline" in E.queries()
+    assert [f"op{k}" for k in range(1, 14)] == sorted(names, key=lambda n: int(n[2:])) and "pipeline" in E.queries()
