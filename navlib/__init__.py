@@ -12,10 +12,15 @@ from navlib.sources.store import (
     deduplicate_nav,
     ingest_nav,
     nav_as_of,
+    nav_range,
     read_newest,
     read_table,
     refresh_master,
     refresh_newest,
+    stored_latest_date,
+    stored_partitions,
+    stored_profile,
+    stored_range,
     table_partitions,
     table_profile,
     table_schema,

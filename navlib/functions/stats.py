@@ -41,11 +41,15 @@ def bias_corrected_skewness(x: Column | str) -> Column:
     A constant series gives 0; fewer than 3 values give NULL.
     """
     c = F.col(x) if isinstance(x, str) else x
-    n = F.count(c).cast("double")
-    g1 = F.skewness(c)
+    return sample_skewness(F.count(c), F.skewness(c), F.stddev_pop(c) == 0)
+
+
+def sample_skewness(count: Column, g1: Column, constant: Column) -> Column:
+    """G1 from the number of values and their population skewness."""
+    n = count.cast("double")
     return (
         F.when(n < 3, F.lit(None).cast("double"))
-        .when(F.stddev_pop(c) == 0, F.lit(0.0))
+        .when(constant, F.lit(0.0))
         .otherwise(F.try_divide(g1 * F.sqrt(n * (n - 1)), n - 2))
     )
 
@@ -58,11 +62,15 @@ def bias_corrected_kurtosis(x: Column | str) -> Column:
     fewer than 4 values give NULL.
     """
     c = F.col(x) if isinstance(x, str) else x
-    n = F.count(c).cast("double")
-    g2 = F.kurtosis(c)
+    return excess_kurtosis(F.count(c), F.kurtosis(c), F.stddev_pop(c) == 0)
+
+
+def excess_kurtosis(count: Column, g2: Column, constant: Column) -> Column:
+    """G2 from the number of values and their population excess kurtosis."""
+    n = count.cast("double")
     return (
         F.when(n < 4, F.lit(None).cast("double"))
-        .when(F.stddev_pop(c) == 0, F.lit(0.0))
+        .when(constant, F.lit(0.0))
         .otherwise(F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
     )
 

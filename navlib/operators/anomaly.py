@@ -144,8 +144,12 @@ def stale_nav(
     nav: DataFrame, min_run: int = STALE_MIN_RUN, min_data_points: int = MIN_DATA_POINTS, rows: DataFrame | None = None
 ) -> DataFrame:
     """OP47: schemes whose NAV stayed unchanged for at least ``min_run`` consecutive days."""
-    runs = _runs(_rows(nav, min_data_points, rows)).where(F.col("max_consecutive_unchanged") >= min_run)
-    return runs.select(
+    return stale_columns(_runs(_rows(nav, min_data_points, rows)), min_run)
+
+
+def stale_columns(runs: DataFrame, min_run: int) -> DataFrame:
+    """The columns of OP47 from a scheme's longest run."""
+    return runs.where(F.col("max_consecutive_unchanged") >= min_run).select(
         KEY,
         "scheme_name",
         F.lit("stale_nav").alias("pattern_type"),

@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navlib.functions.ranking import global_ranks, global_row_number
+from navlib.functions.ranking import global_ranks
+from navlib.functions.selection import value_at
 from navlib.operators.master import category_filter, scheme_master
 from navlib.session import checkpointed
 from navlib.functions.stats import ANNUAL_SQRT, CALENDAR_DAYS_YEAR, growth_percent, half_up
@@ -352,15 +353,12 @@ def top_performer_statistics(perf: DataFrame) -> DataFrame:
     """OP37: summary over all analysed schemes (``period_performance`` rows).
 
     median_return is the upper median, element n div 2 of the sorted
-    returns, found with a distributed global row number.
+    returns, found by counting in narrowing bins (``functions.selection``).
     """
     ret, vol = F.col("percentage_return"), F.col("volatility")
     # one row per scheme, read three times below: computed once
     perf = checkpointed(perf.select(KEY, "percentage_return", "volatility"))
-    returns = perf.where(ret.isNotNull()).select(KEY, "percentage_return")
-    n = returns.select(F.count(F.lit(1))).scalar()
-    ranked = global_row_number(returns, [ret.asc(), F.col(KEY).asc()], "_rn")
-    median = ranked.where(F.col("_rn") == F.floor(n / 2) + 1).select(F.max(ret)).scalar()
+    median = F.lit(value_at(perf, "percentage_return", lambda n: n // 2 + 1)).cast("double")
     positive_vol = F.when(vol > 0, vol)
     return perf.agg(
         F.count(F.lit(1)).alias("total_schemes_analyzed"),

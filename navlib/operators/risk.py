@@ -54,8 +54,7 @@ def _analysed(nav: DataFrame, analysed: DataFrame | None) -> DataFrame:
 
 def basic_volatility(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP38: sample sd of daily returns scaled to week, month and year, with the window analysed."""
-    sd = F.col("_sd")
-    return (
+    return basic_columns(
         _analysed(nav, analysed)
         .groupBy(KEY)
         .agg(
@@ -65,17 +64,22 @@ def basic_volatility(nav: DataFrame, analysed: DataFrame | None = None) -> DataF
             F.count(F.lit(1)).alias("total_days"),
             F.stddev_samp("r").alias("_sd"),
         )
-        .select(
-            KEY,
-            "scheme_name",
-            "start_date",
-            "end_date",
-            "total_days",
-            half_up(sd, 6).alias("daily_volatility"),
-            half_up(sd * F.lit(sqrt_days(TRADING_DAYS_WEEK)), 6).alias("weekly_volatility"),
-            half_up(sd * F.lit(sqrt_days(TRADING_DAYS_MONTH)), 5).alias("monthly_volatility"),
-            half_up(sd * F.lit(ANNUAL_SQRT), 4).alias("annualized_volatility"),
-        )
+    )
+
+
+def basic_columns(per: DataFrame) -> DataFrame:
+    """The columns of OP38 from a scheme's figures."""
+    sd = F.col("_sd")
+    return per.select(
+        KEY,
+        "scheme_name",
+        "start_date",
+        "end_date",
+        "total_days",
+        half_up(sd, 6).alias("daily_volatility"),
+        half_up(sd * F.lit(sqrt_days(TRADING_DAYS_WEEK)), 6).alias("weekly_volatility"),
+        half_up(sd * F.lit(sqrt_days(TRADING_DAYS_MONTH)), 5).alias("monthly_volatility"),
+        half_up(sd * F.lit(ANNUAL_SQRT), 4).alias("annualized_volatility"),
     )
 
 
@@ -129,9 +133,7 @@ def rolling_volatility(nav: DataFrame, window: int = DEFAULT_WINDOW, analysed: D
     )
 
 
-def _side_risk(
-    nav: DataFrame, analysed: DataFrame | None, picked: Column, prefix: str, extreme: Column, extreme_name: str, day_name: str
-) -> DataFrame:
+def _side_risk(nav: DataFrame, analysed: DataFrame | None, picked: Column, extreme: Column) -> DataFrame:
     side = F.col("_side")
     return (
         _analysed(nav, analysed)
@@ -144,25 +146,37 @@ def _side_risk(
             F.avg(side).alias("_mean"),
             extreme.alias("_ext"),
         )
-        .where(F.col("_m") > 0)
-        .select(
-            KEY,
-            half_up(F.col("_sd") * F.lit(ANNUAL_SQRT), 4).alias(f"{prefix}_volatility"),
-            half_up(F.try_divide(F.col("_m"), F.col("_n")), 3).alias(f"{prefix}_frequency"),
-            half_up(F.col("_mean") * 100, 2).alias(day_name),
-            half_up(F.col("_ext") * 100, 2).alias(extreme_name),
-        )
     )
 
 
+def _side_columns(per: DataFrame, prefix: str, extreme_name: str, day_name: str) -> DataFrame:
+    return per.where(F.col("_m") > 0).select(
+        KEY,
+        half_up(F.col("_sd") * F.lit(ANNUAL_SQRT), 4).alias(f"{prefix}_volatility"),
+        half_up(F.try_divide(F.col("_m"), F.col("_n")), 3).alias(f"{prefix}_frequency"),
+        half_up(F.col("_mean") * 100, 2).alias(day_name),
+        half_up(F.col("_ext") * 100, 2).alias(extreme_name),
+    )
+
+
+def downside_columns(per: DataFrame) -> DataFrame:
+    """The columns of OP40 from a scheme's figures."""
+    return _side_columns(per, "downside", "worst_single_day", "average_down_day")
+
+
+def upside_columns(per: DataFrame) -> DataFrame:
+    """The columns of OP41 from a scheme's figures."""
+    return _side_columns(per, "upside", "best_single_day", "average_up_day")
+
+
 def downside_risk(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP40: over negative returns: annualised sd, frequency, mean % and worst day %."""
-    return _side_risk(nav, analysed, F.col("r") < 0, "downside", F.min("_side"), "worst_single_day", "average_down_day")
+    return downside_columns(_side_risk(nav, analysed, F.col("r") < 0, F.min("_side")))
 
 
 def upside_potential(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP41: over positive returns: annualised sd, frequency, mean % and best day %."""
-    return _side_risk(nav, analysed, F.col("r") > 0, "upside", F.max("_side"), "best_single_day", "average_up_day")
+    return upside_columns(_side_risk(nav, analysed, F.col("r") > 0, F.max("_side")))
 
 
 def risk_statistics(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
@@ -170,8 +184,7 @@ def risk_statistics(nav: DataFrame, analysed: DataFrame | None = None) -> DataFr
 
     mean/sd is 0 when sd is 0; sd/|mean| is +inf when the mean is 0.
     """
-    mean, sd = F.col("_mean"), F.col("_sd")
-    return (
+    return statistics_columns(
         _analysed(nav, analysed)
         .groupBy(KEY)
         .agg(
@@ -180,16 +193,21 @@ def risk_statistics(nav: DataFrame, analysed: DataFrame | None = None) -> DataFr
             bias_corrected_skewness("r").alias("_skew"),
             bias_corrected_kurtosis("r").alias("_kurt"),
         )
-        .select(
-            KEY,
-            half_up(mean * 100, 3).alias("mean_daily_return"),
-            half_up("_skew", 3).alias("return_skewness"),
-            half_up("_kurt", 3).alias("return_kurtosis"),
-            F.when(sd > 0, half_up(F.try_divide(mean, sd), 3)).otherwise(F.lit(0.0)).alias("sharpe_ratio_approx"),
-            F.when(mean != 0, half_up(F.try_divide(sd, F.abs(mean)), 2)).otherwise(F.lit(float("inf"))).alias(
-                "coefficient_of_variation"
-            ),
-        )
+    )
+
+
+def statistics_columns(per: DataFrame) -> DataFrame:
+    """The columns of OP42 from a scheme's figures."""
+    mean, sd = F.col("_mean"), F.col("_sd")
+    return per.select(
+        KEY,
+        half_up(mean * 100, 3).alias("mean_daily_return"),
+        half_up("_skew", 3).alias("return_skewness"),
+        half_up("_kurt", 3).alias("return_kurtosis"),
+        F.when(sd > 0, half_up(F.try_divide(mean, sd), 3)).otherwise(F.lit(0.0)).alias("sharpe_ratio_approx"),
+        F.when(mean != 0, half_up(F.try_divide(sd, F.abs(mean)), 2)).otherwise(F.lit(float("inf"))).alias(
+            "coefficient_of_variation"
+        ),
     )
 
 
@@ -228,14 +246,13 @@ def _ladder(value: Column, steps: list[tuple[float, str]], top: str) -> Column:
 
 def volatility_regime(nav: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """OP44: regime and risk level from the annualised volatility, with a sentence."""
-    vol = F.col("_vol")
-    regime = F.col("regime")
-    per = (
-        _analysed(nav, analysed)
-        .groupBy(KEY)
-        .agg((F.stddev_samp("r") * F.lit(ANNUAL_SQRT)).alias("_vol"))
-        .select(KEY, "_vol", _ladder(vol, REGIMES, REGIME_TOP).alias("regime"))
-    )
+    return regime_columns(_analysed(nav, analysed).groupBy(KEY).agg((F.stddev_samp("r") * F.lit(ANNUAL_SQRT)).alias("_vol")))
+
+
+def regime_columns(per: DataFrame) -> DataFrame:
+    """The columns of OP44 from a scheme's annualised volatility."""
+    vol, regime = F.col("_vol"), F.col("regime")
+    per = per.select(KEY, "_vol", _ladder(vol, REGIMES, REGIME_TOP).alias("regime"))
     pct_text = half_up(vol * 100, 1).cast("string")
     return per.select(
         KEY,

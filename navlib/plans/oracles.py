@@ -675,6 +675,15 @@ FROM (SELECT *, 1 AS load FROM nav_s UNION ALL
     "diversification_insights": with_fixtures(_diversification_insights("nav_t"), "nav_t"),
     "diversification_insights_compounded": with_fixtures(_diversification_insights("nav_m"), "nav_m"),
 }
+ORACLES["nav_range_stored"] = with_fixtures(
+    """SELECT COUNT(*) AS rows, MIN(nav) AS min_nav, MAX(nav) AS max_nav, MIN(date) AS earliest_date, MAX(date) AS latest_date
+FROM nav_s""",
+    "nav_s",
+)
+for _name in ("table_profile", "table_partitions", "latest_nav_date"):
+    ORACLES[f"{_name}_stored"] = ORACLES[_name]
+for _name in ("return_stats", "basic_volatility", "downside_risk", "upside_potential", "risk_statistics", "volatility_regime", "stale_nav"):
+    ORACLES[f"{_name}_monthly"] = ORACLES[_name]
 # the same rows by another way
 for _name in ("search_schemes", "schemes_by_fund_house", "schemes_by_category", "scheme_details", "fund_houses"):
     ORACLES[f"{_name}_newest"] = ORACLES[_name]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import navlib as nl
+from navlib.operators import monthly
 from navlib.operators.master import with_partition_columns
 from navlib.sources import fixtures as fx
 from navlib.sources.store import scratch_path
@@ -150,6 +151,21 @@ def _ingest_redelivered(spark: SparkSession, d: str) -> DataFrame:
     return nl.read_table(spark, path).select("scheme_code", "scheme_name", "date", "nav", "load_id")
 
 
+def _month_states(spark: SparkSession, nav: DataFrame) -> DataFrame:
+    """The states of ``nav`` written in two turns, the second for the months from MASTER_REFRESH_DATE on."""
+    path, states = scratch_path(spark, "nav_data"), scratch_path(spark, "month_states")
+    nl.write_table(with_partition_columns(nav), path, ["year", "month"], "overwrite")
+    stored = nl.read_table(spark, path)
+    cut = int(fx.MASTER_REFRESH_DATE[:4])
+    months = [(r.year, r.month) for r in stored.select("year", "month").distinct().collect()]
+    monthly.refresh_month_states(spark, states, stored, [m for m in months if m[0] < cut])
+    return monthly.refresh_month_states(spark, states, stored, [m for m in months if m[0] >= cut])
+
+
+def _by_month(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda s, d: report(monthly.merged_states(_month_states(s, fx.nav_p(s, d))))
+
+
 def _corr_args() -> dict:
     return {"codes": "all", "since": None, "min_overlap": MIN_OVERLAP}
 
@@ -173,6 +189,10 @@ QUERIES: dict[str, Query] = {
     "compact_table": _compact,
     "table_profile": lambda s, d: nl.table_profile(s.read.parquet(_stored_nav(s, d))),
     "table_partitions": lambda s, d: nl.table_partitions(s.read.parquet(_stored_nav(s, d))),
+    "table_profile_stored": lambda s, d: nl.stored_profile(s, _stored_nav(s, d)),
+    "table_partitions_stored": lambda s, d: nl.stored_partitions(s, _stored_nav(s, d)),
+    "nav_range_stored": lambda s, d: nl.stored_range(s, _stored_nav(s, d)),
+    "latest_nav_date_stored": lambda s, d: nl.stored_latest_date(s, _stored_nav(s, d)),
     # lookups
     "nav_on_date": lambda s, d: nl.nav_on_date(fx.nav_s(s, d), ON_DATE),
     "nav_between": lambda s, d: nl.nav_between(fx.nav_s(s, d), RANGE_START, RANGE_END),
@@ -232,6 +252,14 @@ QUERIES: dict[str, Query] = {
     "value_at_risk": lambda s, d: nl.value_at_risk(fx.nav_p(s, d)),
     "volatility_regime": lambda s, d: nl.volatility_regime(fx.nav_p(s, d)),
     "volatility_regime_compounded": lambda s, d: nl.volatility_regime(fx.nav_c(s, d)),
+    # risk and unchanged runs from month states
+    "return_stats_monthly": lambda s, d: monthly.return_stats(monthly.merged_states(_month_states(s, fx.nav_s(s, d)))),
+    "basic_volatility_monthly": _by_month(monthly.basic_volatility),
+    "downside_risk_monthly": _by_month(monthly.downside_risk),
+    "upside_potential_monthly": _by_month(monthly.upside_potential),
+    "risk_statistics_monthly": _by_month(monthly.risk_statistics),
+    "volatility_regime_monthly": _by_month(monthly.volatility_regime),
+    "stale_nav_monthly": lambda s, d: monthly.stale_nav(_month_states(s, fx.nav_stale(s, d))),
     # anomalies
     "extreme_returns": lambda s, d: nl.extreme_returns(fx.nav_s(s, d)),
     "extreme_returns_by_scheme": lambda s, d: nl.extreme_returns(fx.nav_s(s, d), scope="scheme"),

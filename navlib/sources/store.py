@@ -409,3 +409,58 @@ def table_partitions(df: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.format_string("year=%d/month=%02d", "year", "month").alias("partition"), "rows")
     )
+
+
+def _by_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """The table through the reader that answers count, min and max from file footers (aggregate push-down)."""
+    apart = spark.newSession()  # the settings are this reader's only
+    apart.conf.set("spark.sql.sources.useV1SourceList", "")
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return apart.read.parquet(path)
+
+
+def stored_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """``table_partitions`` of a stored table from its file footers: no row is read."""
+    return table_partitions(_by_metadata(spark, path))
+
+
+def stored_profile(spark: SparkSession, path: str) -> DataFrame:
+    """``table_profile`` of a stored table from its file footers."""
+    df = _by_metadata(spark, path)
+    parts = [c for c in PARTITION_COLUMNS if c in df.columns]
+    per = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows"))
+    return per.agg(
+        F.lit(len(df.columns)).cast("bigint").alias("column_count"),
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("row_count"),
+        F.count_if(F.lit(bool(parts))).alias("partition_count"),
+    )
+
+
+_RANGE = "rows bigint, min_nav double, max_nav double, earliest_date date, latest_date date"
+
+
+def nav_range(nav: DataFrame) -> DataFrame:
+    """One row: number of rows, least and greatest NAV, first and last date."""
+    return nav.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("nav").alias("min_nav"),
+        F.max("nav").alias("max_nav"),
+        F.min("date").alias("earliest_date"),
+        F.max("date").alias("latest_date"),
+    )
+
+
+def stored_range(spark: SparkSession, path: str) -> DataFrame:
+    """``nav_range`` of a stored table from its file footers; by a scan where a file has no statistics (NaN, all null)."""
+    try:
+        row = nav_range(_by_metadata(spark, path)).first()
+    except Exception as missing:
+        if "aggregatePushdown" not in str(missing):
+            raise
+        return nav_range(spark.read.parquet(path))
+    return spark.createDataFrame([row], _RANGE)
+
+
+def stored_latest_date(spark: SparkSession, path: str) -> DataFrame:
+    """``latest_nav_date`` of a stored table from its file footers."""
+    return stored_range(spark, path).select(F.col("latest_date"))

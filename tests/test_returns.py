@@ -180,3 +180,37 @@ def test_global_row_number_with_adaptive_coalescing(spark, advisory):
     expected["rn"] = range(1, len(expected) + 1)
     merged = got.merge(expected, on="k", suffixes=("", "_e"))
     assert len(merged) == 3000 and (merged.rn == merged.rn_e).all()
+
+
+@pytest.mark.parametrize("kind", ["even", "ties", "wild", "powers", "infinite", "one", "negative"])
+def test_value_at_every_rank(spark, kind, monkeypatch):
+    import random
+
+    from navlib.functions import selection
+
+    monkeypatch.setattr(selection, "BINS", 8)
+    rng = random.Random(2)
+    values = {
+        "even": [rng.uniform(-5, 5) for _ in range(40)],
+        "ties": [float(rng.randint(0, 3)) for _ in range(40)],
+        "wild": [rng.gauss(0, 1) for _ in range(30)] + [1e308, -1e308, 1e-300, 5e-324, 0.0],
+        "powers": [2.0**k for k in range(-30, 30)],
+        "infinite": [float("inf")] * 3 + [float("-inf")] * 4 + [rng.gauss(0, 1) for _ in range(20)],
+        "one": [7.5],
+        "negative": [-(10.0**k) for k in range(20)],
+    }[kind]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double").checkpoint()
+    order = sorted(values)
+    for k in range(1, len(order) + 1, 3):
+        assert selection.value_at(df, "x", lambda n: k) == order[k - 1]  # noqa: B023
+    assert selection.value_at(df, "x", lambda n: n // 2 + 1) == order[len(order) // 2]
+    assert selection.value_at(df, "x", lambda n: n + 1) is None and selection.value_at(df.limit(0), "x", lambda n: 1) is None
+
+
+def test_median_needs_no_sort(spark, sf_small):
+    from navlib.operators.returns import period_performance
+    from navlib.plans.inspect import plan_text
+    from navlib.sources import fixtures as fx
+
+    text = plan_text(nl.top_performer_statistics(period_performance(fx.nav_s(spark, sf_small), 365)))
+    assert "Sort" not in text and "rangepartitioning" not in text and "Window" not in text

@@ -253,3 +253,32 @@ def test_lookups_scan_no_nav(spark):
         text = plan_text(by_newest)
         assert path not in text and newest in text
         assert path in plan_text(by_nav)
+
+
+def test_profile_from_footers(spark, sf_small):
+    from navlib.operators.master import with_partition_columns
+    from navlib.plans.inspect import plan_text
+    from navlib.sources import store
+
+    path = scratch_path(spark, "nav")
+    nl.write_table(with_partition_columns(fx.nav_s(spark, sf_small)), path, ["year", "month"], "overwrite")
+    df = spark.read.parquet(path)
+    assert nl.stored_profile(spark, path).collect() == nl.table_profile(df).collect()
+    assert sorted(nl.stored_partitions(spark, path).collect()) == sorted(nl.table_partitions(df).collect())
+    assert nl.stored_range(spark, path).collect() == nl.nav_range(df).collect()
+    assert nl.stored_latest_date(spark, path).collect() == nl.latest_nav_date(df).collect()
+    assert "PushedAggregation: [COUNT(*)]" in plan_text(nl.stored_profile(spark, path))
+    assert "PushedAggregation: [COUNT(*)]" in plan_text(nl.stored_partitions(spark, path))
+    text = plan_text(nl.nav_range(store._by_metadata(spark, path)))
+    assert "PushedAggregation: [COUNT(*), MIN(nav), MAX(nav), MIN(date), MAX(date)]" in text
+    # the session's own reader is as before
+    assert "PushedAggregation" not in plan_text(nl.table_profile(spark.read.parquet(path)))
+
+
+def test_range_without_statistics(spark):
+    path = scratch_path(spark, "nav")
+    nl.write_table(_nav(spark, ("a", "A", None, 0), ("b", "B", None, 4)), path)
+    assert nl.stored_range(spark, path).collect()[0] == (2, None, None, day(0), day(4))
+    nl.write_table(_nav(spark, ("c", "C", float("nan"), 2), ("d", "D", 3.0, 9)), path)
+    got, want = nl.stored_range(spark, path).collect()[0], nl.nav_range(spark.read.parquet(path)).collect()[0]
+    assert (got.rows, got.min_nav, got.latest_date) == (4, 3.0, day(9)) and str(got) == str(want)
