@@ -70,18 +70,44 @@ def shuffle_cleanup(spark: SparkSession):
     return settings(spark, _CLEANUP)
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the application ends; until then lazy results may read it."""
+    files, at = _file_system(spark, path)
+    files.deleteOnExit(at)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the cluster's checkpoint folder and read again, its shuffle files removed.
 
     A checkpointed frame would keep the size that its plan was estimated at,
     and a join multiplies such sizes, so that in a loop of joins they grow
     to numbers of millions of digits.  A table has the size of its files.
+    It goes when the application ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
     with shuffle_cleanup(spark):
         df.select("*").write.parquet(path)  # a frame takes the setting up when it is made
-    return spark.read.schema(df.schema).parquet(path)
+    remove_at_end(spark, path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def unstore(df: DataFrame) -> None:
+    """Delete the table of a ``stored`` frame that nothing reads any more."""
+    remove(df.sparkSession, df._stored_at)
 
 
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:

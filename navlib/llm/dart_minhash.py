@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navlib.llm._frames import pick, positional, replace_columns, small_side, stored
+from navlib.llm._frames import pick, positional, replace_columns, small_side, stored, unstore
 from navlib.llm._words import NONSPACE, chunks, find_words, hash_spans, mix, window_hashes
 
 SHINGLE_WORDS = 5
@@ -180,7 +180,7 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, class): the least node that can be reached over ``links`` (a, b); nodes without links are their own.
 
     Each step takes the least label of the neighbours and then that label's
-    label, so that chains shrink by halves; every step is stored.
+    label, so that chains shrink by halves; every step is stored, and the one before is deleted.
     """
     both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels, mark = nodes.select("node", F.col("node").alias("class")), None
@@ -188,10 +188,14 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         near = both.join(labels.select(F.col("node").alias("b"), "class"), "b").select(F.col("a").alias("node"), "class")
         least = stored(near.unionByName(labels).groupBy("node").agg(F.min("class").alias("class")))
         up = least.select(F.col("node").alias("n"), F.col("class").alias("c"))
-        labels = stored(least.join(up, F.col("class") == F.col("n")).select("node", F.col("c").alias("class")))
+        last, labels = labels if mark is not None else None, stored(least.join(up, F.col("class") == F.col("n")).select("node", F.col("c").alias("class")))
+        for done in (least, last):
+            if done is not None:
+                unstore(done)
         # labels only ever fall, so an equal sum of their hashes means that none did
         before, mark = mark, labels.agg(F.sum(F.xxhash64("node", "class").cast("decimal(38,0)"))).first()[0]
         if mark == before:
+            unstore(both)
             return labels
 
 

@@ -1,16 +1,17 @@
 """Main text of web pages: a tree-structured graphical model over the DOM.
 
 Each block element and each text run of a page has a hidden label, content or
-not.  A node's evidence is its tag, the roles that its class, id and role
-names speak of, and for a text its length, links and punctuation; parent and
-child labels are tied by potentials.  Two passes of sum-product messages, up
+not.  An element's evidence is its tag, the roles that its class, id and role
+names speak of, and how much of its text stands in links; a text run's is its
+length and links by the kind of element it stands in, and its punctuation.
+Parent and child labels are tied by potentials.  Two passes of sum-product messages, up
 and down the tree, give every node's exact marginal; texts above one half
 form the result.
 
 The tables of evidence and ties are counts with smoothing, from labelled
 pages: the small hand-labelled ones of html_seeds and a sample of at most
 ``TRAIN_PAGES`` pages whose blocks are labelled by whether they are lines of
-known documents.  The model has a fixed number of entries.
+known documents, in the smallest element that holds nearly all such text.  The model has a fixed number of entries.
 
 Defined cases: null or empty html has an empty text; a page without any
 content run has an empty text; repeated rows are alike; malformed pages are
@@ -36,6 +37,7 @@ TRAIN_PAGES = 200
 #: each sampled page counts as this part of a hand-labelled one
 SAMPLE_WEIGHT = 0.1
 SMOOTHING = 0.3
+ARTICLE_SHARE = 0.9
 BROADCAST_BLOCKS = 200_000
 
 # Words in class, id and role names, by what they say.
@@ -51,6 +53,14 @@ ROLES: dict[str, str] = {
     "share": "share sharing social follow like tags meta byline",
     "content": "article content post entry story main text body page",
 }
+# Kinds of elements that hold text runs.
+KINDS = {
+    "item": "li dt dd",
+    "cell": "td th",
+    "heading": "h1 h2 h3 h4 h5 h6 summary",
+    "paragraph": "p blockquote pre xmp figcaption caption",
+    "control": "button label option select legend fieldset form",
+}
 ROLE_OF = {word: role for role, words in ROLES.items() for word in words.split()}
 TAGS = frozenset(
     "root html body div section article main header footer nav aside p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th"
@@ -66,19 +76,26 @@ def roles(names: str) -> tuple[str, ...]:
     return tuple(sorted(found)) or ("none",)
 
 
+KIND_OF = {tag: kind for kind, tags in KINDS.items() for tag in tags.split()}
+
+
+def _links(node: Node) -> str:
+    share = node.linked / node.size if node.size else 0
+    return "none" if share == 0 else "some" if share < 0.5 else "most"
+
+
 def evidence(node: Node) -> tuple[tuple[str, str], ...]:
     """(family, value) of what is seen at a node; values are few and fixed."""
     if node.text is None:
-        return (("tag", node.tag if node.tag in TAGS else "other"), *(("role", r) for r in (roles(node.attrs) if node.attrs else ("none",))))
+        role = (("role", r) for r in (roles(node.attrs) if node.attrs else ("none",)))
+        return (("tag", node.tag if node.tag in TAGS else "other"), ("links", _links(node) if node.size else "empty"), *role)
     words = node.text.count(" ") + 1
     length = "1" if words < 4 else "2" if words < 10 else "3" if words < 25 else "4"
-    share = node.linked / len(node.text)
-    links = "none" if share == 0 else "some" if share < 0.5 else "most"
-    stop = "stop" if node.text[-1] in ".!?:;\"'”»)。" else "open"
-    return (("length", length + links), ("end", stop))
+    stop = "sign" if "©" in node.text[:40] else "stop" if node.text[-1] in ".!?:;\"'”»)。" else "open"
+    return (("length", KIND_OF.get(node.tag, "other") + length + _links(node)), ("end", stop))
 
 
-_VALUES = {"tag": len(TAGS) + 1, "role": len(ROLES) + 1, "length": 12, "end": 2}
+_VALUES = {"tag": len(TAGS) + 1, "role": len(ROLES) + 1, "links": 4, "length": 12 * (len(KINDS) + 1), "end": 3}
 
 
 def labels(nodes: list[Node], is_content) -> list[int]:
@@ -99,6 +116,23 @@ def labels(nodes: list[Node], is_content) -> list[int]:
     return out
 
 
+def within_article(nodes: list[Node], known: set[str]) -> set[int]:
+    """Text runs that are known lines, in the lowest element with ``ARTICLE_SHARE`` of their characters."""
+    size = [len(node.text) if node.text is not None and node.text in known else 0 for node in nodes]
+    for i in range(len(nodes) - 1, 0, -1):
+        size[nodes[i].parent] += size[i]
+    inside, top = set(), 0
+    for i in range(1, len(nodes)):  # parents come first
+        if nodes[i].parent == top and nodes[i].text is None and size[i] >= ARTICLE_SHARE * size[0]:
+            top = i
+    holds = [i == top for i in range(len(nodes))]
+    for i in range(top + 1, len(nodes)):
+        holds[i] = holds[nodes[i].parent]
+        if holds[i] and nodes[i].text is not None and nodes[i].text in known:
+            inside.add(i)
+    return inside
+
+
 def tally(nodes: list[Node], label: list[int], counts: dict, weight: float) -> None:
     """Add a labelled page to the counts."""
     for i, node in enumerate(nodes):
@@ -158,7 +192,6 @@ class Model:
                 low[p], high[p] = x / s, y / s
         out = [0.0] * n
         down = [(0.5, 0.5)] * n  # belief of the node from above
-        down[0] = (1.0, 0.0)  # a page as a whole is not its article
         for i in range(n):
             node = nodes[i]
             if i:
@@ -212,8 +245,9 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict = defaultdict(float)
     for batch in batches:
         for page, main in zip(batch.column("html").to_pylist(), batch.column("main").to_pylist(), strict=True):
-            nodes, known = parse(page), set(main or ())
-            tally(nodes, labels(nodes, lambda node, known=known: node.text in known), counts, 1.0)
+            nodes = parse(page)
+            inside = {id(nodes[i]) for i in within_article(nodes, set(main or ()))}
+            tally(nodes, labels(nodes, lambda node, inside=inside: id(node) in inside), counts, 1.0)
     rows = [(*key, c) for key, c in counts.items()]
     yield pa.RecordBatch.from_pylist([{"family": f, "value": v, "label": y, "n": c} for f, v, y, c in rows], _COUNTS)
 

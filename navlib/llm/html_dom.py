@@ -44,12 +44,13 @@ BARRIER = frozenset("table td th caption button html".split())  # an end tag ins
 
 
 class Node:
-    """An element (text is None) or a text run."""
+    """An element (text is None) or a text run; size and linked count the characters in it and those in links."""
 
-    __slots__ = ("attrs", "linked", "main", "parent", "tag", "text")
+    __slots__ = ("attrs", "linked", "main", "parent", "size", "tag", "text")
 
     def __init__(self, parent: int, tag: str, attrs: str = "", text: str | None = None, linked: int = 0, main: bool | None = None):
         self.parent, self.tag, self.attrs, self.text, self.linked, self.main = parent, tag, attrs, text, linked, main
+        self.size = len(text or "")
 
 
 def _names(attrs: str) -> tuple[str, bool | None]:
@@ -194,4 +195,7 @@ def parse(page: str | None) -> list[Node]:
     if at < size:
         add(page[at:])
     flush()
+    for node in nodes[:0:-1]:
+        nodes[node.parent].size += node.size
+        nodes[node.parent].linked += node.linked
     return nodes

@@ -13,8 +13,11 @@ rows; a larger one is joined, sharded by n-gram, with the documents' n-gram
 counts.  Log probabilities are whole millionths, so both ways and any order of
 summing give the same result.
 
-Short texts vary most, so the score compared is the mean over the document's
-bytes and ``PRIOR_BYTES`` more at the language's trusted mean.
+The mean over few bytes varies most, so thresholds narrow with a document's length:
+what is compared is how far its log perplexity lies above its language's trusted
+mean in units of the spread of such a mean, which falls with the root of the
+bytes (and ``PRIOR_BYTES`` more).  A long text of one repeated word is then
+as far out as it is, though its bytes are only a little dearer than usual.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null
 language is a language of its own; a language without trusted documents takes
@@ -41,15 +44,15 @@ QUANTILE = 0.99
 HELD_OUT = 4
 #: a language's quantile is drawn towards that of all as by so many texts
 PRIOR_TEXTS = 200
-PRIOR_BYTES = 40
-#: nats a byte added to every threshold, for the spread of quantiles of few texts
-SLACK = 0.05
+PRIOR_BYTES = 100
+#: added to every threshold, in the units compared, for the spread of quantiles of few texts
+SLACK = 0.8
 MAX_LANGUAGES = 10_000
 MODEL_ROWS = 2_000_000
 BROADCAST_TRUSTED = 2_000_000
 
 _UNIT = 1_000_000  # log probabilities are kept as whole millionths
-_STEP = _UNIT // 1000
+_STEP = _UNIT // 100
 _HELD_GRAMS = 1_000_000
 _CHUNK = 1 << 20  # bytes at a time; each takes about 60 bytes of memory
 _NO_ID = -(1 << 63)
@@ -251,8 +254,9 @@ def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return pick(docs, doc_id="doc_id", text="text", lang="lang").join(small_side(ids, BROADCAST_TRUSTED), "doc_id", "left_semi")
 
 
-def _smoothed(mean: Column) -> Column:
-    return (F.col("cost") + PRIOR_BYTES * mean) / (F.col("n_bytes") + PRIOR_BYTES)
+def _above(mean: Column) -> Column:
+    """How far the log perplexity lies above ``mean``, in units of its spread."""
+    return (F.col("cost") - F.col("n_bytes") * mean) / F.sqrt(F.col("n_bytes") + PRIOR_BYTES)
 
 
 def _quantile(bins: DataFrame, by: list[str], quantile: float) -> DataFrame:
@@ -263,49 +267,50 @@ def _quantile(bins: DataFrame, by: list[str], quantile: float) -> DataFrame:
 
 
 def _thresholds(scored: DataFrame, quantile: float) -> tuple[DataFrame, tuple[float | None, float | None]]:
-    """(lang, mean, threshold) a byte of each language, and the pair for any other.
+    """(lang, mean a byte, limit in the units compared) of each language, and the pair for any other.
 
     ``scored`` has lang, cost and n_bytes.  The quantile is taken of how far
-    smoothed means lie above their language's mean, in steps of a thousandth
-    nat: counts by step, then running sums, so a language with a third of all
+    texts lie above their language's mean, in steps of a hundredth: counts by step, then running sums, so a language with a third of all
     texts is no large group.  Each language takes its own quantile, averaged by
     numbers of texts with that of all, which counts as ``PRIOR_TEXTS`` texts.
     """
     texts = scored.where(F.col("n_bytes") > 0)
     means = small_side(texts.groupBy("lang").agg((F.sum("cost") / F.sum("n_bytes")).alias("mean")), MAX_LANGUAGES)
     means = means.select(F.col("lang").alias("own"), "mean")
-    above = F.ceil((_smoothed(F.col("mean")) - F.col("mean")) / _STEP)
+    above = F.ceil(_above(F.col("mean")) / _STEP)
     bins = stored(
         texts.join(means, F.col("lang").eqNullSafe(F.col("own"))).groupBy("lang", above.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     )
     pooled = _quantile(bins.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("all", F.lit(True)), ["all"], quantile).first()
     mean = texts.agg(F.sum("cost") / F.sum("n_bytes")).first()[0]
     if pooled is None:
-        return means.select(F.col("own").alias("lang"), "mean", F.lit(0.0).alias("threshold")), (None, None)
+        return means.select(F.col("own").alias("lang"), "mean", F.lit(0.0).alias("limit")), (None, None)
     shrunk = (F.col("texts") * F.col("bin") + PRIOR_TEXTS * pooled.bin) / (F.col("texts") + PRIOR_TEXTS)
     step = shrunk + round(SLACK * _UNIT / _STEP)
     limits = means.join(_quantile(bins, ["lang"], quantile), F.col("own").eqNullSafe(F.col("lang")))
-    return limits.select(F.col("own").alias("lang"), "mean", (F.col("mean") + step * _STEP).alias("threshold")), (mean, mean + pooled.bin * _STEP + SLACK * _UNIT)
+    return limits.select(F.col("own").alias("lang"), "mean", (step * _STEP).alias("limit")), (mean, pooled.bin * _STEP + SLACK * _UNIT)
 
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order: int = ORDER) -> DataFrame:
-    """Columns of ``docs`` as c0, c1, … plus n_bytes, perplexity, threshold (both per byte) and keep."""
+    """Columns of ``docs`` as c0, c1, … plus n_bytes, perplexity, threshold (both per byte, for a text of that length) and keep."""
     trusted = trusted_documents(docs, labels)
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
     model = train(trusted.where(~held_out), order)
     scored = score(trusted.where(held_out), model, order).select(F.col("c2").alias("lang"), "cost", "n_bytes")
-    limits, (mean, threshold) = _thresholds(stored(scored), quantile)
+    limits, (mean, limit) = _thresholds(stored(scored), quantile)
     lang = F.col(f"c{docs.columns.index('lang')}")
-    own = limits.select(F.col("lang").alias("l"), F.col("mean").alias("m"), F.col("threshold").alias("t"))
+    own = limits.select(F.col("lang").alias("l"), F.col("mean").alias("m"), F.col("limit").alias("t"))
     scored = score(docs, model, order).join(small_side(own, MAX_LANGUAGES), lang.eqNullSafe(F.col("l")), "left")
     scored = scored.withColumn("mean", F.coalesce("m", F.lit(mean).cast("double")))
-    scored = scored.withColumn("limit", F.coalesce("t", F.lit(threshold).cast("double")))
-    good = F.coalesce(_smoothed(F.col("mean")) <= F.col("limit"), F.lit(True))
+    scored = scored.withColumn("limit", F.coalesce("t", F.lit(limit).cast("double")))
+    good = F.coalesce(_above(F.col("mean")) <= F.col("limit"), F.lit(True))
+    n = F.col("n_bytes")
+    highest = F.col("mean") + F.col("limit") * F.sqrt(n + PRIOR_BYTES) / n
     return scored.select(
         *[f"c{i}" for i in range(len(docs.columns))],
         "n_bytes",
         F.when(F.col("n_bytes") > 0, F.exp(F.col("cost") / F.col("n_bytes") / _UNIT)).alias("perplexity"),
-        F.exp(F.col("limit") / _UNIT).alias("threshold"),
+        F.when(n > 0, F.exp(highest / _UNIT)).alias("threshold"),
         ((F.col("n_bytes") > 0) & good).alias("keep"),
     )
 

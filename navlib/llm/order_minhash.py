@@ -4,7 +4,9 @@ A text's k-mers are runs of ``K_WORDS`` words (a shorter text is one k-mer);
 each occurrence counts, numbered among its likes, so that repeats matter.
 From the numbered k-mers of each of ``BUCKETS`` hash classes (one permutation,
 split by its leading bits) the ``PICKS`` smallest hashes are taken and put back
-in text order; a hash of that tuple is one entry of the fingerprint.  Two texts
+in text order; a hash of that tuple is one entry of the fingerprint.  A class
+with one k-mer takes the first of the next class that has some (round
+again from the last to the first), so that every entry of a text with two k-mers carries order.  Two texts
 agree in an entry if they have the same rare k-mers there in the same order,
 which is what edit distance keeps and plain MinHash can't see.
 
@@ -74,7 +76,7 @@ def fingerprint(df: DataFrame, text: str, name: str, k: int = K_WORDS) -> DataFr
     first = F.filter("_o", lambda x, i: (i < PICKS) | (bucket(x) != bucket(_at(F.col("_o"), i - PICKS))))
     picked = ordered.select(*keep, first.alias("_p"))
 
-    # each class's picks, at most two, as a tuple in text order
+    # each class's picks, at most two, as a tuple in text order; one alone with the first of the next class
     size = F.size("_p")
     starts = F.filter(
         F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))),
@@ -82,14 +84,10 @@ def fingerprint(df: DataFrame, text: str, name: str, k: int = K_WORDS) -> DataFr
     )
 
     def tuple_hash(i: Column) -> Column:
-        x, y = _at(F.col("_p"), i), _at(F.col("_p"), i + 1)
+        x, y = _at(F.col("_p"), i), _at(F.col("_p"), (i + 1) % size)
         a, b = F.shiftright(x, _BITS), F.shiftright(y, _BITS)
         in_order = x.bitwiseAND(F.lit(_PLACE)) < y.bitwiseAND(F.lit(_PLACE))
-        return (
-            F.when(y.isNull() | (bucket(x) != bucket(y)), F.hash(a))
-            .when(in_order, F.hash(a, b))
-            .otherwise(F.hash(b, a))
-        )
+        return F.when(size == 1, F.hash(a)).when(in_order, F.hash(a, b)).otherwise(F.hash(b, a))
 
     entry = F.transform(
         starts,

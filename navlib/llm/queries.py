@@ -12,6 +12,7 @@ from navlib.llm._frames import table
 #: the packing vocabularies, two of the public tokenizer files
 VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
+SMALL_SHARD = 100_000
 
 
 def vocabulary(name: str = VOCABULARY) -> str:
@@ -33,12 +34,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_content": lambda s, d: html_content.main_text(table(s, d, "pages"), table(s, d, "documents")),
     "op11_exact_packing": lambda s, d: exact_packing.pack_exactly(table(s, d, "documents"), vocabulary(WORD_VOCABULARY)),
     "op12_hard_negatives": lambda s, d: hard_negatives.mined(table(s, d, "embeddings")),
+    # small shards, so that buckets split at every size of the tables
+    "shards_of_100_kb": lambda s, d: sharding.shards(table(s, d, "documents"), SMALL_SHARD),
     "op13_periodic_runs": lambda s, d: periodic.run_digests(table(s, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {
     "op4_license_scan": licenses.oracle(),
     "op6_sharding": sharding.oracle(),
+    "shards_of_100_kb": sharding.oracle(SMALL_SHARD),
     "op7_line_dedup": line_dedup.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
 }

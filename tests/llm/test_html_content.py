@@ -68,8 +68,6 @@ def test_marginals_against_enumeration():
     total = [0.0] * len(nodes)
     z = 0.0
     for y in itertools.product((0, 1), repeat=len(nodes)):
-        if y[0]:
-            continue
         p = model.potential(nodes[0]) ** y[0]
         for i, node in enumerate(nodes):
             if i:
@@ -128,6 +126,122 @@ def test_held_out_pages():
     assert found / (found + missed) > 0.97 and found / (found + extra) > 0.97, (found, missed, extra)
 
 
+PLAIN = {
+    "short items": (
+        "<body><nav><ul><li><a href=/>Home</a></li></ul></nav><article><h1>Bread</h1><p>You need these things to bake a good bread at"
+        " home, and some time.</p><ul><li>flour</li><li>water</li><li>salt</li></ul><p>Mix all of it and wait for an hour, then bake it"
+        " well.</p></article><footer>c 2020</footer></body>",
+        ["Bread", "You need these things to bake a good bread at home, and some time.", "flour", "water", "salt", "Mix all of it and wait for an hour, then bake it well."],
+    ),
+    "text in a div": (
+        "<body><div><a href=/>Home</a> <a href=/x>News</a></div><div class='x9'><h2>Title</h2>Text right in the div that goes on for a"
+        " while, as texts do, and ends.<br><br>Second part of it, which is not much shorter than the first one was.</div><div>&copy; 2020</div></body>",
+        ["Title", "Text right in the div that goes on for a while, as texts do, and ends. Second part of it, which is not much shorter than the first one was."],
+    ),
+    "no classes": (
+        "<body><div><a href=/>Home</a></div><div>Text that runs on for a while, as text in articles does, and then it ends here.</div>"
+        "<p>A first paragraph in a page without classes, long enough to be one.</p><p>And a second one that says a little more about it.</p></body>",
+        ["Text that runs on for a while, as text in articles does, and then it ends here.", "A first paragraph in a page without classes, long enough to be one.", "And a second one that says a little more about it."],
+    ),
+    "one paragraph": ("<body><p>One paragraph alone in the page, which is all there is of it.</p></body>", ["One paragraph alone in the page, which is all there is of it."]),
+    "code and cells": (
+        "<div id=top><ul><li><a href=/a>A</a></li><li><a href=/b>B</a></li></ul></div><section class=q7><h2>Sums</h2><p>This is how two numbers"
+        " are added in a program.</p><pre>x = 1 + 2</pre><table><tr><th>x</th><td>3</td></tr></table></section><footer><a href=/p>Privacy</a></footer>",
+        ["Sums", "This is how two numbers are added in a program.", "x = 1 + 2", "x", "3"],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_nothing_of_a_plain_page_is_lost(name):
+    page, want = PLAIN[name]
+    assert C.train().extract(page).split("\n") == want
+
+
+def unnamed(rng):
+    """Pages with no class or id that seeds or roles know: direct text, short items, cells, code, quotes (html, main text)."""
+    word = lambda: "".join(rng.choice("bcdfgklmnprstvwz") + rng.choice("aeiou") for _ in range(rng.randint(1, 4)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    sentence = lambda n: words(n).capitalize() + rng.choice(".?!")
+    paragraph = lambda: " ".join(sentence(rng.randint(5, 14)) for _ in range(rng.randint(1, 5)))
+    name = lambda: rng.choice(["", "", f' class="{word()}-{rng.randint(1, 99)}"', f" id=q{word()}"])
+    link = lambda: f'<a href="/{word()}">{words(rng.randint(1, 3))}</a>'
+    blocks, parts = [], []
+
+    def add(tag, text):
+        blocks.append(text)
+        parts.append(f"<{tag}>{text}</{tag}>")
+
+    add(rng.choice(["h1", "h2"]), words(rng.randint(2, 6)).capitalize())
+    for _ in range(rng.randint(3, 8)):
+        kind = rng.choice(["p", "p", "p", "div", "items", "table", "pre", "direct", "quote", "short"])
+        if kind in ("p", "div"):
+            add(kind, paragraph())
+        elif kind == "quote":
+            parts.append("<blockquote>")
+            add("p", paragraph())
+            parts.append("</blockquote>")
+        elif kind == "short":
+            add("p", sentence(2))
+        elif kind == "items":
+            tag = rng.choice(["ul", "ol"])
+            parts.append(f"<{tag}>")
+            for _ in range(rng.randint(2, 6)):
+                add("li", words(rng.randint(1, 4)) if rng.random() < 0.7 else paragraph())
+            parts.append(f"</{tag}>")
+        elif kind == "table":
+            parts.append("<table>")
+            for _ in range(rng.randint(2, 4)):
+                parts.append("<tr>")
+                for cell in (word(), str(rng.randint(1, 999)), words(2)):
+                    add("td", cell)
+                parts.append("</tr>")
+            parts.append("</table>")
+        elif kind == "pre":
+            add("pre", f"{word()} = {word()}({rng.randint(1, 9)})")
+        else:
+            a, b = paragraph(), paragraph()
+            blocks.append(f"{a} {b}")
+            parts.append(f"<p></p>{a}<br><br>{b}<p></p>")
+    links = "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.randint(3, 8))) + "</ul>"
+    frames = ["<div{}>{}</div>", "<section{}>{}</section>", "<div><div{}>{}</div></div>", "<article{}>{}</article>", "<table><tr><td{}>{}</td></tr></table>"]
+    before = [f"<nav>{links}</nav>", f"<div{name()}>{links}</div>", f"<header><div>{words(2)}</div>{links}</header>", f"<p>{link()} | {link()} | {link()}</p>"]
+    after = [
+        f"<footer><p>&copy; {words(3)}</p>{links}</footer>",
+        f"<div{name()}>{links}</div><footer>{sentence(6)}</footer>",
+        f"<aside><h3>{words(2)}</h3>{links}</aside>",
+        f"<form><label>{word()}</label><input><button>{word()}</button></form>",
+        f"<div{name()}>&copy; 2024 {words(2)}</div>",
+    ]
+    main = rng.choice(frames).format(name(), "".join(parts))
+    return f"<html><head><title>{words(3)}</title></head><body>{rng.choice(before)}{main}{rng.choice(after)}</body></html>", blocks
+
+
+def test_pages_without_known_names():
+    rng, model = random.Random(77), C.train()
+    found = missed = extra = 0
+    for _ in range(300):
+        page, blocks = unnamed(rng)
+        got, want = set(model.extract(page).split("\n")), set(blocks)
+        found, missed, extra = found + len(got & want), missed + len(want - got), extra + len(got - want)
+    assert found / (found + missed) > 0.97 and found / (found + extra) > 0.97, (found, missed, extra)
+
+
+def test_given_pages_by_the_seeds_alone(spark):
+    """No given page has trained this model."""
+    model = C.train()
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    assert sum(model.extract(r.html) == article_of(r.html) for r in pages) >= 0.99 * len(pages)
+
+
+def test_known_lines_outside_the_article_are_no_labels():
+    nodes = parse("<body><div>a known line</div><article><p>" + "one long known line " * 5 + "</p><p>known too, " * 3 + "</p></article></body>")
+    known = {n.text for n in nodes if n.text is not None}
+    inside = C.within_article(nodes, known)
+    assert [nodes[i].text for i in sorted(inside)] == [n.text for n in nodes if n.text is not None][1:]
+    assert C.within_article(parse(""), known) == set()
+
+
 def test_odd_rows(spark, extra, make_docs):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>Text that is long enough to be an article, so it is.</p>"), (1, "u", None), (4, "u", "<article><p>" + "Word after word. " * 20000 + "</p></article>")]
     pages = extra(spark.createDataFrame(rows, PAGE_TYPE))

@@ -57,3 +57,43 @@ def test_stages_against_brute_force(spark, tmp_path):
 def test_every_operator_is_registered():
     names = [n.split("_")[0] for n in E.queries() if n.startswith("op")]
     assert [f"op{k}" for k in range(1, 14)] == sorted(names, key=lambda n: int(n[2:])) and "pipeline" in E.queries()
+
+
+def _tables(spark, folder, docs, extra):
+    extra(docs).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([("q", "a b c d e f g h i j k"), ("n", None)], "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_odd_rows_in_every_stage(spark, tmp_path, make_docs, odd_texts, extra):
+    """Nulls in all columns, empty and very long texts, repeated rows, clashing columns: every stage keeps the columns."""
+    docs = make_docs([*enumerate(odd_texts), (None, None), (None, "text without id"), (3, odd_texts[3])])
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(1).selectExpr(*[f"CAST(NULL AS {t}) AS {n}" for n, t in docs.dtypes]))
+    _tables(spark, tmp_path, docs, extra)
+    given = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in P.STAGES[:-1]:  # each on the whole table
+        out = stage(spark, given, str(tmp_path))
+        assert out.columns == given.columns, name
+        assert 0 < out.count() <= given.count(), name
+    assert P.lines(spark, given, str(tmp_path)).count() == given.count()
+    pieces = P.packed(spark, given, str(tmp_path))
+    assert pieces.select("doc_id").distinct().count() == given.select("doc_id").distinct().count()
+    assert P.run(spark, str(tmp_path)).count() > 0
+
+
+def test_empty_documents(spark, tmp_path, make_docs, extra):
+    _tables(spark, tmp_path, make_docs(["x"]).limit(0), extra)
+    assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stage_folders_go(spark, tmp_path, make_docs, extra):
+    import os
+
+    from navlib.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    _tables(spark, tmp_path, make_docs([f"some words of text number {i} and more of it" for i in range(30)]), extra)
+    before = {d for d in os.listdir(root) if d.startswith("pipeline-")}
+    pieces = P.run(spark, str(tmp_path))
+    new = {d for d in os.listdir(root) if d.startswith("pipeline-")} - before
+    assert len(new) == 1 and os.listdir(f"{root}/{new.pop()}") == ["packing"] and pieces.count() > 0
