@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 _LOW = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 9)], dtype=_U)  # masks for 0 to 8 bytes
