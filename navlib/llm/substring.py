@@ -17,7 +17,8 @@ adaptive execution can split a hot key; a group is never gathered.
 Defined cases: null text has no words; fewer than 13 words are never
 removed; rows with one doc_id are no earlier than each other; a null doc_id
 counts as larger than all others; repeated rows get the same result each.
-Hashes have 64 bits and are not compared word by word.  A document may have
+Segments are told apart by two 64-bit hashes (seed and words), single
+windows by two as well; they are not compared word by word.  A document may have
 up to 2^29 words.
 """
 
@@ -39,6 +40,7 @@ SEED_WORDS = 7
 
 _LAST = (1 << 63) - 1
 _U = np.uint64
+_OTHER = _U(0xA24BAED4963EE407)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -125,7 +127,8 @@ def _windows(window: int):
         for batch in batches:
             for part, data, offsets in chunks(batch):
                 start, end, first = find_words(data, offsets, NONSPACE)
-                hashes = window_hashes(hash_spans(data, start, end), window)
+                word_hash = hash_spans(data, start, end)
+                hashes, others = window_hashes(word_hash, window), window_hashes(mix(word_hash + _OTHER), window)
                 listed = part.column("tags")
                 tags = listed.flatten().to_numpy()
                 row = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy())
@@ -137,12 +140,13 @@ def _windows(window: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(hashes[first[row] + pos].view(np.int64)),
+                        pa.array(others[first[row] + pos].view(np.int64)),
                         pa.array(part.column("doc").to_numpy()[row]),
                         pa.array(part.column("crc").to_numpy()[row]),
                         pa.array(pos),
                         pa.array(late.astype(bool)),
                     ],
-                    ["hash", "doc", "crc", "pos", "late"],
+                    ["hash", "other", "doc", "crc", "pos", "late"],
                 )
 
     return run
@@ -158,8 +162,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SE
     segments = keyed.mapInArrow(_segments(window, seed, True), "seed bigint, segment bigint, doc bigint, tag bigint")
     known = stored(segments.join(repeated, "seed"))
     # stored, like every sum that is joined back: only a join of two shuffles can split a hot key
-    firsts = stored(known.groupBy("segment").agg(F.min("doc").alias("segment_doc")))
-    known = stored(known.join(firsts, "segment").drop("segment"))
+    firsts = stored(known.groupBy("seed", "segment").agg(F.min("doc").alias("segment_doc")))
+    known = stored(known.join(firsts, ["seed", "segment"]).drop("segment"))
     place = (
         F.col("doc"),
         F.shiftrightunsigned("tag", 32).alias("crc"),
@@ -180,10 +184,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SE
         _with_crc(keyed)
         .join(listed, ["doc", "crc"])
         .select("doc", "crc", "text", "tags")
-        .mapInArrow(_windows(window), "hash bigint, doc bigint, crc bigint, pos bigint, late boolean")
+        .mapInArrow(_windows(window), "hash bigint, other bigint, doc bigint, crc bigint, pos bigint, late boolean")
     )
-    least = stored(windows.groupBy("hash").agg(F.min("doc").alias("least")))
-    single = windows.where("late").join(least, "hash").where("least < doc").select("doc", "crc", "pos", F.lit(1).cast("bigint").alias("size"))
+    least = stored(windows.groupBy("hash", "other").agg(F.min("doc").alias("least")))
+    single = windows.where("late").join(least, ["hash", "other"]).where("least < doc").select("doc", "crc", "pos", F.lit(1).cast("bigint").alias("size"))
     return settled.unionByName(single)
 
 
