@@ -59,19 +59,23 @@ def store_views(spark):
         path = scratch_path(spark, name)
         nl.write_table(fx.BUILDERS[name](spark, SF_DIR), path, mode="overwrite")
         out[name] = spark.read.parquet(path)
+    # ingest keeps this table beside NAV; lookups read it
+    newest = scratch_path(spark, "newest_p")
+    nl.refresh_newest(spark, newest, out["nav_p"])
+    out["newest_p"] = nl.read_newest(spark, newest)
     return out
 
 
 def bench_queries(t):
-    corr = dict(codes=None, since=None, min_overlap=R.MIN_OVERLAP, top_k=R.TOP_K)
+    corr = dict(codes="all", since=None, min_overlap=R.MIN_OVERLAP)
     return {
         "parse_nav_text": lambda: nl.parse_nav_text(t["feed_lines"]),
         "nav_as_of": lambda: nl.nav_as_of(t["nav_ticks"], load_id=3, tie_cols=("tie", "nav")),
         "scheme_master": lambda: nl.scheme_master(t["nav_s"]),
         "nav_on_date": lambda: nl.nav_on_date(t["nav_s"], R.ON_DATE),
         "nav_between": lambda: nl.nav_between(t["nav_s"], R.RANGE_START, R.RANGE_END),
-        "search_schemes": lambda: nl.search_schemes(t["master_p"], R.KEYWORD, nav=t["nav_p"]),
-        "schemes_by_category": lambda: nl.schemes_by_category(t["master_p"], R.KEYWORD, t["nav_p"]),
+        "search_schemes": lambda: nl.search_schemes(t["master_p"], R.KEYWORD, newest=t["newest_p"]),
+        "schemes_by_category": lambda: nl.schemes_by_category(t["master_p"], R.KEYWORD, newest=t["newest_p"]),
         "scheme_details": lambda: nl.scheme_details(nl.scheme_master(t["nav_s"]), t["nav_p"]),
         "available_dates": lambda: nl.available_dates(t["nav_s"]),
         "nav_summary": lambda: nl.nav_summary(t["nav_s"], R.AS_OF),
@@ -117,7 +121,7 @@ def bench_reports(t):
     return {
         "volatility_report": lambda: reports.volatility_report(t["nav_p"]),
         "anomaly_report": lambda: reports.anomaly_report(t["nav_s"]),
-        "correlation_report": lambda: reports.correlation_report(t["nav_t"], top_k=R.TOP_K, min_overlap=R.MIN_OVERLAP),
+        "correlation_report": lambda: reports.correlation_report(t["nav_t"], "all", min_overlap=R.MIN_OVERLAP),
     }
 
 

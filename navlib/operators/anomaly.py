@@ -221,6 +221,11 @@ def anomaly_summary(
         F.count_if(F.col("_run") >= min_run).alias("suspicious_patterns"),
         F.sum("_bad").alias("data_quality_issues"),
     ).where(F.col("total_data_points_analyzed") > 0)
+    return summary_columns(s)
+
+
+def summary_columns(s: DataFrame) -> DataFrame:
+    """The columns of OP49 from its counts."""
     total = F.col("extreme_returns") + F.col("nav_jumps") + F.col("suspicious_patterns") + F.col("data_quality_issues")
     rate = F.try_divide(total, F.col("total_data_points_analyzed")) * 100
     return s.select(

@@ -1,9 +1,9 @@
-"""Risk reports from month states (OP31, OP38, OP40-OP42, OP44, OP47).
+"""Risk reports from month states (OP31, OP38, OP40-OP42, OP44, OP47, OP49).
 
 A month state is what the rows of one scheme in one month add to the reports:
 first and last row, counts, means and second to fourth central moments of
-the returns, and the runs of unchanged NAV at its start, at its end and the
-longest.  States don't depend on other months, so a new or corrected month
+the returns, the runs of unchanged NAV at its start, at its end and the
+longest, and numbers of jumps and invalid values.  States don't depend on other months, so a new or corrected month
 reads its own rows only (``refresh_month_states``), and all of history is a table with
 one row per scheme and month.
 
@@ -13,6 +13,10 @@ one row.  Moments of segments add up around the scheme's common mean (no value i
 subtracted from a sum); runs are folded over a scheme's segments in date order, a
 calendar-bounded list.
 
+Extreme returns depend on the mean and sd of all returns, so no state can count
+them; but its least and greatest return tell whether a month has any, and only
+the rows of such scheme-months are read (``anomaly_summary``).
+
 Reports equal those over all rows (``operators.risk``, ``operators.anomaly``)
 to the displayed digits.
 """
@@ -28,7 +32,9 @@ from navlib.functions.stats import ANNUAL_SQRT, excess_kurtosis, sample_skewness
 from navlib.operators import anomaly as A
 from navlib.operators import returns as P
 from navlib.operators import risk as V
+from navlib.operators.master import with_partition_columns
 from navlib.schema import PARTITION_COLUMNS
+from navlib.session import checkpointed
 from navlib.sources.store import read_table, write_table
 
 KEY = "scheme_code"
@@ -72,17 +78,28 @@ def _sets(r: Column, name: Column) -> dict[str, Column]:
     return {"all": r, "named": named, "negative": F.when(named < 0, named), "positive": F.when(named > 0, named)}
 
 
+def _is_jump(nav: Column, before: Column, threshold: float = A.JUMP_THRESHOLD) -> Column:
+    return F.abs(F.try_divide(nav - before, before)) > threshold
+
+
+def _month_returns(nav: DataFrame) -> DataFrame:
+    """Current rows with year, month and the return on the row before in the same month."""
+    rows = P.current_rows(nav).withColumn("year", F.year("date")).withColumn("month", F.month("date"))
+    series = Window.partitionBy(KEY, *PARTITION_COLUMNS).orderBy("date")
+    return rows.withColumn("r", F.try_divide(F.col("nav"), F.lag("nav").over(series)) - 1)
+
+
 def month_states(nav: DataFrame) -> DataFrame:
     """One row per scheme, year and month with the state of its rows."""
     month = [KEY, *PARTITION_COLUMNS]
-    rows = P.current_rows(nav).withColumn("year", F.year("date")).withColumn("month", F.month("date"))
     series = Window.partitionBy(*month).orderBy("date")
-    x = rows.withColumn("r", F.try_divide(F.col("nav"), F.lag("nav").over(series)) - 1)
+    x = _month_returns(nav)
     # analysed rows: those with a return and a name; unchanged runs go from one to the next
     x = x.withColumn("_analysed", F.col("r").isNotNull() & F.col("scheme_name").isNotNull())
     seen = F.last(F.when(F.col("_analysed"), F.col("nav")), ignorenulls=True)
     before = seen.over(series.rowsBetween(Window.unboundedPreceding, -1))
-    x = x.withColumn("_same", F.col("_analysed") & F.coalesce(F.col("nav") == before, F.lit(False)))
+    x = x.withColumn("_before", before)
+    x = x.withColumn("_same", F.col("_analysed") & F.coalesce(F.col("nav") == F.col("_before"), F.lit(False)))
     running = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("_island", F.count_if(F.col("_analysed") & ~F.col("_same")).over(running))
     island = Window.partitionBy(*month, "_island")
@@ -107,6 +124,8 @@ def month_states(nav: DataFrame) -> DataFrame:
             F.coalesce(F.max_by("_run", at), F.lit(0)).cast("bigint").alias("suffix"),
             F.coalesce(F.max(analysed("_run")), F.lit(0)).cast("bigint").alias("best"),
             (F.max("_island") <= 1).alias("whole"),
+            F.count_if(F.col("_analysed") & F.coalesce(_is_jump(F.col("nav"), F.col("_before")), F.lit(False))).alias("jumps"),
+            F.count_if(F.col("_analysed") & A._is_invalid()).alias("invalid"),
         ).alias("runs"),
     )
 
@@ -241,8 +260,8 @@ def volatility_regime(merged: DataFrame) -> DataFrame:
     return V.regime_columns(_analysed(merged).select(KEY, (_sd("named") * F.lit(ANNUAL_SQRT)).alias("_vol")))
 
 
-def stale_nav(states: DataFrame, min_run: int = A.STALE_MIN_RUN) -> DataFrame:
-    """OP47 from ``month_states``: a scheme's segments are folded in date order."""
+def _folded(states: DataFrame) -> DataFrame:
+    """Per scheme, its segments in date order: longest run, jumps and invalid values, first analysed name."""
     nav, none = F.col("first.nav"), F.lit(0).cast("bigint")
     border = F.struct(
         F.when(F.col("_named"), 1).otherwise(0).cast("bigint").alias("n"),
@@ -252,6 +271,8 @@ def stale_nav(states: DataFrame, min_run: int = A.STALE_MIN_RUN) -> DataFrame:
         none.alias("suffix"),
         none.alias("best"),
         F.lit(True).alias("whole"),
+        none.alias("jumps"),
+        F.when((nav <= A.NAV_MIN_EXCLUSIVE) | (nav > A.NAV_MAX_INCLUSIVE), 1).otherwise(0).cast("bigint").alias("invalid"),
     )
     x = _with_border(states)
     segment = lambda part, s: F.struct("year", "month", F.lit(part).alias("part"), s.alias("s"))
@@ -266,13 +287,72 @@ def stale_nav(states: DataFrame, min_run: int = A.STALE_MIN_RUN) -> DataFrame:
         s = segment.getField("s")
         joined = F.coalesce(done.getField("last") == s.getField("first"), F.lit(False))
         lead = F.when(joined, done.getField("run") + 1 + s.getField("prefix")).otherwise(s.getField("prefix"))
+        jump = F.when(_is_jump(s.getField("first"), done.getField("last")), 1).otherwise(0)
         return F.struct(
             s.getField("last").alias("last"),
             F.when(s.getField("whole"), lead).otherwise(s.getField("suffix")).alias("run"),
             F.greatest(done.getField("best"), lead, s.getField("best")).alias("best"),
+            (done.getField("jumps") + s.getField("jumps") + jump).alias("jumps"),
+            (done.getField("invalid") + s.getField("invalid")).alias("invalid"),
         )
 
-    start = F.struct(F.lit(None).cast("double").alias("last"), none.alias("run"), none.alias("best"))
+    start = F.struct(F.lit(None).cast("double").alias("last"), *[none.alias(c) for c in ("run", "best", "jumps", "invalid")])
     rows = F.filter("_segments", lambda g: g.getField("s").getField("n") > 0)
-    longest = F.aggregate(rows, start, append, lambda done: done.getField("best"))
-    return A.stale_columns(per.withColumn("max_consecutive_unchanged", longest), min_run)
+    return per.select(KEY, "scheme_name", F.aggregate(rows, start, append).alias("_f"))
+
+
+def stale_nav(states: DataFrame, min_run: int = A.STALE_MIN_RUN) -> DataFrame:
+    """OP47 from ``month_states``: a scheme's segments are folded in date order."""
+    return A.stale_columns(_folded(states).withColumn("max_consecutive_unchanged", F.col("_f.best")), min_run)
+
+
+def anomaly_summary(
+    states: DataFrame,
+    nav: DataFrame,
+    threshold_std: float = A.DEFAULT_STD_THRESHOLD,
+    min_run: int = A.STALE_MIN_RUN,
+    min_data_points: int = A.MIN_DATA_POINTS,
+) -> DataFrame:
+    """OP49 from ``month_states``; of ``nav`` only the scheme-months that have an extreme return are read.
+
+    ``min_data_points`` counts one row a scheme and date.  Jumps are those
+    above the threshold that the states were made with.
+    """
+    named = lambda c: F.col(f"named.{c}")
+    merged = checkpointed(merged_states(states).select(KEY, "rows", "start_date", "end_date", "named"))
+    n, mean = merged.agg(F.sum(named("n")), F.try_divide(F.sum(named("n") * named("mean")), F.sum(named("n")))).first()
+    rows = merged.agg(F.sum("rows")).first()[0] or 0
+    enough = bool(n) and rows >= min_data_points
+    apart = named("mean") - F.lit(mean or 0.0)
+    m2 = merged.agg(F.sum(named("m2") + named("n") * apart * apart)).first()[0] if enough else None
+    sd = (m2 / (n - 1)) ** 0.5 if enough and n > 1 else None
+    low, high = (mean - threshold_std * sd, mean + threshold_std * sd) if sd is not None else (None, None)
+    limit = lambda x: F.lit(x).cast("double")
+    outside = lambda r: (r < limit(low)) | (r > limit(high))
+
+    x = _with_border(states)
+    borders = x.where(F.col("_named") & outside(F.col("_r"))).select(F.count(F.lit(1))).scalar()
+    flagged = checkpointed(states.where((named("low") < limit(low)) | (named("high") > limit(high))).select(KEY, *PARTITION_COLUMNS))
+    months = sorted(r.year * 100 + r.month for r in flagged.select(*PARTITION_COLUMNS).distinct().collect())  # a calendar-bounded list
+    read = with_partition_columns(nav).where((F.col("year") * 100 + F.col("month")).isin(months))
+    inner = _month_returns(read.join(flagged, [KEY, *PARTITION_COLUMNS], "left_semi"))
+    extremes = inner.where(outside(F.col("r")) & F.col("scheme_name").isNotNull()).select(F.count(F.lit(1))).scalar()
+
+    folded = _folded(states).select(
+        F.sum("_f.jumps").alias("jumps"), F.sum("_f.invalid").alias("invalid"), F.count_if(F.col("_f.best") >= min_run).alias("stale")
+    )
+    total = merged.agg(
+        F.sum(named("n")).alias("total_data_points_analyzed"),
+        F.count_if(named("n") > 0).alias("unique_schemes_analyzed"),
+        F.min("start_date").alias("start"),
+        F.max("end_date").alias("end"),
+    ).where(F.lit(enough))
+    figure = lambda c: folded.select(c).scalar()
+    s = total.select(
+        "*",
+        (borders + extremes).alias("extreme_returns"),
+        figure("jumps").alias("nav_jumps"),
+        figure("stale").alias("suspicious_patterns"),
+        figure("invalid").alias("data_quality_issues"),
+    )
+    return A.summary_columns(s)

@@ -682,7 +682,7 @@ FROM nav_s""",
 )
 for _name in ("table_profile", "table_partitions", "latest_nav_date"):
     ORACLES[f"{_name}_stored"] = ORACLES[_name]
-for _name in ("return_stats", "basic_volatility", "downside_risk", "upside_potential", "risk_statistics", "volatility_regime", "stale_nav"):
+for _name in ("return_stats", "basic_volatility", "downside_risk", "upside_potential", "risk_statistics", "volatility_regime", "stale_nav", "anomaly_summary"):
     ORACLES[f"{_name}_monthly"] = ORACLES[_name]
 # the same rows by another way
 for _name in ("search_schemes", "schemes_by_fund_house", "schemes_by_category", "scheme_details", "fund_houses"):

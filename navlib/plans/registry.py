@@ -162,6 +162,11 @@ def _month_states(spark: SparkSession, nav: DataFrame) -> DataFrame:
     return monthly.refresh_month_states(spark, states, stored, [m for m in months if m[0] >= cut])
 
 
+def _anomalies_by_month(spark: SparkSession, d: str) -> DataFrame:
+    nav = fx.nav_s(spark, d)
+    return monthly.anomaly_summary(_month_states(spark, nav), nav)
+
+
 def _by_month(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda s, d: report(monthly.merged_states(_month_states(s, fx.nav_p(s, d))))
 
@@ -260,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "risk_statistics_monthly": _by_month(monthly.risk_statistics),
     "volatility_regime_monthly": _by_month(monthly.volatility_regime),
     "stale_nav_monthly": lambda s, d: monthly.stale_nav(_month_states(s, fx.nav_stale(s, d))),
+    "anomaly_summary_monthly": _anomalies_by_month,
     # anomalies
     "extreme_returns": lambda s, d: nl.extreme_returns(fx.nav_s(s, d)),
     "extreme_returns_by_scheme": lambda s, d: nl.extreme_returns(fx.nav_s(s, d), scope="scheme"),

@@ -4,7 +4,8 @@
 Storage is plain Parquet, NAV partitioned by (year, month).  There is no
 transaction log: a table has one writer at a time.  Rewrites (master
 refresh, compaction) never overwrite a path they read from in the same plan:
-the new content is first checkpointed or written to a new path.
+the new content is first checkpointed or written to a new path, which then
+takes the old one's place.
 """
 
 from __future__ import annotations
@@ -65,6 +66,36 @@ def write_table(
     writer.parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def finish_replacement(spark: SparkSession, path: str) -> None:
+    """Complete a replacement of the table at ``path`` that broke off; nothing to do otherwise."""
+    files, at = _files(spark, path)
+    if not files.exists(at(path)) and files.exists(at(f"{path}_next/_SUCCESS")):
+        files.rename(at(f"{path}_next"), at(path))
+    files.delete(at(f"{path}_old"), True)
+
+
+def replace_table(df: DataFrame, path: str, partition_cols: Sequence[str] | None = None) -> None:
+    """Overwrite the table at ``path`` so that a crash at any step leaves a whole table, the old or the new one.
+
+    The new content is written beside the table and takes its name when it is
+    complete.  A crash between the two renames leaves the new content under
+    ``<path>_next``, which the next replacement or ``finish_replacement`` puts in place.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    finish_replacement(spark, path)
+    write_table(df, f"{path}_next", partition_cols, "overwrite")
+    files, at = _files(spark, path)
+    if files.exists(at(path)):
+        files.rename(at(path), at(f"{path}_old"))
+    files.rename(at(f"{path}_next"), at(path))
+    files.delete(at(f"{path}_old"), True)
+
+
 def _missing_path(err: AnalysisException) -> bool:
     condition = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
     return condition is not None and condition() == "PATH_NOT_FOUND"
@@ -248,8 +279,10 @@ def refresh_master(spark: SparkSession, master_path: str, nav: DataFrame, rebuil
     date wins (ties: greater name, house), so loading older rows later can't
     turn a name back.  A stored row without a date yields to any dated one.
     ``rebuild=True`` ignores the stored table: ``nav`` is all of history.
+    The table is replaced whole (``replace_table``), so a crash never leaves half a master.
     """
     merged = dated_master(nav)
+    finish_replacement(spark, master_path.rstrip("/"))
     old = None if rebuild else read_table(spark, master_path)
     if old is not None:
         if "last_date" not in old.columns:
@@ -257,7 +290,7 @@ def refresh_master(spark: SparkSession, master_path: str, nav: DataFrame, rebuil
         both = merged.unionByName(old.select(*MASTER_COLUMNS, "last_date"))
         merged = dated_master(both.withColumnRenamed("last_date", "date"))
     merged = checkpointed(merged)
-    write_table(merged, master_path, mode="overwrite")
+    replace_table(merged, master_path)
     return merged.select(*MASTER_COLUMNS)
 
 
@@ -295,7 +328,7 @@ def refresh_newest(
     if first is None:
         made = fresh.select(KEY, "_new.*").withColumn("buckets", F.lit(buckets))
         bucket = F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
-        write_table(checkpointed(made).withColumn("bucket", bucket), path, ["bucket"], "overwrite")
+        replace_table(checkpointed(made).withColumn("bucket", bucket), path, ["bucket"])
         return
     buckets = first.buckets
     bucket = F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")

@@ -54,6 +54,26 @@ def test_reports_equal_those_over_all_rows(spark):
     for run in (1, 3, 5):
         _same(M.stale_nav(states, run), nl.stale_nav(nav, run))
     assert nl.basic_volatility(nav).count() > 5 and nl.stale_nav(nav, 3).count() > 3
+    for std, run in ((3.0, 5), (0.5, 2), (50.0, 9)):
+        _same(M.anomaly_summary(states, nav, std, run), nl.anomaly_summary(nav, std, min_run=run))
+    row = M.anomaly_summary(states, nav, 1.0, 2).first()
+    assert row.extreme_returns and row.nav_jumps and row.data_quality_issues and row.suspicious_patterns
+
+
+def test_only_months_with_extremes_are_read(spark, sf_small):
+    """A table whose other months are garbage gives the same summary: the states answer for them."""
+    nav = with_partition_columns(fx.nav_s(spark, sf_small)).checkpoint()
+    states = M.month_states(nav).checkpoint()
+    r = nl.analysed_rows(nav).toPandas().r
+    far = 0.95 * float((r - r.mean()).abs().max() / r.std())  # only the farthest returns are extreme
+    low, high = r.mean() - far * r.std(), r.mean() + far * r.std()
+    hot = states.where((F.col("named.low") < low) | (F.col("named.high") > high)).select("year", "month").distinct().checkpoint()
+    assert hot.count() < 0.2 * states.select("year", "month").distinct().count()
+    garbage = nav.join(hot, ["year", "month"], "left_anti").withColumn("nav", F.lit(-1.0))
+    broken = garbage.unionByName(nav.join(hot, ["year", "month"], "left_semi").select(garbage.columns))
+    assert nl.anomaly_summary(nav, far).first().extreme_returns > 0
+    _same(M.anomaly_summary(states, broken, far), nl.anomaly_summary(nav, far))
+    _same(M.anomaly_summary(states, nav), nl.anomaly_summary(nav))
 
 
 def test_stale_runs_for_every_cut(spark, sf_small):
@@ -96,3 +116,4 @@ def test_empty(spark):
     merged = M.merged_states(M.month_states(nav))
     assert all(getattr(M, name)(merged).count() == 0 for name in REPORTS)
     assert M.stale_nav(M.month_states(nav)).count() == 0
+    assert M.anomaly_summary(M.month_states(nav), nav).count() == 0

@@ -1,4 +1,5 @@
 import pyspark.sql.functions as F
+import pytest
 
 import navlib as nl
 from navlib.schema import NAV_SCHEMA
@@ -282,3 +283,43 @@ def test_range_without_statistics(spark):
     nl.write_table(_nav(spark, ("c", "C", float("nan"), 2), ("d", "D", 3.0, 9)), path)
     got, want = nl.stored_range(spark, path).collect()[0], nl.nav_range(spark.read.parquet(path)).collect()[0]
     assert (got.rows, got.min_nav, got.latest_date) == (4, 3.0, day(9)) and str(got) == str(want)
+
+
+@pytest.mark.parametrize("crash_at", [0, 1, 2, 3])
+def test_master_survives_a_crash_at_every_step(spark, monkeypatch, crash_at):
+    """The refresh dies before its n-th file operation: the old or the new master is there, and the next refresh is right."""
+    from navlib.sources import store
+
+    path = scratch_path(spark, "master")
+    names = lambda: {r.scheme_code: r.scheme_name for r in nl.read_table(spark, path).collect()}
+    nl.refresh_master(spark, path, _nav(spark, ("a", "A", 1.0, 0)))
+    real, steps = store._files, []
+
+    class Dying:
+        def __init__(self, files):
+            self.files = files
+
+        def exists(self, at):
+            return self.files.exists(at)
+
+        def __getattr__(self, name):  # rename, delete
+            steps.append(name)
+            if len(steps) == crash_at + 1:
+                raise RuntimeError("lost")
+            return getattr(self.files, name)
+
+    def files(spark, path):
+        found, at = real(spark, path)
+        return Dying(found), at
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_files", files)
+        with pytest.raises(RuntimeError):
+            nl.refresh_master(spark, path, _nav(spark, ("b", "B", 1.0, 0)))
+            raise RuntimeError("not enough steps")
+    store.finish_replacement(spark, path)
+    assert names() in ({"a": "A"}, {"a": "A", "b": "B"})
+    nl.refresh_master(spark, path, _nav(spark, ("b", "B", 1.0, 0), ("c", "C", 1.0, 0)))
+    assert names() == {"a": "A", "b": "B", "c": "C"}
+    found, at = real(spark, path)
+    assert not found.exists(at(f"{path}_next")) and not found.exists(at(f"{path}_old"))

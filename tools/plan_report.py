@@ -23,7 +23,7 @@ def summarize(text: str) -> dict:
     return {
         "exchanges": len(re.findall(r"\bExchange \(", tree)),
         "subqueries": len(set(re.findall(r"Subquery subquery#(\d+)", text))),
-        "python": len(re.findall(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", text)),
+        "python": len(re.findall(r"ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsIn", text)),
         "partition_filters": "PartitionFilters: [" in text and not re.search(r"PartitionFilters: \[\]", text),
         "pushed_filters": bool(re.search(r"PushedFilters: \[[^\]]", text)),
         "broadcast": len(re.findall(r"BroadcastExchange|BroadcastHashJoin", tree)),
