@@ -53,8 +53,8 @@ BROADCAST_TRUSTED = 2_000_000
 
 _UNIT = 1_000_000  # log probabilities are kept as whole millionths
 _STEP = _UNIT // 100
-_HELD_GRAMS = 1_000_000
-_CHUNK = 1 << 20  # bytes at a time; each takes about 60 bytes of memory
+_HELD_GRAMS = 400_000
+_CHUNK = 1 << 19  # bytes at a time; each takes about 60 bytes of memory
 _NO_ID = -(1 << 63)
 
 

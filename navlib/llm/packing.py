@@ -43,7 +43,7 @@ from navlib.llm._words import chunks, hash_spans
 WINDOW = 2048
 END_ID = 1
 FLUSH = 200_000
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 100_000
 
 _PARTITION_SHIFT = 40
 _PIECES = (
@@ -57,11 +57,14 @@ def _code_point_classes() -> np.ndarray:
     import regex
 
     classes = np.full(0x110000, OTHER, np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for pattern, kind in ((r"\s+", SPACE), (r"\p{L}+", LETTER), (r"\p{N}+", NUMBER)):
-        for m in regex.finditer(pattern, every):
-            classes[ord(every[m.start()]) : ord(every[m.end() - 1]) + 1] = kind
-    classes[0xD800:0xE000] = OTHER
+    kinds = [(regex.compile(pattern), kind) for pattern, kind in ((r"\s+", SPACE), (r"\p{L}+", LETTER), (r"\p{N}+", NUMBER))]
+    for block in range(0, 0x110000, 0x800):  # no more memory than a few of them take
+        if 0xD800 <= block < 0xE000:
+            continue
+        text = "".join(map(chr, range(block, block + 0x800)))
+        for pattern, kind in kinds:
+            for m in pattern.finditer(text):
+                classes[block + m.start() : block + m.end()] = kind
     return classes
 
 
