@@ -48,6 +48,7 @@ from navlib.llm._words import NONSPACE, byte_class, chunks, distinct_words, find
 WINDOW = 4096
 END_ID = 1
 CACHE_WORDS = 1_000_000
+SLICE_BYTES = 4 << 20  # words of a slice are told apart once
 TOGETHER = 100
 
 # Fixed value: the split pattern of vocabularies that keep letters, digits and other characters apart.
@@ -271,7 +272,7 @@ def _tokenise(path: str, window: int, end_id: int, with_ids: bool):
         task, end = TaskContext.get().partitionId(), np.array([end_id], "<u4")
         made = np.zeros(window + 1, np.int64)
         for batch in batches:
-            for part, data, offsets in chunks(batch):
+            for part, data, offsets in chunks(batch, size=SLICE_BYTES):
                 ids, first = tokenizer.encode(data, offsets)
                 rows: list[tuple] = []
                 for doc_id, a, b in zip(part.column("doc_id").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
