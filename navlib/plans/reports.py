@@ -101,6 +101,7 @@ def correlation_report(
     rho = checkpointed(C._pearson(inp))
     pairs = C._pairs_from(rho, inp, C.HIGH_CORRELATION, C.LOW_CORRELATION)
     stats = C._statistics_from(rho)
+    n_high = pairs.where(F.col("kind") == "high").select(F.count(F.lit(1))).scalar()
     return {
         "data_availability": inp.availability,
         "returns_matrix": inp.matrix.select("date", C.KEY, "r"),
@@ -109,7 +110,7 @@ def correlation_report(
             "scheme1", "scheme1_name", "scheme2", "scheme2_name", half_up("rho", 4).alias("correlation"), "kind"
         ),
         "correlation_statistics": C._statistics_columns(stats),
-        "investment_insights": C._insights(stats, pairs.where(F.col("kind") == "high"), inp.n_valid),
+        "investment_insights": C._insights(stats, n_high, inp.n_valid),
     }
 
 

@@ -195,6 +195,48 @@ def test_tasks_hold_two_tiles_of_many_schemes(spark):
     assert got.m == pytest.approx(float(np.nanmean(want)), abs=1e-9)
 
 
+def test_correlation_ships_a_row_for_each_scheme(spark):
+    """Stored: one row for a scheme; sent: each to at most TILES_WANTED groups here, and one row of figures back from a group."""
+    import navlib.operators.correlation as C
+
+    df, want = _many(spark, 3000, 25, seed=2)
+    inp = C._prepare(df, "all", None, 20, None)
+    assert inp.series.count() == 3000
+    assert C._dealt(C._vectors(inp), C._tile_count(inp)).count() <= 3000 * C.TILES_WANTED
+    upper = want[np.triu_indices(3000, 1)]
+    upper = upper[~np.isnan(upper)]
+    s = C._statistics(inp).first()
+    assert (s["_n"], s["_high"]) == (len(upper), (upper > 0.8).sum())
+    assert (s["_mean"], s["_max"], s["_min"]) == pytest.approx((upper.mean(), upper.max(), upper.min()), abs=1e-9)
+    assert "scheme1" not in C._statistics(inp)._jdf.queryExecution().analyzed().toString()
+
+
+def test_returns_on_common_dates_only(spark):
+    """Schemes with gaps: the product uses the dates that all of them have, as the matrix does."""
+    rng = np.random.default_rng(4)
+    series = {c: list(100 * np.cumprod(1 + rng.normal(0, 0.01, 160))) for c in "pqrs"}
+    series["q"][40], series["r"][90], series["s"][91] = None, None, None
+    df = nav_frame(spark, series)
+    rets = pd.DataFrame({c: pd.Series(v).dropna().pct_change() for c, v in series.items()}).dropna()
+    rows = nl.returns_matrix(df, "all").collect()
+    assert len(rows) == 4 * len(rets) == 4 * 156
+    got = {(r.scheme1, r.scheme2): r for r in nl.correlation_matrix(df, "all").collect()}
+    for a in "pqrs":
+        for b in "pqrs":
+            assert got[a, b].overlap_days == 156
+            assert got[a, b].correlation == pytest.approx(rets.corr().loc[a, b], abs=5.1e-5)
+
+
+def test_high_pairs_compare_in_groups(spark):
+    """Candidates carry no rows of returns: no join by scheme in the plan, and copies of one series are all found."""
+    rng = np.random.default_rng(6)
+    base = list(100 * np.cumprod(1 + rng.normal(0, 0.01, 130)))
+    df = nav_frame(spark, {f"c{i:02d}": base for i in range(30)} | {"z": list(100 * np.cumprod(1 + rng.normal(0, 0.01, 130)))})
+    got = nl.high_correlation_pairs(df, "all")
+    assert " Join " not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.where("correlation = 1 and scheme1 < scheme2 and scheme1_name = concat('name ', scheme1)").count() == 30 * 29 // 2
+
+
 def test_high_pairs_by_signatures(spark):
     """Recall of the hyperplane signatures over all pairs above 0.8, and no wrong row."""
     df, want = _many(spark, 400, 260, seed=5)
