@@ -122,21 +122,20 @@ def nav_jumps(
     )
 
 
-def _runs(rows: DataFrame) -> DataFrame:
-    """Per scheme: longest run of NAV equal to the previous analysed NAV (gaps and islands)."""
+def _with_runs(rows: DataFrame) -> DataFrame:
+    """Adds ``_run``: rows since the last one whose NAV wasn't that of the row before; by windows, so there is no group for each run."""
     same = F.coalesce(F.col("nav") == F.lag("nav").over(_series()), F.lit(False))
+    numbered = rows.withColumn("_same", same).withColumn("_pos", F.row_number().over(_series()))
     running = _series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    islands = rows.withColumn("_same", same).withColumn(
-        "_island", F.sum(F.when(F.col("_same"), 0).otherwise(1)).over(running)
-    )
-    per_island = islands.groupBy(KEY, "_island").agg(
-        F.count_if("_same").alias("_run"),
-        F.min("date").alias("_first"),
-        F.min_by("scheme_name", "date").alias("_name"),
-    )
-    return per_island.groupBy(KEY).agg(
+    start = F.max(F.when(~F.col("_same"), F.col("_pos"))).over(running)
+    return numbered.withColumn("_run", (F.col("_pos") - start).cast("bigint"))
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    """Per scheme: longest run of NAV equal to the previous analysed NAV."""
+    return _with_runs(rows).groupBy(KEY).agg(
         F.max("_run").alias("max_consecutive_unchanged"),
-        F.min_by("_name", "_first").alias("scheme_name"),
+        F.min_by("scheme_name", "date").alias("scheme_name"),
     )
 
 
@@ -182,35 +181,20 @@ def anomaly_summary(
 ) -> DataFrame:
     """OP49: counts of OP45-OP48 (stale counts schemes), rate % (3 dp) and health score (1 dp).
 
-    One pass: per-row flags → per (scheme, island) → per scheme → one row,
-    all on the scheme_code partitioning.
+    One pass: per-row flags → per scheme → one row, all on the scheme_code
+    partitioning; no group is smaller than a scheme.
     """
     rows = _rows(nav, min_data_points, rows)
     mean, sd = _pooled(rows)
-    running = _series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    flagged = (
-        _with_moves(rows)
-        .withColumn("_same", F.coalesce(F.col("nav") == F.lag("nav").over(_series()), F.lit(False)))
-        .withColumn("_island", F.sum(F.when(F.col("_same"), 0).otherwise(1)).over(running))
-    )
-    per_island = flagged.groupBy(KEY, "_island").agg(
+    per_scheme = _with_runs(_with_moves(rows)).groupBy(KEY).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(_is_extreme(mean, sd, threshold_std)).alias("_ext"),
         F.count_if(F.coalesce(_is_jump(jump_threshold), F.lit(False))).alias("_jump"),
         F.count_if(_is_invalid()).alias("_bad"),
-        F.count_if("_same").alias("_run"),
+        F.max("_run").alias("_run"),
         F.min("date").alias("_start"),
         F.max("date").alias("_end"),
     )
-    per_scheme = per_island.groupBy(KEY).agg(
-        F.sum("_rows").alias("_rows"),
-        F.sum("_ext").alias("_ext"),
-        F.sum("_jump").alias("_jump"),
-        F.sum("_bad").alias("_bad"),
-        F.max("_run").alias("_run"),
-        F.min("_start").alias("_start"),
-        F.max("_end").alias("_end"),
-    )
     s = per_scheme.agg(
         F.sum("_rows").alias("total_data_points_analyzed"),
         F.count(F.lit(1)).alias("unique_schemes_analyzed"),

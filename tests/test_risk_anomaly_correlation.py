@@ -195,6 +195,18 @@ def test_tasks_hold_two_tiles_of_many_schemes(spark):
     assert got.m == pytest.approx(float(np.nanmean(want)), abs=1e-9)
 
 
+def test_unchanged_runs_without_a_group_for_each_run(spark):
+    """Longest runs as counted by hand; schemes are the only groups."""
+    df = nav_frame(spark, {"a": [1, 2, 2, 2, 3, 3, 2, 2, 2, 2] + list(range(5, 60)), "b": [7] * 55, "c": list(range(1, 56))})
+    runs = {r.scheme_code: r.max_consecutive_unchanged for r in nl.stale_nav(df, min_run=1).collect()}
+    assert runs == {"a": 3, "b": 53}
+    summary = nl.anomaly_summary(df, min_run=3)
+    assert summary.first().suspicious_patterns == 2
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "Aggregate [scheme_code" in line and "date" not in line.split("]")[0]]
+    assert not [line for line in plan.splitlines() if "Aggregate [scheme_code" in line and "island" in line]
+
+
 def test_correlation_ships_a_row_for_each_scheme(spark):
     """Stored: one row for a scheme; sent: each to at most TILES_WANTED groups here, and one row of figures back from a group."""
     import navlib.operators.correlation as C
