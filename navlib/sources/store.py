@@ -148,8 +148,10 @@ def nav_as_of(
     cols = nav.columns
     # the remaining columns complete a total order, so the kept row never depends on task order
     order += [c for c in cols if c not in order and c not in (KEY, "date")]
-    newest = F.max_by(F.struct(*cols), F.struct(*order))
-    return rows.groupBy(KEY, "date").agg(newest.alias("_row")).select(*[F.col(f"_row.{c}").alias(c) for c in cols])
+    # the order holds every column but the key: its greatest value is the row, and nothing is carried twice
+    newest = F.max(F.struct(*order)).alias("_row")
+    row = [c if c in (KEY, "date") else F.col(f"_row.{c}").alias(c) for c in cols]
+    return rows.groupBy(KEY, "date").agg(newest).select(*row)
 
 
 def deduplicate_nav(batch: DataFrame) -> DataFrame:
@@ -163,7 +165,7 @@ def deduplicate_nav(batch: DataFrame) -> DataFrame:
     first = [c for c in ("nav", "scheme_name", "fund_house") if c in batch.columns]
     # a total order over the row, so the kept copy does not depend on task order
     order = first + [c for c in cols if c not in first]
-    pick = F.max_by(F.struct(*cols), F.struct(*order))
+    pick = F.max(F.struct(*order))  # holds the whole row
     return (
         batch.where(F.col(KEY).isNotNull() & F.col("date").isNotNull() & F.col("nav").isNotNull())
         .groupBy(KEY, "date")

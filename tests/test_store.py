@@ -323,3 +323,13 @@ def test_master_survives_a_crash_at_every_step(spark, monkeypatch, crash_at):
     assert names() == {"a": "A", "b": "B", "c": "C"}
     found, at = real(spark, path)
     assert not found.exists(at(f"{path}_next")) and not found.exists(at(f"{path}_old"))
+
+
+def test_newest_version_carries_each_value_once(spark):
+    rows = [("1", "n", "h", day(0), 5.0, 1), ("1", "m", None, day(0), 4.0, 2), ("1", "z", "h", day(0), 4.0, 2), ("2", None, "h", day(1), 1.0, 1)]
+    nav = spark.createDataFrame(rows, "scheme_code string, scheme_name string, fund_house string, date date, nav double, load_id bigint")
+    newest, kept = nl.nav_as_of(nav), nl.deduplicate_nav(nav)
+    assert newest.columns == nav.columns and set(kept.columns) == set(nav.columns)
+    assert {tuple(r) for r in newest.collect()} == {rows[2], rows[3]}
+    assert {tuple(r) for r in kept.select(*nav.columns).collect()} == {rows[0], rows[3]}
+    assert "max_by" not in newest._jdf.queryExecution().analyzed().toString() + kept._jdf.queryExecution().analyzed().toString()
