@@ -290,3 +290,23 @@ def test_rolling_volatility_of_any_window(spark, window):
             assert row.average_rolling_vol == pytest.approx(v.mean(), rel=1e-9, abs=6e-5)
             assert row.min_rolling_vol == pytest.approx(v.min(), abs=6e-5)
             assert row.max_rolling_vol == pytest.approx(v.max(), rel=1e-9, abs=6e-5)
+
+
+def test_tiles_are_stored_once_and_not_shuffled(spark, monkeypatch):
+    """Tiles of a few schemes, partitions with several and with none: each pair once, and no shuffle behind the stored tiles."""
+    import navlib.operators.correlation as C
+
+    df, want = _many(spark, 60, 130, seed=7)
+    upper = want[np.triu_indices(60, 1)]
+    upper = upper[~np.isnan(upper)]
+    for most, size in ((4096, 1 << 25), (16, 1 << 25), (4096, 13 * 129 * 8)):
+        monkeypatch.setattr(C, "TILE", most)
+        monkeypatch.setattr(C, "TILE_BYTES", size)
+        pairs = C._tile_pairs(C._prepare(df, "all", None, 100, None))
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Exchange" not in plan
+        own = pairs.where("tile1 = tile2").selectExpr("size(codes1) n", "length(z1) b").collect()
+        assert sum(r.n for r in own) == 60 and all(r.n <= most and (r.b <= size or r.n == 1) for r in own)
+        s = C._statistics(C._prepare(df, "all", None, 100, None)).first()
+        assert (s["_n"], s["_high"]) == (len(upper), (upper > 0.8).sum())
+        assert (s["_mean"], s["_max"], s["_min"]) == pytest.approx((upper.mean(), upper.max(), upper.min()), abs=1e-9)
