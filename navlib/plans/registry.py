@@ -250,7 +250,7 @@ QUERIES: dict[str, Query] = {
     ),
     # risk
     "basic_volatility": lambda s, d: nl.basic_volatility(fx.nav_p(s, d)),
-    "rolling_volatility": lambda s, d: nl.rolling_volatility(fx.nav_s(s, d), ROLLING_WINDOW),
+    "rolling_volatility": lambda s, d: nl.rolling_volatility(fx.nav_s(s, d, by_scheme=True), ROLLING_WINDOW),
     "downside_risk": lambda s, d: nl.downside_risk(fx.nav_p(s, d)),
     "upside_potential": lambda s, d: nl.upside_potential(fx.nav_p(s, d)),
     "risk_statistics": lambda s, d: nl.risk_statistics(fx.nav_p(s, d)),

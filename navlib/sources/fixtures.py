@@ -26,6 +26,8 @@ FEED_TITLES = [
 
 # schemes in one partition of the dense series, each with a row for every day
 DENSE_SCHEMES = 64
+# rows of lineitem for one partition of the series that are dealt by scheme
+SCHEME_ROWS = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,8 +43,19 @@ def _avg_price_nav() -> Column:
     return (F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)) / 10).alias("nav")
 
 
-def nav_s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scheme is a supplier, its fund house the supplier's nation (dense daily series)."""
+def _by_scheme(spark: SparkSession, sf_dir: str, daily: DataFrame, key: str) -> DataFrame:
+    """``daily`` with its scheme_code, in partitions by scheme whose rows don't grow with the table.
+
+    It has one row for each scheme and day, so no partition is much larger.  What groups by
+    scheme behind it (joins, aggregates, windows) needs no other shuffle of the rows.
+    """
+    parts = table(spark, sf_dir, "lineitem").count() // SCHEME_ROWS + 1  # from the footers
+    known = daily.where(F.col(key).isNotNull())
+    return known.select(F.col(key).cast("string").alias("scheme_code"), "date", "nav").repartition(parts, "scheme_code")
+
+
+def nav_s(spark: SparkSession, sf_dir: str, by_scheme: bool = False) -> DataFrame:
+    """A scheme is a supplier, its fund house the supplier's nation (dense daily series); the same rows ``by_scheme``."""
     daily = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_suppkey", _ship_date().alias("date"))
@@ -50,6 +63,14 @@ def nav_s(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    if by_scheme:
+        houses = sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
+            F.col("s_suppkey").cast("string").alias("scheme_code"),
+            F.col("s_name").alias("scheme_name"),
+            F.col("n_name").alias("fund_house"),
+        )
+        rows = _by_scheme(spark, sf_dir, daily, "l_suppkey").join(houses, "scheme_code")
+        return rows.select("scheme_code", "scheme_name", "fund_house", "date", "nav")
     return (
         daily.join(sup, daily.l_suppkey == sup.s_suppkey)
         .join(nat, sup.s_nationkey == nat.n_nationkey)
@@ -70,14 +91,9 @@ def nav_p(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_partkey", _ship_date().alias("date"))
         .agg(_avg_price_nav())
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
-    return daily.join(part, daily.l_partkey == part.p_partkey).select(
-        F.col("l_partkey").cast("string").alias("scheme_code"),
-        F.concat_ws(" ", "p_name", "p_type").alias("scheme_name"),
-        F.col("p_brand").alias("fund_house"),
-        "date",
-        "nav",
-    )
+    # the names, several times as wide as the rows, come behind the shuffle
+    rows = _by_scheme(spark, sf_dir, daily, "l_partkey").join(master_p(spark, sf_dir), "scheme_code")
+    return rows.select("scheme_code", "scheme_name", "fund_house", "date", "nav")
 
 
 def nav_t(spark: SparkSession, sf_dir: str) -> DataFrame:
