@@ -43,15 +43,18 @@ def _avg_price_nav() -> Column:
     return (F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)) / 10).alias("nav")
 
 
-def _by_scheme(spark: SparkSession, sf_dir: str, daily: DataFrame, key: str) -> DataFrame:
-    """``daily`` with its scheme_code, in partitions by scheme whose rows don't grow with the table.
+def _by_scheme(spark: SparkSession, sf_dir: str, daily: DataFrame, key: str, schemes: DataFrame) -> DataFrame:
+    """``daily`` with the names of ``schemes``, in partitions by scheme whose rows don't grow with the table.
 
     It has one row for each scheme and day, so no partition is much larger.  What groups by
-    scheme behind it (joins, aggregates, windows) needs no other shuffle of the rows.
+    scheme behind it (aggregates, windows) needs no other shuffle of the rows; the names, several
+    times as wide as they are, come behind it, dealt alike so that a sort-merge join leaves the rows where they are.
     """
     parts = table(spark, sf_dir, "lineitem").count() // SCHEME_ROWS + 1  # from the footers
     known = daily.where(F.col(key).isNotNull())
-    return known.select(F.col(key).cast("string").alias("scheme_code"), "date", "nav").repartition(parts, "scheme_code")
+    rows = known.select(F.col(key).cast("string").alias("scheme_code"), "date", "nav").repartition(parts, "scheme_code")
+    named = rows.join(schemes.repartition(parts, "scheme_code"), "scheme_code")
+    return named.select("scheme_code", "scheme_name", "fund_house", "date", "nav")
 
 
 def nav_s(spark: SparkSession, sf_dir: str, by_scheme: bool = False) -> DataFrame:
@@ -69,8 +72,7 @@ def nav_s(spark: SparkSession, sf_dir: str, by_scheme: bool = False) -> DataFram
             F.col("s_name").alias("scheme_name"),
             F.col("n_name").alias("fund_house"),
         )
-        rows = _by_scheme(spark, sf_dir, daily, "l_suppkey").join(houses, "scheme_code")
-        return rows.select("scheme_code", "scheme_name", "fund_house", "date", "nav")
+        return _by_scheme(spark, sf_dir, daily, "l_suppkey", houses)
     return (
         daily.join(sup, daily.l_suppkey == sup.s_suppkey)
         .join(nat, sup.s_nationkey == nat.n_nationkey)
@@ -91,9 +93,7 @@ def nav_p(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_partkey", _ship_date().alias("date"))
         .agg(_avg_price_nav())
     )
-    # the names, several times as wide as the rows, come behind the shuffle
-    rows = _by_scheme(spark, sf_dir, daily, "l_partkey").join(master_p(spark, sf_dir), "scheme_code")
-    return rows.select("scheme_code", "scheme_name", "fund_house", "date", "nav")
+    return _by_scheme(spark, sf_dir, daily, "l_partkey", master_p(spark, sf_dir))
 
 
 def nav_t(spark: SparkSession, sf_dir: str) -> DataFrame:
