@@ -310,3 +310,58 @@ def test_tiles_are_stored_once_and_not_shuffled(spark, monkeypatch):
         s = C._statistics(C._prepare(df, "all", None, 100, None)).first()
         assert (s["_n"], s["_high"]) == (len(upper), (upper > 0.8).sum())
         assert (s["_mean"], s["_max"], s["_min"]) == pytest.approx((upper.mean(), upper.max(), upper.min()), abs=1e-9)
+
+
+def test_schemes_and_returns_are_read_in_one_pass(spark):
+    """All schemes: rows with nulls count for the choice of schemes, and the table is computed once."""
+    series = {c: list(100 + np.arange(120.0) * k) for k, c in enumerate("abcd", 1)}
+    series["b"][10:70] = [None] * 60  # enough rows, too few returns
+    series["d"] = series["d"][:50]
+    frame = nav_frame(spark, series)
+    names = "case when scheme_code = 'c' and date < '2020-01-05' then null else scheme_name end"
+    dates = "case when scheme_code = 'd' then null else date end"
+    frame = frame.selectExpr("scheme_code", f"{names} scheme_name", "fund_house", f"{dates} date", "nav").unionByName(frame.where("scheme_code = 'd'"))
+    rows = frame.count()
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    import navlib.operators.correlation as C
+
+    inp = C._prepare(frame.mapInArrow(counted, frame.schema), "all", None, 100, None)
+    assert read.value == rows
+    got = collect_dict(inp.availability)
+    assert {c: r["total_days"] for c, r in got.items()} == {"a": 119, "b": 59, "c": 116, "d": 49}
+    assert str(got["c"]["start_date"]) == "2020-01-05" and got["b"]["scheme_name"] == "name b"
+    assert sorted(r.scheme_code for r in inp.valid.collect()) == ["a", "c"]
+
+
+def test_a_tile_is_sent_once_to_a_task(spark, monkeypatch):
+    """Partitions of several tiles: a task gets each tile of two partitions once, not one copy for each pair."""
+    import navlib.operators.correlation as C
+
+    monkeypatch.setattr(C, "TILE", 4)
+    monkeypatch.setattr(C, "TILES_WANTED", 2)
+    df, _ = _many(spark, 64, 130, seed=9)
+    inp = C._prepare(df, "all", None, 100, None)
+    pairs = C._tile_pairs(inp)
+    tiles = pairs.where("tile1 = tile2").count()
+    assert tiles >= 16 and pairs.count() <= 3 * tiles < tiles * (tiles + 1) // 2
+
+
+def test_single_precision_changes_no_figure(spark):
+    """Numbers above thresholds that lie between two r closer than single precision tells apart."""
+    import navlib.operators.correlation as C
+
+    df, want = _many(spark, 300, 130, seed=12)
+    inp = C._prepare(df, "all", None, 100, None)
+    upper = np.sort(want[np.triu_indices(300, 1)])
+    upper = upper[~np.isnan(upper)]
+    gaps = np.diff(upper)
+    k = int(np.nonzero((gaps > 1e-11) & (gaps < 1e-8) & (upper[:-1] > 0.1))[0][0])
+    s = C._statistics(inp, float(upper[k : k + 2].mean())).first()
+    assert (s["_n"], s["_high"]) == (len(upper), len(upper) - k - 1)
+    assert (s["_mean"], s["_max"], s["_min"]) == pytest.approx((upper.mean(), upper.max(), upper.min()), abs=1e-12)
