@@ -365,3 +365,19 @@ def test_single_precision_changes_no_figure(spark):
     s = C._statistics(inp, float(upper[k : k + 2].mean())).first()
     assert (s["_n"], s["_high"]) == (len(upper), len(upper) - k - 1)
     assert (s["_mean"], s["_max"], s["_min"]) == pytest.approx((upper.mean(), upper.max(), upper.min()), abs=1e-12)
+
+
+def test_high_pairs_shuffle_no_returns(spark, monkeypatch):
+    """High pairs over several tiles and partitions: no group of two tiles is dealt rows, and the rows are those of all pairs."""
+    import navlib.operators.correlation as C
+
+    monkeypatch.setattr(C, "TILE", 16)
+    df, want = _many(spark, 120, 130, seed=13)
+    high = nl.high_correlation_pairs(df, "all", high=0.6)
+    plan = high._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "CoGroup" not in plan
+    rows = {(int(r.scheme1[1:]), int(r.scheme2[1:])): r for r in high.collect()}
+    i, j = np.nonzero(np.triu(np.nan_to_num(want) > 0.6, 1))
+    true = set(zip(i.tolist(), j.tolist(), strict=True))
+    assert set(rows) <= true and len(rows) >= 0.9 * len(true) > 20
+    assert all(abs(r.correlation - want[k]) <= 5.1e-5 and (r.scheme1_name, r.scheme2_name) == (f"n{k[0]}", f"n{k[1]}") for k, r in rows.items())
