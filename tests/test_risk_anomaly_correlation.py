@@ -381,3 +381,18 @@ def test_high_pairs_shuffle_no_returns(spark, monkeypatch):
     true = set(zip(i.tolist(), j.tolist(), strict=True))
     assert set(rows) <= true and len(rows) >= 0.9 * len(true) > 20
     assert all(abs(r.correlation - want[k]) <= 5.1e-5 and (r.scheme1_name, r.scheme2_name) == (f"n{k[0]}", f"n{k[1]}") for k, r in rows.items())
+
+
+def test_notable_pairs_compare_no_strings(spark, monkeypatch):
+    """Codes of several lengths and alphabets come in byte order, found without comparing two strings for each pair."""
+    import navlib.operators.correlation as C
+
+    rng = np.random.default_rng(14)
+    codes = ["10", "9", "a", "Z", "é", "aa", "1", "z", "\U0001f600", "￮", "100", "B"]
+    df = nav_frame(spark, {c: list(100 * np.cumprod(1 + rng.normal(0, 0.01, 130))) for c in codes})
+    monkeypatch.setattr(C, "TILE", 5)
+    rows = nl.notable_pairs(df, "all", low=0.99).collect()
+    assert {(r.scheme1, r.scheme2) for r in rows} == {(a, b) for a in codes for b in codes if a.encode() < b.encode()}
+    assert all(r.scheme1_name == f"name {r.scheme1}" and r.scheme2_name == f"name {r.scheme2}" for r in rows)
+    places = C._Names([C.pa.array(codes), C.pa.array(codes)], [C.pa.array(codes)] * 2)
+    assert len(places.place) == 24 and places.second == 12
